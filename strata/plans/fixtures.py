@@ -88,3 +88,57 @@ def finance_model(t) -> SimpleNamespace:
                            service_dim=service_dim, service_type_dim=service_type_dim,
                            transactions=transactions, chart=chart, documents=documents,
                            glcode=glcode)
+
+
+# --- control tables derived from events / region / nation / supplier -------
+
+def batches_from_events(events: DataFrame) -> DataFrame:
+    """One batch per user: start/end = first/last event, FULL when any value < 1."""
+    return events.groupBy(F.col("user_id").alias("batch_run_id")).agg(
+        F.min("ts").alias("run_start_datetime"),
+        F.max("ts").alias("run_end_datetime"),
+        F.when(F.min("value") < 1, "FULL").otherwise("DELTA").alias("load_type"),
+        F.when(F.max("ts") >= F.lit("2024-01-30 12:00:00"), "RUNNING").otherwise("COMPLETED").alias("run_status"),
+    )
+
+
+def table_audit_from_events(events: DataFrame) -> DataFrame:
+    """One table-level audit row per event; status by reconciliation (AG-12)."""
+    from strata.operators.control import reconcile
+    fetched = F.floor(F.col("value") * 10).cast("bigint")
+    processed = (F.when(F.col("value") < 2, F.lit(0))
+                 .when(F.col("value") < 4, fetched - 1)
+                 .otherwise(fetched))
+    base = events.select(
+        F.col("event_id").alias("process_id"),
+        F.col("user_id").alias("batch_run_id"),
+        F.col("event_type").alias("source_table_name"),
+        F.concat(F.lit("clean_"), F.col("event_type")).alias("destination_table_name"),
+        F.col("ts").alias("etl_start_time"),
+        F.col("ts").alias("time_to"),
+        fetched.alias("input_row"),
+        processed.cast("bigint").alias("output_row"),
+    )
+    return base.withColumn("operation_result", reconcile(F.col("input_row"), F.col("output_row")))
+
+
+def config_model(t) -> SimpleNamespace:
+    """System (region) x database (nation) x table (supplier) configuration."""
+    systems = t.region.select(
+        F.col("r_regionkey").alias("source_system_id"),
+        F.col("r_name").alias("source_system_name"),
+        F.when(F.col("r_regionkey").isin(1, 2), 1).otherwise(0).alias("is_multi_db"),
+        F.when(F.col("r_regionkey") == 4, 0).otherwise(1).alias("system_is_active"))
+    databases = t.nation.select(
+        F.col("n_nationkey").alias("source_db_id"),
+        F.col("n_name").alias("source_db_code"),
+        F.col("n_regionkey").alias("source_system_id"))
+    tables = (t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+              .select(F.col("n_regionkey").alias("source_system_id"),
+                      F.col("s_name").alias("source_table_name"),
+                      F.floor(F.col("s_acctbal") / 1000).cast("bigint").alias("load_sequence"),
+                      F.col("s_suppkey").alias("hierarchy_number"),
+                      F.when(F.col("s_acctbal") < 0, "master").otherwise("transaction").alias("table_type"),
+                      F.when(F.col("s_nationkey") < 12, "DAILY").otherwise("HOURLY").alias("run_frequency"),
+                      F.when(F.col("s_acctbal") > -500, 1).otherwise(0).alias("is_active")))
+    return SimpleNamespace(systems=systems, databases=databases, tables=tables)

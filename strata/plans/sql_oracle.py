@@ -99,3 +99,132 @@ SELECT CAST(total_revenue AS DOUBLE) AS total_revenue, CAST(total_expense AS DOU
 ORACLE["pnl_ebitda"] = _with(FINANCE_CTES, """
 SELECT CAST(total_revenue AS DOUBLE) AS total_revenue, CAST(ebitda_expense AS DOUBLE) AS total_expense,
        CAST(total_revenue + ebitda_expense AS DOUBLE) AS ebitda FROM pnl""")
+
+# --- windows and loads -----------------------------------------------------
+EVENTS_KEYS = """ev AS (SELECT event_id, ts, user_id, event_type, value,
+                       ts + INTERVAL 3 DAY AS updated_at FROM events)"""
+
+ORACLE["window_delta"] = _with(EVENTS_KEYS, """
+SELECT * FROM ev
+WHERE (ts > TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-20 12:00:00')
+   OR (updated_at > TIMESTAMP '2024-01-10 00:00:00' AND updated_at < TIMESTAMP '2024-01-20 12:00:00')""")
+
+ORACLE["window_full"] = _with(EVENTS_KEYS, """
+SELECT * FROM ev WHERE ts < TIMESTAMP '2024-01-12 00:00:00' OR updated_at < TIMESTAMP '2024-01-12 00:00:00'""")
+
+ORACLE["cutoff_any_date"] = """
+WITH d AS (
+  SELECT o_orderkey, o_orderdate,
+         CASE WHEN o_orderpriority = '5-LOW' THEN 'not a date'
+              ELSE strftime(o_orderdate + INTERVAL 400 DAY, '%Y-%m-%d') END AS ship_text
+  FROM orders)
+SELECT o_orderkey, o_orderdate, ship_text FROM d
+WHERE COALESCE(o_orderdate >= TIMESTAMP '1999-06-01', FALSE)
+   OR COALESCE(TRY_CAST(ship_text AS TIMESTAMP) >= TIMESTAMP '1999-06-01', FALSE)"""
+
+FIRST_LOAD = """first_load AS (
+  SELECT event_id, ts, user_id, event_type, value, TIMESTAMP '2024-01-20 00:00:00' AS insertion_date
+  FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00')"""
+
+ORACLE["load_full"] = _with(FIRST_LOAD, "SELECT * FROM first_load")
+
+ORACLE["load_window_append"] = _with(FIRST_LOAD, """
+SELECT * FROM first_load
+WHERE NOT COALESCE(ts > TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-25 06:00:00', FALSE)
+UNION ALL
+SELECT event_id, ts, user_id, event_type, value + 1 AS value, TIMESTAMP '2024-01-25 06:00:00' AS insertion_date
+FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-25 06:00:00'""")
+
+ORACLE["load_upsert"] = """
+WITH d1 AS (SELECT event_id, ts, user_id, event_type, value FROM events
+            WHERE ts < TIMESTAMP '2024-01-20 00:00:00'
+            QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+d2 AS (SELECT event_id, ts, user_id, event_type, value FROM events
+       WHERE ts > TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-25 06:00:00'
+       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+SELECT * FROM d1 WHERE user_id NOT IN (SELECT user_id FROM d2)
+UNION ALL SELECT * FROM d2"""
+
+ORACLE["load_multi_db"] = """
+SELECT o_orderkey,
+       CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS source_db_id,
+       CASE o_orderstatus WHEN 'O' THEN 2 ELSE 1 END AS market_profile_id,
+       o_totalprice
+FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01' AND o_orderstatus IN ('F','O','P')"""
+
+ORACLE["sentinel_clamp"] = """
+SELECT o_orderkey, o_orderstatus,
+       strftime(CASE WHEN o_orderpriority = '1-URGENT' THEN TIMESTAMP '9999-12-31 22:59:59'
+                     ELSE o_orderdate END, '%Y-%m-%d %H:%M:%S') AS end_date
+FROM orders"""
+
+# --- control ---------------------------------------------------------------
+CONTROL_CTES = """
+batches AS (
+  SELECT user_id AS batch_run_id, MIN(ts) AS run_start_datetime, MAX(ts) AS run_end_datetime,
+         CASE WHEN MIN(value) < 1 THEN 'FULL' ELSE 'DELTA' END AS load_type,
+         CASE WHEN MAX(ts) >= TIMESTAMP '2024-01-30 12:00:00' THEN 'RUNNING' ELSE 'COMPLETED' END AS run_status
+  FROM events GROUP BY user_id),
+audit0 AS (
+  SELECT event_id AS process_id, user_id AS batch_run_id, event_type AS source_table_name,
+         'clean_' || event_type AS destination_table_name, ts AS etl_start_time, ts AS time_to,
+         CAST(floor(value * 10) AS BIGINT) AS input_row,
+         CAST(CASE WHEN value < 2 THEN 0 WHEN value < 4 THEN CAST(floor(value * 10) AS BIGINT) - 1
+                   ELSE CAST(floor(value * 10) AS BIGINT) END AS BIGINT) AS output_row
+  FROM events),
+audit AS (
+  SELECT *, CASE WHEN input_row = output_row AND input_row > 0 THEN 'Success'
+                 WHEN output_row > 0 THEN 'Partial Success'
+                 WHEN input_row = 0 AND output_row = 0 THEN 'Success'
+                 ELSE 'Failed' END AS operation_result
+  FROM audit0)
+"""
+
+ORACLE["watermark"] = _with(CONTROL_CTES, """
+SELECT a.source_table_name, MAX(a.time_to) - INTERVAL 5 MINUTE AS last_processed_date
+FROM audit a JOIN batches b ON a.batch_run_id = b.batch_run_id
+WHERE b.load_type = 'DELTA' AND a.etl_start_time IS NOT NULL
+  AND a.operation_result IN ('Success', 'SUCCESS', 'success')
+GROUP BY a.source_table_name""")
+
+ORACLE["latest_batch"] = _with(CONTROL_CTES, """
+SELECT batch_run_id, run_start_datetime, load_type FROM batches WHERE run_status = 'RUNNING'
+ORDER BY batch_run_id DESC, run_start_datetime DESC LIMIT 1""")
+
+ORACLE["audit_state"] = """
+SELECT user_id AS process_id, dayofmonth(ts) AS batch_run_id, event_type AS source_table_name,
+       ts AS event_time, value AS output_row
+FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, dayofmonth(ts), event_type
+                           ORDER BY ts DESC, value DESC) = 1"""
+
+ORACLE["run_summary"] = _with(CONTROL_CTES, """
+SELECT batch_run_id, COUNT(*) AS tables_total,
+       SUM(CASE WHEN operation_result IN ('Success','SUCCESS','success') THEN 1 ELSE 0 END) AS tables_successful,
+       SUM(CASE WHEN operation_result = 'Failed' THEN 1 ELSE 0 END) AS tables_failed,
+       ROUND(SUM(CASE WHEN operation_result IN ('Success','SUCCESS','success') THEN 1 ELSE 0 END) * 100.0 / COUNT(*), 2) AS success_rate,
+       SUM(input_row) AS rows_fetched, SUM(output_row) AS rows_processed,
+       COALESCE(array_to_string(list_sort(list_distinct(list(destination_table_name) FILTER (WHERE operation_result = 'Failed'))), ', '), '') AS failed_tables
+FROM audit GROUP BY batch_run_id""")
+
+ORACLE["config_plan"] = """
+WITH systems AS (
+  SELECT r_regionkey AS source_system_id, r_name AS source_system_name,
+         CASE WHEN r_regionkey IN (1,2) THEN 1 ELSE 0 END AS is_multi_db,
+         CASE WHEN r_regionkey = 4 THEN 0 ELSE 1 END AS system_is_active FROM region),
+dbs AS (SELECT n_nationkey AS source_db_id, n_name AS source_db_code, n_regionkey AS source_system_id FROM nation),
+tbls AS (
+  SELECT n.n_regionkey AS source_system_id, s.s_name AS source_table_name,
+         CAST(floor(s.s_acctbal / 1000) AS BIGINT) AS load_sequence, s.s_suppkey AS hierarchy_number,
+         CASE WHEN s.s_acctbal < 0 THEN 'master' ELSE 'transaction' END AS table_type,
+         CASE WHEN s.s_nationkey < 12 THEN 'DAILY' ELSE 'HOURLY' END AS run_frequency,
+         CASE WHEN s.s_acctbal > -500 THEN 1 ELSE 0 END AS is_active
+  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey)
+SELECT s.source_system_name, s.is_multi_db, d.source_db_code, t.source_table_name, t.load_sequence, t.hierarchy_number
+FROM tbls t JOIN systems s ON t.source_system_id = s.source_system_id
+JOIN dbs d ON d.source_system_id = t.source_system_id
+WHERE t.is_active = 1 AND t.table_type = 'transaction' AND t.run_frequency = 'DAILY'
+  AND s.system_is_active = 1
+  AND d.source_db_code IN ('NATION_0','NATION_2','NATION_4','NATION_6','NATION_8','NATION_10','NATION_12',
+                           'NATION_14','NATION_16','NATION_18','NATION_20','NATION_22','NATION_24')
+ORDER BY t.load_sequence, t.hierarchy_number"""

@@ -69,3 +69,146 @@ def pnl_net_profit(spark, sf_dir):
 def pnl_ebitda(spark, sf_dir):
     _, sp, ledger = _finance(spark, sf_dir)
     return pnl.ebitda_statement(pnl.summary(sp, ledger))
+
+
+# --- windows and loads (FP-01..04, IO-04..11, WN-02) -----------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from strata.operators import control, loads, windows  # noqa: E402
+
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
+RUN1_TS = "2024-01-20 00:00:00"
+RUN2_TS = "2024-01-25 06:00:00"
+
+
+def _events_with_keys(spark, sf_dir):
+    ev = Tables(spark, sf_dir).events.select(*EVENT_COLS)
+    # second extract key: a modification time three days after creation
+    return ev.withColumn("updated_at", F.col("ts") + F.expr("INTERVAL 3 DAYS"))
+
+
+@register("window_delta")
+def window_delta(spark, sf_dir):
+    ev = _events_with_keys(spark, sf_dir)
+    w = windows.choose_window("bronze", "DELTA", "incremental", "ts, updated_at",
+                              "2024-01-10 00:00:00", "2024-01-20 12:00:00")
+    return ev.filter(w)
+
+
+@register("window_full")
+def window_full(spark, sf_dir):
+    ev = _events_with_keys(spark, sf_dir)
+    w = windows.choose_window("bronze", "FULL", "incremental", "ts, updated_at",
+                              None, "2024-01-12 00:00:00")
+    return ev.filter(w)
+
+
+@register("cutoff_any_date")
+def cutoff_any_date(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    shipped_text = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit("not a date"))
+                    .otherwise(F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 400 DAYS"), "yyyy-MM-dd")))
+    df = o.select("o_orderkey", "o_orderdate", shipped_text.alias("ship_text"))
+    out = windows.business_cutoff_filter(df, ["o_orderdate", "ship_text", "no_such_column"],
+                                         cutoff="1999-06-01")
+    return out.select("o_orderkey", "o_orderdate", "ship_text")
+
+
+def _first_load(ev):
+    w1 = windows.choose_window("bronze", "FULL", "full", "ts", None, RUN1_TS)
+    return loads.stamp(loads.full_replace(None, ev.filter(w1)), RUN1_TS)
+
+
+@register("load_full")
+def load_full(spark, sf_dir):
+    ev = Tables(spark, sf_dir).events.select(*EVENT_COLS)
+    return _first_load(ev)
+
+
+@register("load_window_append")
+def load_window_append(spark, sf_dir):
+    ev = Tables(spark, sf_dir).events.select(*EVENT_COLS)
+    target = _first_load(ev)
+    lower = "2024-01-15 00:00:00"
+    w2 = windows.choose_window("bronze", "DELTA", "append", "ts", lower, RUN2_TS)
+    # the second extract re-delivers the window with corrected values
+    incoming = loads.stamp(ev.filter(w2).withColumn("value", F.col("value") + 1), RUN2_TS)
+    return loads.window_append(target, incoming, w2)
+
+
+@register("load_upsert")
+def load_upsert(spark, sf_dir):
+    # target keyed by user: each user's latest event; two deliveries
+    ev = Tables(spark, sf_dir).events.select(*EVENT_COLS)
+    keys, order = ["user_id"], ["ts", "event_id"]
+    d1 = ev.filter(windows.upper_bound_window("ts", RUN1_TS))
+    d2 = ev.filter(windows.incremental_window("ts", "2024-01-15 00:00:00", RUN2_TS))
+    state = loads.upsert(None, d1, keys, order)
+    return loads.upsert(state, d2, keys, order)
+
+
+@register("load_multi_db")
+def load_multi_db(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    # three source databases, one per order status, each tagged and unioned
+    dbs = [("F", 1, 1), ("O", 2, 2), ("P", 3, 1)]
+    upper = windows.upper_bound_window("o_orderdate", "2000-01-01")
+    frames = [loads.tag_source(o.filter((F.col("o_orderstatus") == s) & upper), db, mp)
+              for s, db, mp in dbs]
+    return loads.union_sources(frames).select("o_orderkey", "source_db_id", "market_profile_id",
+                                              "o_totalprice")
+
+
+@register("sentinel_clamp")
+def sentinel_clamp(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    end = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(loads.SENTINEL_END).cast("timestamp_ntz"))
+           .otherwise(F.col("o_orderdate")))
+    df = loads.clamp_sentinel(o.select("o_orderkey", end.alias("EndDate"), "o_orderstatus"), "EndDate")
+    return df.select("o_orderkey", "o_orderstatus",
+                     F.date_format("EndDate", "yyyy-MM-dd HH:mm:ss").alias("end_date"))
+
+
+# --- control: config, batch, audit (FP-05, JN-10/11, SL-02..04, AG-09/11..13)
+
+@register("watermark")
+def watermark(spark, sf_dir):
+    ev = Tables(spark, sf_dir).events
+    return control.high_water_marks(fx.table_audit_from_events(ev), fx.batches_from_events(ev))
+
+
+@register("latest_batch")
+def latest_batch(spark, sf_dir):
+    b = fx.batches_from_events(Tables(spark, sf_dir).events)
+    return control.running_batch(b).select("batch_run_id", "run_start_datetime", "load_type")
+
+
+@register("audit_state")
+def audit_state(spark, sf_dir):
+    ev = Tables(spark, sf_dir).events
+    log = ev.select(F.col("user_id").alias("process_id"),
+                    F.dayofmonth("ts").alias("batch_run_id"),
+                    F.col("event_type").alias("source_table_name"),
+                    F.col("ts").alias("event_time"),
+                    F.col("value").alias("output_row"))
+    return control.latest_audit_state(log)
+
+
+@register("run_summary")
+def run_summary(spark, sf_dir):
+    return control.run_summary(fx.table_audit_from_events(Tables(spark, sf_dir).events))
+
+
+@register("config_plan")
+def config_plan(spark, sf_dir):
+    m = fx.config_model(Tables(spark, sf_dir))
+    tables = control.select_config(m.tables, type_col="table_type", table_type="transaction",
+                                   frequency_col="run_frequency", frequency="DAILY", run_type="DELTA")
+    systems = m.systems.filter(F.col("system_is_active") == 1)
+    dbs = control.select_config(m.databases, active_col=None, db_col="source_db_code",
+                                db_codes=[f"NATION_{i}" for i in range(0, 25, 2)])
+    plan = control.expand_config(systems, dbs, tables)
+    return (plan.orderBy(*control.processing_order(plan, "bronze"))
+            .select("source_system_name", "is_multi_db", "source_db_code", "source_table_name",
+                    "load_sequence", "hierarchy_number"))
