@@ -142,3 +142,62 @@ def config_model(t) -> SimpleNamespace:
                       F.when(F.col("s_nationkey") < 12, "DAILY").otherwise("HOURLY").alias("run_frequency"),
                       F.when(F.col("s_acctbal") > -500, 1).otherwise(0).alias("is_active")))
     return SimpleNamespace(systems=systems, databases=databases, tables=tables)
+
+
+# --- dirty inputs for the silver steps (built by projection, same in SQL) ---
+
+def dirty_customers(t) -> DataFrame:
+    """Customers with injected case / space / blank noise, codes, currencies
+    and missing coordinates."""
+    c, n = t.customer, t.nation
+    seg = F.col("c_mktsegment")
+    raw = (F.when(seg == "BUILDING", F.concat(F.lit("  "), F.upper("c_name"), F.lit("   o'neil 3rd  ")))
+           .when(seg == "MACHINERY", F.lower("c_name"))
+           .when(seg == "AUTOMOBILE", F.lit(""))
+           .when(seg == "FURNITURE", F.lit("   "))
+           .otherwise(F.col("c_name")))
+    nk = F.col("c_nationkey")
+    country = (F.when(nk == 0, "US").when(nk == 1, "GB").when(nk == 2, "IN")
+               .when(nk == 3, F.lit(None).cast("string"))
+               .otherwise(F.concat(F.lit("N"), nk.cast("string"))))
+    rk = F.col("n_regionkey")
+    currency = (F.when(rk == 0, "USD").when(rk == 1, "INR").when(rk == 2, "EUR").when(rk == 3, "GBP")
+                .otherwise(F.lit(None).cast("string")))
+    lat = F.when(F.col("n_nationkey") == 5, F.lit(None).cast("double")).otherwise(F.col("n_nationkey") * 3.5 - 40)
+    lon = F.when(F.col("n_nationkey") == 7, F.lit(None).cast("double")).otherwise(F.col("n_nationkey") * 7.0 - 80)
+    h = F.md5(F.col("c_name"))
+    version = F.when(seg == "BUILDING", F.lit("7")).otherwise(F.lit("4"))
+    uuid_text = F.concat(F.lit("  "), F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-"),
+                         version, F.substring(h, 14, 3), F.lit("-a"), F.substring(h, 18, 3), F.lit("-"),
+                         F.substring(h, 21, 12), F.lit(" "))
+    return (c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+            .select("c_custkey", raw.alias("raw_name"), seg.alias("segment"), country.alias("country"),
+                    F.col("c_acctbal").alias("balance"), currency.alias("balance_currency"),
+                    lat.alias("latitude"), lon.alias("longitude"), uuid_text.alias("uuid_text")))
+
+
+def json_parts(t) -> DataFrame:
+    """Parts with a JSON cell (some malformed)."""
+    p = t.part
+    j = (F.when(F.col("p_size") < 3, F.lit("{bad"))
+         .otherwise(F.concat(F.lit('{"brand": "'), F.col("p_brand"), F.lit('", "dims": {"size": '),
+                             F.col("p_size").cast("string"), F.lit('}, "name": "'), F.col("p_name"),
+                             F.lit('"}'))))
+    return p.select("p_partkey", j.alias("j"))
+
+
+def xml_parts(t) -> DataFrame:
+    """Parts with a service-details XML cell."""
+    p = t.part
+    sd = F.concat(F.lit(' SD="2024-01-'), F.lpad(F.col("p_size").cast("string"), 2, "0"), F.lit('"'))
+    ed = F.when(F.col("p_size") > 40, F.lit("")).otherwise(
+        F.concat(F.lit(' ED="'), F.lpad(F.col("p_size").cast("string"), 2, "0"), F.lit('/01/24"')))
+    x = F.concat(F.lit('<ServiceDetailsInfo SC="'), F.col("p_type"), F.lit('"><SN>'), F.col("p_name"),
+                 F.lit(" ("), F.col("p_brand"), F.lit(')</SN><IL LOC="City ('),
+                 F.upper(F.substring("p_name", 1, 3)), F.lit(')"'), sd, ed, F.lit("/></ServiceDetailsInfo>"))
+    size = F.col("p_size")
+    broken = (F.when(size < 10, F.concat(F.lit("<a><b>"), F.col("p_name"), F.lit(" & co</b></a>")))
+              .when(size < 20, F.concat(F.lit("<a><b>"), F.col("p_name"), F.lit(" &Lt;1&Gt;</b></a>")))
+              .when(size < 25, F.concat(F.lit("<a><b>"), F.col("p_name"), F.lit("</a>")))
+              .otherwise(F.concat(F.lit("<a><b>"), F.col("p_name"), F.lit("</b></a>"))))
+    return p.select("p_partkey", "p_size", x.alias("x"), broken.alias("x2"))

@@ -228,3 +228,143 @@ WHERE t.is_active = 1 AND t.table_type = 'transaction' AND t.run_frequency = 'DA
   AND d.source_db_code IN ('NATION_0','NATION_2','NATION_4','NATION_6','NATION_8','NATION_10','NATION_12',
                            'NATION_14','NATION_16','NATION_18','NATION_20','NATION_22','NATION_24')
 ORDER BY t.load_sequence, t.hierarchy_number"""
+
+# --- silver steps ----------------------------------------------------------
+DIRTY = r"""
+dirty AS (
+  SELECT c.c_custkey,
+    CASE c.c_mktsegment WHEN 'BUILDING' THEN '  ' || upper(c.c_name) || '   o''neil 3rd  '
+                        WHEN 'MACHINERY' THEN lower(c.c_name)
+                        WHEN 'AUTOMOBILE' THEN '' WHEN 'FURNITURE' THEN '   '
+                        ELSE c.c_name END AS raw_name,
+    c.c_mktsegment AS segment,
+    CASE WHEN c.c_nationkey = 0 THEN 'US' WHEN c.c_nationkey = 1 THEN 'GB' WHEN c.c_nationkey = 2 THEN 'IN'
+         WHEN c.c_nationkey = 3 THEN NULL ELSE 'N' || CAST(c.c_nationkey AS VARCHAR) END AS country,
+    c.c_acctbal AS balance,
+    CASE n.n_regionkey WHEN 0 THEN 'USD' WHEN 1 THEN 'INR' WHEN 2 THEN 'EUR' WHEN 3 THEN 'GBP' END AS balance_currency,
+    CASE WHEN n.n_nationkey = 5 THEN NULL ELSE CAST(n.n_nationkey AS DOUBLE) * 3.5::DOUBLE - 40 END AS latitude,
+    CASE WHEN n.n_nationkey = 7 THEN NULL ELSE CAST(n.n_nationkey AS DOUBLE) * 7.0::DOUBLE - 80 END AS longitude,
+    '  ' || substr(md5(c.c_name), 1, 8) || '-' || substr(md5(c.c_name), 9, 4) || '-'
+      || CASE WHEN c.c_mktsegment = 'BUILDING' THEN '7' ELSE '4' END || substr(md5(c.c_name), 14, 3)
+      || '-a' || substr(md5(c.c_name), 18, 3) || '-' || substr(md5(c.c_name), 21, 12) || ' ' AS uuid_text
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey)
+"""
+
+PY_TITLE = (r"array_to_string(list_transform(regexp_extract_all({x}, '(\p{{L}}+|[^\p{{L}}]+)'), "
+            r"lambda w: upper(w[1]) || lower(w[2:])), '')")
+
+
+def _title(x: str) -> str:
+    return PY_TITLE.format(x=x)
+
+
+def _cap(x: str) -> str:
+    return f"(upper(left({x}, 1)) || lower(substr({x}, 2)))"
+
+
+ORACLE["case_unify"] = _with(DIRTY, f"""
+SELECT c_custkey, upper(raw_name) AS name_upper, lower(raw_name) AS name_lower,
+       {_title('raw_name')} AS name_title, {_cap('raw_name')} AS name_cap,
+       trim(raw_name) AS name_strip, {_cap('raw_name')} AS name_sentence, raw_name AS name_keep
+FROM dirty""")
+
+_TT = "trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+ORACLE["title_trim"] = _with(DIRTY, f"""
+SELECT c_custkey, {_title(_TT.format(x='raw_name'))} AS raw_name, {_title(_TT.format(x='segment'))} AS segment,
+       {_title(_TT.format(x='country'))} AS country
+FROM dirty""")
+
+ORACLE["null_blank"] = _with(DIRTY, """
+SELECT c_custkey, CASE WHEN trim(raw_name) = '' THEN NULL ELSE trim(raw_name) END AS raw_name,
+       segment, balance, NULLIF(raw_name, '') AS raw_name_silver
+FROM dirty""")
+
+ORACLE["uuid_upper"] = _with(DIRTY, """
+SELECT c_custkey, CASE WHEN segment = 'BUILDING' THEN trim(uuid_text) ELSE upper(trim(uuid_text)) END AS uuid_text
+FROM dirty""")
+
+ORACLE["datetime_format"] = """
+WITH d AS (
+  SELECT o_orderkey, strftime(o_orderdate, '%-m/%-d/%Y') AS d_us,
+         CASE WHEN o_orderpriority = '5-LOW' THEN '31-02-1997' ELSE strftime(o_orderdate, '%d-%m-%Y') END AS d_eu,
+         o_orderdate AS d_ts, strftime(o_orderdate, '%Y-%m-%d') AS d_other
+  FROM orders)
+SELECT o_orderkey, strftime(try_strptime(d_us, '%m/%d/%Y'), '%m/%d/%Y') AS d_us,
+       strftime(try_strptime(d_eu, '%d-%m-%Y'), '%d-%m-%Y') AS d_eu,
+       strftime(d_ts, '%Y-%m-%d %H:%M:%S') AS d_ts,
+       strftime(try_strptime(d_other, '%Y-%m-%d'), '%Y-%m-%d') AS d_other
+FROM d"""
+
+ORACLE["country_unify"] = _with(DIRTY, """
+SELECT c_custkey, CASE country WHEN 'US' THEN 'USA' WHEN 'IN' THEN 'IND' WHEN 'GB' THEN 'UK' ELSE country END AS country
+FROM dirty""")
+
+ORACLE["value_map"] = _with(DIRTY, """
+SELECT c_custkey, CASE WHEN segment IN ('HOUSEHOLD','AUTOMOBILE') THEN 'CONSUMER'
+                       WHEN segment IN ('MACHINERY','BUILDING') THEN 'INDUSTRIAL' ELSE segment END AS segment
+FROM dirty""")
+
+ORACLE["currency_std"] = _with(DIRTY, """
+SELECT c_custkey,
+       balance * COALESCE(CASE balance_currency WHEN 'USD' THEN 1.0::DOUBLE WHEN 'INR' THEN 0.012::DOUBLE
+                                                WHEN 'EUR' THEN 1.1::DOUBLE END, 1.0::DOUBLE) * 1.2::DOUBLE AS balance,
+       COALESCE(latitude, 40.7128::DOUBLE) AS latitude, COALESCE(longitude, -74.0060::DOUBLE) AS longitude
+FROM dirty""")
+
+JSON_PARTS = """
+jp AS (
+  SELECT p_partkey, CASE WHEN p_size < 3 THEN '{bad'
+         ELSE '{"brand": "' || p_brand || '", "dims": {"size": ' || CAST(p_size AS VARCHAR)
+              || '}, "name": "' || p_name || '"}' END AS j
+  FROM part)
+"""
+
+ORACLE["json_flatten"] = _with(JSON_PARTS, """
+SELECT p_partkey,
+       CASE WHEN json_valid(j) THEN json_extract_string(j, '$.brand') END AS j_brand,
+       CASE WHEN json_valid(j) THEN json_extract_string(j, '$.dims.size') END AS j_dims_size,
+       CASE WHEN json_valid(j) THEN json_extract_string(j, '$.dims.size') END AS size2,
+       CAST(NULL AS VARCHAR) AS j_missing
+FROM jp""")
+
+ORACLE["json_extract_all"] = _with(JSON_PARTS, """
+SELECT p_partkey,
+       CASE WHEN json_valid(j) THEN json_extract_string(j, '$.brand') END AS brand,
+       CASE WHEN json_valid(j) THEN json_extract_string(j, '$.dims') END AS dims,
+       CASE WHEN json_valid(j) THEN json_extract_string(j, '$.name') END AS name
+FROM jp""")
+
+ORACLE["xml_flatten"] = """
+SELECT p_partkey, p_name || ' (' || p_brand || ')' AS x_SN,
+       'City (' || upper(substr(p_name, 1, 3)) || ')' AS x_IL_attr_LOC,
+       CASE WHEN p_size > 40 THEN NULL ELSE lpad(CAST(p_size AS VARCHAR), 2, '0') || '/01/24' END AS x_IL_attr_ED,
+       p_type AS sc
+FROM part"""
+
+ORACLE["xml_repair"] = """
+SELECT p_partkey,
+       CASE WHEN p_size < 10 THEN '<a><b>' || p_name || ' &amp; co</b></a>'
+            WHEN p_size < 20 THEN '<a><b>' || p_name || ' &lt;1&gt;</b></a>'
+            WHEN p_size < 25 THEN NULL
+            ELSE '<a><b>' || p_name || '</b></a>' END AS x2
+FROM part"""
+
+ORACLE["json_array_serialise"] = """
+SELECT l_orderkey, l_linenumber, l_partkey,
+       CASE WHEN l_returnflag = 'A' THEN NULL
+            WHEN l_returnflag = 'R' THEN '{' || CAST(l_partkey AS VARCHAR) || ',' || CAST(l_suppkey AS VARCHAR) || ',None}'
+            ELSE '{' || CAST(l_partkey AS VARCHAR) || ',' || CAST(l_suppkey AS VARCHAR) || ','
+                 || CAST(l_linenumber AS VARCHAR) || '}' END AS arr,
+       to_json({'k': l_partkey, 'f': l_returnflag}) AS js
+FROM lineitem"""
+
+ORACLE["dedup_rows"] = "SELECT DISTINCT l_returnflag, l_linestatus, l_shipdate FROM lineitem"
+
+ORACLE["row_index"] = """
+SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey) AS partition_index FROM orders"""
+
+ORACLE["schema_align"] = """
+SELECT o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS missing_col,
+       TIMESTAMP '2024-01-20 00:00:00' AS insertion_date,
+       CAST(NULL AS VARCHAR) AS is_vip, CAST(NULL AS VARCHAR) AS region, CAST(NULL AS VARCHAR) AS n_name
+FROM orders"""

@@ -212,3 +212,141 @@ def config_plan(spark, sf_dir):
     return (plan.orderBy(*control.processing_order(plan, "bronze"))
             .select("source_system_name", "is_multi_db", "source_db_code", "source_table_name",
                     "load_sequence", "hierarchy_number"))
+
+
+# --- silver cleaning steps (F-01..F-16, FP-14, IO-12..16, AG-10, WN-01) ----
+
+from strata.functions import semistructured  # noqa: E402
+from strata.operators import clean, schema  # noqa: E402
+from strata.operators.rowindex import row_index  # noqa: E402
+
+CASE_CONFIG = {"name_upper": "UPPER", "name_lower": "lower", "name_title": "TITLE",
+               "name_cap": "CAPITALIZE", "name_strip": "STRIP", "name_sentence": "SENTENCE",
+               "name_keep": "WEIRD", "absent_column": "UPPER"}
+
+
+@register("case_unify")
+def case_unify(spark, sf_dir):
+    d = fx.dirty_customers(Tables(spark, sf_dir))
+    wide = d.select("c_custkey", *[F.col("raw_name").alias(c) for c in CASE_CONFIG if c != "absent_column"])
+    return clean.case_unification(wide, CASE_CONFIG)
+
+
+@register("title_trim")
+def title_trim(spark, sf_dir):
+    d = fx.dirty_customers(Tables(spark, sf_dir)).select("c_custkey", "raw_name", "segment", "country")
+    return clean.string_trimming(d)
+
+
+@register("null_blank")
+def null_blank(spark, sf_dir):
+    d = fx.dirty_customers(Tables(spark, sf_dir)).select("c_custkey", "raw_name", "segment", "balance")
+    bronze = clean.bronze_clean(d)
+    silver = clean.null_handling(d.select("c_custkey", F.col("raw_name").alias("raw_name_silver")))
+    return bronze.join(silver, "c_custkey")
+
+
+@register("uuid_upper")
+def uuid_upper(spark, sf_dir):
+    d = fx.dirty_customers(Tables(spark, sf_dir)).select("c_custkey", "uuid_text")
+    return clean.bronze_clean(d)
+
+
+@register("datetime_format")
+def datetime_format(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    d = o.select(
+        "o_orderkey",
+        F.date_format("o_orderdate", "M/d/yyyy").alias("d_us"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("31-02-1997"))
+         .otherwise(F.date_format("o_orderdate", "dd-MM-yyyy")).alias("d_eu"),
+        F.col("o_orderdate").alias("d_ts"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("d_other"))
+    return clean.datetime_formatting(d, {"d_us": "MM/DD/YYYY", "d_eu": "DD-MM-YYYY",
+                                         "d_ts": "YYYY-MM-DD HH:mm:ss", "d_other": "weird"})
+
+
+@register("country_unify")
+def country_unify(spark, sf_dir):
+    d = fx.dirty_customers(Tables(spark, sf_dir)).select("c_custkey", "country")
+    return clean.country_code_unification(d, "country")
+
+
+@register("value_map")
+def value_map(spark, sf_dir):
+    d = fx.dirty_customers(Tables(spark, sf_dir)).select("c_custkey", "segment")
+    return clean.value_mapping(d, {"segment": {"CONSUMER": ["HOUSEHOLD", "AUTOMOBILE"],
+                                               "INDUSTRIAL": ["MACHINERY", "BUILDING"]}})
+
+
+@register("currency_std")
+def currency_std(spark, sf_dir):
+    d = fx.dirty_customers(Tables(spark, sf_dir)).select(
+        "c_custkey", "balance", "balance_currency", "latitude", "longitude")
+    out = (d.transform(lambda x: clean.currency_standardization(x, "balance"))
+            .transform(clean.geographic_enrichment)
+            .transform(lambda x: clean.base_currency(x, "balance")))
+    return out.select("c_custkey", "balance", "latitude", "longitude")
+
+
+@register("json_flatten")
+def json_flatten(spark, sf_dir):
+    d = fx.json_parts(Tables(spark, sf_dir))
+    cfg = {"j": {"keys_to_extract": ["brand", "dims/size", {"path": "dims.size", "alias": "size2"},
+                                     "missing"]}}
+    return clean.flatten_semistructured(d, cfg).drop("j")
+
+
+@register("json_extract_all")
+def json_extract_all(spark, sf_dir):
+    d = fx.json_parts(Tables(spark, sf_dir))
+    return clean.flatten_semistructured(d, {"j": {"extract_all": True}}).drop("j")
+
+
+@register("xml_flatten")
+def xml_flatten(spark, sf_dir):
+    d = fx.xml_parts(Tables(spark, sf_dir)).select("p_partkey", "x")
+    cfg = {"x": {"keys_to_extract": ["SN", "IL/@LOC", "IL/@ED",
+                                     {"path": "ServiceDetailsInfo/@SC", "alias": "sc"}]}}
+    return clean.flatten_semistructured(d, cfg).drop("x")
+
+
+@register("xml_repair")
+def xml_repair(spark, sf_dir):
+    d = fx.xml_parts(Tables(spark, sf_dir)).select("p_partkey", "x2")
+    return schema.serialise_for_target(d, xml_cols=["x2"])
+
+
+@register("json_array_serialise")
+def json_array_serialise(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem
+    arr = (F.when(F.col("l_returnflag") == "A", F.lit(None).cast("array<bigint>"))
+           .when(F.col("l_returnflag") == "R",
+                 F.array(F.col("l_partkey"), F.col("l_suppkey"), F.lit(None).cast("bigint")))
+           .otherwise(F.array(F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber").cast("bigint"))))
+    d = li.select("l_orderkey", "l_linenumber", "l_partkey", arr.alias("arr"),
+                  F.struct(F.col("l_partkey").alias("k"), F.col("l_returnflag").alias("f")).alias("js"))
+    js, arrays = schema.special_columns(d.schema)
+    return schema.serialise_for_target(d, json_cols=js, array_cols=arrays)
+
+
+@register("dedup_rows")
+def dedup_rows(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem
+    return clean.remove_duplicates(li.select("l_returnflag", "l_linestatus", "l_shipdate"))
+
+
+@register("row_index")
+def row_index_q(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey")
+    return row_index(o, ["o_orderkey"])
+
+
+@register("schema_align")
+def schema_align(spark, sf_dir):
+    o = loads.stamp(Tables(spark, sf_dir).orders, RUN1_TS)
+    target = schema.target_schema(o.schema, ["o_orderkey", "o_totalprice", "missing_col"])
+    aligned = schema.align_to_target(o, [f.name for f in target.fields])
+    return clean.add_placeholders(
+        aligned, {"vip": {"new_column_name": "is_vip"}},
+        {"joins": [{"selected_columns": [{"column": "r_name", "alias": "region"}, {"column": "n_name"}]}]})
