@@ -201,3 +201,92 @@ def xml_parts(t) -> DataFrame:
               .when(size < 25, F.concat(F.lit("<a><b>"), F.col("p_name"), F.lit("</a>")))
               .otherwise(F.concat(F.lit("<a><b>"), F.col("p_name"), F.lit("</b></a>"))))
     return p.select("p_partkey", "p_size", x.alias("x"), broken.alias("x2"))
+
+
+# --- booking model (emission mart and listing) -----------------------------
+
+# Fixed lookup values of the fixture mapping (small reference lists).
+TRIP_TYPES = [(0, "One Way"), (1, "Round Trip"), (2, "Multi City"), (3, "Open Jaw"), (4, "Open Return")]
+CABIN_CLASSES = [(1, "Economy"), (2, "Business"), (3, "First")]
+
+
+def _code(c: Column) -> Column:
+    """Airport code from a nation key: N00..N24."""
+    return F.concat(F.lit("N"), F.lpad(c.cast("string"), 2, "0"))
+
+
+def booking_model(t) -> SimpleNamespace:
+    """Bookings (orders), segments (lineitem), services (part), airports and
+    organisations (nation), airlines (supplier), booking files (customer)."""
+    spark = t.spark
+    o, li, p, n = t.orders, t.lineitem, t.part, t.nation
+    booking = o.select(
+        F.col("o_orderkey").alias("ID"), F.col("o_custkey").alias("BookingFileID"),
+        (F.left(F.col("o_orderpriority"), F.lit(1)).cast("int") - 1).alias("AirTripTypeID"),
+        F.when(F.col("o_orderstatus") == "P", 3).otherwise(1).alias("TravelSectorID"),
+        (F.col("o_totalprice") - 20000).alias("Amount"),
+        F.col("o_orderpriority").isin("1-URGENT", "3-MEDIUM").alias("IsDomestic"),
+        (F.col("o_orderdate") < F.lit("2001-01-01")).alias("IsActive"),
+        F.when(F.col("o_orderstatus") == "F", 16).otherwise(17).alias("BookingStatusID"),
+        F.col("o_orderdate").alias("RemitDate"),
+        F.col("o_totalprice").alias("AmountNetRemit"))
+    booking_file = t.customer.select(
+        F.col("c_custkey").alias("ID"), F.col("c_name").alias("SystemReference"),
+        F.when(F.col("c_acctbal") < 0, F.lit(None).cast("int")).otherwise(F.col("c_nationkey"))
+         .alias("BookedForOrganizationID"),
+        F.when(F.col("c_mktsegment") == "FURNITURE", 15).otherwise(16).alias("BookingFileStatusID"),
+        F.col("c_name").alias("CustomerFullName"))
+    organization = n.select(F.col("n_nationkey").alias("ID"), (F.col("n_regionkey") != 4).alias("IsActive"),
+                            F.col("n_name").alias("Name"))
+    trip_type = spark.createDataFrame(TRIP_TYPES, "ID int, NameEN string")
+    cabin_class = spark.createDataFrame(CABIN_CLASSES, "ID int, NameEN string")
+    air_traveler = o.select((F.col("o_custkey") + 500000).alias("ID"), F.col("o_orderkey").alias("BookingID"),
+                            F.concat(F.lit("ET"), F.col("o_orderkey").cast("string")).alias("ETicketNumber"))
+    origin_destination = o.select(F.col("o_orderkey").alias("ID"), F.col("o_orderkey").alias("BookingID"))
+    segment = li.select(
+        F.col("l_orderkey").alias("AirOriginDestinationID"),
+        F.col("l_shipdate").alias("Departure"),
+        F.timestamp_add("HOUR", F.col("l_linenumber"), F.col("l_shipdate")).alias("Arrival"),
+        F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(3)
+         .alias("BookedAirCabinClassID"),
+        F.col("l_suppkey").alias("MarketingAirlineID"),
+        (F.col("l_linenumber") - 1 + F.when(F.col("l_linestatus") == "O", 7).otherwise(0)).alias("DepartureAirportID"),
+        F.floor(F.col("l_quantity") / 2).cast("int").alias("ArrivalAirportID"))
+    airline = t.supplier.select(F.col("s_suppkey").alias("ID"), F.col("s_name").alias("NameEN"))
+    airport = n.select(
+        F.col("n_nationkey").alias("ID"), _code(F.col("n_nationkey")).alias("IATACode"),
+        F.when(F.col("n_nationkey") == 5, F.lit(None).cast("double")).otherwise(F.col("n_nationkey") * 3.5 - 40)
+         .alias("Latitude"),
+        F.when(F.col("n_nationkey") == 7, F.lit(None).cast("double")).otherwise(F.col("n_nationkey") * 14.0 - 170)
+         .alias("Longitude"))
+    size, ptype = F.col("p_size"), F.col("p_type")
+    a0 = _code(F.floor(size / 2).cast("int"))
+    a1 = _code(F.length("p_name") + 10)
+    a2 = _code(F.floor((F.col("p_retailprice") - 900) / 4).cast("int"))
+    location = F.when(size == 50, F.lit(None).cast("string")).otherwise(
+        F.concat(a0, F.lit("-"), a1, F.when(F.col("p_retailprice") >= 950, F.concat(F.lit("-"), a2))
+                 .otherwise(F.lit(""))))
+    service = p.select(
+        F.col("p_partkey").alias("ID"), F.col("p_partkey").alias("BookingFileID"),
+        F.when(ptype == "ECONOMY", 13).when(ptype.isin("STANDARD", "SMALL"), 15).when(ptype == "LARGE", 14)
+         .when(ptype == "MEDIUM", 20).otherwise(31).alias("ServiceTypeID"),
+        F.when(size > 45, 20).otherwise(16).alias("BookingStatusID"),
+        (F.col("p_retailprice") < 995).alias("IsActive"),
+        F.date_add(F.lit("1997-01-01").cast("date"), size).cast("timestamp_ntz").alias("RemitDate"),
+        F.when(size > 25, F.concat(F.col("p_brand"), F.lit(" ("), F.upper(F.substring("p_name", 1, 2)), F.lit(")")))
+         .otherwise(F.col("p_brand")).alias("NameEN"),
+        F.col("p_name").alias("Service"),
+        F.when(size < 10, "eco plus").when(size < 20, "Business").when(size < 30, "first row")
+         .when(size < 40, "PREMIUM economy").otherwise("std").alias("Service_Class"),
+        location.alias("Service_Location"),
+        F.concat(F.lit("1997-"), F.lpad((F.floor(size / 5) + 1).cast("string"), 2, "0"), F.lit("-15"))
+         .alias("Service_Start_Date"),
+        F.lit("1997-12-31").alias("Service_End_Date"),
+        F.when(size < 5, F.lit(None).cast("string")).otherwise(F.concat(F.lit("PNR"), F.col("p_partkey").cast("string")))
+         .alias("ProviderConfirmationReference"),
+        F.col("p_retailprice").alias("AmountNetRemit"))
+    service_traveler = p.select((F.col("p_partkey") + 100000).alias("ID"), F.col("p_partkey").alias("ServiceID"))
+    return SimpleNamespace(booking=booking, booking_file=booking_file, organization=organization,
+                           trip_type=trip_type, cabin_class=cabin_class, air_traveler=air_traveler,
+                           origin_destination=origin_destination, segment=segment, airline=airline,
+                           airport=airport, service=service, service_traveler=service_traveler)

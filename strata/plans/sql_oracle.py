@@ -368,3 +368,157 @@ SELECT o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS missing_col,
        TIMESTAMP '2024-01-20 00:00:00' AS insertion_date,
        CAST(NULL AS VARCHAR) AS is_vip, CAST(NULL AS VARCHAR) AS region, CAST(NULL AS VARCHAR) AS n_name
 FROM orders"""
+
+# --- emission mart -----------------------------------------------------------
+BOOKING_CTES = r"""
+booking AS (
+  SELECT o_orderkey AS ID, o_custkey AS BookingFileID, CAST(left(o_orderpriority, 1) AS INT) - 1 AS AirTripTypeID,
+         CASE WHEN o_orderstatus = 'P' THEN 3 ELSE 1 END AS TravelSectorID, o_totalprice - 20000 AS Amount,
+         o_orderpriority IN ('1-URGENT', '3-MEDIUM') AS IsDomestic, o_orderdate < TIMESTAMP '2001-01-01' AS IsActive,
+         CASE WHEN o_orderstatus = 'F' THEN 16 ELSE 17 END AS BookingStatusID, o_orderdate AS RemitDate,
+         o_totalprice AS AmountNetRemit
+  FROM orders),
+booking_file AS (
+  SELECT c_custkey AS ID, c_name AS SystemReference,
+         CASE WHEN c_acctbal < 0 THEN NULL ELSE c_nationkey END AS BookedForOrganizationID,
+         CASE WHEN c_mktsegment = 'FURNITURE' THEN 15 ELSE 16 END AS BookingFileStatusID,
+         c_name AS CustomerFullName
+  FROM customer),
+organization AS (SELECT n_nationkey AS ID, n_regionkey <> 4 AS IsActive, n_name AS Name FROM nation),
+trip_type AS (SELECT * FROM (VALUES (0, 'One Way'), (1, 'Round Trip'), (2, 'Multi City'), (3, 'Open Jaw'),
+                                    (4, 'Open Return')) AS v(ID, NameEN)),
+cabin_class AS (SELECT * FROM (VALUES (1, 'Economy'), (2, 'Business'), (3, 'First')) AS v(ID, NameEN)),
+air_traveler AS (SELECT o_custkey + 500000 AS ID, o_orderkey AS BookingID, 'ET' || CAST(o_orderkey AS VARCHAR) AS ETicketNumber FROM orders),
+origin_destination AS (SELECT o_orderkey AS ID, o_orderkey AS BookingID FROM orders),
+segment AS (
+  SELECT l_orderkey AS AirOriginDestinationID, l_shipdate AS Departure,
+         l_shipdate + to_hours(CAST(l_linenumber AS BIGINT)) AS Arrival,
+         CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS BookedAirCabinClassID,
+         l_suppkey AS MarketingAirlineID,
+         l_linenumber - 1 + CASE WHEN l_linestatus = 'O' THEN 7 ELSE 0 END AS DepartureAirportID,
+         CAST(floor(l_quantity / 2) AS INT) AS ArrivalAirportID
+  FROM lineitem),
+airline AS (SELECT s_suppkey AS ID, s_name AS NameEN FROM supplier),
+airport AS (
+  SELECT n_nationkey AS ID, 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS IATACode,
+         CASE WHEN n_nationkey = 5 THEN NULL ELSE CAST(n_nationkey AS DOUBLE) * 3.5::DOUBLE - 40 END AS Latitude,
+         CASE WHEN n_nationkey = 7 THEN NULL ELSE CAST(n_nationkey AS DOUBLE) * 14.0::DOUBLE - 170 END AS Longitude
+  FROM nation),
+service AS (
+  SELECT p_partkey AS ID, p_partkey AS BookingFileID,
+         CASE WHEN p_type = 'ECONOMY' THEN 13 WHEN p_type IN ('STANDARD', 'SMALL') THEN 15 WHEN p_type = 'LARGE' THEN 14
+              WHEN p_type = 'MEDIUM' THEN 20 ELSE 31 END AS ServiceTypeID,
+         CASE WHEN p_size > 45 THEN 20 ELSE 16 END AS BookingStatusID,
+         p_retailprice < 995 AS IsActive,
+         CAST(DATE '1997-01-01' + CAST(p_size AS INT) AS TIMESTAMP) AS RemitDate,
+         CASE WHEN p_size > 25 THEN p_brand || ' (' || upper(substr(p_name, 1, 2)) || ')' ELSE p_brand END AS NameEN,
+         p_name AS Service,
+         CASE WHEN p_size < 10 THEN 'eco plus' WHEN p_size < 20 THEN 'Business' WHEN p_size < 30 THEN 'first row'
+              WHEN p_size < 40 THEN 'PREMIUM economy' ELSE 'std' END AS Service_Class,
+         CASE WHEN p_size = 50 THEN NULL ELSE
+           'N' || lpad(CAST(CAST(floor(p_size / 2) AS INT) AS VARCHAR), 2, '0') || '-'
+           || 'N' || lpad(CAST(length(p_name) + 10 AS VARCHAR), 2, '0')
+           || CASE WHEN p_retailprice >= 950
+                   THEN '-N' || lpad(CAST(CAST(floor((p_retailprice - 900) / 4) AS INT) AS VARCHAR), 2, '0')
+                   ELSE '' END END AS Service_Location,
+         '1997-' || lpad(CAST(CAST(floor(p_size / 5) + 1 AS BIGINT) AS VARCHAR), 2, '0') || '-15' AS Service_Start_Date,
+         '1997-12-31' AS Service_End_Date,
+         CASE WHEN p_size < 5 THEN NULL ELSE 'PNR' || CAST(p_partkey AS VARCHAR) END AS ProviderConfirmationReference,
+         p_retailprice AS AmountNetRemit
+  FROM part),
+service_traveler AS (SELECT p_partkey + 100000 AS ID, p_partkey AS ServiceID FROM part)
+"""
+
+GC = ("acos(greatest(least(sin(radians({a}.Latitude)) * sin(radians({b}.Latitude)) + cos(radians({a}.Latitude)) "
+      "* cos(radians({b}.Latitude)) * cos(radians({b}.Longitude - {a}.Longitude)), 1.0), -1.0)) * 6371")
+
+EMISSION_CTES = BOOKING_CTES + """,
+booking_source AS (
+  SELECT BF.ID AS BookingFileID, O.ID AS OrganizationId, BF.SystemReference AS Trip, B.ID AS BookingID,
+         ASG.Departure AS Start_Date, ASG.Arrival AS End_Date, ATR.ID AS TravelerId, AA.NameEN AS Airline,
+         ATA.NameEN AS TripType, ACC.NameEN AS Cabin_Class, ATR.ETicketNumber AS E_Ticket, B.RemitDate,
+         CASE WHEN B.AirTripTypeID IN (0, 1) THEN A.IATACode || '-' || A1.IATACode
+              WHEN B.AirTripTypeID = 4 THEN A.IATACode || '-' || A1.IATACode || '-*' END AS Route,
+         CASE WHEN A.Latitude IS NULL OR A1.Latitude IS NULL OR A.Longitude IS NULL OR A1.Longitude IS NULL THEN 0
+              ELSE """ + GC.format(a="A", b="A1") + """ * CASE WHEN B.AirTripTypeID = 1 THEN 2 ELSE 1 END END AS KM,
+         CASE WHEN B.Amount < 0 THEN 'Cancelled'
+              WHEN B.IsDomestic = TRUE AND B.Amount < 100 THEN 'Changed'
+              WHEN B.IsDomestic = FALSE AND B.Amount < 250 THEN 'Changed'
+              ELSE CAST(B.BookingStatusID AS VARCHAR) END AS Ticket_status
+  FROM booking B
+  JOIN booking_file BF ON B.BookingFileID = BF.ID
+  JOIN trip_type ATA ON ATA.ID = B.AirTripTypeID
+  JOIN air_traveler ATR ON ATR.BookingID = B.ID
+  LEFT JOIN organization O ON BF.BookedForOrganizationID = O.ID
+  JOIN origin_destination AOD ON B.ID = AOD.BookingID
+  JOIN segment ASG ON AOD.ID = ASG.AirOriginDestinationID
+  JOIN cabin_class ACC ON ASG.BookedAirCabinClassID = ACC.ID
+  JOIN airline AA ON AA.ID = ASG.MarketingAirlineID
+  JOIN airport A ON ASG.DepartureAirportID = A.ID
+  JOIN airport A1 ON ASG.ArrivalAirportID = A1.ID
+  WHERE B.TravelSectorID = 1 AND BF.BookingFileStatusID = 16 AND B.IsActive = TRUE
+    AND BF.BookedForOrganizationID IS NOT NULL),
+service_source AS (
+  SELECT BF.ID AS BookingFileID, O.ID AS OrganizationId, BF.SystemReference AS Trip, S.ID AS BookingID,
+         CAST(S.Service_Start_Date AS DATE) AS Start_Date, CAST(S.Service_End_Date AS DATE) AS End_Date,
+         ST.ID AS TravelerId,
+         CASE WHEN position(' (' IN S.NameEN) > 0 THEN substring(S.NameEN, 1, position(' (' IN S.NameEN) - 1)
+              ELSE S.NameEN END AS Airline,
+         S.Service AS TripType,
+         CASE WHEN S.ServiceTypeID IN (13, 15) AND lower(S.Service_Class) LIKE '%eco%' THEN 'Economy class'
+              WHEN S.ServiceTypeID IN (13, 15) AND lower(S.Service_Class) LIKE '%busi%' THEN 'Business class'
+              WHEN S.ServiceTypeID IN (13, 15) AND lower(S.Service_Class) LIKE '%first%' THEN 'First class'
+              WHEN S.ServiceTypeID IN (13, 15) AND lower(S.Service_Class) LIKE '%premium%' THEN 'Premium economy class'
+              ELSE 'Other' END AS Cabin_Class,
+         COALESCE(S.ProviderConfirmationReference, '-') AS E_Ticket, S.RemitDate,
+         COALESCE(S.Service_Location, '-') AS Route,
+         split_part(S.Service_Location, '-', 1) AS A0Code, split_part(S.Service_Location, '-', 2) AS A1Code,
+         split_part(S.Service_Location, '-', 3) AS A2Code, split_part(S.Service_Location, '-', 4) AS A3Code,
+         split_part(S.Service_Location, '-', 5) AS A4Code
+  FROM service S
+  JOIN booking_file BF ON BF.ID = S.BookingFileID
+  JOIN organization O ON O.ID = BF.BookedForOrganizationID
+  JOIN service_traveler ST ON ST.ServiceID = S.ID
+  WHERE S.ServiceTypeID IN (13, 15) AND BF.BookedForOrganizationID IS NOT NULL AND O.IsActive = TRUE
+    AND S.BookingStatusID = 16 AND S.IsActive = TRUE),
+service_km AS (
+  SELECT ss.*, COALESCE(""" + GC.format(a="A0", b="A1") + """, 0) + COALESCE(""" + GC.format(a="A1", b="A2") + """, 0)
+             + COALESCE(""" + GC.format(a="A2", b="A3") + """, 0) + COALESCE(""" + GC.format(a="A3", b="A4") + """, 0) AS KM
+  FROM service_source ss
+  LEFT JOIN airport A0 ON ss.A0Code = A0.IATACode LEFT JOIN airport A1 ON ss.A1Code = A1.IATACode
+  LEFT JOIN airport A2 ON ss.A2Code = A2.IATACode LEFT JOIN airport A3 ON ss.A3Code = A3.IATACode
+  LEFT JOIN airport A4 ON ss.A4Code = A4.IATACode),
+unified AS (
+  SELECT BookingFileID, 'Booking' AS booking_service_type, OrganizationId, Trip, BookingID, Start_Date, End_Date,
+         TravelerId, Airline, TripType, Cabin_Class, E_Ticket, RemitDate, Route, KM FROM booking_source
+  UNION ALL
+  SELECT BookingFileID, 'Service' AS booking_service_type, OrganizationId, Trip, BookingID, Start_Date, End_Date,
+         TravelerId, Airline, TripType, Cabin_Class, E_Ticket, RemitDate, Route, KM FROM service_km),
+emission_calc AS (
+  SELECT u.*,
+    CASE WHEN u.KM <= 785 THEN u.KM * 1.09 * 0.16685
+         WHEN u.KM > 785 AND u.KM <= 3700 THEN
+           CASE WHEN lower(u.Cabin_Class) LIKE '%economy%' THEN u.KM * 1.09 * 0.09074 ELSE u.KM * 1.09 * 0.13612 END
+         WHEN u.KM > 3700 THEN
+           CASE WHEN lower(u.Cabin_Class) LIKE '%economy%' THEN u.KM * 1.09 * 0.07954
+                WHEN lower(u.Cabin_Class) LIKE '%first%' THEN u.KM * 1.09 * 0.31816
+                ELSE u.KM * 1.09 * 0.23066 END END AS TotalEmission
+  FROM unified u)
+"""
+
+ORACLE["emission_booking"] = _with(EMISSION_CTES, """
+SELECT BookingID, OrganizationId, Trip, Start_Date, Airline, TripType, Cabin_Class, E_Ticket, Route,
+       round(KM, 6) AS KM, Ticket_status FROM booking_source""")
+
+ORACLE["emission_multileg"] = _with(EMISSION_CTES, """
+SELECT BookingID, OrganizationId, Trip, Start_Date, End_Date, TravelerId, Airline, TripType, Cabin_Class,
+       E_Ticket, Route, round(KM, 6) AS KM FROM service_km""")
+
+ORACLE["emission_mart"] = _with(EMISSION_CTES, """
+SELECT e.Trip AS trip_id, e.BookingID AS booking_service_id, e.booking_service_type,
+       e.OrganizationId AS organization_id, e.TravelerId AS traveler_id, e.TripType AS trip_type,
+       e.Airline AS airline_name, e.Route AS flight_route, e.Cabin_Class AS booking_class,
+       round(e.KM, 6) AS distance, round(e.TotalEmission, 6) AS emission,
+       e.Start_Date AS start_date, e.End_Date AS end_date
+FROM emission_calc e
+ORDER BY e.RemitDate DESC NULLS FIRST, e.OrganizationId ASC NULLS LAST""")

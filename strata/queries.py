@@ -350,3 +350,35 @@ def schema_align(spark, sf_dir):
     return clean.add_placeholders(
         aligned, {"vip": {"new_column_name": "is_vip"}},
         {"joins": [{"selected_columns": [{"column": "r_name", "alias": "region"}, {"column": "n_name"}]}]})
+
+
+# --- emission mart (PJ-10: D-01..D-05, JN-05, SO-02, SL-01) -----------------
+
+from strata.plans import emission  # noqa: E402
+
+
+def _bookings(spark, sf_dir):
+    return fx.booking_model(Tables(spark, sf_dir))
+
+
+def _round_km(df):
+    return df.withColumn("KM", F.round("KM", 6))
+
+
+@register("emission_booking")
+def emission_booking(spark, sf_dir):
+    b = emission.booking_source(_bookings(spark, sf_dir))
+    return _round_km(b.select("BookingID", "OrganizationId", "Trip", "Start_Date", "Airline", "TripType",
+                              "Cabin_Class", "E_Ticket", "Route", "KM", "Ticket_status"))
+
+
+@register("emission_multileg")
+def emission_multileg(spark, sf_dir):
+    s = emission.service_source(_bookings(spark, sf_dir))
+    return _round_km(s.select("BookingID", "OrganizationId", "Trip", "Start_Date", "End_Date", "TravelerId",
+                              "Airline", "TripType", "Cabin_Class", "E_Ticket", "Route", "KM"))
+
+
+@register("emission_mart")
+def emission_mart(spark, sf_dir):
+    return emission.emission_mart(_bookings(spark, sf_dir))
