@@ -38,9 +38,15 @@ def repair_xml(c: Column) -> Column:
 
 
 def xml_value(c: Column, path: str, wellformed: Column | None = None) -> Column:
-    """First value of an XPath, NULL when missing or the cell is not XML (S-08)."""
+    """String value of the first node an XPath selects (S-08).
+
+    Like T-SQL ``.value('(path)[1]')``: an element gives its text, an
+    attribute its value; NULL when nothing matches or the cell is not XML
+    (``xpath_string`` alone would return '').
+    """
     ok = is_wellformed_xml(c) if wellformed is None else wellformed
-    return F.when(ok, F.get(F.xpath(c, F.lit(path)), 0))
+    p = F.lit(path)
+    return F.when(ok & F.xpath_boolean(c, p), F.xpath_string(c, p))
 
 
 def xml_exists(c: Column, path: str, wellformed: Column | None = None) -> Column:

@@ -215,6 +215,24 @@ def _code(c: Column) -> Column:
     return F.concat(F.lit("N"), F.lpad(c.cast("string"), 2, "0"))
 
 
+def service_details(size: Column) -> Column:
+    """Service details XML built from part columns (construct-then-parse)."""
+    sd = (F.when(size < 15, F.concat(F.lit(' SD="1997-'), F.lpad(size.cast("string"), 2, "0"), F.lit('-20"')))
+          .when(size < 35, F.concat(F.lit(' SD="20/'), F.lpad((F.floor(size / 3)).cast("string"), 2, "0"),
+                                    F.lit('/24"')))
+          .otherwise(F.lit("")))
+    ed = F.when(size > 30, F.lit(' ED="2024-12-31"')).otherwise(F.lit(""))
+    sc = (F.when(size < 8, "STANDARD").when(size < 16, "premium suite").when(size < 24, "Executive")
+          .when(size < 32, "deluxe").when(size < 40, "eco").otherwise("Business"))
+    sn = F.when(size > 45, F.lit("")).otherwise(
+        F.concat(F.lit("<SN>"), F.col("p_brand"), F.when(size > 20, F.concat(F.lit(" ("), F.col("p_type"), F.lit(")")))
+                 .otherwise(F.lit("")), F.lit("</SN>")))
+    loc = F.when(size > 42, F.lit("")).otherwise(
+        F.concat(F.lit(' LOC="Town ('), F.lower(_code(F.floor(size / 2).cast("int"))), F.lit(')"')))
+    return F.concat(F.lit('<ServiceDetailsInfo SC="'), sc, F.lit('">'), sn, F.lit("<IL"), loc, sd, ed,
+                       F.lit("/></ServiceDetailsInfo>"))
+
+
 def booking_model(t) -> SimpleNamespace:
     """Bookings (orders), segments (lineitem), services (part), airports and
     organisations (nation), airlines (supplier), booking files (customer)."""
@@ -269,7 +287,8 @@ def booking_model(t) -> SimpleNamespace:
     service = p.select(
         F.col("p_partkey").alias("ID"), F.col("p_partkey").alias("BookingFileID"),
         F.when(ptype == "ECONOMY", 13).when(ptype.isin("STANDARD", "SMALL"), 15).when(ptype == "LARGE", 14)
-         .when(ptype == "MEDIUM", 20).otherwise(31).alias("ServiceTypeID"),
+         .when(ptype == "MEDIUM", 20).when(F.col("p_retailprice") < 995, 27).otherwise(31)
+         .alias("ServiceTypeID"),
         F.when(size > 45, 20).otherwise(16).alias("BookingStatusID"),
         (F.col("p_retailprice") < 995).alias("IsActive"),
         F.date_add(F.lit("1997-01-01").cast("date"), size).cast("timestamp_ntz").alias("RemitDate"),
@@ -284,9 +303,81 @@ def booking_model(t) -> SimpleNamespace:
         F.lit("1997-12-31").alias("Service_End_Date"),
         F.when(size < 5, F.lit(None).cast("string")).otherwise(F.concat(F.lit("PNR"), F.col("p_partkey").cast("string")))
          .alias("ProviderConfirmationReference"),
-        F.col("p_retailprice").alias("AmountNetRemit"))
+        F.col("p_retailprice").alias("AmountNetRemit"),
+        service_details(size).alias("Details"))
     service_traveler = p.select((F.col("p_partkey") + 100000).alias("ID"), F.col("p_partkey").alias("ServiceID"))
     return SimpleNamespace(booking=booking, booking_file=booking_file, organization=organization,
                            trip_type=trip_type, cabin_class=cabin_class, air_traveler=air_traveler,
                            origin_destination=origin_destination, segment=segment, airline=airline,
                            airport=airport, service=service, service_traveler=service_traveler)
+
+
+# Fixed lookup values of the fixture mapping for the listing.
+BOOKING_STATUSES = [(16, "Confirmed"), (17, "On Hold"), (20, "Cancelled"), (23, "Refunded")]
+SERVICE_TYPES = [(13, "Flight DOM"), (14, "Hotel INT"), (15, "Flight INT"), (20, "Hotel DOM"),
+                 (27, "Visa"), (31, "Transfer")]
+
+
+def listing_model(t) -> SimpleNamespace:
+    """Booking model plus the entities only the listing reads."""
+    m = booking_model(t)
+    spark = t.spark
+    o, c, n, r, p = t.orders, t.customer, t.nation, t.region, t.part
+    hotel = F.col("o_orderstatus") == "P"
+    m.booking = m.booking.withColumns({
+        "ValidatingAirlineID": F.floor(F.col("Amount") / 5000).cast("int"),
+        "HotelPropertyItemID": F.when(F.col("TravelSectorID") == 3, F.col("BookingFileID")),
+        "CheckIn": F.col("RemitDate"),
+        "CheckOut": F.col("RemitDate") + F.expr("INTERVAL 3 DAYS"),
+        "ProviderConfirmationReference": F.when(F.col("TravelSectorID") == 3,
+                                                F.concat(F.lit("HC"), F.col("ID").cast("string"))),
+    })
+    seg = F.col("c_mktsegment")
+    m.booking_file = c.select(
+        F.col("c_custkey").alias("ID"), F.col("c_name").alias("SystemReference"),
+        F.when(F.col("c_acctbal") < 0, F.lit(None).cast("int")).otherwise(F.col("c_nationkey"))
+         .alias("BookedForOrganizationID"),
+        F.when(seg == "FURNITURE", 15).otherwise(16).alias("BookingFileStatusID"),
+        F.col("c_name").alias("CustomerFullName"),
+        F.when(seg.isin("BUILDING", "HOUSEHOLD"), 1).when(seg == "MACHINERY", 2)
+         .when(seg == "AUTOMOBILE", 3).otherwise(4).alias("MarketProfileID"))
+    m.organization = n.select(
+        F.col("n_nationkey").alias("ID"), (F.col("n_regionkey") != 4).alias("IsActive"),
+        F.col("n_name").alias("Name"),
+        F.when(F.col("n_nationkey") < 10, F.concat(F.lit("Group "), F.col("n_regionkey").cast("string")))
+         .alias("OrganizationGroup"),
+        F.col("n_regionkey").alias("RelationshipManagerUserID"))
+    m.user = r.select(F.col("r_regionkey").alias("ID"), F.col("r_name").alias("FirstName"),
+                      F.when(F.col("r_regionkey") == 0, F.lit(None).cast("string")).otherwise(F.lit("Manager"))
+                       .alias("LastName"))
+    m.air_traveler = o.filter(~hotel).select(
+        F.col("o_orderkey").alias("BookingID"), F.col("o_custkey").alias("TravelerID"),
+        F.concat(F.lit("ET"), F.col("o_orderkey").cast("string")).alias("ETicketNumber"),
+        (F.col("o_totalprice") / 2).alias("AmountNetRemit"))
+    m.hotel_traveler = o.filter(hotel | (F.col("o_orderpriority") == "1-URGENT")).select(
+        F.col("o_orderkey").alias("BookingID"), (F.col("o_custkey") + 7).alias("TravelerID"))
+    m.traveler = c.select(F.col("c_custkey").alias("ID"), F.col("c_name").alias("FullName"),
+                          F.col("c_custkey").alias("TravelerProfileID"))
+    m.traveler_profile = c.select(F.col("c_custkey").alias("ID"), F.col("c_nationkey").alias("OrganizationID"))
+    m.booking_status = spark.createDataFrame(BOOKING_STATUSES, "ID int, NameEN string")
+    m.service_type = spark.createDataFrame(SERVICE_TYPES, "ID int, NameEN string")
+    m.airport = m.airport.withColumn("CityID", F.col("ID"))
+    m.city = n.select(F.col("n_nationkey").alias("ID"),
+                      F.concat(F.lit("City_"), F.col("n_nationkey").cast("string")).alias("NameEN"),
+                      _code(F.col("n_nationkey")).alias("IATACode"),
+                      F.col("n_regionkey").alias("CountryID"),
+                      (F.col("n_regionkey").cast("double")
+                       + F.when(F.col("n_nationkey") > 20, F.lit(0.5)).otherwise(F.lit(0.0))).alias("UTCDifference"))
+    m.country = r.select(F.col("r_regionkey").alias("ID"), F.col("r_name").alias("NameEN"))
+    m.hotel_property_item = c.select(F.col("c_custkey").alias("ID"),
+                                     F.concat(F.lit("Room "), F.col("c_mktsegment")).alias("NameEN"),
+                                     F.col("c_nationkey").alias("HotelPropertyID"))
+    m.hotel_property = n.select(F.col("n_nationkey").alias("ID"),
+                                F.concat(F.lit("Hotel "), F.col("n_name")).alias("NameEN"),
+                                F.col("n_regionkey").alias("DestinationID"))
+    m.destination = r.select(F.col("r_regionkey").alias("ID"), F.col("r_regionkey").alias("CountryID"))
+    m.city_destination = r.select(F.col("r_regionkey").alias("DestinationID"),
+                                  (F.col("r_regionkey") * 5).alias("CityID"))
+    m.service_traveler = p.select(F.col("p_partkey").alias("ServiceID"),
+                                  (F.col("p_partkey") + 3).alias("TravelerID"))
+    return m

@@ -376,7 +376,11 @@ booking AS (
          CASE WHEN o_orderstatus = 'P' THEN 3 ELSE 1 END AS TravelSectorID, o_totalprice - 20000 AS Amount,
          o_orderpriority IN ('1-URGENT', '3-MEDIUM') AS IsDomestic, o_orderdate < TIMESTAMP '2001-01-01' AS IsActive,
          CASE WHEN o_orderstatus = 'F' THEN 16 ELSE 17 END AS BookingStatusID, o_orderdate AS RemitDate,
-         o_totalprice AS AmountNetRemit
+         o_totalprice AS AmountNetRemit,
+         CAST(floor((o_totalprice - 20000) / 5000) AS INT) AS ValidatingAirlineID,
+         CASE WHEN o_orderstatus = 'P' THEN o_custkey END AS HotelPropertyItemID,
+         o_orderdate AS CheckIn, o_orderdate + INTERVAL 3 DAY AS CheckOut,
+         CASE WHEN o_orderstatus = 'P' THEN 'HC' || CAST(o_orderkey AS VARCHAR) END AS ProviderConfirmationReference
   FROM orders),
 booking_file AS (
   SELECT c_custkey AS ID, c_name AS SystemReference,
@@ -407,7 +411,7 @@ airport AS (
 service AS (
   SELECT p_partkey AS ID, p_partkey AS BookingFileID,
          CASE WHEN p_type = 'ECONOMY' THEN 13 WHEN p_type IN ('STANDARD', 'SMALL') THEN 15 WHEN p_type = 'LARGE' THEN 14
-              WHEN p_type = 'MEDIUM' THEN 20 ELSE 31 END AS ServiceTypeID,
+              WHEN p_type = 'MEDIUM' THEN 20 WHEN p_retailprice < 995 THEN 27 ELSE 31 END AS ServiceTypeID,
          CASE WHEN p_size > 45 THEN 20 ELSE 16 END AS BookingStatusID,
          p_retailprice < 995 AS IsActive,
          CAST(DATE '1997-01-01' + CAST(p_size AS INT) AS TIMESTAMP) AS RemitDate,
@@ -424,7 +428,17 @@ service AS (
          '1997-' || lpad(CAST(CAST(floor(p_size / 5) + 1 AS BIGINT) AS VARCHAR), 2, '0') || '-15' AS Service_Start_Date,
          '1997-12-31' AS Service_End_Date,
          CASE WHEN p_size < 5 THEN NULL ELSE 'PNR' || CAST(p_partkey AS VARCHAR) END AS ProviderConfirmationReference,
-         p_retailprice AS AmountNetRemit
+         p_retailprice AS AmountNetRemit,
+         CASE WHEN p_size < 8 THEN 'STANDARD' WHEN p_size < 16 THEN 'premium suite' WHEN p_size < 24 THEN 'Executive'
+              WHEN p_size < 32 THEN 'deluxe' WHEN p_size < 40 THEN 'eco' ELSE 'Business' END AS x_sc,
+         CASE WHEN p_size > 45 THEN NULL
+              ELSE p_brand || CASE WHEN p_size > 20 THEN ' (' || p_type || ')' ELSE '' END END AS x_sn,
+         CASE WHEN p_size > 42 THEN NULL
+              ELSE 'Town (' || lower('N' || lpad(CAST(CAST(floor(p_size / 2) AS INT) AS VARCHAR), 2, '0')) || ')' END AS x_loc,
+         CASE WHEN p_size < 15 THEN '1997-' || lpad(CAST(p_size AS VARCHAR), 2, '0') || '-20'
+              WHEN p_size < 35 THEN '20/' || lpad(CAST(CAST(floor(p_size / 3) AS BIGINT) AS VARCHAR), 2, '0') || '/24'
+         END AS x_sd,
+         CASE WHEN p_size > 30 THEN '2024-12-31' END AS x_ed
   FROM part),
 service_traveler AS (SELECT p_partkey + 100000 AS ID, p_partkey AS ServiceID FROM part)
 """
@@ -522,3 +536,172 @@ SELECT e.Trip AS trip_id, e.BookingID AS booking_service_id, e.booking_service_t
        e.Start_Date AS start_date, e.End_Date AS end_date
 FROM emission_calc e
 ORDER BY e.RemitDate DESC NULLS FIRST, e.OrganizationId ASC NULLS LAST""")
+
+# --- listing -------------------------------------------------------------------
+LISTING_CTES = BOOKING_CTES + """,
+bfile AS (
+  SELECT c_custkey AS ID, c_name AS SystemReference,
+         CASE WHEN c_acctbal < 0 THEN NULL ELSE c_nationkey END AS BookedForOrganizationID,
+         CASE WHEN c_mktsegment = 'FURNITURE' THEN 15 ELSE 16 END AS BookingFileStatusID,
+         c_name AS CustomerFullName,
+         CASE WHEN c_mktsegment IN ('BUILDING', 'HOUSEHOLD') THEN 1 WHEN c_mktsegment = 'MACHINERY' THEN 2
+              WHEN c_mktsegment = 'AUTOMOBILE' THEN 3 ELSE 4 END AS MarketProfileID
+  FROM customer),
+org AS (SELECT n_nationkey AS ID, n_regionkey <> 4 AS IsActive, n_name AS Name,
+               CASE WHEN n_nationkey < 10 THEN 'Group ' || CAST(n_regionkey AS VARCHAR) END AS OrganizationGroup,
+               n_regionkey AS RelationshipManagerUserID FROM nation),
+usr AS (SELECT r_regionkey AS ID, r_name AS FirstName, CASE WHEN r_regionkey = 0 THEN NULL ELSE 'Manager' END AS LastName
+        FROM region),
+atrav AS (SELECT o_orderkey AS BookingID, o_custkey AS TravelerID, 'ET' || CAST(o_orderkey AS VARCHAR) AS ETicketNumber,
+                 o_totalprice / 2 AS AmountNetRemit FROM orders WHERE o_orderstatus <> 'P'),
+htrav AS (SELECT o_orderkey AS BookingID, o_custkey + 7 AS TravelerID FROM orders
+          WHERE o_orderstatus = 'P' OR o_orderpriority = '1-URGENT'),
+traveler AS (SELECT c_custkey AS ID, c_name AS FullName, c_custkey AS TravelerProfileID FROM customer),
+tprofile AS (SELECT c_custkey AS ID, c_nationkey AS OrganizationID FROM customer),
+bstatus AS (SELECT * FROM (VALUES (16, 'Confirmed'), (17, 'On Hold'), (20, 'Cancelled'), (23, 'Refunded')) AS v(ID, NameEN)),
+stype AS (SELECT * FROM (VALUES (13, 'Flight DOM'), (14, 'Hotel INT'), (15, 'Flight INT'), (20, 'Hotel DOM'),
+                                (27, 'Visa'), (31, 'Transfer')) AS v(ID, NameEN)),
+airport2 AS (SELECT *, ID AS CityID FROM airport),
+city AS (SELECT n_nationkey AS ID, 'City_' || CAST(n_nationkey AS VARCHAR) AS NameEN,
+                'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS IATACode, n_regionkey AS CountryID,
+                CAST(n_regionkey AS DOUBLE) + CASE WHEN n_nationkey > 20 THEN 0.5 ELSE 0.0 END AS UTCDifference
+         FROM nation),
+country AS (SELECT r_regionkey AS ID, r_name AS NameEN FROM region),
+hpitem AS (SELECT c_custkey AS ID, 'Room ' || c_mktsegment AS NameEN, c_nationkey AS HotelPropertyID FROM customer),
+hprop AS (SELECT n_nationkey AS ID, 'Hotel ' || n_name AS NameEN, n_regionkey AS DestinationID FROM nation),
+dest AS (SELECT r_regionkey AS ID, r_regionkey AS CountryID FROM region),
+citydest AS (SELECT r_regionkey AS DestinationID, r_regionkey * 5 AS CityID FROM region),
+strav AS (SELECT p_partkey AS ServiceID, p_partkey + 3 AS TravelerID FROM part),
+route_info AS (
+  SELECT B.ID,
+         CAST(CASE WHEN B.AirTripTypeID = 1 THEN trunc(SUM(date_diff('minute',
+                   ASG.Departure + to_hours(CAST(trunc(-Cty1.UTCDifference) AS BIGINT)),
+                   ASG.Arrival + to_hours(CAST(trunc(-Cty2.UTCDifference) AS BIGINT)))) / 2.0)
+              ELSE SUM(date_diff('minute',
+                   ASG.Departure + to_hours(CAST(trunc(-Cty1.UTCDifference) AS BIGINT)),
+                   ASG.Arrival + to_hours(CAST(trunc(-Cty2.UTCDifference) AS BIGINT)))) END AS BIGINT) AS Flight_Time,
+         strftime(MIN(ASG.Departure), '%d/%m/%Y') AS "From", strftime(MAX(ASG.Arrival), '%d/%m/%Y') AS "To",
+         MIN(ACC.NameEN) AS "In",
+         string_agg(A1.IATACode || '-' || A2.IATACode, ', '
+                    ORDER BY ASG.Departure, A1.IATACode, A2.IATACode, A1.IATACode || '-' || A2.IATACode) AS Route
+  FROM booking B
+  JOIN origin_destination AOD ON B.ID = AOD.BookingID
+  JOIN segment ASG ON ASG.AirOriginDestinationID = AOD.ID
+  JOIN cabin_class ACC ON ASG.BookedAirCabinClassID = ACC.ID
+  JOIN airport2 A1 ON ASG.DepartureAirportID = A1.ID
+  JOIN city Cty1 ON A1.CityID = Cty1.ID
+  JOIN airport2 A2 ON ASG.ArrivalAirportID = A2.ID
+  JOIN city Cty2 ON A2.CityID = Cty2.ID
+  GROUP BY B.ID, B.AirTripTypeID),
+country_info AS (
+  SELECT W.ServiceID AS CI_ID, K.NameEN AS Country
+  FROM (SELECT ID AS ServiceID,
+               upper(CASE WHEN position('(' IN x_loc) = 0 THEN left(x_loc, 3)
+                          ELSE right(substring(x_loc, position('(' IN x_loc), 4), 3) END) AS CityIATA
+        FROM service WHERE ServiceTypeID IN (14, 20, 27, 31)) W
+  JOIN city ON city.IATACode = W.CityIATA
+  JOIN country K ON K.ID = city.CountryID),
+traveler_or AS (
+  SELECT B.ID AS B_ID, ATR.TravelerID AS at_traveler, HT.TravelerID AS ht_traveler, T.ID AS traveler_id,
+         T.FullName AS traveler_name
+  FROM booking B
+  LEFT JOIN atrav ATR ON B.ID = ATR.BookingID
+  LEFT JOIN htrav HT ON B.ID = HT.BookingID
+  LEFT JOIN traveler T ON ATR.TravelerID = T.ID OR HT.TravelerID = T.ID),
+booking_rows AS (
+  SELECT CASE WHEN B.IsDomestic THEN 'Domestic' ELSE 'International' END AS dom_int,
+         BF.SystemReference AS musafir_ref, 'B-' || CAST(B.ID AS VARCHAR) AS id,
+         CASE BF.MarketProfileID WHEN 1 THEN 'UAE' WHEN 2 THEN 'India' WHEN 3 THEN 'Qatar' WHEN 4 THEN 'Saudi Arabia' END AS market,
+         CAST(O.ID AS BIGINT) AS organization_id, O.Name AS organization, concat_ws(' ', U.FirstName, U.LastName) AS rm,
+         CASE WHEN BF.MarketProfileID IN (1, 2, 3, 4) THEN strftime(B.RemitDate, '%d/%m/%Y') END AS approved,
+         CASE WHEN B.TravelSectorID = 1 THEN 'Flight' WHEN B.TravelSectorID = 3 THEN 'Hotel' END AS category,
+         COALESCE(CASE WHEN B.TravelSectorID = 3 THEN B.ProviderConfirmationReference ELSE ATR.ETicketNumber END, '-') AS e_ticket_number,
+         BS.NameEN AS ticket_status, upper(BF.CustomerFullName) AS for_name,
+         CASE WHEN B.TravelSectorID = 1 THEN ARI."In" WHEN B.TravelSectorID = 3 THEN HPI.NameEN END AS in_label,
+         CASE WHEN B.TravelSectorID = 1 THEN COALESCE(AL.NameEN, '-') WHEN B.TravelSectorID = 3 THEN COALESCE(HP.NameEN, '-') END AS on_at,
+         CASE WHEN B.TravelSectorID = 1 THEN ARI.Route WHEN B.TravelSectorID = 3 THEN CT.NameEN END AS route_city,
+         CASE WHEN B.TravelSectorID = 1 THEN '-' WHEN B.TravelSectorID = 3 THEN K.NameEN END AS hotel_country,
+         CASE WHEN B.TravelSectorID = 1 THEN ARI."From" WHEN B.TravelSectorID = 3 THEN strftime(B.CheckIn, '%d/%m/%Y') END AS from_date,
+         CASE WHEN B.TravelSectorID = 1 THEN ARI."To" WHEN B.TravelSectorID = 3 THEN strftime(B.CheckOut, '%d/%m/%Y') END AS to_date,
+         CASE WHEN B.TravelSectorID = 1 THEN ARI.Flight_Time WHEN B.TravelSectorID = 3 THEN 0 END AS flight_time,
+         CASE WHEN B.TravelSectorID = 1 AND B.BookingStatusID IN (16, 20, 23) THEN COALESCE(ATR.AmountNetRemit, 0)
+              ELSE COALESCE(B.AmountNetRemit, 0) END AS amount,
+         upper(T.FullName) AS estimated_traveler, COALESCE(O.OrganizationGroup, '-') AS org_group
+  FROM bfile BF
+  JOIN booking B ON BF.ID = B.BookingFileID
+  JOIN org O ON BF.BookedForOrganizationID = O.ID
+  LEFT JOIN usr U ON O.RelationshipManagerUserID = U.ID
+  LEFT JOIN atrav ATR ON B.ID = ATR.BookingID
+  LEFT JOIN htrav HT ON B.ID = HT.BookingID
+  LEFT JOIN traveler T ON ATR.TravelerID = T.ID OR HT.TravelerID = T.ID
+  LEFT JOIN tprofile TP ON TP.ID = T.TravelerProfileID AND O.ID = TP.OrganizationID
+  LEFT JOIN airline AL ON B.ValidatingAirlineID = AL.ID
+  JOIN bstatus BS ON BS.ID = B.BookingStatusID
+  LEFT JOIN route_info ARI ON ARI.ID = B.ID
+  LEFT JOIN hpitem HPI ON B.HotelPropertyItemID = HPI.ID
+  LEFT JOIN hprop HP ON HP.ID = HPI.HotelPropertyID
+  LEFT JOIN dest D ON D.ID = HP.DestinationID
+  LEFT JOIN citydest CD ON D.ID = CD.DestinationID
+  LEFT JOIN city CT ON CD.CityID = CT.ID
+  LEFT JOIN country K ON K.ID = D.CountryID
+  WHERE B.RemitDate BETWEEN TIMESTAMP '1995-01-01 00:00:00' AND TIMESTAMP '2001-12-31 23:59:59'
+    AND BF.BookedForOrganizationID IS NOT NULL AND BF.MarketProfileID = 1 AND B.BookingStatusID > 0
+    AND B.IsActive AND B.RemitDate IS NOT NULL),
+service_rows AS (
+  SELECT CASE WHEN STY.NameEN ILIKE '%DOM%' THEN 'Domastic' WHEN STY.NameEN ILIKE '%INT%' THEN 'International'
+              ELSE '-' END AS dom_int,
+         BF.SystemReference AS musafir_ref, 'S-' || CAST(S.ID AS VARCHAR) AS id,
+         CASE BF.MarketProfileID WHEN 1 THEN 'UAE' WHEN 2 THEN 'India' WHEN 3 THEN 'Qatar' WHEN 4 THEN 'Saudi Arabia' END AS market,
+         CAST(O.ID AS BIGINT) AS organization_id, O.Name AS organization, concat_ws(' ', U.FirstName, U.LastName) AS rm,
+         CASE WHEN BF.MarketProfileID IN (1, 2, 3, 4) THEN strftime(S.RemitDate, '%d/%m/%Y') END AS approved,
+         CASE WHEN S.ServiceTypeID IN (13, 15) THEN 'Flight' WHEN S.ServiceTypeID IN (14, 20, 27, 31) THEN 'Hotel'
+              ELSE STY.NameEN END AS category,
+         COALESCE(S.ProviderConfirmationReference, '-') AS e_ticket_number,
+         BS.NameEN AS ticket_status, BF.CustomerFullName AS for_name,
+         CASE WHEN S.ServiceTypeID IN (14, 20, 27, 31) AND S.x_sc ILIKE '%STAND%' THEN 'Standard room'
+              WHEN S.ServiceTypeID IN (14, 20, 27, 31) AND S.x_sc ILIKE '%PREMI%' THEN 'Deluxe room'
+              WHEN S.ServiceTypeID IN (14, 20, 27, 31) AND S.x_sc ILIKE '%exec%' THEN 'Executive room'
+              WHEN S.ServiceTypeID IN (14, 20, 27, 31) AND S.x_sc ILIKE '%lux%' THEN 'Deluxe room'
+              WHEN S.ServiceTypeID IN (14, 20, 27, 31) AND S.x_sc ILIKE '%ECO%' THEN 'Standard room'
+              WHEN S.ServiceTypeID IN (13, 15) AND S.x_sc ILIKE '%STAND%' THEN 'Economy class'
+              WHEN S.ServiceTypeID IN (13, 15) AND S.x_sc ILIKE '%eco%' THEN 'Economy class'
+              WHEN S.ServiceTypeID IN (13, 15) AND S.x_sc ILIKE '%Busi%' THEN 'Business class'
+              WHEN S.ServiceTypeID IN (13, 15) AND S.x_sc ILIKE '%First%' THEN 'First class'
+              WHEN S.ServiceTypeID IN (13, 15) AND S.x_sc ILIKE '%PREMIUM%' THEN 'Premium economy class'
+              ELSE 'Other' END AS in_label,
+         CASE WHEN S.ServiceTypeID IN (13, 15)
+                THEN COALESCE(trim(CASE WHEN position(' (' IN S.x_sn) > 0
+                                        THEN left(S.x_sn, position(' (' IN S.x_sn) - 1) ELSE '' END), '-')
+              WHEN S.ServiceTypeID IN (14, 20, 27, 31) THEN trim(S.x_sn) ELSE '-' END AS on_at,
+         COALESCE(S.x_loc, '-') AS route_city,
+         COALESCE(CI.Country, '-') AS hotel_country,
+         CASE WHEN S.x_sd IS NOT NULL AND S.x_sd LIKE '____-%'
+                THEN right(S.x_sd, 2) || '/' || substring(S.x_sd, position('-' IN S.x_sd) + 1, 2) || '/' || left(S.x_sd, 4)
+              WHEN S.x_sd IS NOT NULL THEN replace(S.x_sd, right(S.x_sd, 3), replace(right(S.x_sd, 3), '/', '/20'))
+              ELSE strftime(S.RemitDate, '%d/%m/%Y') END AS from_date,
+         CASE WHEN S.x_ed IS NOT NULL AND S.x_ed LIKE '____-%'
+                THEN right(S.x_ed, 2) || '/' || substring(S.x_ed, position('-' IN S.x_ed) + 1, 2) || '/' || left(S.x_ed, 4)
+              WHEN S.x_ed IS NOT NULL THEN replace(S.x_ed, right(S.x_ed, 3), replace(right(S.x_ed, 3), '/', '/20'))
+              ELSE strftime(S.RemitDate, '%d/%m/%Y') END AS to_date,
+         CAST(0 AS BIGINT) AS flight_time, COALESCE(S.AmountNetRemit, 0) AS amount,
+         COALESCE(upper(T.FullName), '-') AS estimated_traveler, COALESCE(O.OrganizationGroup, '-') AS org_group
+  FROM bfile BF
+  JOIN service S ON BF.ID = S.BookingFileID
+  JOIN org O ON BF.BookedForOrganizationID = O.ID
+  LEFT JOIN usr U ON O.RelationshipManagerUserID = U.ID
+  LEFT JOIN strav ST ON S.ID = ST.ServiceID
+  LEFT JOIN traveler T ON ST.TravelerID = T.ID
+  LEFT JOIN tprofile TP ON TP.ID = T.TravelerProfileID AND O.ID = TP.OrganizationID
+  JOIN bstatus BS ON BS.ID = S.BookingStatusID
+  LEFT JOIN stype STY ON S.ServiceTypeID = STY.ID
+  LEFT JOIN country_info CI ON S.ID = CI.CI_ID
+  WHERE S.RemitDate BETWEEN TIMESTAMP '1995-01-01 00:00:00' AND TIMESTAMP '2001-12-31 23:59:59'
+    AND BF.BookedForOrganizationID IS NOT NULL AND BF.MarketProfileID = 1 AND S.BookingStatusID > 0
+    AND S.IsActive AND S.RemitDate IS NOT NULL)
+"""
+
+ORACLE["or_join_traveler"] = _with(LISTING_CTES, "SELECT * FROM traveler_or")
+ORACLE["itinerary_rollup"] = _with(LISTING_CTES, """
+SELECT ID, Flight_Time, "From", "To", "In", Route FROM route_info""")
+ORACLE["city_code_country"] = _with(LISTING_CTES, "SELECT CI_ID, Country FROM country_info")
+ORACLE["listing_union"] = _with(LISTING_CTES, "SELECT * FROM booking_rows UNION SELECT * FROM service_rows")

@@ -382,3 +382,40 @@ def emission_multileg(spark, sf_dir):
 @register("emission_mart")
 def emission_mart(spark, sf_dir):
     return emission.emission_mart(_bookings(spark, sf_dir))
+
+
+# --- booking / service listing (PJ-08: JN-02/03/04/06/07, AG-08, SO-01, D-06..D-11)
+
+from strata.operators.joins import left_join_any_key  # noqa: E402
+from strata.plans import listing  # noqa: E402
+
+WHOLE_PERIOD = listing.ListingParams(remit_from="1995-01-01 00:00:00", remit_to="2001-12-31 23:59:59",
+                                     market_profile_id=1, organization_ids=None)
+
+
+def _listing_model(spark, sf_dir):
+    return fx.listing_model(Tables(spark, sf_dir))
+
+
+@register("or_join_traveler")
+def or_join_traveler(spark, sf_dir):
+    m = _listing_model(spark, sf_dir)
+    b = m.booking.select(F.col("ID").alias("B_ID"))
+    j = listing.traveler_via_air_or_hotel(b, m)
+    return j.select("B_ID", "at_traveler", "ht_traveler", F.col("T_ID").alias("traveler_id"),
+                    F.col("T_FullName").alias("traveler_name"))
+
+
+@register("itinerary_rollup")
+def itinerary_rollup(spark, sf_dir):
+    return listing.itinerary_rollup(_listing_model(spark, sf_dir))
+
+
+@register("city_code_country")
+def city_code_country(spark, sf_dir):
+    return listing.service_country(_listing_model(spark, sf_dir))
+
+
+@register("listing_union")
+def listing_union(spark, sf_dir):
+    return listing.listing(_listing_model(spark, sf_dir), WHOLE_PERIOD)
