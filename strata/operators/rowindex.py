@@ -4,12 +4,12 @@
 Instead: range-partition on the order key (one shuffle), number rows inside
 each partition, materialise that in the shared checkpoint folder so partition
 boundaries survive a lost executor, then add each partition's offset --
-the running total of the per-partition counts, one small row per partition.
+the running total of the per-partition counts (one number per partition).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.session import ensure_checkpoint_dir
@@ -28,12 +28,15 @@ def row_index(df: DataFrame, order_cols: list[str], column: str = "partition_ind
               .withColumns({"_pid": pid,
                             "_pos": F.monotonically_increasing_id() - F.shiftleft(pid, 33)})
               .checkpoint(eager=True))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: the running total is tiny whatever the data size
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"))
+    # one row per partition reaches the driver (like RDD.zipWithIndex): the
+    # size is bounded by the partition count, not by the data
+    counts = sorted((r["_pid"], r["_n"]) for r in
+                    ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    running, rows = 0, []
+    for part, cnt in counts:
+        rows.append((part, running))
+        running += cnt
+    offsets = spark.createDataFrame(rows, "_pid long, _off long")
     return (ranged.join(F.broadcast(offsets), "_pid")
             .withColumn(column, F.col("_off") + F.col("_pos") + 1)
             .drop("_pid", "_pos", "_off"))

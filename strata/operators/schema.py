@@ -54,3 +54,12 @@ def serialise_for_target(df: DataFrame, json_cols=(), array_cols=(), xml_cols=()
         if c in types:
             exprs[c] = semistructured.repair_xml(F.col(c))
     return df.withColumns(exprs) if exprs else df
+
+
+def cast_like(df: DataFrame, target: StructType) -> DataFrame:
+    """Cast columns that the target also has to the target's types: a loaded
+    batch never changes the type of an existing table column."""
+    types = {f.name: f.dataType for f in target.fields}
+    return df.select([F.col(f.name).cast(types[f.name]).alias(f.name)
+                      if f.name in types and types[f.name] != f.dataType else F.col(f.name)
+                      for f in df.schema.fields])

@@ -705,3 +705,8 @@ ORACLE["itinerary_rollup"] = _with(LISTING_CTES, """
 SELECT ID, Flight_Time, "From", "To", "In", Route FROM route_info""")
 ORACLE["city_code_country"] = _with(LISTING_CTES, "SELECT CI_ID, Country FROM country_info")
 ORACLE["listing_union"] = _with(LISTING_CTES, "SELECT * FROM booking_rows UNION SELECT * FROM service_rows")
+
+ORACLE["gold_template"] = """
+SELECT event_type, user_id, COUNT(*) AS n_events, ROUND(SUM(value), 2) AS total_value
+FROM events WHERE ts > TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'
+GROUP BY event_type, user_id"""

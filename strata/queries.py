@@ -419,3 +419,24 @@ def city_code_country(spark, sf_dir):
 @register("listing_union")
 def listing_union(spark, sf_dir):
     return listing.listing(_listing_model(spark, sf_dir), WHOLE_PERIOD)
+
+
+# --- gold template source (IO-03, F-05) ---------------------------------------
+
+from strata.functions import codes  # noqa: E402
+from strata.sources import templates  # noqa: E402
+
+GOLD_TEMPLATE = """
+SELECT event_type, user_id, CAST(COUNT(*) AS DOUBLE) AS n_events, ROUND(SUM(value), 2) AS total_value
+FROM events
+WHERE ts > {lower_bound_time} AND ts < {upper_bound_date}
+GROUP BY event_type, user_id;
+"""
+
+
+@register("gold_template")
+def gold_template(spark, sf_dir):
+    ev = Tables(spark, sf_dir).events
+    df = templates.run_template(spark, GOLD_TEMPLATE, "DELTA", "2024-01-10 00:00:00", "2024-01-20 00:00:00",
+                                views={"events": ev})
+    return codes.cast_integral_floats(df)
