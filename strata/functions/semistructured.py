@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 _CORRUPT = "_corrupt_record"
 
@@ -84,13 +85,17 @@ def parse_keys(column: str, keys) -> list[tuple[str, str]]:
     return out
 
 
-def flatten_cell(c: Column, path: str) -> Column:
-    """One key of a JSON or XML cell, chosen per row by the first character."""
+def flatten_cell(c: Column, path: str, wellformed: Column | None = None) -> Column:
+    """One key of a JSON or XML cell, chosen per row by the first character.
+
+    XML keys are evaluated anywhere below the root (``//key``) as in the
+    reference: one ``xpath`` per key, after one shared well-formedness parse.
+    """
     head = F.ltrim(c)
     is_json = head.startswith("{") | head.startswith("[")
-    is_xml = head.startswith("<")
+    ok = is_wellformed_xml(c) if wellformed is None else wellformed
     return (F.when(is_json, F.get_json_object(c, json_path(path)))
-            .when(is_xml, xml_value(c, xml_key_path(path))))
+            .when(ok, F.get(F.xpath(c, F.lit(xml_key_path(path))), 0)))
 
 
 def flatten(df: DataFrame, config: dict) -> DataFrame:
@@ -104,8 +109,13 @@ def flatten(df: DataFrame, config: dict) -> DataFrame:
             for key in json_top_level_keys(df, column):
                 df = df.withColumn(key, F.get_json_object(F.col(column), json_path(key)))
             continue
-        for path, alias in parse_keys(column, cfg.get("keys_to_extract")):
-            df = df.withColumn(alias, flatten_cell(F.col(column), path))
+        keys = parse_keys(column, cfg.get("keys_to_extract"))
+        if not keys:
+            continue
+        ok_col = f"__{column}_xml_ok"
+        df = df.withColumn(ok_col, is_wellformed_xml(F.col(column)))
+        df = df.withColumns({alias: flatten_cell(F.col(column), path, F.col(ok_col))
+                             for path, alias in keys}).drop(ok_col)
     return df
 
 
@@ -132,3 +142,94 @@ def pg_array_text(c: Column, dtype) -> Column:
     if dtype.typeName() != "array":
         return F.lit(None).cast("string")
     return F.concat(F.lit("{"), F.array_join(c.cast("array<string>"), ",", "None"), F.lit("}"))
+
+
+class XmlDoc:
+    """Several absolute paths read from one parse of each XML cell.
+
+    ``xpath*`` functions parse the document once per call; reading five values
+    and two existence flags that way costs a dozen parses per row.  Here the
+    paths (``/Root/A/B/@attr`` or ``/Root/A/B`` for text, as in T-SQL
+    ``.value('(path)[1]')``) are compiled into one ``from_xml`` schema.  Every
+    element is declared as an array, so the first node in document order is
+    taken, as ``[1]`` does.  The root element's name is not checked.
+    """
+
+    def __init__(self, cell: Column, paths: list[str]):
+        self.cell = cell
+        self.tree: dict = {}
+        for p in paths:
+            steps = self._steps(p)
+            node = self.tree
+            for s in steps[:-1]:
+                node = node.setdefault(s, {})
+            last = steps[-1]
+            if last.startswith("@"):
+                node.setdefault("@", set()).add(last[1:])
+            else:
+                node.setdefault(last, {})["#text"] = True
+        root = self._type(self.tree, root=True)
+        root = StructType(root.fields + [StructField(_CORRUPT, StringType())])
+        self._set(F.from_xml(cell, root, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT,
+                                          "ignoreSurroundingSpaces": "false"}))
+
+    def _set(self, parsed: Column) -> None:
+        self.parsed = parsed
+        self.ok = F.when(self.cell.isNull(), F.lit(None)).otherwise(
+            F.ltrim(self.cell).startswith("<") & parsed.getField(_CORRUPT).isNull())
+
+    def bind(self, df: DataFrame, name: str = "_xml") -> DataFrame:
+        """Materialise the parsed struct as column ``name``; later reads use it."""
+        df = df.withColumn(name, self.parsed)
+        self._set(F.col(name))
+        return df
+
+    @staticmethod
+    def _steps(path: str) -> list[str]:
+        steps = [s for s in path.split("/") if s]
+        if not path.startswith("/") or len(steps) < 2:
+            raise ValueError(f"absolute path below the root expected: {path}")
+        return steps[1:]
+
+    @staticmethod
+    def _is_text_leaf(node: dict) -> bool:
+        return node.get("#text", False) and set(node) == {"#text"}
+
+    def _type(self, node: dict, root: bool = False):
+        fields = [StructField(f"_{a}", StringType()) for a in sorted(node.get("@", ()))]
+        for name, sub in node.items():
+            if name in ("@", "#text"):
+                continue
+            fields.append(StructField(name, ArrayType(self._type(sub))))
+        if not root and self._is_text_leaf(node):
+            return StringType()
+        if not root and node.get("#text"):
+            fields.append(StructField("_VALUE", StringType()))
+        return StructType(fields)
+
+    def value(self, path: str) -> Column:
+        """First value at ``path``; NULL when absent or the cell is not XML."""
+        steps = self._steps(path)
+        attr = steps[-1][1:] if steps[-1].startswith("@") else None
+        elems = steps[:-1] if attr else steps
+        if not elems:
+            out = self.parsed.getField(f"_{attr}")
+        else:
+            arr = self.parsed.getField(elems[0])
+            node = self.tree[elems[0]]
+            for e in elems[1:]:
+                arr = F.flatten(F.transform(F.filter(arr, lambda x, e=e: x.getField(e).isNotNull()),
+                                            lambda x, e=e: x.getField(e)))
+                node = node[e]
+            if attr:
+                vals = F.transform(arr, lambda x: x.getField(f"_{attr}"))
+            elif self._is_text_leaf(node):
+                vals = arr
+            else:
+                vals = F.transform(arr, lambda x: x.getField("_VALUE"))
+            out = F.get(F.filter(vals, lambda v: v.isNotNull()), 0)
+        return F.when(self.ok, out)
+
+    def exists(self, path: str) -> Column:
+        """``.exist(path) = 1`` for an attribute or a text node."""
+        return F.coalesce(self.value(path).isNotNull(), F.lit(False))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.plans.pnl import PnlParams
+from strata.sources.tables import lookup_table
 
 MONEY = "decimal(12,2)"
 RATE = "decimal(4,2)"
@@ -256,8 +257,8 @@ def booking_model(t) -> SimpleNamespace:
         F.col("c_name").alias("CustomerFullName"))
     organization = n.select(F.col("n_nationkey").alias("ID"), (F.col("n_regionkey") != 4).alias("IsActive"),
                             F.col("n_name").alias("Name"))
-    trip_type = spark.createDataFrame(TRIP_TYPES, "ID int, NameEN string")
-    cabin_class = spark.createDataFrame(CABIN_CLASSES, "ID int, NameEN string")
+    trip_type = lookup_table(spark, TRIP_TYPES, "ID int, NameEN string")
+    cabin_class = lookup_table(spark, CABIN_CLASSES, "ID int, NameEN string")
     air_traveler = o.select((F.col("o_custkey") + 500000).alias("ID"), F.col("o_orderkey").alias("BookingID"),
                             F.concat(F.lit("ET"), F.col("o_orderkey").cast("string")).alias("ETicketNumber"))
     origin_destination = o.select(F.col("o_orderkey").alias("ID"), F.col("o_orderkey").alias("BookingID"))
@@ -359,8 +360,8 @@ def listing_model(t) -> SimpleNamespace:
     m.traveler = c.select(F.col("c_custkey").alias("ID"), F.col("c_name").alias("FullName"),
                           F.col("c_custkey").alias("TravelerProfileID"))
     m.traveler_profile = c.select(F.col("c_custkey").alias("ID"), F.col("c_nationkey").alias("OrganizationID"))
-    m.booking_status = spark.createDataFrame(BOOKING_STATUSES, "ID int, NameEN string")
-    m.service_type = spark.createDataFrame(SERVICE_TYPES, "ID int, NameEN string")
+    m.booking_status = lookup_table(spark, BOOKING_STATUSES, "ID int, NameEN string")
+    m.service_type = lookup_table(spark, SERVICE_TYPES, "ID int, NameEN string")
     m.airport = m.airport.withColumn("CityID", F.col("ID"))
     m.city = n.select(F.col("n_nationkey").alias("ID"),
                       F.concat(F.lit("City_"), F.col("n_nationkey").cast("string")).alias("NameEN"),

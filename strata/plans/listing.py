@@ -33,6 +33,13 @@ ROOM_RULES = (("%STAND%", "Standard room"), ("%PREMI%", "Deluxe room"), ("%exec%
 CABIN_RULES = (("%STAND%", "Economy class"), ("%eco%", "Economy class"), ("%Busi%", "Business class"),
                ("%First%", "First class"), ("%PREMIUM%", "Premium economy class"))
 
+# Fixed values of the reference: the service details paths.
+SC = "/ServiceDetailsInfo/@SC"
+SN = "/ServiceDetailsInfo/SN"
+LOC = "/ServiceDetailsInfo/IL/@LOC"
+SD = "/ServiceDetailsInfo/IL/@SD"
+ED = "/ServiceDetailsInfo/IL/@ED"
+
 COLUMNS = ["dom_int", "musafir_ref", "id", "market", "organization_id", "organization", "rm", "approved",
            "category", "e_ticket_number", "ticket_status", "for_name", "in_label", "on_at", "route_city",
            "hotel_country", "from_date", "to_date", "flight_time", "amount", "estimated_traveler", "org_group"]
@@ -191,7 +198,7 @@ def city_code(loc: Column) -> Column:
 def service_country(m) -> DataFrame:
     """Hotel services -> city code from the XML location -> city -> country (JN-07)."""
     s = m.service.filter(F.col("ServiceTypeID").isin(*HOTEL_TYPES))
-    loc = semistructured.xml_value(F.col("Details"), "/ServiceDetailsInfo/IL/@LOC")
+    loc = semistructured.XmlDoc(F.col("Details"), [LOC]).value(LOC)
     w = s.select(F.col("ID").alias("ServiceID"), city_code(loc).alias("CityIATA"))
     city = m.city.select(F.col("IATACode"), F.col("CountryID"))
     ctry = m.country.select(F.col("ID").alias("K_ID"), F.col("NameEN").alias("Country"))
@@ -248,13 +255,10 @@ def service_branch(m, p: ListingParams) -> DataFrame:
          .join(status, F.col("BS_ID") == F.col("BookingStatusID"))
          .join(stype, F.col("ServiceTypeID") == F.col("STY_ID"), "left")
          .join(service_country(m), F.col("S_ID") == F.col("CI_ID"), "left"))
-    x = F.col("Details")
-    ok = semistructured.is_wellformed_xml(x)
-    sc = semistructured.xml_value(x, "/ServiceDetailsInfo/@SC", ok)
-    sn = semistructured.xml_value(x, "/ServiceDetailsInfo/SN", ok)
-    loc = semistructured.xml_value(x, "/ServiceDetailsInfo/IL/@LOC", ok)
-    sd = semistructured.xml_value(x, "/ServiceDetailsInfo/IL/@SD", ok)
-    ed = semistructured.xml_value(x, "/ServiceDetailsInfo/IL/@ED", ok)
+    # one parse of the Details XML per row serves all seven reads
+    doc = semistructured.XmlDoc(F.col("Details"), [SC, SN, LOC, SD, ED])
+    j = doc.bind(j, "_doc")
+    sc, sn, loc, sd, ed = (doc.value(p_) for p_ in (SC, SN, LOC, SD, ED))
     t = F.col("ServiceTypeID")
     hotel, flight = t.isin(*HOTEL_TYPES), t.isin(*FLIGHT_TYPES)
     in_label = None
@@ -282,10 +286,8 @@ def service_branch(m, p: ListingParams) -> DataFrame:
         in_label.alias("in_label"), on_at.alias("on_at"),
         F.coalesce(loc, F.lit("-")).alias("route_city"),
         F.coalesce(F.col("Country"), F.lit("-")).alias("hotel_country"),
-        repaired_date(semistructured.xml_exists(x, "/ServiceDetailsInfo/IL/@SD", ok), sd, F.col("RemitDate"))
-         .alias("from_date"),
-        repaired_date(semistructured.xml_exists(x, "/ServiceDetailsInfo/IL/@ED", ok), ed, F.col("RemitDate"))
-         .alias("to_date"),
+        repaired_date(doc.exists(SD), sd, F.col("RemitDate")).alias("from_date"),
+        repaired_date(doc.exists(ED), ed, F.col("RemitDate")).alias("to_date"),
         F.lit(0).cast("bigint").alias("flight_time"),
         F.coalesce(F.col("AmountNetRemit"), F.lit(0.0)).alias("amount"),
         F.coalesce(F.upper(F.col("T_FullName")), F.lit("-")).alias("estimated_traveler"),

@@ -8,6 +8,7 @@ the Parquet scan (or into the JDBC query).
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 FIXTURE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -16,9 +17,21 @@ FIXTURE_TABLES = (
 )
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Read ``<base>/<name>.parquet`` (a file or a folder of parts)."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, base: str, name: str, spread: bool = True) -> DataFrame:
+    """Read ``<base>/<name>.parquet`` (a file or a folder of parts).
+
+    ``spread``: a scan with fewer splits than the cluster's default
+    parallelism (a small file of one row group is one task) is spread
+    round-robin over the cores, so the joins and aggregates above it do not
+    run in a single task.  A large table already has at least that many
+    splits and is left alone, so no shuffle is added at scale.
+    """
+    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    if spread:
+        target = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            df = df.repartition(target)
+    return df
 
 
 class Tables:
@@ -70,3 +83,14 @@ def read_jdbc(spark: SparkSession, url: str, table: str, *,
                   .option("upperBound", str(upper_bound))
                   .option("numPartitions", str(num_partitions)))
     return scan_window(reader.load(), window)
+
+
+def lookup_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A fixed lookup list (status names, cabin classes, ...) as a broadcast dimension.
+
+    Its size is the length of a list written in code, so broadcasting it is
+    safe at any data size.  Without the hint Spark sees an RDD of unknown size
+    and plans a sort-merge join, which hash-partitions the fact table on a key
+    with a handful of values: a few tasks would receive all rows.
+    """
+    return F.broadcast(spark.createDataFrame(rows, schema))
