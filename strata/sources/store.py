@@ -47,8 +47,14 @@ class TableStore:
             return None
         return self.spark.read.parquet(f"{self._table(name)}/v={v:06d}")
 
-    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> int:
-        """Write ``df`` as the next version and commit it."""
+    def has_tag(self, name: str, tag: str) -> bool:
+        """Whether a version carrying ``tag`` (e.g. a stream epoch) is committed."""
+        log = self._commits(name)
+        return log is not None and log.filter(F.col("tag") == tag).limit(1).count() > 0
+
+    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None,
+              tag: str | None = None) -> int:
+        """Write ``df`` as the next version and commit it (optionally tagged)."""
         current = self.version(name)
         v = 0 if current is None else current + 1
         writer = df.write.mode("overwrite")
@@ -56,8 +62,8 @@ class TableStore:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self._table(name)}/v={v:06d}")
         commit = self.spark.createDataFrame(
-            [(v, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
-            "version int, committed_at timestamp_ntz")
+            [(v, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), tag)],
+            "version int, committed_at timestamp_ntz, tag string")
         commit.write.mode("append").parquet(f"{self._table(name)}/_commits")
         return v
 
