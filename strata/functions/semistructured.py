@@ -106,6 +106,9 @@ def flatten(df: DataFrame, config: dict) -> DataFrame:
         if column not in df.columns:
             continue
         if cfg.get("extract_all"):
+            if cfg.get("format", "json").lower() == "xml":
+                df = xml_extract_all(df, column)
+                continue
             for key in json_top_level_keys(df, column):
                 df = df.withColumn(key, F.get_json_object(F.col(column), json_path(key)))
             continue
@@ -233,3 +236,43 @@ class XmlDoc:
     def exists(self, path: str) -> Column:
         """``.exist(path) = 1`` for an attribute or a text node."""
         return F.coalesce(self.value(path).isNotNull(), F.lit(False))
+
+
+_NAME = r"[A-Za-z_][\w.\-]*"
+
+
+def xml_vocabulary(df: DataFrame, column: str) -> tuple[list[str], list[tuple[str, str]]]:
+    """Local names of elements with non-blank text, and (element, attribute)
+    pairs, present in a column
+    (the schema pass of F-15b for XML).  The distinct runs on the executors;
+    only the vocabulary reaches the driver."""
+    c = F.col(column)
+    # elements whose own text (before the next tag) is non-blank somewhere
+    tags = F.regexp_extract_all(c, F.lit(rf"<(?:{_NAME}:)?({_NAME})(?:\s[^>]*)?(?<!/)>[^<]*[^<\s]"), 1)
+    names = (df.select(F.explode(tags).alias("t")).distinct().orderBy("t"))
+    tag_attr = F.regexp_extract_all(c, F.lit(rf"<(?:{_NAME}:)?({_NAME}(?:\s+{_NAME}\s*=\s*\"[^\"]*\")+)"), 1)
+    pairs = (df.select(F.explode(tag_attr).alias("s"))
+             .select(F.regexp_extract("s", rf"^({_NAME})", 1).alias("t"),
+                     F.explode(F.regexp_extract_all("s", F.lit(rf"\s({_NAME})\s*="), 1)).alias("a"))
+             .distinct().orderBy("t", "a"))
+    return [r["t"] for r in names.collect()], [(r["t"], r["a"]) for r in pairs.collect()]
+
+
+def xml_extract_all(df: DataFrame, column: str) -> DataFrame:
+    """XML ``extract_all`` (F-15b): one column per element local name holding
+    its last non-blank text (stripped), and ``<tag>_attr_<name>`` per attribute
+    (last occurrence wins), as the reference's element walk produces."""
+    names, pairs = xml_vocabulary(df, column)
+    c = F.col(column)
+    ok_col = f"__{column}_xml_ok"
+    df = df.withColumn(ok_col, is_wellformed_xml(c))
+    ok = F.col(ok_col)
+    exprs = {}
+    for t in names:
+        texts = F.xpath(c, F.lit(f"//*[local-name()='{t}']/text()"))
+        last = F.try_element_at(F.filter(texts, lambda x: F.trim(x) != ""), F.lit(-1))
+        exprs[t] = F.when(ok, F.trim(last))
+    for t, a in pairs:
+        vals = F.xpath(c, F.lit(f"//*[local-name()='{t}']/@{a}"))
+        exprs[f"{t}_attr_{a}"] = F.when(ok, F.try_element_at(vals, F.lit(-1)))
+    return df.withColumns(exprs).drop(ok_col)

@@ -226,3 +226,30 @@ def silver_transform(df: DataFrame, s: SilverSteps, run_type: str = "DELTA") ->
     if not delta and s.is_post_2015_filter:
         df = post_cutoff_filter(df, s.extract_key)
     return df
+
+
+def join_enrichment(df: DataFrame, config, lookups: dict[str, DataFrame]) -> DataFrame:
+    """Optional fill of the join-enrichment columns (JN-12, an extension).
+
+    The reference only adds these columns as NULL placeholders (FP-14, the
+    default).  With ``lookups`` given, each config entry ``{"table": name,
+    "on": [[left, right], ...], "selected_columns": [{"column", "alias"}]}``
+    becomes a left join; adaptive execution broadcasts the lookup when its
+    measured size is small and shuffles both sides otherwise.
+    """
+    cfg = _load(config) or {}
+    for j in cfg.get("joins", []) or []:
+        table = lookups.get(j.get("table"))
+        if table is None:
+            continue
+        pairs = j.get("on") or []
+        sel = j.get("selected_columns") or []
+        right = table.select(*[F.col(r).alias(f"__k{i}") for i, (_, r) in enumerate(pairs)],
+                             *[F.col(s["column"]).alias(s.get("alias") or s["column"]) for s in sel])
+        cond = None
+        for i, (left, _) in enumerate(pairs):
+            c = df[left] == right[f"__k{i}"]
+            cond = c if cond is None else cond & c
+        df = df.drop(*[s.get("alias") or s["column"] for s in sel if (s.get("alias") or s["column"]) in df.columns])
+        df = df.join(right, cond, "left").drop(*[f"__k{i}" for i in range(len(pairs))])
+    return df

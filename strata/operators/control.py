@@ -121,3 +121,15 @@ def run_summary(table_audit: DataFrame, by: str = "batch_run_id") -> DataFrame:
         F.array_join(F.array_sort(F.collect_set(F.when(failed, F.col("destination_table_name")))),
                      ", ").alias("failed_tables"),
     )
+
+
+def latest_successful_run(audit: DataFrame, table: str, table_col: str = "destination_table_name") -> DataFrame:
+    """Top-1 latest successful audit row of a table (SL-03)."""
+    return (audit.filter((F.col(table_col) == table) & F.col("operation_result").isin(*SUCCESS_WORDS))
+            .orderBy(F.col("time_to").desc_nulls_last(), F.col("process_id").desc())
+            .limit(1))
+
+
+def distinct_sources(config: DataFrame, cols=("source_system_name",)) -> DataFrame:
+    """Distinct source systems (or databases) of a config (AG-11)."""
+    return config.select(*cols).distinct()

@@ -710,3 +710,23 @@ ORACLE["gold_template"] = """
 SELECT event_type, user_id, COUNT(*) AS n_events, ROUND(SUM(value), 2) AS total_value
 FROM events WHERE ts > TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'
 GROUP BY event_type, user_id"""
+
+ORACLE["xml_extract_all"] = """
+SELECT p_partkey, p_name || ' (' || p_brand || ')' AS SN,
+       p_type AS ServiceDetailsInfo_attr_SC,
+       'City (' || upper(substr(p_name, 1, 3)) || ')' AS IL_attr_LOC,
+       '2024-01-' || lpad(CAST(p_size AS VARCHAR), 2, '0') AS IL_attr_SD,
+       CASE WHEN p_size > 40 THEN NULL ELSE lpad(CAST(p_size AS VARCHAR), 2, '0') || '/01/24' END AS IL_attr_ED
+FROM part"""
+
+ORACLE["latest_success"] = _with(CONTROL_CTES, """
+SELECT process_id, destination_table_name, time_to, input_row FROM audit
+WHERE destination_table_name = 'clean_purchase' AND operation_result IN ('Success', 'SUCCESS', 'success')
+ORDER BY time_to DESC NULLS LAST, process_id DESC LIMIT 1""")
+
+ORACLE["source_systems"] = """
+SELECT DISTINCT r.r_name AS source_system_name, CASE WHEN r.r_regionkey IN (1, 2) THEN 1 ELSE 0 END AS is_multi_db
+FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+JOIN region r ON r.r_regionkey = n.n_regionkey
+JOIN nation d ON d.n_regionkey = n.n_regionkey
+WHERE r.r_regionkey <> 4 AND CASE WHEN s.s_acctbal > -500 THEN 1 ELSE 0 END = 1"""

@@ -440,3 +440,24 @@ def gold_template(spark, sf_dir):
     df = templates.run_template(spark, GOLD_TEMPLATE, "DELTA", "2024-01-10 00:00:00", "2024-01-20 00:00:00",
                                 views={"events": ev})
     return codes.cast_integral_floats(df)
+
+
+@register("xml_extract_all")
+def xml_extract_all(spark, sf_dir):
+    d = fx.xml_parts(Tables(spark, sf_dir)).select("p_partkey", "x")
+    return clean.flatten_semistructured(d, {"x": {"extract_all": True, "format": "xml"}}).drop("x")
+
+
+@register("latest_success")
+def latest_success(spark, sf_dir):
+    audit = fx.table_audit_from_events(Tables(spark, sf_dir).events)
+    return control.latest_successful_run(audit, "clean_purchase").select(
+        "process_id", "destination_table_name", "time_to", "input_row")
+
+
+@register("source_systems")
+def source_systems(spark, sf_dir):
+    m = fx.config_model(Tables(spark, sf_dir))
+    plan = control.expand_config(m.systems.filter(F.col("system_is_active") == 1), m.databases,
+                                 control.select_config(m.tables))
+    return control.distinct_sources(plan, ("source_system_name", "is_multi_db"))

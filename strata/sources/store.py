@@ -53,10 +53,16 @@ class TableStore:
         return log is not None and log.filter(F.col("tag") == tag).limit(1).count() > 0
 
     def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None,
-              tag: str | None = None) -> int:
-        """Write ``df`` as the next version and commit it (optionally tagged)."""
+              tag: str | None = None, sort_within: list[str] | None = None) -> int:
+        """Write ``df`` as the next version and commit it (optionally tagged).
+
+        ``sort_within``: order rows by the load key inside each file (SL-05),
+        which keeps files clustered for readers; no global sort.
+        """
         current = self.version(name)
         v = 0 if current is None else current + 1
+        if sort_within:
+            df = df.sortWithinPartitions(*sort_within)
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)

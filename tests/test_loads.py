@@ -87,3 +87,25 @@ def test_business_cutoff(spark):
                                "a string, b string")
     assert df.transform(lambda d: windows.business_cutoff_filter(d, ["a", "b"])).count() == 2
     assert df.transform(lambda d: windows.business_cutoff_filter(d, ["zzz"])).count() == 0
+
+
+def test_join_enrichment_fills_placeholders(spark):
+    from strata.operators.clean import add_placeholders, join_enrichment
+    base = spark.createDataFrame([(1, 10), (2, 99)], "id int, nk int")
+    cfg = {"joins": [{"table": "nation", "on": [["nk", "n_nationkey"]],
+                      "selected_columns": [{"column": "n_name", "alias": "nation_name"}]}]}
+    placeholders = add_placeholders(base, cfg)
+    assert placeholders.filter("nation_name IS NOT NULL").count() == 0
+    nation = spark.createDataFrame([(10, "TEN")], "n_nationkey int, n_name string")
+    out = join_enrichment(placeholders, cfg, {"nation": nation})
+    assert sorted(tuple(r) for r in out.select("id", "nation_name").collect()) == [(1, "TEN"), (2, None)]
+
+
+def test_store_versions_and_tags(spark, scratch):
+    from strata.sources.store import TableStore
+    store = TableStore(spark, scratch)
+    assert store.read("t") is None
+    df = spark.range(10).withColumnRenamed("id", "k")
+    assert store.write("t", df, sort_within=["k"]) == 0
+    assert store.write("t", df.filter("k < 5"), tag="run:1") == 1
+    assert store.read("t").count() == 5 and store.has_tag("t", "run:1") and not store.has_tag("t", "run:2")
