@@ -321,7 +321,7 @@ SERVICE_TYPES = [(13, "Flight DOM"), (14, "Hotel INT"), (15, "Flight INT"), (20,
 
 def listing_model(t) -> SimpleNamespace:
     """Booking model plus the entities only the listing reads."""
-    m = booking_model(t)
+    m = SimpleNamespace(**vars(t.memo("booking_model", booking_model) if hasattr(t, "memo") else booking_model(t)))
     spark = t.spark
     o, c, n, r, p = t.orders, t.customer, t.nation, t.region, t.part
     hotel = F.col("o_orderstatus") == "P"

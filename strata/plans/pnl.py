@@ -60,9 +60,10 @@ def purchase_term() -> Column:
 
 
 def _between(c: Column, lo: str, hi: str) -> Column:
-    # BETWEEN on a timestamp against date literals: the upper literal is
-    # midnight, so 10:00 on the last day is outside, as in SQL (FP-06).
-    return c.between(F.to_timestamp(F.lit(lo)), F.to_timestamp(F.lit(hi)))
+    # BETWEEN against date literals: the literals are cast to the column's own
+    # type, so on a timestamp the upper bound is midnight and 10:00 on the
+    # last day is outside, as in SQL (FP-06).
+    return c.between(F.lit(lo), F.lit(hi))
 
 
 def sales_purchase(service_fare: DataFrame, supp_doc: DataFrame,

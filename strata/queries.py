@@ -27,7 +27,7 @@ def register(name: str):
 # --- P&L (PJ-09) ----------------------------------------------------------
 
 def _finance(spark, sf_dir, params=fx.FIXTURE_PNL):
-    m = fx.finance_model(Tables(spark, sf_dir))
+    m = Tables.for_session(spark, sf_dir).memo("finance_model", fx.finance_model)
     sp = pnl.sales_purchase(m.service_fare, m.supp_doc, m.service_dim, m.service_type_dim, params)
     ledger = pnl.ledger_summary(m.transactions, m.chart, m.documents, m.glcode, params)
     return m, sp, ledger
@@ -41,7 +41,7 @@ def pnl_gmv(spark, sf_dir):
 
 @register("pnl_incentive_by_code")
 def pnl_incentive_by_code(spark, sf_dir):
-    m = fx.finance_model(Tables(spark, sf_dir))
+    m = Tables.for_session(spark, sf_dir).memo("finance_model", fx.finance_model)
     return pnl.as_double_cols(
         pnl.incentive_by_code(m.transactions, m.chart, m.documents, m.glcode, fx.FIXTURE_PNL),
         ["incentive_amount"])
@@ -83,7 +83,7 @@ RUN2_TS = "2024-01-25 06:00:00"
 
 
 def _events_with_keys(spark, sf_dir):
-    ev = Tables(spark, sf_dir).events.select(*EVENT_COLS)
+    ev = Tables.for_session(spark, sf_dir).events.select(*EVENT_COLS)
     # second extract key: a modification time three days after creation
     return ev.withColumn("updated_at", F.col("ts") + F.expr("INTERVAL 3 DAYS"))
 
@@ -106,7 +106,7 @@ def window_full(spark, sf_dir):
 
 @register("cutoff_any_date")
 def cutoff_any_date(spark, sf_dir):
-    o = Tables(spark, sf_dir).orders
+    o = Tables.for_session(spark, sf_dir).orders
     shipped_text = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit("not a date"))
                     .otherwise(F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 400 DAYS"), "yyyy-MM-dd")))
     df = o.select("o_orderkey", "o_orderdate", shipped_text.alias("ship_text"))
@@ -122,13 +122,13 @@ def _first_load(ev):
 
 @register("load_full")
 def load_full(spark, sf_dir):
-    ev = Tables(spark, sf_dir).events.select(*EVENT_COLS)
+    ev = Tables.for_session(spark, sf_dir).events.select(*EVENT_COLS)
     return _first_load(ev)
 
 
 @register("load_window_append")
 def load_window_append(spark, sf_dir):
-    ev = Tables(spark, sf_dir).events.select(*EVENT_COLS)
+    ev = Tables.for_session(spark, sf_dir).events.select(*EVENT_COLS)
     target = _first_load(ev)
     lower = "2024-01-15 00:00:00"
     w2 = windows.choose_window("bronze", "DELTA", "append", "ts", lower, RUN2_TS)
@@ -140,7 +140,7 @@ def load_window_append(spark, sf_dir):
 @register("load_upsert")
 def load_upsert(spark, sf_dir):
     # target keyed by user: each user's latest event; two deliveries
-    ev = Tables(spark, sf_dir).events.select(*EVENT_COLS)
+    ev = Tables.for_session(spark, sf_dir).events.select(*EVENT_COLS)
     keys, order = ["user_id"], ["ts", "event_id"]
     d1 = ev.filter(windows.upper_bound_window("ts", RUN1_TS))
     d2 = ev.filter(windows.incremental_window("ts", "2024-01-15 00:00:00", RUN2_TS))
@@ -150,7 +150,7 @@ def load_upsert(spark, sf_dir):
 
 @register("load_multi_db")
 def load_multi_db(spark, sf_dir):
-    o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    o = Tables.for_session(spark, sf_dir).orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     # three source databases, one per order status, each tagged and unioned
     dbs = [("F", 1, 1), ("O", 2, 2), ("P", 3, 1)]
     upper = windows.upper_bound_window("o_orderdate", "2000-01-01")
@@ -162,7 +162,7 @@ def load_multi_db(spark, sf_dir):
 
 @register("sentinel_clamp")
 def sentinel_clamp(spark, sf_dir):
-    o = Tables(spark, sf_dir).orders
+    o = Tables.for_session(spark, sf_dir).orders
     end = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(loads.SENTINEL_END).cast("timestamp_ntz"))
            .otherwise(F.col("o_orderdate")))
     df = loads.clamp_sentinel(o.select("o_orderkey", end.alias("EndDate"), "o_orderstatus"), "EndDate")
@@ -174,19 +174,19 @@ def sentinel_clamp(spark, sf_dir):
 
 @register("watermark")
 def watermark(spark, sf_dir):
-    ev = Tables(spark, sf_dir).events
+    ev = Tables.for_session(spark, sf_dir).events
     return control.high_water_marks(fx.table_audit_from_events(ev), fx.batches_from_events(ev))
 
 
 @register("latest_batch")
 def latest_batch(spark, sf_dir):
-    b = fx.batches_from_events(Tables(spark, sf_dir).events)
+    b = fx.batches_from_events(Tables.for_session(spark, sf_dir).events)
     return control.running_batch(b).select("batch_run_id", "run_start_datetime", "load_type")
 
 
 @register("audit_state")
 def audit_state(spark, sf_dir):
-    ev = Tables(spark, sf_dir).events
+    ev = Tables.for_session(spark, sf_dir).events
     log = ev.select(F.col("user_id").alias("process_id"),
                     F.dayofmonth("ts").alias("batch_run_id"),
                     F.col("event_type").alias("source_table_name"),
@@ -197,12 +197,12 @@ def audit_state(spark, sf_dir):
 
 @register("run_summary")
 def run_summary(spark, sf_dir):
-    return control.run_summary(fx.table_audit_from_events(Tables(spark, sf_dir).events))
+    return control.run_summary(fx.table_audit_from_events(Tables.for_session(spark, sf_dir).events))
 
 
 @register("config_plan")
 def config_plan(spark, sf_dir):
-    m = fx.config_model(Tables(spark, sf_dir))
+    m = fx.config_model(Tables.for_session(spark, sf_dir))
     tables = control.select_config(m.tables, type_col="table_type", table_type="transaction",
                                    frequency_col="run_frequency", frequency="DAILY", run_type="DELTA")
     systems = m.systems.filter(F.col("system_is_active") == 1)
@@ -227,20 +227,20 @@ CASE_CONFIG = {"name_upper": "UPPER", "name_lower": "lower", "name_title": "TITL
 
 @register("case_unify")
 def case_unify(spark, sf_dir):
-    d = fx.dirty_customers(Tables(spark, sf_dir))
+    d = fx.dirty_customers(Tables.for_session(spark, sf_dir))
     wide = d.select("c_custkey", *[F.col("raw_name").alias(c) for c in CASE_CONFIG if c != "absent_column"])
     return clean.case_unification(wide, CASE_CONFIG)
 
 
 @register("title_trim")
 def title_trim(spark, sf_dir):
-    d = fx.dirty_customers(Tables(spark, sf_dir)).select("c_custkey", "raw_name", "segment", "country")
+    d = fx.dirty_customers(Tables.for_session(spark, sf_dir)).select("c_custkey", "raw_name", "segment", "country")
     return clean.string_trimming(d)
 
 
 @register("null_blank")
 def null_blank(spark, sf_dir):
-    d = fx.dirty_customers(Tables(spark, sf_dir)).select("c_custkey", "raw_name", "segment", "balance")
+    d = fx.dirty_customers(Tables.for_session(spark, sf_dir)).select("c_custkey", "raw_name", "segment", "balance")
     bronze = clean.bronze_clean(d)
     silver = clean.null_handling(d.select("c_custkey", F.col("raw_name").alias("raw_name_silver")))
     return bronze.join(silver, "c_custkey")
@@ -248,13 +248,13 @@ def null_blank(spark, sf_dir):
 
 @register("uuid_upper")
 def uuid_upper(spark, sf_dir):
-    d = fx.dirty_customers(Tables(spark, sf_dir)).select("c_custkey", "uuid_text")
+    d = fx.dirty_customers(Tables.for_session(spark, sf_dir)).select("c_custkey", "uuid_text")
     return clean.bronze_clean(d)
 
 
 @register("datetime_format")
 def datetime_format(spark, sf_dir):
-    o = Tables(spark, sf_dir).orders
+    o = Tables.for_session(spark, sf_dir).orders
     d = o.select(
         "o_orderkey",
         F.date_format("o_orderdate", "M/d/yyyy").alias("d_us"),
@@ -268,20 +268,20 @@ def datetime_format(spark, sf_dir):
 
 @register("country_unify")
 def country_unify(spark, sf_dir):
-    d = fx.dirty_customers(Tables(spark, sf_dir)).select("c_custkey", "country")
+    d = fx.dirty_customers(Tables.for_session(spark, sf_dir)).select("c_custkey", "country")
     return clean.country_code_unification(d, "country")
 
 
 @register("value_map")
 def value_map(spark, sf_dir):
-    d = fx.dirty_customers(Tables(spark, sf_dir)).select("c_custkey", "segment")
+    d = fx.dirty_customers(Tables.for_session(spark, sf_dir)).select("c_custkey", "segment")
     return clean.value_mapping(d, {"segment": {"CONSUMER": ["HOUSEHOLD", "AUTOMOBILE"],
                                                "INDUSTRIAL": ["MACHINERY", "BUILDING"]}})
 
 
 @register("currency_std")
 def currency_std(spark, sf_dir):
-    d = fx.dirty_customers(Tables(spark, sf_dir)).select(
+    d = fx.dirty_customers(Tables.for_session(spark, sf_dir)).select(
         "c_custkey", "balance", "balance_currency", "latitude", "longitude")
     out = (d.transform(lambda x: clean.currency_standardization(x, "balance"))
             .transform(clean.geographic_enrichment)
@@ -291,7 +291,7 @@ def currency_std(spark, sf_dir):
 
 @register("json_flatten")
 def json_flatten(spark, sf_dir):
-    d = fx.json_parts(Tables(spark, sf_dir))
+    d = fx.json_parts(Tables.for_session(spark, sf_dir))
     cfg = {"j": {"keys_to_extract": ["brand", "dims/size", {"path": "dims.size", "alias": "size2"},
                                      "missing"]}}
     return clean.flatten_semistructured(d, cfg).drop("j")
@@ -299,13 +299,13 @@ def json_flatten(spark, sf_dir):
 
 @register("json_extract_all")
 def json_extract_all(spark, sf_dir):
-    d = fx.json_parts(Tables(spark, sf_dir))
+    d = fx.json_parts(Tables.for_session(spark, sf_dir))
     return clean.flatten_semistructured(d, {"j": {"extract_all": True}}).drop("j")
 
 
 @register("xml_flatten")
 def xml_flatten(spark, sf_dir):
-    d = fx.xml_parts(Tables(spark, sf_dir)).select("p_partkey", "x")
+    d = fx.xml_parts(Tables.for_session(spark, sf_dir)).select("p_partkey", "x")
     cfg = {"x": {"keys_to_extract": ["SN", "IL/@LOC", "IL/@ED",
                                      {"path": "ServiceDetailsInfo/@SC", "alias": "sc"}]}}
     return clean.flatten_semistructured(d, cfg).drop("x")
@@ -313,13 +313,13 @@ def xml_flatten(spark, sf_dir):
 
 @register("xml_repair")
 def xml_repair(spark, sf_dir):
-    d = fx.xml_parts(Tables(spark, sf_dir)).select("p_partkey", "x2")
+    d = fx.xml_parts(Tables.for_session(spark, sf_dir)).select("p_partkey", "x2")
     return schema.serialise_for_target(d, xml_cols=["x2"])
 
 
 @register("json_array_serialise")
 def json_array_serialise(spark, sf_dir):
-    li = Tables(spark, sf_dir).lineitem
+    li = Tables.for_session(spark, sf_dir).lineitem
     arr = (F.when(F.col("l_returnflag") == "A", F.lit(None).cast("array<bigint>"))
            .when(F.col("l_returnflag") == "R",
                  F.array(F.col("l_partkey"), F.col("l_suppkey"), F.lit(None).cast("bigint")))
@@ -332,19 +332,19 @@ def json_array_serialise(spark, sf_dir):
 
 @register("dedup_rows")
 def dedup_rows(spark, sf_dir):
-    li = Tables(spark, sf_dir).lineitem
+    li = Tables.for_session(spark, sf_dir).lineitem
     return clean.remove_duplicates(li.select("l_returnflag", "l_linestatus", "l_shipdate"))
 
 
 @register("row_index")
 def row_index_q(spark, sf_dir):
-    o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey")
+    o = Tables.for_session(spark, sf_dir).orders.select("o_orderkey", "o_custkey")
     return row_index(o, ["o_orderkey"])
 
 
 @register("schema_align")
 def schema_align(spark, sf_dir):
-    o = loads.stamp(Tables(spark, sf_dir).orders, RUN1_TS)
+    o = loads.stamp(Tables.for_session(spark, sf_dir).orders, RUN1_TS)
     target = schema.target_schema(o.schema, ["o_orderkey", "o_totalprice", "missing_col"])
     aligned = schema.align_to_target(o, [f.name for f in target.fields])
     return clean.add_placeholders(
@@ -358,7 +358,7 @@ from strata.plans import emission  # noqa: E402
 
 
 def _bookings(spark, sf_dir):
-    return fx.booking_model(Tables(spark, sf_dir))
+    return Tables.for_session(spark, sf_dir).memo("booking_model", fx.booking_model)
 
 
 def _round_km(df):
@@ -394,7 +394,7 @@ WHOLE_PERIOD = listing.ListingParams(remit_from="1995-01-01 00:00:00", remit_to=
 
 
 def _listing_model(spark, sf_dir):
-    return fx.listing_model(Tables(spark, sf_dir))
+    return Tables.for_session(spark, sf_dir).memo("listing_model", fx.listing_model)
 
 
 @register("or_join_traveler")
@@ -428,7 +428,7 @@ from strata.sources import templates  # noqa: E402
 
 GOLD_TEMPLATE = """
 SELECT event_type, user_id, CAST(COUNT(*) AS DOUBLE) AS n_events, ROUND(SUM(value), 2) AS total_value
-FROM events
+FROM silver_events
 WHERE ts > {lower_bound_time} AND ts < {upper_bound_date}
 GROUP BY event_type, user_id;
 """
@@ -436,28 +436,28 @@ GROUP BY event_type, user_id;
 
 @register("gold_template")
 def gold_template(spark, sf_dir):
-    ev = Tables(spark, sf_dir).events
+    ev = Tables.for_session(spark, sf_dir).events
     df = templates.run_template(spark, GOLD_TEMPLATE, "DELTA", "2024-01-10 00:00:00", "2024-01-20 00:00:00",
-                                views={"events": ev})
+                                views={"silver_events": ev})
     return codes.cast_integral_floats(df)
 
 
 @register("xml_extract_all")
 def xml_extract_all(spark, sf_dir):
-    d = fx.xml_parts(Tables(spark, sf_dir)).select("p_partkey", "x")
+    d = fx.xml_parts(Tables.for_session(spark, sf_dir)).select("p_partkey", "x")
     return clean.flatten_semistructured(d, {"x": {"extract_all": True, "format": "xml"}}).drop("x")
 
 
 @register("latest_success")
 def latest_success(spark, sf_dir):
-    audit = fx.table_audit_from_events(Tables(spark, sf_dir).events)
+    audit = fx.table_audit_from_events(Tables.for_session(spark, sf_dir).events)
     return control.latest_successful_run(audit, "clean_purchase").select(
         "process_id", "destination_table_name", "time_to", "input_row")
 
 
 @register("source_systems")
 def source_systems(spark, sf_dir):
-    m = fx.config_model(Tables(spark, sf_dir))
+    m = fx.config_model(Tables.for_session(spark, sf_dir))
     plan = control.expand_config(m.systems.filter(F.col("system_is_active") == 1), m.databases,
                                  control.select_config(m.tables))
     return control.distinct_sources(plan, ("source_system_name", "is_multi_db"))

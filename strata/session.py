@@ -8,10 +8,13 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings a load job wants on any cluster: adaptive execution (coalescing,
-# skew-join splitting, runtime broadcast choice), UTC wall clock so window
-# bounds mean the same thing everywhere, and dynamic partition overwrite so a
-# window append rewrites only the partitions it touches.
+# skew-join splitting, runtime broadcast choice), runtime bloom filters (a
+# fact joined to a selectively filtered fact -- a one-month P&L over all line
+# items -- is pruned before its shuffle), UTC wall clock so window bounds mean
+# the same thing everywhere, and dynamic partition overwrite so a partitioned
+# write rewrites only the partitions it touches.
 DEFAULT_CONF = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -35,12 +35,33 @@ def read_table(spark: SparkSession, base: str, name: str, spread: bool = True) -
 
 
 class Tables:
-    """Lazy accessor ``tables.orders`` -> DataFrame, read once per instance."""
+    """Lazy accessor ``tables.orders`` -> DataFrame, read once per instance.
+
+    ``Tables.for_session`` keeps one catalogue per application and folder, so
+    queries of one session share the table scans and any derived frames
+    memoised with ``memo`` (DataFrames are immutable, sharing is safe).
+    """
+
+    _catalogues: dict[tuple[str, str], "Tables"] = {}
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base
         self._cache: dict[str, DataFrame] = {}
+        self._memo: dict[str, object] = {}
+
+    @classmethod
+    def for_session(cls, spark: SparkSession, base: str) -> "Tables":
+        key = (spark.sparkContext.applicationId, base)
+        if key not in cls._catalogues:
+            cls._catalogues[key] = cls(spark, base)
+        return cls._catalogues[key]
+
+    def memo(self, key: str, build):
+        """Build ``build(self)`` once per catalogue."""
+        if key not in self._memo:
+            self._memo[key] = build(self)
+        return self._memo[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
