@@ -66,9 +66,15 @@ def _approved(mp: Column, remit: Column) -> Column:
     return F.when(mp.isin(*MARKETS.keys()), dates.format_dmy(remit))
 
 
-def itinerary_rollup(m) -> DataFrame:
+def itinerary_rollup(m, bookings: DataFrame | None = None) -> DataFrame:
     """Per booking: flight minutes (halved for round trips), first departure,
-    last arrival, lowest cabin name, route list (AG-08)."""
+    last arrival, lowest cabin name, route list (AG-08).
+
+    ``bookings`` (one ``ID`` column) restricts the rollup to the bookings a
+    report selects: the result is then left-joined on the booking id, so the
+    rows are the same, but a one-month report no longer aggregates every
+    segment ever booked.
+    """
     aod = m.origin_destination.select(F.col("ID").alias("aod_id"), F.col("BookingID").alias("bid"))
     seg = m.segment.select("AirOriginDestinationID", "Departure", "Arrival", "BookedAirCabinClassID",
                            "DepartureAirportID", "ArrivalAirportID")
@@ -78,6 +84,8 @@ def itinerary_rollup(m) -> DataFrame:
     c1 = m.city.select(F.col("ID").alias("c1_id"), F.col("UTCDifference").alias("utc1"))
     c2 = m.city.select(F.col("ID").alias("c2_id"), F.col("UTCDifference").alias("utc2"))
     b = m.booking.select(F.col("ID").alias("b_id"), "AirTripTypeID")
+    if bookings is not None:
+        b = b.join(bookings.select(F.col("ID").alias("b_id")).distinct(), "b_id", "left_semi")
     j = (b.join(aod, F.col("b_id") == F.col("bid"))
          .join(seg, F.col("AirOriginDestinationID") == F.col("aod_id"))
          .join(cab, F.col("BookedAirCabinClassID") == F.col("cab_id"))
@@ -112,6 +120,12 @@ def traveler_via_air_or_hotel(bookings: DataFrame, m) -> DataFrame:
     return left_join_any_key(base, trav, "ID", ["at_traveler", "ht_traveler"], "T_")
 
 
+def _own_conditions(p: ListingParams) -> Column:
+    """The report's predicates on the booking / service row itself."""
+    return (F.col("RemitDate").between(F.lit(p.remit_from), F.lit(p.remit_to))
+            & (F.col("BookingStatusID") > 0) & (F.col("IsActive") == F.lit(True)) & F.col("RemitDate").isNotNull())
+
+
 def booking_branch(m, p: ListingParams) -> DataFrame:
     b = m.booking.select(
         F.col("ID").alias("B_ID"), F.col("BookingFileID").alias("b_bf"), "IsDomestic", "TravelSectorID",
@@ -136,7 +150,10 @@ def booking_branch(m, p: ListingParams) -> DataFrame:
     j = j.join(tp, (F.col("TP_ID") == F.col("T_TravelerProfileID")) & (F.col("Org_ID") == F.col("TP_Org")), "left")
     airline = m.airline.select(F.col("ID").alias("AL_ID"), F.col("NameEN").alias("AL_Name"))
     status = m.booking_status.select(F.col("ID").alias("BS_ID"), F.col("NameEN").alias("BS_Name"))
-    route = itinerary_rollup(m).select(F.col("ID").alias("ARI_ID"), *[F.col(c).alias(f"ARI_{c}") for c in
+    # bookings the report can select, from booking-level predicates only (one
+    # filtered scan, no join): the rollup then covers the report period only
+    selected = m.booking.filter(_own_conditions(p) & (F.col("TravelSectorID") == 1)).select("ID")
+    route = itinerary_rollup(m, selected).select(F.col("ID").alias("ARI_ID"), *[F.col(c).alias(f"ARI_{c}") for c in
                                                                       ("Flight_Time", "From", "To", "In", "Route")])
     hpi = m.hotel_property_item.select(F.col("ID").alias("HPI_ID"), F.col("NameEN").alias("HPI_Name"),
                                        "HotelPropertyID")
@@ -195,9 +212,14 @@ def city_code(loc: Column) -> Column:
                    .otherwise(F.right(F.substring(loc, pos, 4), F.lit(3))))
 
 
-def service_country(m) -> DataFrame:
-    """Hotel services -> city code from the XML location -> city -> country (JN-07)."""
+def service_country(m, services: DataFrame | None = None) -> DataFrame:
+    """Hotel services -> city code from the XML location -> city -> country (JN-07).
+
+    ``services`` (one ``ID`` column) restricts the lookup to a report's services.
+    """
     s = m.service.filter(F.col("ServiceTypeID").isin(*HOTEL_TYPES))
+    if services is not None:
+        s = s.join(services.select("ID").distinct(), "ID", "left_semi")
     loc = semistructured.XmlDoc(F.col("Details"), [LOC]).value(LOC)
     w = s.select(F.col("ID").alias("ServiceID"), city_code(loc).alias("CityIATA"))
     city = m.city.select(F.col("IATACode"), F.col("CountryID"))
@@ -254,7 +276,9 @@ def service_branch(m, p: ListingParams) -> DataFrame:
          .join(tp, (F.col("TP_ID") == F.col("T_Profile")) & (F.col("Org_ID") == F.col("TP_Org")), "left")
          .join(status, F.col("BS_ID") == F.col("BookingStatusID"))
          .join(stype, F.col("ServiceTypeID") == F.col("STY_ID"), "left")
-         .join(service_country(m), F.col("S_ID") == F.col("CI_ID"), "left"))
+         )
+    hotels = m.service.filter(_own_conditions(p) & F.col("ServiceTypeID").isin(*HOTEL_TYPES)).select("ID")
+    j = j.join(service_country(m, hotels), F.col("S_ID") == F.col("CI_ID"), "left")
     # one parse of the Details XML per row serves all seven reads
     doc = semistructured.XmlDoc(F.col("Details"), [SC, SN, LOC, SD, ED])
     j = doc.bind(j, "_doc")
