@@ -40,13 +40,27 @@ def shift_hours(ts: Column, hours: Column) -> Column:
     return F.timestamp_add("HOUR", hours.cast("int"), ts)
 
 
+def wall_minutes(ts: Column) -> Column:
+    """Whole minutes of wall-clock time since 1970-01-01 00:00.
+
+    Built from date parts, which are zone-free on ``timestamp_ntz``
+    (``timestamp_diff`` resolves a local time through the session zone, so a
+    time inside a daylight-saving gap would move by an hour).
+    """
+    t = ts.cast("timestamp_ntz")
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 1440 + F.hour(t) * 60 + F.minute(t)
+
+
 def minute_boundaries(start: Column, end: Column) -> Column:
     """``DATEDIFF(MINUTE, a, b)``: number of minute boundaries crossed (S-13).
 
     Spark's ``timestampdiff`` counts whole elapsed minutes (0 for 10:00:59 ->
-    10:01:00); truncating both ends to the minute first gives T-SQL's count.
+    10:01:00).  T-SQL counts boundaries: floor(b / 1 min) - floor(a / 1 min)
+    on the wall clock.  (``date_trunc`` would go through the session zone and
+    move by an hour across a daylight-saving change.)
     """
-    return F.timestamp_diff("MINUTE", F.date_trunc("minute", start), F.date_trunc("minute", end))
+    return wall_minutes(end) - wall_minutes(start)
 
 
 def minus_interval(c: Column, interval: str = "5 minutes") -> Column:

@@ -20,8 +20,12 @@ SENTINEL_TABLES = ("Organization", "PrivateFare", "TravelerProfile")
 
 
 def stamp(df: DataFrame, run_ts, column: str = "insertion_date") -> DataFrame:
-    """Load stamp: one value per run, so reruns are comparable (IO-11)."""
-    return df.withColumn(column, F.lit(str(run_ts)).cast("timestamp"))
+    """Load stamp: one value per run, so reruns are comparable (IO-11).
+
+    Wall-clock time without zone, like the source keys, so the stamp reads
+    the same whatever the session time zone is.
+    """
+    return df.withColumn(column, F.lit(str(run_ts)).cast("timestamp_ntz"))
 
 
 def clamp_sentinel(df: DataFrame, column: str = "EndDate") -> DataFrame:

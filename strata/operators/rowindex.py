@@ -17,13 +17,21 @@ from strata.session import ensure_checkpoint_dir
 
 def row_index(df: DataFrame, order_cols: list[str], column: str = "partition_index",
               num_partitions: int | None = None) -> DataFrame:
-    """Add ``column`` = 1..n following ``order_cols`` (unique for a stable numbering)."""
+    """Add ``column`` = 1..n following ``order_cols``.
+
+    Rows with equal order keys are ordered by a hash of the whole row: the
+    numbering is deterministic, and a key value shared by a third of the rows
+    is split over several ranges instead of filling one task.
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     pid = F.spark_partition_id().cast("long")
-    ranged = (df.repartitionByRange(n, *order_cols)
-              .sortWithinPartitions(*order_cols)
+    tie = "_tie"
+    keyed = df.withColumn(tie, F.xxhash64(*[F.col(c) for c in df.columns]))
+    order = [*order_cols, tie]
+    ranged = (keyed.repartitionByRange(n, *order)
+              .sortWithinPartitions(*order)
               # monotonically_increasing_id = (partition id << 33) + position in partition
               .withColumns({"_pid": pid,
                             "_pos": F.monotonically_increasing_id() - F.shiftleft(pid, 33)})
@@ -39,4 +47,4 @@ def row_index(df: DataFrame, order_cols: list[str], column: str = "partition_ind
     offsets = spark.createDataFrame(rows, "_pid long, _off long")
     return (ranged.join(F.broadcast(offsets), "_pid")
             .withColumn(column, F.col("_off") + F.col("_pos") + 1)
-            .drop("_pid", "_pos", "_off"))
+            .drop("_pid", "_pos", "_off", tie))

@@ -150,3 +150,21 @@ def test_service_cabin_and_ticket_status(spark):
                                "a double, d boolean, s int")
     got = [r[0] for r in st.select(geo.ticket_status(F.col("a"), F.col("d"), F.col("s"))).collect()]
     assert got == ["Cancelled", "Changed", "Changed", "16"]
+
+
+def test_wall_clock_functions_ignore_session_zone(spark):
+    # 2001-04-01 02:00-03:00 does not exist in Los Angeles; timestamp_ntz
+    # arithmetic must not notice
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2001, 3, 31, 23, 0), dt.datetime(2001, 4, 1, 2, 0), 1.0)],
+                                   "a timestamp_ntz, b timestamp_ntz, h double")
+        r = df.select(dates.minute_boundaries(F.col("a"), F.col("b")).alias("m"),
+                      dates.shift_hours(F.col("b"), F.col("h")).alias("s"),
+                      dates.format_dmy(F.col("b")).alias("d")).first()
+        assert r["m"] == 180
+        assert r["s"] == dt.datetime(2001, 4, 1, 3, 0)
+        assert r["d"] == "01/04/2001"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -109,3 +109,14 @@ def test_store_versions_and_tags(spark, scratch):
     assert store.write("t", df, sort_within=["k"]) == 0
     assert store.write("t", df.filter("k < 5"), tag="run:1") == 1
     assert store.read("t").count() == 5 and store.has_tag("t", "run:1") and not store.has_tag("t", "run:2")
+
+
+def test_row_index_splits_a_hot_key(spark):
+    # a third of the rows share one order key
+    data = [(0, i) for i in range(300)] + [(k, k) for k in range(1, 601)]
+    df = spark.createDataFrame(data, "k int, v int")
+    out = row_index(df, ["k"], num_partitions=6)
+    idx = sorted(r["partition_index"] for r in out.collect())
+    assert idx == list(range(1, 901))
+    first = out.filter("k = 0").agg(F.max("partition_index")).first()[0]
+    assert first == 300   # the hot key's rows come first, numbered 1..300
