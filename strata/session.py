@@ -54,12 +54,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     (local tests) a scratch folder is created and registered.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or None
-    if configured is None:
-        configured = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Spark Connect: the server's setting applies
+        sc = None
+    if configured is None and sc is not None:
+        configured = sc.getCheckpointDir()
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if sc is not None:
+            sc.setCheckpointDir(configured)
         return configured
     local = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
