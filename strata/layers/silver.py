@@ -42,7 +42,8 @@ def load_silver_table(store: TableStore, cfg: SilverTable, ctx: RunContext, last
     cleaned = clean.silver_transform(src, steps, ctx.run_type)
     targets = [c.strip() for c in cfg.column_name.split(",") if c.strip()]
     if ctx.run_type.upper() == "FULL":
-        shaped = schema.align_to_target(cleaned, targets)
+        # the configured columns must all exist after the steps (section 3.2)
+        shaped = with_target_columns(cleaned, targets)
     else:
         existing_cols = targets + ["insertion_date"]
         shaped = schema.common_columns(cleaned, existing_cols)

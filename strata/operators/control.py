@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions import dates
+
 # Fixed values of the reference.
 SUCCESS_WORDS = ("Success", "SUCCESS", "success")
 SUCCESS, PARTIAL, FAILED = "Success", "Partial Success", "Failed"
@@ -75,7 +77,7 @@ def high_water_marks(audit: DataFrame, batches: DataFrame,
           .join(batches.filter(F.col("load_type") == "DELTA").select("batch_run_id"),
                 "batch_run_id"))
     return (ok.groupBy(*by)
-            .agg((F.max("time_to") - F.expr(f"INTERVAL {overlap}")).alias("last_processed_date")))
+            .agg(dates.minus_interval(F.max("time_to"), overlap).alias("last_processed_date")))
 
 
 def reconcile(fetched: Column, processed: Column) -> Column:

@@ -386,7 +386,6 @@ def emission_mart(spark, sf_dir):
 
 # --- booking / service listing (PJ-08: JN-02/03/04/06/07, AG-08, SO-01, D-06..D-11)
 
-from strata.operators.joins import left_join_any_key  # noqa: E402
 from strata.plans import listing  # noqa: E402
 
 WHOLE_PERIOD = listing.ListingParams(remit_from="1995-01-01 00:00:00", remit_to="2001-12-31 23:59:59",

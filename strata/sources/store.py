@@ -82,3 +82,57 @@ class TableStore:
             return self.spark.read.parquet(self._table(name))
         except AnalysisException:
             return None
+
+
+class PartitionedTable:
+    """A table partitioned by a column (e.g. a load date), updated partition by
+    partition with dynamic partition overwrite.
+
+    For large targets a window append should touch only the partitions the
+    window covers: ``replace_window`` reads just those partitions (partition
+    pruning), rebuilds them, materialises the result in the shared checkpoint
+    folder (so the job does not read the path it overwrites) and replaces
+    exactly those partitions.  Every other partition is left as written.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, partition_col: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.partition_col = partition_col
+
+    def read(self) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(self.path)
+        except AnalysisException:
+            return None
+
+    def _write(self, df: DataFrame) -> None:
+        from strata.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(self.spark)
+        staged = df.checkpoint(eager=True)
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(self.partition_col).parquet(self.path))
+
+    def replace_window(self, incoming: DataFrame, window) -> list:
+        """Idempotent window append (IO-08) that rewrites only touched partitions.
+
+        Returns the partition values that were rewritten.  Their number is
+        bounded by the window's length in partition units, which is why they
+        can be listed on the driver and used as a partition filter.
+        """
+        p = self.partition_col
+        existing = self.read()
+        parts = incoming.select(p)
+        if existing is not None and window is not None:
+            parts = parts.unionByName(existing.filter(F.coalesce(window, F.lit(False))).select(p))
+        touched = [r[0] for r in parts.distinct().collect()]
+        if not touched:
+            return []
+        if existing is None:
+            self._write(incoming)
+            return touched
+        keep = existing.filter(F.col(p).isin(touched))
+        if window is not None:
+            keep = keep.filter(~F.coalesce(window, F.lit(False)))
+        self._write(keep.unionByName(incoming.select(*existing.columns)))
+        return touched

@@ -168,3 +168,9 @@ def test_wall_clock_functions_ignore_session_zone(spark):
         assert r["d"] == "01/04/2001"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_tsql_concat_treats_null_as_empty(spark):
+    df = spark.createDataFrame([("a", None, 3)], "x string, y string, z int")
+    assert df.select(text.tsql_concat(F.col("x"), F.col("y"), F.col("z"))).first()[0] == "a3"
+    assert df.select(F.concat(F.col("x"), F.col("y"))).first()[0] is None      # Pg || propagates NULL

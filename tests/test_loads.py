@@ -120,3 +120,28 @@ def test_row_index_splits_a_hot_key(spark):
     assert idx == list(range(1, 901))
     first = out.filter("k = 0").agg(F.max("partition_index")).first()[0]
     assert first == 300   # the hot key's rows come first, numbered 1..300
+
+
+def test_partitioned_window_append_rewrites_only_touched_days(spark, scratch):
+    import os
+
+    from strata.sources.store import PartitionedTable
+    ev = Tables(spark, SF_SMALL).events.select("event_id", "ts", "value").withColumn("day", F.to_date("ts"))
+    table = PartitionedTable(spark, os.path.join(scratch, "events_by_day"), "day")
+    first = ev.filter(windows.upper_bound_window("ts", "2024-01-20"))
+    table.replace_window(first, None)
+    untouched = os.path.join(table.path, "day=2024-01-05")
+    before = sorted(os.listdir(untouched))
+
+    w = windows.incremental_window("ts", "2024-01-15 12:00:00", "2024-01-22 00:00:00")
+    incoming = ev.filter(w).withColumn("value", F.col("value") + 1)
+    touched = table.replace_window(incoming, w)
+    assert sorted(str(d) for d in touched) == [f"2024-01-{d:02d}" for d in range(15, 22)]
+    assert sorted(os.listdir(untouched)) == before          # other days not rewritten
+
+    expected = loads.window_append(first, incoming, w)
+    got = table.read().select(*expected.columns)
+    assert rows(got) == rows(expected)
+    # rerunning the same window changes nothing
+    table.replace_window(incoming, w)
+    assert rows(table.read().select(*expected.columns)) == rows(expected)
