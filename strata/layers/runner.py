@@ -8,7 +8,11 @@ the start of the run.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,48 +33,118 @@ def open_batch(store: TableStore, name: str, ctx: RunContext) -> None:
     store.append_rows(name, store.spark.createDataFrame([row], BATCH_SCHEMA))
 
 
-def watermarks(store: TableStore, audit_name: str, batch_name: str) -> dict[str, object]:
-    """``{table: MAX(time_to) - 5 minutes}`` over successful DELTA runs (AG-09)."""
+def watermarks(store: TableStore, audit_name: str, batch_name: str) -> dict:
+    """``{(table, db_code): MAX(time_to) - 5 minutes}`` over successful DELTA
+    runs (AG-09); ``db_code`` is None for single-database sources.  Also keyed
+    by the table name alone."""
     audit, batches = store.read_rows(audit_name), store.read_rows(batch_name)
     if audit is None or batches is None:
         return {}
     final = audit.filter(F.col("operation_result") != F.lit("In Progress"))
-    marks = control.high_water_marks(final, batches, by=["destination_table_name"])
-    return {r["destination_table_name"]: r["last_processed_date"] for r in marks.collect()}
-
-
-def run_tables(store: TableStore, ctx: RunContext, jobs: list[tuple[str, str, str, Callable]],
-               *, audit_name: str, batch_name: str, source: str = "", db_code: str | None = None,
-               operation: str | None = None) -> DataFrame:
-    """Run ``jobs`` = [(source_table, target_table, load_type, loader(last_processed) -> TableResult)].
-
-    Returns the run summary of this batch (AG-13).
+    marks = control.high_water_marks(final, batches, by=["destination_table_name", "db_code"])
+    out: dict = {}
+    for r in marks.collect():
+        out[(r["destination_table_name"], r["db_code"])] = r["last_processed_date"]
+        if r["db_code"] is None:
+            out[r["destination_table_name"]] = r["last_processed_date"]
+    return out
+
+
+@dataclass
+class Job:
+    """One table load: ``loader(last_processed) -> TableResult``."""
+    source_table: str
+    target_table: str
+    load_type: str
+    loader: Callable
+    level: int = 0            # hierarchy level: levels run in order
+    db_code: str | None = None
+
+
+def run_tables(store: TableStore, ctx: RunContext, jobs: list, *, audit_name: str, batch_name: str,
+               source: str = "", db_code: str | None = None, operation: str | None = None,
+               max_parallel: int = 1) -> DataFrame:
+    """Run table loads and return the run summary of this batch (AG-13).
+
+    ``jobs`` are ``Job``s (or ``(source_table, target_table, load_type,
+    loader)`` tuples).  Levels run one after the other; with ``max_parallel``
+    > 1 the tables of one level load concurrently -- each is its own Spark
+    job, so a cluster is not left idle by a long sequential table loop.
     """
     spark = store.spark
+    jobs = [j if isinstance(j, Job) else Job(*j) for j in jobs]
     marks = watermarks(store, audit_name, batch_name) if ctx.run_type.upper() == "DELTA" else {}
-    for source_table, target, load_type, loader in jobs:
+    audit_lock = threading.Lock()
+
+    def append_audit(job: Job, result, started, ended):
+        event = audit_event(spark, ctx, source=source, db_code=job.db_code or db_code,
+                            source_table=job.source_table, target_table=job.target_table,
+                            operation=operation or job.load_type, result=result, started=started, ended=ended)
+        with audit_lock:   # appends to one dataset must not overlap
+            store.append_rows(audit_name, event)
+
+    def run_one(job: Job) -> None:
         started = now()
-        op = operation or load_type
-        store.append_rows(audit_name, audit_event(spark, ctx, source=source, db_code=db_code,
-                                                  source_table=source_table, target_table=target,
-                                                  operation=op, result=None, started=started, ended=None))
-        last = marks.get(target) if load_type.lower() in ("incremental", "append") else None
+        append_audit(job, None, started, None)
+        key = (job.target_table, job.db_code or db_code)
+        last = marks.get(key) if job.load_type.lower() in ("incremental", "append") else None
         try:
-            result = loader(last)
+            result = job.loader(last)
         except Exception as e:  # noqa: BLE001 -- one table's failure must not stop the run
-            result = TableResult(target, status=control.FAILED, error=str(e)[:2000], time_to=ctx.upper_bound)
-        store.append_rows(audit_name, audit_event(spark, ctx, source=source, db_code=db_code,
-                                                  source_table=source_table, target_table=target,
-                                                  operation=op, result=result, started=started, ended=now()))
+            result = TableResult(job.target_table, status=control.FAILED, error=str(e)[:2000],
+                                 time_to=ctx.upper_bound)
+        append_audit(job, result, started, now())
+
+    def run_target(target_jobs: list) -> None:
+        for job in target_jobs:     # loads of one target (e.g. its databases) run in order
+            run_one(job)
+
+    for _, level_jobs in groupby(sorted(jobs, key=lambda j: j.level), key=lambda j: j.level):
+        by_target: dict[str, list] = {}
+        for job in level_jobs:
+            by_target.setdefault(job.target_table, []).append(job)
+        if max_parallel > 1 and len(by_target) > 1:
+            with ThreadPoolExecutor(max_workers=max_parallel) as pool:
+                list(pool.map(run_target, by_target.values()))
+        else:
+            for target_jobs in by_target.values():
+                run_target(target_jobs)
     return summary(store, audit_name, ctx.batch_run_id)
 
 
 def audit_state(store: TableStore, audit_name: str) -> DataFrame:
-    """Latest event per (process, batch, table) (PJ-07)."""
+    """Latest event per (process, batch, table, database) (PJ-07)."""
     return control.latest_audit_state(store.read_rows(audit_name),
-                                      keys=("process_id", "batch_run_id", "destination_table_name"))
+                                      keys=("process_id", "batch_run_id", "destination_table_name", "db_code"))
 
 
 def summary(store: TableStore, audit_name: str, batch_run_id: int) -> DataFrame:
     state = audit_state(store, audit_name).filter(F.col("batch_run_id") == batch_run_id)
     return control.run_summary(state)
+
+
+def bronze_jobs(store: TableStore, ctx: RunContext, config_rows: list, read_source: Callable) -> list:
+    """Jobs for the collected bronze config (PJ-06): one per table and database.
+
+    ``config_rows`` come from ``control.select_config`` / ``expand_config``,
+    ordered by ``control.processing_order`` and collected (tens to hundreds of
+    rows).  ``read_source(row)`` returns the source table as a DataFrame (a
+    JDBC or Parquet scan); its rows never pass through the driver.
+    """
+    from strata.layers.bronze import BronzeTable, load_bronze_table
+
+    jobs = []
+    for row in config_rows:
+        r = row.asDict() if hasattr(row, "asDict") else dict(row)
+        cfg = BronzeTable(r["source_table_name"], r["target_table_name"], r.get("extract_key"),
+                          r.get("load_key"), r.get("load_type", "full"), r.get("load_sequence", 0),
+                          r.get("hierarchy_number", 0), r.get("run_frequency"))
+        multi = bool(r.get("is_multi_db"))
+        source_db = (r["source_db_id"], r.get("market_profile_id")) if multi else None
+
+        def loader(last, r=r, cfg=cfg, source_db=source_db):
+            return load_bronze_table(store, read_source(r), cfg, ctx, last, source_db)
+
+        jobs.append(Job(cfg.source_table_name, cfg.target_table_name, cfg.load_type, loader,
+                        level=cfg.hierarchy_number or 0, db_code=r.get("source_db_code") if multi else None))
+    return jobs

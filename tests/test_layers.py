@@ -94,3 +94,36 @@ def test_multi_database_scoped_replace(spark, scratch):
     out = store.read("raw_orders")
     assert out.count() == o.count()
     assert out.groupBy("source_db_id").count().count() == 3
+
+
+def test_config_driven_multi_database_run_in_parallel(spark, scratch):
+    from strata.layers.runner import bronze_jobs
+
+    store = TableStore(spark, scratch)
+    t = Tables(spark, SF_SMALL)
+    orders = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    config = [
+        {"source_table_name": "orders", "target_table_name": "raw_orders", "extract_key": "o_orderdate",
+         "load_key": "o_orderkey", "load_type": "incremental", "hierarchy_number": 1, "is_multi_db": 1,
+         "source_db_id": db, "source_db_code": f"DB{db}", "market_profile_id": 1, "status": status}
+        for db, status in [(1, "F"), (2, "O"), (3, "P")]
+    ] + [{"source_table_name": "events", "target_table_name": "raw_events", "extract_key": "ts",
+          "load_key": "event_id", "load_type": "append", "hierarchy_number": 1, "is_multi_db": 0}]
+
+    def read_source(row):
+        if row["source_table_name"] == "events":
+            return t.events
+        return orders.filter(F.col("o_orderstatus") == row["status"])
+
+    for batch, run_type, upper in [(1, "FULL", "2001-12-31 00:00:00"), (2, "DELTA", "2030-01-01 00:00:00")]:
+        ctx = RunContext(batch_run_id=batch, run_type=run_type, upper_bound=upper, run_ts=upper)
+        open_batch(store, "batches", ctx)
+        s = run_tables(store, ctx, bronze_jobs(store, ctx, config, read_source), audit_name="audit",
+                       batch_name="batches", max_parallel=4).first()
+        assert s["tables_total"] == 4 and s["tables_failed"] == 0, s
+    out = store.read("raw_orders")
+    assert out.count() == orders.count()
+    assert out.select("o_orderkey", "source_db_id").distinct().count() == orders.count()
+    assert store.read("raw_events").count() == t.events.count()
+    # the second run was a DELTA per database: the watermark is kept per (table, db)
+    assert set(watermarks(store, "audit", "batches")) >= {("raw_orders", "DB1"), ("raw_orders", "DB3")}
