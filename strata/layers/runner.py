@@ -148,3 +148,69 @@ def bronze_jobs(store: TableStore, ctx: RunContext, config_rows: list, read_sour
         jobs.append(Job(cfg.source_table_name, cfg.target_table_name, cfg.load_type, loader,
                         level=cfg.hierarchy_number or 0, db_code=r.get("source_db_code") if multi else None))
     return jobs
+
+
+def _flag(value) -> bool:
+    """Config flags arrive as 1, '1', True or 'true' (survey quirk 13: booleans here)."""
+    return str(value).strip().lower() in ("1", "true", "yes") if value is not None else False
+
+
+def silver_jobs(store: TableStore, ctx: RunContext, config_rows: list) -> list:
+    """Jobs for the collected silver config: each row's step columns become
+    ``SilverSteps`` (JSON configs parsed, flags as booleans)."""
+    from strata.layers.silver import SilverTable, load_silver_table
+    from strata.operators.clean import SilverSteps
+
+    jobs = []
+    for row in config_rows:
+        r = row.asDict() if hasattr(row, "asDict") else dict(row)
+        steps = SilverSteps(
+            case_unification=r.get("case_unification"),
+            is_datetime_formatting=r.get("is_datetime_formatting"),
+            is_post_2015_filter=_flag(r.get("is_post_2015_filter")),
+            extract_key=r.get("extract_key"),
+            is_json_xml_flatten=r.get("is_json_xml_flatten"),
+            is_add_indicator=r.get("is_add_indicator"),
+            is_join_enrichment=r.get("is_join_enrichment"),
+            is_country_code_unification=r.get("is_country_code_unification"),
+            is_null_handling=_flag(r.get("is_null_handling")),
+            is_index_partition=_flag(r.get("is_index_partition")),
+            index_order=[c.strip() for c in str(r.get("load_key") or "").split(",") if c.strip()],
+            is_string_trimming=_flag(r.get("is_string_trimming")),
+            is_currency_standardization=r.get("is_currency_standardization"),
+            geographic_enrichment=_flag(r.get("geographic_enrichment")),
+            base_currency=_flag(r.get("base_currency")),
+            column_name=r.get("column_name"),
+            value_mapping_unification=r.get("value_mapping_unification"),
+            is_duplicate_check=_flag(r.get("is_duplicate_check")),
+        )
+        cfg = SilverTable(r["raw_table_name"], r["clean_table_name"], r["column_name"], r.get("extract_key"),
+                          r.get("load_key"), r.get("load_type", "full"), r.get("hierarchy_number", 0),
+                          r.get("load_sequence", 0), steps)
+
+        def loader(last, cfg=cfg):
+            return load_silver_table(store, cfg, ctx, last)
+
+        jobs.append(Job(cfg.raw_table_name, cfg.clean_table_name, cfg.load_type, loader,
+                        level=cfg.hierarchy_number or 0))
+    return jobs
+
+
+def gold_jobs(store: TableStore, ctx: RunContext, config_rows: list, views: Callable) -> list:
+    """Jobs for the collected gold config; ``views()`` returns the silver
+    tables the templates name, read when each job starts."""
+    from strata.layers.gold import GoldTable, load_gold_table
+
+    jobs = []
+    for row in config_rows:
+        r = row.asDict() if hasattr(row, "asDict") else dict(row)
+        cfg = GoldTable(r["target_table_name"], r["data_load_sql_template"],
+                        r.get("ingestion_strategy", "TRUNCATE_INSERT"), r.get("load_key"),
+                        r.get("incremental_extract_key"), r.get("execution_order", 0))
+        load_type = {"APPEND": "append", "MERGE": "incremental"}.get(cfg.ingestion_strategy.upper(), "full")
+
+        def loader(last, cfg=cfg):
+            return load_gold_table(store, cfg, ctx, views(), last)
+
+        jobs.append(Job("silver", cfg.target_table_name, load_type, loader, level=cfg.execution_order or 0))
+    return jobs

@@ -127,3 +127,43 @@ def test_config_driven_multi_database_run_in_parallel(spark, scratch):
     assert store.read("raw_events").count() == t.events.count()
     # the second run was a DELTA per database: the watermark is kept per (table, db)
     assert set(watermarks(store, "audit", "batches")) >= {("raw_orders", "DB1"), ("raw_orders", "DB3")}
+
+
+def test_config_rows_drive_silver_and_gold(spark, scratch):
+    import json
+
+    from strata.layers.runner import gold_jobs, silver_jobs
+
+    store = TableStore(spark, scratch)
+    t = Tables(spark, SF_SMALL)
+    ctx = RunContext(batch_run_id=1, run_type="FULL", upper_bound="2030-01-01 00:00:00", run_ts="2024-02-01 00:00:00")
+    open_batch(store, "batches", ctx)
+    raw = t.customer.select("c_custkey", F.concat(F.lit("  "), F.col("c_name"), F.lit("  ")).alias("c_name"),
+                            F.col("c_mktsegment").alias("segment"), "c_acctbal")
+    store.write("raw_customer", raw)
+    silver_cfg = [{
+        "raw_table_name": "raw_customer", "clean_table_name": "clean_customer",
+        "column_name": "c_custkey, c_name, segment, c_acctbal, partition_index, vip",
+        "extract_key": None, "load_key": "c_custkey", "load_type": "full", "hierarchy_number": 1,
+        "case_unification": json.dumps({"segment": "LOWER"}),
+        "value_mapping_unification": json.dumps({"segment": {"industry": ["machinery", "building"]}}),
+        "is_add_indicator": json.dumps({"v": {"new_column_name": "vip"}}),
+        "is_string_trimming": "0", "is_null_handling": "1", "is_index_partition": 1, "is_duplicate_check": True,
+    }]
+    gold_cfg = [{"target_table_name": "dm_segments", "ingestion_strategy": "TRUNCATE_INSERT", "execution_order": 1,
+                 "data_load_sql_template": "SELECT segment, CAST(COUNT(*) AS DOUBLE) AS n FROM clean_customer "
+                                           "GROUP BY segment"}]
+    jobs = silver_jobs(store, ctx, silver_cfg)
+    jobs += [j for j in gold_jobs(store, ctx, gold_cfg, lambda: {"clean_customer": store.read("clean_customer")})]
+    for j in jobs[1:]:
+        j.level = 2
+    s = run_tables(store, ctx, jobs, audit_name="audit", batch_name="batches").first()
+    assert s["tables_failed"] == 0, s
+    clean = store.read("clean_customer")
+    assert set(clean.columns) >= {"c_custkey", "c_name", "segment", "partition_index", "vip", "insertion_date"}
+    assert clean.filter(F.col("c_name") != F.trim("c_name")).count() > 0    # trimming flag '0' is off
+    assert {r[0] for r in clean.select("segment").distinct().collect()} == {"industry", "household", "automobile",
+                                                                            "furniture"}
+    assert sorted(r[0] for r in clean.select("partition_index").collect()) == list(range(1, raw.count() + 1))
+    gold = {r["segment"]: r["n"] for r in store.read("dm_segments").collect()}
+    assert sum(gold.values()) == raw.count() and dict(store.read("dm_segments").dtypes)["n"] == "bigint"
