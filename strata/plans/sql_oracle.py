@@ -192,7 +192,7 @@ SELECT batch_run_id, run_start_datetime, load_type FROM batches WHERE run_status
 ORDER BY batch_run_id DESC, run_start_datetime DESC LIMIT 1""")
 
 ORACLE["audit_state"] = """
-SELECT user_id AS process_id, dayofmonth(ts) AS batch_run_id, event_type AS source_table_name,
+SELECT user_id AS process_id, CAST(dayofmonth(ts) AS INTEGER) AS batch_run_id, event_type AS source_table_name,
        ts AS event_time, value AS output_row
 FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, dayofmonth(ts), event_type
@@ -200,10 +200,10 @@ QUALIFY row_number() OVER (PARTITION BY user_id, dayofmonth(ts), event_type
 
 ORACLE["run_summary"] = _with(CONTROL_CTES, """
 SELECT batch_run_id, COUNT(*) AS tables_total,
-       SUM(CASE WHEN operation_result IN ('Success','SUCCESS','success') THEN 1 ELSE 0 END) AS tables_successful,
-       SUM(CASE WHEN operation_result = 'Failed' THEN 1 ELSE 0 END) AS tables_failed,
+       CAST(SUM(CASE WHEN operation_result IN ('Success','SUCCESS','success') THEN 1 ELSE 0 END) AS BIGINT) AS tables_successful,
+       CAST(SUM(CASE WHEN operation_result = 'Failed' THEN 1 ELSE 0 END) AS BIGINT) AS tables_failed,
        ROUND(SUM(CASE WHEN operation_result IN ('Success','SUCCESS','success') THEN 1 ELSE 0 END) * 100.0 / COUNT(*), 2) AS success_rate,
-       SUM(input_row) AS rows_fetched, SUM(output_row) AS rows_processed,
+       CAST(SUM(input_row) AS BIGINT) AS rows_fetched, CAST(SUM(output_row) AS BIGINT) AS rows_processed,
        COALESCE(array_to_string(list_sort(list_distinct(list(destination_table_name) FILTER (WHERE operation_result = 'Failed'))), ', '), '') AS failed_tables
 FROM audit GROUP BY batch_run_id""")
 
@@ -355,7 +355,7 @@ SELECT l_orderkey, l_linenumber, l_partkey,
             WHEN l_returnflag = 'R' THEN '{' || CAST(l_partkey AS VARCHAR) || ',' || CAST(l_suppkey AS VARCHAR) || ',None}'
             ELSE '{' || CAST(l_partkey AS VARCHAR) || ',' || CAST(l_suppkey AS VARCHAR) || ','
                  || CAST(l_linenumber AS VARCHAR) || '}' END AS arr,
-       to_json({'k': l_partkey, 'f': l_returnflag}) AS js
+       CAST(to_json({'k': l_partkey, 'f': l_returnflag}) AS VARCHAR) AS js
 FROM lineitem"""
 
 ORACLE["dedup_rows"] = "SELECT DISTINCT l_returnflag, l_linestatus, l_shipdate FROM lineitem"

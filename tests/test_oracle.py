@@ -13,6 +13,8 @@ from .conftest import SF_ORACLE
 
 QUERIES = queries()
 ORACLE = oracle_sql()
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                   "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN", "float": "FLOAT"}
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +37,8 @@ def test_query_matches_oracle(spark, duck, name):
     o_cols = [d[0] for d in res.description]
     o_rows = [tuple(r) for r in res.fetchall()]
     assert sorted(df.columns) == sorted(o_cols)
+    rel = duck.sql(ORACLE[name])
+    assert {c: SPARK_TO_DUCKDB.get(t, t) for c, t in df.dtypes} == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert len(s_rows) == len(o_rows)
     hs, ls = digest(df.columns, s_rows)
     ho, lo = digest(o_cols, o_rows)
