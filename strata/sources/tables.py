@@ -17,25 +17,40 @@ FIXTURE_TABLES = (
 )
 
 
+SPREAD_MIN_BYTES = 128 << 10
+
+
+def _spread_target(spark: SparkSession, df: DataFrame) -> int | None:
+    """Partition count for spreading a scan, or None to leave it alone.
+
+    Only in local mode: there a fixture file is one row group, so a scan is
+    one task, and a round-robin shuffle stays inside the process.  On a
+    cluster a large table has many splits already and a small one should stay
+    small (a repartition to the cluster's parallelism would create thousands
+    of near-empty tasks), so nothing is done.  Inputs under 128 KB are left as is.
+    """
+    try:
+        sc = spark.sparkContext
+        if not sc.master.startswith("local"):
+            return None
+        target = sc.defaultParallelism
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- Spark Connect: no RDD or plan access
+        return None
+    if size < SPREAD_MIN_BYTES or splits >= target:
+        return None
+    return target
+
+
 def read_table(spark: SparkSession, base: str, name: str, spread: bool = True) -> DataFrame:
     """Read ``<base>/<name>.parquet`` (a file or a folder of parts).
 
-    ``spread``: a scan with fewer splits than the cluster's default
-    parallelism (a small file of one row group is one task) is spread
-    round-robin over the cores, so the joins and aggregates above it do not
-    run in a single task.  A large table already has at least that many
-    splits and is left alone, so no shuffle is added at scale.
+    ``spread`` applies the local-mode spreading of ``_spread_target``.
     """
     df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
-    if spread:
-        try:
-            target = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 -- Spark Connect has no RDD view: leave the scan as is
-            return df
-        if splits < target:
-            df = df.repartition(target)
-    return df
+    target = _spread_target(spark, df) if spread else None
+    return df.repartition(target) if target else df
 
 
 class Tables:
