@@ -9,9 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.functions import codes
+from strata.operators import clean, control, loads, schema, windows
+from strata.operators.rowindex import row_index
+from strata.plans import emission, listing, pnl
 from strata.plans import fixtures as fx
-from strata.plans import pnl
+from strata.sources import templates
 from strata.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,9 +78,6 @@ def pnl_ebitda(spark, sf_dir):
 
 # --- windows and loads (FP-01..04, IO-04..11, WN-02) -----------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from strata.operators import control, loads, windows  # noqa: E402
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
 RUN1_TS = "2024-01-20 00:00:00"
@@ -216,9 +218,6 @@ def config_plan(spark, sf_dir):
 
 # --- silver cleaning steps (F-01..F-16, FP-14, IO-12..16, AG-10, WN-01) ----
 
-from strata.functions import semistructured  # noqa: E402
-from strata.operators import clean, schema  # noqa: E402
-from strata.operators.rowindex import row_index  # noqa: E402
 
 CASE_CONFIG = {"name_upper": "UPPER", "name_lower": "lower", "name_title": "TITLE",
                "name_cap": "CAPITALIZE", "name_strip": "STRIP", "name_sentence": "SENTENCE",
@@ -354,8 +353,6 @@ def schema_align(spark, sf_dir):
 
 # --- emission mart (PJ-10: D-01..D-05, JN-05, SO-02, SL-01) -----------------
 
-from strata.plans import emission  # noqa: E402
-
 
 def _bookings(spark, sf_dir):
     return Tables.for_session(spark, sf_dir).memo("booking_model", fx.booking_model)
@@ -386,7 +383,6 @@ def emission_mart(spark, sf_dir):
 
 # --- booking / service listing (PJ-08: JN-02/03/04/06/07, AG-08, SO-01, D-06..D-11)
 
-from strata.plans import listing  # noqa: E402
 
 WHOLE_PERIOD = listing.ListingParams(remit_from="1995-01-01 00:00:00", remit_to="2001-12-31 23:59:59",
                                      market_profile_id=1, organization_ids=None)
@@ -422,8 +418,6 @@ def listing_union(spark, sf_dir):
 
 # --- gold template source (IO-03, F-05) ---------------------------------------
 
-from strata.functions import codes  # noqa: E402
-from strata.sources import templates  # noqa: E402
 
 GOLD_TEMPLATE = """
 SELECT event_type, user_id, CAST(COUNT(*) AS DOUBLE) AS n_events, ROUND(SUM(value), 2) AS total_value
