@@ -40,6 +40,12 @@ def shift_hours(ts: Column, hours: Column) -> Column:
     return F.timestamp_add("HOUR", hours.cast("int"), ts)
 
 
+def shift_minutes(ts: Column, hours: Column) -> Column:
+    """Shift by fractional hours kept as minutes (UTC+5:30 -> 330 minutes);
+    an option beside the reference's whole-hour ``DATEADD`` (survey quirk 22)."""
+    return F.timestamp_add("MINUTE", F.round(hours * 60).cast("int"), ts)
+
+
 def wall_minutes(ts: Column) -> Column:
     """Whole minutes of wall-clock time since 1970-01-01 00:00.
 

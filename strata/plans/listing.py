@@ -40,17 +40,24 @@ LOC = "/ServiceDetailsInfo/IL/@LOC"
 SD = "/ServiceDetailsInfo/IL/@SD"
 ED = "/ServiceDetailsInfo/IL/@ED"
 
-COLUMNS = ["dom_int", "musafir_ref", "id", "market", "organization_id", "organization", "rm", "approved",
+COLUMNS = ["dom_int", "trip_reference", "id", "market", "organization_id", "organization", "rm", "approved",
            "category", "e_ticket_number", "ticket_status", "for_name", "in_label", "on_at", "route_city",
            "hotel_country", "from_date", "to_date", "flight_time", "amount", "estimated_traveler", "org_group"]
 
 
+# Fixed values of the reference: market offsets passed to TODATETIMEOFFSET.
+MARKET_OFFSETS_HOURS = {1: 4, 2: 5.5, 3: 3, 4: 3}
+
+
 @dataclass(frozen=True)
 class ListingParams:
     remit_from: str = "2025-11-17 20:00:00"
     remit_to: str = "2025-12-17 20:00:00"
     market_profile_id: int = 1
     organization_ids: tuple | None = (14688,)
+    # options beyond the reference (survey quirks 21, 22); defaults keep parity
+    shift_approved_by_market: bool = False     # print the remit date in the market's local time
+    utc_offset_in_minutes: bool = False        # apply UTC+5:30 as 330 minutes, not 5 hours
 
 
 def _market_label(mp: Column) -> Column:
@@ -60,13 +67,20 @@ def _market_label(mp: Column) -> Column:
     return e
 
 
-def _approved(mp: Column, remit: Column) -> Column:
+def _approved(mp: Column, remit: Column, p: "ListingParams | None" = None) -> Column:
     # TODATETIMEOFFSET attaches an offset without moving the clock, so the
-    # printed date is the stored one for every market (quirk 21).
+    # printed date is the stored one for every market (quirk 21); the option
+    # moves the clock by the market's offset first.
+    if p is not None and p.shift_approved_by_market:
+        offset = None
+        for k, h in MARKET_OFFSETS_HOURS.items():
+            e = F.lit(int(round(h * 60)))
+            offset = F.when(mp == k, e) if offset is None else offset.when(mp == k, e)
+        remit = F.timestamp_add("MINUTE", offset, remit)
     return F.when(mp.isin(*MARKETS.keys()), dates.format_dmy(remit))
 
 
-def itinerary_rollup(m, bookings: DataFrame | None = None) -> DataFrame:
+def itinerary_rollup(m, bookings: DataFrame | None = None, utc_offset_in_minutes: bool = False) -> DataFrame:
     """Per booking: flight minutes (halved for round trips), first departure,
     last arrival, lowest cabin name, route list (AG-08).
 
@@ -93,8 +107,9 @@ def itinerary_rollup(m, bookings: DataFrame | None = None) -> DataFrame:
          .join(c1, F.col("a1_city") == F.col("c1_id"))
          .join(a2, F.col("ArrivalAirportID") == F.col("a2_id"))
          .join(c2, F.col("a2_city") == F.col("c2_id")))
-    minutes = dates.minute_boundaries(dates.shift_hours(F.col("Departure"), -F.col("utc1")),
-                                      dates.shift_hours(F.col("Arrival"), -F.col("utc2")))
+    shift = dates.shift_minutes if utc_offset_in_minutes else dates.shift_hours
+    minutes = dates.minute_boundaries(shift(F.col("Departure"), -F.col("utc1")),
+                                      shift(F.col("Arrival"), -F.col("utc2")))
     leg = F.concat_ws("-", F.col("a1_code"), F.col("a2_code"))
     g = j.groupBy("b_id", "AirTripTypeID").agg(
         F.sum(minutes).alias("_minutes"),
@@ -153,7 +168,7 @@ def booking_branch(m, p: ListingParams) -> DataFrame:
     # bookings the report can select, from booking-level predicates only (one
     # filtered scan, no join): the rollup then covers the report period only
     selected = m.booking.filter(_own_conditions(p) & (F.col("TravelSectorID") == 1)).select("ID")
-    route = itinerary_rollup(m, selected).select(F.col("ID").alias("ARI_ID"), *[F.col(c).alias(f"ARI_{c}") for c in
+    route = itinerary_rollup(m, selected, p.utc_offset_in_minutes).select(F.col("ID").alias("ARI_ID"), *[F.col(c).alias(f"ARI_{c}") for c in
                                                                       ("Flight_Time", "From", "To", "In", "Route")])
     hpi = m.hotel_property_item.select(F.col("ID").alias("HPI_ID"), F.col("NameEN").alias("HPI_Name"),
                                        "HotelPropertyID")
@@ -176,12 +191,12 @@ def booking_branch(m, p: ListingParams) -> DataFrame:
     mp = F.col("MarketProfileID")
     return j.select(
         F.when(F.col("IsDomestic") == F.lit(True), "Domestic").otherwise("International").alias("dom_int"),
-        F.col("SystemReference").alias("musafir_ref"),
+        F.col("SystemReference").alias("trip_reference"),
         F.concat_ws("-", F.lit("B"), F.col("B_ID").cast("string")).alias("id"),
         _market_label(mp).alias("market"),
         F.col("Org_ID").cast("bigint").alias("organization_id"), F.col("Org_Name").alias("organization"),
         F.concat_ws(" ", F.col("FirstName"), F.col("LastName")).alias("rm"),
-        _approved(mp, F.col("RemitDate")).alias("approved"),
+        _approved(mp, F.col("RemitDate"), p).alias("approved"),
         F.when(air, "Flight").when(htl, "Hotel").alias("category"),
         F.coalesce(F.when(htl, F.col("ProviderConfirmationReference")).otherwise(F.col("at_eticket")),
                    F.lit("-")).alias("e_ticket_number"),
@@ -297,12 +312,12 @@ def service_branch(m, p: ListingParams) -> DataFrame:
     return j.select(
         F.when(name.ilike("%DOM%"), DOMESTIC_LABEL_SERVICE).when(name.ilike("%INT%"), "International")
          .otherwise("-").alias("dom_int"),
-        F.col("SystemReference").alias("musafir_ref"),
+        F.col("SystemReference").alias("trip_reference"),
         F.concat_ws("-", F.lit("S"), F.col("S_ID").cast("string")).alias("id"),
         _market_label(mp).alias("market"),
         F.col("Org_ID").cast("bigint").alias("organization_id"), F.col("Org_Name").alias("organization"),
         F.concat_ws(" ", F.col("FirstName"), F.col("LastName")).alias("rm"),
-        _approved(mp, F.col("RemitDate")).alias("approved"),
+        _approved(mp, F.col("RemitDate"), p).alias("approved"),
         F.when(flight, "Flight").when(hotel, "Hotel").otherwise(name).alias("category"),
         F.coalesce(F.col("ProviderConfirmationReference"), F.lit("-")).alias("e_ticket_number"),
         F.col("BS_Name").alias("ticket_status"),

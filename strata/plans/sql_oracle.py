@@ -610,7 +610,7 @@ traveler_or AS (
   LEFT JOIN traveler T ON ATR.TravelerID = T.ID OR HT.TravelerID = T.ID),
 booking_rows AS (
   SELECT CASE WHEN B.IsDomestic THEN 'Domestic' ELSE 'International' END AS dom_int,
-         BF.SystemReference AS musafir_ref, 'B-' || CAST(B.ID AS VARCHAR) AS id,
+         BF.SystemReference AS trip_reference, 'B-' || CAST(B.ID AS VARCHAR) AS id,
          CASE BF.MarketProfileID WHEN 1 THEN 'UAE' WHEN 2 THEN 'India' WHEN 3 THEN 'Qatar' WHEN 4 THEN 'Saudi Arabia' END AS market,
          CAST(O.ID AS BIGINT) AS organization_id, O.Name AS organization, concat_ws(' ', U.FirstName, U.LastName) AS rm,
          CASE WHEN BF.MarketProfileID IN (1, 2, 3, 4) THEN strftime(B.RemitDate, '%d/%m/%Y') END AS approved,
@@ -650,7 +650,7 @@ booking_rows AS (
 service_rows AS (
   SELECT CASE WHEN STY.NameEN ILIKE '%DOM%' THEN 'Domastic' WHEN STY.NameEN ILIKE '%INT%' THEN 'International'
               ELSE '-' END AS dom_int,
-         BF.SystemReference AS musafir_ref, 'S-' || CAST(S.ID AS VARCHAR) AS id,
+         BF.SystemReference AS trip_reference, 'S-' || CAST(S.ID AS VARCHAR) AS id,
          CASE BF.MarketProfileID WHEN 1 THEN 'UAE' WHEN 2 THEN 'India' WHEN 3 THEN 'Qatar' WHEN 4 THEN 'Saudi Arabia' END AS market,
          CAST(O.ID AS BIGINT) AS organization_id, O.Name AS organization, concat_ws(' ', U.FirstName, U.LastName) AS rm,
          CASE WHEN BF.MarketProfileID IN (1, 2, 3, 4) THEN strftime(S.RemitDate, '%d/%m/%Y') END AS approved,

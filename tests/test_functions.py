@@ -174,3 +174,14 @@ def test_tsql_concat_treats_null_as_empty(spark):
     df = spark.createDataFrame([("a", None, 3)], "x string, y string, z int")
     assert df.select(text.tsql_concat(F.col("x"), F.col("y"), F.col("z"))).first()[0] == "a3"
     assert df.select(F.concat(F.col("x"), F.col("y"))).first()[0] is None      # Pg || propagates NULL
+
+
+def test_listing_options_beyond_parity(spark):
+    from strata.plans.listing import ListingParams, _approved
+    df = spark.createDataFrame([(2, dt.datetime(2024, 1, 1, 20, 0), 5.5)], "mp int, r timestamp_ntz, u double")
+    parity = df.select(_approved(F.col("mp"), F.col("r"))).first()[0]
+    shifted = df.select(_approved(F.col("mp"), F.col("r"), ListingParams(shift_approved_by_market=True))).first()[0]
+    assert (parity, shifted) == ("01/01/2024", "02/01/2024")    # 20:00 + 5:30 crosses midnight
+    r = df.select(dates.shift_minutes(F.col("r"), -F.col("u")).alias("m"),
+                  dates.shift_hours(F.col("r"), -F.col("u")).alias("h")).first()
+    assert r["m"] == dt.datetime(2024, 1, 1, 14, 30) and r["h"] == dt.datetime(2024, 1, 1, 15, 0)
