@@ -44,7 +44,8 @@ class TableStore:
     def read(self, name: str) -> DataFrame | None:
         v = self.version(name)
         if v is None:
-            return None
+            # a partitioned table (``PartitionedTable``) has no commit log
+            return PartitionedTable(self.spark, self._table(name), "").read()
         return self.spark.read.parquet(f"{self._table(name)}/v={v:06d}")
 
     def has_tag(self, name: str, tag: str) -> bool:
@@ -113,7 +114,15 @@ class PartitionedTable:
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(self.partition_col).parquet(self.path))
 
-    def replace_window(self, incoming: DataFrame, window) -> list:
+    def replace_all(self, df: DataFrame) -> None:
+        """Replace the whole table (full load), staged through a checkpoint."""
+        from strata.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(self.spark)
+        staged = df.checkpoint(eager=True)
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(self.partition_col).parquet(self.path))
+
+    def replace_window(self, incoming: DataFrame, window, scope=None) -> list:
         """Idempotent window append (IO-08) that rewrites only touched partitions.
 
         Returns the partition values that were rewritten.  Their number is
@@ -124,7 +133,10 @@ class PartitionedTable:
         existing = self.read()
         parts = incoming.select(p)
         if existing is not None and window is not None:
-            parts = parts.unionByName(existing.filter(F.coalesce(window, F.lit(False))).select(p))
+            gone = F.coalesce(window, F.lit(False))
+            if scope is not None:
+                gone = gone & F.coalesce(scope, F.lit(False))
+            parts = parts.unionByName(existing.filter(gone).select(p))
         touched = [r[0] for r in parts.distinct().collect()]
         if not touched:
             return []
@@ -133,6 +145,9 @@ class PartitionedTable:
             return touched
         keep = existing.filter(F.col(p).isin(touched))
         if window is not None:
-            keep = keep.filter(~F.coalesce(window, F.lit(False)))
+            inside = F.coalesce(window, F.lit(False))
+            if scope is not None:
+                inside = inside & F.coalesce(scope, F.lit(False))
+            keep = keep.filter(~inside)
         self._write(keep.unionByName(incoming.select(*existing.columns)))
         return touched
