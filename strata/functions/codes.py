@@ -74,3 +74,10 @@ def cast_integral_floats(df: DataFrame) -> DataFrame:
     """Integral float columns become bigint (F-05)."""
     ints = set(integral_float_columns(df))
     return df.select([F.col(c).cast("bigint").alias(c) if c in ints else F.col(c) for c in df.columns])
+
+
+def nan_to_null_all(df: DataFrame) -> DataFrame:
+    """NaN -> NULL in every float column, as every layer's writer does (F-03)."""
+    cols = {f.name: nan_to_null(F.col(f.name)) for f in df.schema.fields
+            if f.dataType.typeName() in ("double", "float")}
+    return df.withColumns(cols) if cols else df

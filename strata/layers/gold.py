@@ -35,7 +35,7 @@ def load_gold_table(store: TableStore, cfg: GoldTable, ctx: RunContext, views: d
     df = counts.source(templates.run_template(spark, cfg.data_load_sql_template, ctx.run_type, lower,
                                               ctx.upper_bound, views))
     existing = store.read(cfg.target_table_name)
-    shaped = codes.cast_integral_floats(df)
+    shaped = codes.cast_integral_floats(codes.nan_to_null_all(df))
     if existing is not None:
         shaped = schema.cast_like(shaped, existing.schema)
     incoming = counts.sink(shaped)

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import functions as F
 
+from strata.functions import codes
 from strata.layers.common import Counted, RunContext, TableResult, status_of
 from strata.operators import clean, loads, schema, windows
 from strata.sources.store import TableStore
@@ -50,7 +51,7 @@ def load_silver_table(store: TableStore, cfg: SilverTable, ctx: RunContext, last
     js, arr = schema.special_columns(shaped.schema)
     shaped = schema.serialise_for_target(shaped, js, arr, cfg.xml_columns)
     existing = store.read(cfg.clean_table_name)
-    stamped = loads.stamp(shaped, ctx.run_ts)
+    stamped = codes.nan_to_null_all(loads.stamp(shaped, ctx.run_ts))
     if existing is not None:
         stamped = schema.cast_like(stamped, existing.schema)
     incoming = counts.sink(stamped)

@@ -185,3 +185,9 @@ def test_listing_options_beyond_parity(spark):
     r = df.select(dates.shift_minutes(F.col("r"), -F.col("u")).alias("m"),
                   dates.shift_hours(F.col("r"), -F.col("u")).alias("h")).first()
     assert r["m"] == dt.datetime(2024, 1, 1, 14, 30) and r["h"] == dt.datetime(2024, 1, 1, 15, 0)
+
+
+def test_nan_to_null_all(spark):
+    df = spark.createDataFrame([(float("nan"), 1.5, "x")], "a double, b double, c string")
+    r = codes.nan_to_null_all(df).first()
+    assert r["a"] is None and r["b"] == 1.5 and r["c"] == "x"
