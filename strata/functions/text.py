@@ -32,6 +32,12 @@ def collapse_spaces(c) -> Column:
     return F.regexp_replace(_c(c), f"{PY_SPACE}+", " ")
 
 
+def _titlecase_char(ch: Column) -> Column:
+    """Titlecase of one character: upper case, except letters whose titlecase
+    differs (Python turns a leading 'ß' into 'Ss', upper() gives 'SS')."""
+    return F.when(ch == "ß", F.lit("Ss")).otherwise(F.upper(ch))
+
+
 def py_title(c) -> Column:
     """Python ``str.title()`` (F-08): a word starts after any non-letter.
 
@@ -41,14 +47,15 @@ def py_title(c) -> Column:
     """
     runs = F.regexp_extract_all(_c(c), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
     return F.array_join(
-        F.transform(runs, lambda x: F.concat(F.upper(F.left(x, F.lit(1))), F.lower(F.substring(x, 2, 1 << 30)))),
+        F.transform(runs, lambda x: F.concat(_titlecase_char(F.left(x, F.lit(1))),
+                                             F.lower(F.substring(x, 2, 1 << 30)))),
         "")
 
 
 def py_capitalize(c) -> Column:
     """Python ``str.capitalize()``: first character upper, the rest lower."""
     c = _c(c)
-    return F.concat(F.upper(F.left(c, F.lit(1))), F.lower(F.substring(c, 2, 1 << 30)))
+    return F.concat(_titlecase_char(F.left(c, F.lit(1))), F.lower(F.substring(c, 2, 1 << 30)))
 
 
 # Fixed values of the reference: the case rules.
