@@ -19,12 +19,25 @@ XML_ENTITY_FIXES = (("&Lt;", "&lt;"), ("&Gt;", "&gt;"))
 XML_BARE_AMPERSAND = r"&(?!amp;|lt;|gt;|apos;|quot;)"
 
 
+_PROLOG = r"^\s*(?:<\?xml[^>]*\?>\s*)?(?:<!--(?:(?!-->).)*-->\s*)*"
+
+
+def _single_root(c: Column) -> Column:
+    """The document is one root element with nothing after it: it ends by
+    closing the element it opened, or is that element self-closed.
+    (``from_xml`` reads the first element and ignores what follows.)"""
+    root = F.regexp_extract(c, _PROLOG + r"<([A-Za-z_][\w.:-]*)", 1)
+    closes = F.endswith(F.rtrim(c), F.concat(F.lit("</"), root, F.lit(">")))
+    self_closed = c.rlike(_PROLOG + r"<[A-Za-z_][\w.:-]*(?:\s[^<>]*)?/>\s*$")
+    return (root != "") & (closes | self_closed)
+
+
 def is_wellformed_xml(c: Column) -> Column:
-    """True when ``c`` parses as an XML document; NULL for a NULL cell."""
+    """True when ``c`` parses as one XML document; NULL for a NULL cell."""
     parsed = F.from_xml(c, f"{_CORRUPT} string",
                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     return F.when(c.isNull(), F.lit(None)).otherwise(
-        F.trim(c).startswith("<") & parsed.getField(_CORRUPT).isNull())
+        F.trim(c).startswith("<") & parsed.getField(_CORRUPT).isNull() & _single_root(c))
 
 
 def repair_xml(c: Column) -> Column:
@@ -179,7 +192,7 @@ class XmlDoc:
     def _set(self, parsed: Column) -> None:
         self.parsed = parsed
         self.ok = F.when(self.cell.isNull(), F.lit(None)).otherwise(
-            F.ltrim(self.cell).startswith("<") & parsed.getField(_CORRUPT).isNull())
+            F.ltrim(self.cell).startswith("<") & parsed.getField(_CORRUPT).isNull() & _single_root(self.cell))
 
     def bind(self, df: DataFrame, name: str = "_xml") -> DataFrame:
         """Materialise the parsed struct as column ``name``; later reads use it."""

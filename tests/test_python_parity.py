@@ -71,3 +71,34 @@ def test_datetime_formats_match_strptime(spark):
             except ValueError:
                 expected = None
             assert r["r"] == expected, (name, r["v"])
+
+
+def _py_repair(v):
+    import xml.etree.ElementTree as ET
+    try:
+        ET.fromstring(v.encode())
+        return v
+    except ET.ParseError:
+        f = re.sub(r"&(?!amp;|lt;|gt;|apos;|quot;)", "&amp;", v.replace("&Lt;", "&lt;").replace("&Gt;", "&gt;"))
+        try:
+            ET.fromstring(f.encode())
+            return f
+        except ET.ParseError:
+            return None
+
+
+def test_xml_repair_matches_python_parser(spark):
+    from strata.functions import semistructured
+    rnd = random.Random(3)
+    toks = ["a", "b", " ", "&", "&amp;", "&Lt;", "&Gt;", "&lt;", "<i>", "</i>", "x=1", "<br/>", "&#38;", ";", "'",
+            '"', "<", "> "]
+    wraps = [("<a>", "</a>"), ("<a x='1'>", "</a>"), ("<a>", "</b>"), ("", ""), ("<?xml version='1.0'?><a>", "</a>"),
+             ("<a>", "</a><b/>")]
+    data = []
+    for _ in range(400):
+        body = "".join(rnd.choice(toks) for _ in range(rnd.randint(0, 6)))
+        w = rnd.choice(wraps)
+        data.append((w[0] + body + w[1],))
+    got = spark.createDataFrame(data, "s string").select("s", semistructured.repair_xml(F.col("s")).alias("r"))
+    for r in got.collect():
+        assert r["r"] == _py_repair(r["s"]), r["s"]
