@@ -189,3 +189,20 @@ def test_partitioned_bronze_window_append(spark, scratch):
     # rerunning the same DELTA window changes nothing
     load_bronze_table(store, ev, cfg, ctx2, "2024-01-18 00:00:00")
     assert store.read("raw_events_by_day").count() == ev.count()
+
+
+def test_gold_append_strategy_replaces_its_window(spark, scratch):
+    store = TableStore(spark, scratch)
+    ev = Tables(spark, SF_SMALL).events
+    sql = ("SELECT event_id, ts, value FROM silver_events "
+           "WHERE ts > {lower_bound_time} AND ts < {upper_bound_time}")
+    cfg = GoldTable("dm_event_facts", sql, "APPEND", incremental_extract_key="ts")
+    views = {"silver_events": ev}
+    full = RunContext(batch_run_id=1, run_type="FULL", upper_bound="2024-01-20 00:00:00")
+    load_gold_table(store, cfg, full, views)
+    delta = RunContext(batch_run_id=2, run_type="DELTA", upper_bound="2024-01-25 00:00:00")
+    load_gold_table(store, cfg, delta, views, last_processed="2024-01-18 00:00:00")
+    load_gold_table(store, cfg, delta, views, last_processed="2024-01-18 00:00:00")   # rerun: no duplicates
+    out = store.read("dm_event_facts")
+    expected = ev.filter((F.col("ts") > "2000-01-01") & (F.col("ts") < "2024-01-25 00:00:00"))
+    assert out.count() == expected.count() == out.select("event_id").distinct().count()
