@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.layers.common import Counted, RunContext, TableResult, status_of
+from strata.layers.common import Counted, RunContext, TableResult, status_of, with_load_day, write_target
 from strata.operators import clean, loads, schema, windows
 from strata.sources.store import TableStore
 
@@ -33,8 +33,6 @@ class BronzeTable:
     partition_date_of: str | None = None
 
 
-PARTITION_COLUMN = "load_day"
-
 
 def load_bronze_table(store: TableStore, source: DataFrame, cfg: BronzeTable, ctx: RunContext,
                       last_processed=None, source_db: tuple | None = None) -> TableResult:
@@ -55,34 +53,20 @@ def load_bronze_table(store: TableStore, source: DataFrame, cfg: BronzeTable, ct
     staged = clean.bronze_clean(loads.stamp(src, ctx.run_ts))
     if existing is not None:
         staged = schema.cast_like(staged, existing.schema)
-    if cfg.partition_date_of:
-        staged = staged.withColumn(PARTITION_COLUMN, F.to_date(F.col(cfg.partition_date_of)))
-    incoming = counts.sink(staged)
-    if cfg.partition_date_of:
-        _write_partitioned(store, cfg, ctx, existing, incoming, window, last_processed, source_db)
-    else:
-        res.version = store.write(cfg.target_table_name,
-                                  new_state(existing, incoming, cfg, ctx, window, last_processed, source_db))
+    incoming = counts.sink(with_load_day(staged, cfg.partition_date_of))
+    window_replace = (ctx.run_type.upper() == "DELTA" and cfg.load_type.lower() == "append"
+                      and last_processed is not None and existing is not None)
+    scope = None if source_db is None else (F.col("source_db_id") == F.lit(source_db[0]))
+    res.version = write_target(
+        store, cfg.target_table_name,
+        lambda: new_state(existing, incoming, cfg, ctx, window, last_processed, source_db),
+        date_of=cfg.partition_date_of, window_replace=window_replace, incoming=incoming, window=window,
+        scope=scope)
     res.fetched, res.processed = counts.result()
     res.status = status_of(res.fetched, res.processed)
     return res
 
 
-def _write_partitioned(store, cfg: BronzeTable, ctx: RunContext, existing, incoming, window,
-                       last_processed, source_db) -> None:
-    """Partitioned target: window appends replace only the touched days."""
-    from strata.sources.store import PartitionedTable
-
-    table = PartitionedTable(store.spark, f"{store.root}/{cfg.target_table_name}", PARTITION_COLUMN)
-    scope = None if source_db is None else (F.col("source_db_id") == F.lit(source_db[0]))
-    lt = cfg.load_type.lower()
-    if (ctx.run_type.upper() == "DELTA" and lt == "append" and last_processed is not None
-            and existing is not None):
-        table.replace_window(incoming, window, scope)
-    else:
-        table.replace_all(new_state(existing, incoming, cfg, ctx, window, last_processed, source_db))
-
-
 def new_state(existing, incoming, cfg: BronzeTable, ctx: RunContext, window, last_processed, source_db):
     """The target's next state under the table's load type."""
     scope = None if source_db is None else (F.col("source_db_id") == F.lit(source_db[0]))

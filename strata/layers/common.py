@@ -99,3 +99,30 @@ def audit_event(spark: SparkSession, ctx: RunContext, *, source: str, db_code: s
            started, ended, result.fetched if result else None, result.processed if result else None,
            result.status if result else IN_PROGRESS, (result.error or None) if result else None, now())
     return spark.createDataFrame([row], AUDIT_SCHEMA)
+
+
+PARTITION_COLUMN = "load_day"
+
+
+def with_load_day(df: DataFrame, date_of: str | None) -> DataFrame:
+    """Add the day partition column derived from a timestamp column (opt-in)."""
+    return df.withColumn(PARTITION_COLUMN, F.to_date(F.col(date_of))) if date_of else df
+
+
+def write_target(store, name: str, state_fn, *, date_of: str | None, window_replace: bool,
+                 incoming: DataFrame, window, scope=None) -> int | None:
+    """Write a layer target.
+
+    Unpartitioned: the next state (``state_fn()``) becomes a new version.
+    Day-partitioned (``date_of`` set): a window load replaces only the days
+    the window touches; any other load replaces the whole table.
+    """
+    if not date_of:
+        return store.write(name, state_fn())
+    from strata.sources.store import PartitionedTable
+    table = PartitionedTable(store.spark, f"{store.root}/{name}", PARTITION_COLUMN)
+    if window_replace:
+        table.replace_window(incoming, window, scope)
+    else:
+        table.replace_all(state_fn())
+    return None

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from strata.functions import codes
-from strata.layers.common import Counted, RunContext, TableResult, status_of
+from strata.layers.common import Counted, RunContext, TableResult, status_of, with_load_day, write_target
 from strata.operators import loads, schema, windows
 from strata.sources import templates
 from strata.sources.store import TableStore
@@ -22,6 +22,7 @@ class GoldTable:
     incremental_extract_key: str | None = None
     execution_order: int = 0
     bound_append_delete: bool = True              # survey quirk 16
+    partition_date_of: str | None = None          # opt-in day partitioning, as for bronze
 
 
 def load_gold_table(store: TableStore, cfg: GoldTable, ctx: RunContext, views: dict[str, DataFrame],
@@ -38,25 +39,30 @@ def load_gold_table(store: TableStore, cfg: GoldTable, ctx: RunContext, views: d
     shaped = codes.cast_integral_floats(codes.nan_to_null_all(df))
     if existing is not None:
         shaped = schema.cast_like(shaped, existing.schema)
-    incoming = counts.sink(shaped)
+    incoming = counts.sink(with_load_day(shaped, cfg.partition_date_of))
     strategy = cfg.ingestion_strategy.upper()
     if strategy not in ("TRUNCATE_INSERT", "APPEND", "MERGE"):
         raise ValueError(f"Unknown ingestion_strategy: {strategy}")
-    if ctx.run_type.upper() == "FULL" or strategy == "TRUNCATE_INSERT" or existing is None:
-        state = loads.full_replace(existing, incoming)
-    elif strategy == "APPEND":
-        keys = windows.split_keys(cfg.incremental_extract_key)
-        if cfg.bound_append_delete:
-            delete = windows.incremental_window(keys, lower, ctx.upper_bound)
-        else:
-            delete = windows.lower_bound_window(keys, lower)
-        state = loads.window_append(existing, incoming, delete) if delete is not None else \
-            loads.append(existing, incoming)
+    keys = windows.split_keys(cfg.incremental_extract_key)
+    if cfg.bound_append_delete:
+        delete = windows.incremental_window(keys, lower, ctx.upper_bound)
     else:
-        if not cfg.load_key:
-            raise ValueError("MERGE needs a load_key")
-        state = loads.upsert(existing, incoming, windows.split_keys(cfg.load_key), order_by=[])
-    res.version = store.write(cfg.target_table_name, state)
+        delete = windows.lower_bound_window(keys, lower)
+    if strategy == "MERGE" and not cfg.load_key:
+        raise ValueError("MERGE needs a load_key")
+    full = ctx.run_type.upper() == "FULL" or strategy == "TRUNCATE_INSERT" or existing is None
+
+    def state():
+        if full:
+            return loads.full_replace(existing, incoming)
+        if strategy == "APPEND":
+            return loads.window_append(existing, incoming, delete) if delete is not None else \
+                loads.append(existing, incoming)
+        return loads.upsert(existing, incoming, windows.split_keys(cfg.load_key), order_by=[])
+
+    res.version = write_target(store, cfg.target_table_name, state, date_of=cfg.partition_date_of,
+                               window_replace=(not full and strategy == "APPEND" and delete is not None),
+                               incoming=incoming, window=delete)
     res.fetched, res.processed = counts.result()
     res.status = status_of(res.fetched, res.processed)
     return res

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import functions as F
 
 from strata.functions import codes
-from strata.layers.common import Counted, RunContext, TableResult, status_of
+from strata.layers.common import Counted, RunContext, TableResult, status_of, with_load_day, write_target
 from strata.operators import clean, loads, schema, windows
 from strata.sources.store import TableStore
 
@@ -24,6 +24,7 @@ class SilverTable:
     load_sequence: int = 0
     steps: clean.SilverSteps = field(default_factory=clean.SilverSteps)
     xml_columns: tuple = ()
+    partition_date_of: str | None = None     # opt-in day partitioning, as for bronze
 
 
 def load_silver_table(store: TableStore, cfg: SilverTable, ctx: RunContext, last_processed=None) -> TableResult:
@@ -54,16 +55,21 @@ def load_silver_table(store: TableStore, cfg: SilverTable, ctx: RunContext, last
     stamped = codes.nan_to_null_all(loads.stamp(shaped, ctx.run_ts))
     if existing is not None:
         stamped = schema.cast_like(stamped, existing.schema)
-    incoming = counts.sink(stamped)
+    incoming = counts.sink(with_load_day(stamped, cfg.partition_date_of))
     lt = cfg.load_type.lower()
-    if ctx.run_type.upper() == "FULL" or lt == "full" or existing is None:
-        state = loads.full_replace(existing, incoming)
-    elif lt == "append":
-        state = loads.window_append(existing, incoming, window)
-    else:
-        state = loads.upsert(existing, incoming, windows.split_keys(cfg.load_key),
-                             order_by=windows.split_keys(cfg.extract_key) or None)
-    res.version = store.write(cfg.clean_table_name, state)
+
+    def state():
+        if ctx.run_type.upper() == "FULL" or lt == "full" or existing is None:
+            return loads.full_replace(existing, incoming)
+        if lt == "append":
+            return loads.window_append(existing, incoming, window)
+        return loads.upsert(existing, incoming, windows.split_keys(cfg.load_key),
+                            order_by=windows.split_keys(cfg.extract_key) or None)
+
+    window_replace = (ctx.run_type.upper() == "DELTA" and lt == "append" and existing is not None
+                      and window is not None)
+    res.version = write_target(store, cfg.clean_table_name, state, date_of=cfg.partition_date_of,
+                               window_replace=window_replace, incoming=incoming, window=window)
     res.fetched, res.processed = counts.result()
     res.status = status_of(res.fetched, res.processed)
     return res

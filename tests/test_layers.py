@@ -206,3 +206,29 @@ def test_gold_append_strategy_replaces_its_window(spark, scratch):
     out = store.read("dm_event_facts")
     expected = ev.filter((F.col("ts") > "2000-01-01") & (F.col("ts") < "2024-01-25 00:00:00"))
     assert out.count() == expected.count() == out.select("event_id").distinct().count()
+
+
+def test_partitioned_silver_and_gold_windows(spark, scratch):
+    import os
+
+    store = TableStore(spark, scratch)
+    ev = Tables(spark, SF_SMALL).events.select("event_id", "ts", "event_type", "value")
+    store.write("raw_ev", ev)
+    silver = SilverTable("raw_ev", "clean_ev", "event_id, ts, event_type, value", extract_key="ts",
+                         load_key="event_id", load_type="append", partition_date_of="ts",
+                         steps=SilverSteps(case_unification={"event_type": "UPPER"}))
+    gold_sql = ("SELECT event_id, ts, value FROM clean_ev WHERE ts > {lower_bound_time} AND ts < {upper_bound_time}")
+    gold = GoldTable("dm_ev", gold_sql, "APPEND", incremental_extract_key="ts", partition_date_of="ts")
+    c1 = RunContext(batch_run_id=1, run_type="FULL", upper_bound="2024-01-20 00:00:00")
+    load_silver_table(store, silver, c1)
+    load_gold_table(store, gold, c1, {"clean_ev": store.read("clean_ev")})
+    day3 = os.path.join(scratch, "clean_ev", "load_day=2024-01-03")
+    before = sorted(os.listdir(day3))
+    c2 = RunContext(batch_run_id=2, run_type="DELTA", upper_bound="2024-01-31 00:00:00")
+    for _ in range(2):   # idempotent rerun
+        load_silver_table(store, silver, c2, "2024-01-19 00:00:00")
+        load_gold_table(store, gold, c2, {"clean_ev": store.read("clean_ev")}, "2024-01-19 00:00:00")
+    assert sorted(os.listdir(day3)) == before
+    clean = store.read("clean_ev")
+    assert clean.count() == ev.count() == clean.select("event_id").distinct().count()
+    assert store.read("dm_ev").count() == ev.count()
