@@ -1,6 +1,6 @@
 """Load semantics as DataFrame -> DataFrame functions (IO-05..IO-11, WN-02).
 
-Each function returns the *new state* of a target table; ``strata.sinks``
+Each function returns the *new state* of a target table; ``strata.sources.store``
 writes that state.  No function deletes rows in place: a window append keeps
 the existing rows outside the window and adds the re-extracted window, an
 upsert keeps the existing rows whose key is not re-delivered.

@@ -1,6 +1,6 @@
 """Incremental loads as Structured Streaming queries.
 
-The batch pipeline finds new rows with a high-water mark (``MAX(time_to) - 5
+The batch loads find new rows with a high-water mark (``MAX(time_to) - 5
 minutes``) and relies on idempotent sinks to absorb the overlap.  For file or
 log sources the same contract is a streaming query:
 
