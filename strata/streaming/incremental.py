@@ -1,7 +1,7 @@
 """Incremental loads as Structured Streaming queries.
 
 The batch loads find new rows with a high-water mark (``MAX(time_to) - 5
-minutes``) and relies on idempotent sinks to absorb the overlap.  For file or
+minutes``) and rely on idempotent sinks to absorb the overlap.  For file or
 log sources the same contract is a streaming query:
 
 * the stream's offset log replaces the high-water mark (each file is read
