@@ -78,6 +78,21 @@ class TableStore:
         """Append to an append-only dataset (audit logs)."""
         df.write.mode("append").parquet(self._table(name))
 
+    def compact_rows(self, name: str, files: int = 1) -> None:
+        """Rewrite an append-only dataset (audit log) into ``files`` files.
+
+        Every run appends small files; reading thousands of them slows each
+        watermark lookup.  Run it between batches: the rows are staged in the
+        shared checkpoint folder first, because the write replaces what it reads.
+        """
+        from strata.session import ensure_checkpoint_dir
+        df = self.read_rows(name)
+        if df is None:
+            return
+        ensure_checkpoint_dir(self.spark)
+        staged = df.checkpoint(eager=True)
+        staged.coalesce(files).write.mode("overwrite").parquet(self._table(name))
+
     def read_rows(self, name: str) -> DataFrame | None:
         try:
             return self.spark.read.parquet(self._table(name))

@@ -145,3 +145,17 @@ def test_partitioned_window_append_rewrites_only_touched_days(spark, scratch):
     # rerunning the same window changes nothing
     table.replace_window(incoming, w)
     assert rows(table.read().select(*expected.columns)) == rows(expected)
+
+
+def test_compact_append_only_rows(spark, scratch):
+    import glob
+    import os
+
+    from strata.sources.store import TableStore
+    store = TableStore(spark, scratch)
+    for i in range(5):
+        store.append_rows("audit", spark.range(i * 10, i * 10 + 10).coalesce(1))
+    assert len(glob.glob(os.path.join(scratch, "audit", "*.parquet"))) == 5
+    store.compact_rows("audit")
+    assert len(glob.glob(os.path.join(scratch, "audit", "*.parquet"))) == 1
+    assert sorted(r[0] for r in store.read_rows("audit").collect()) == list(range(50))
