@@ -27,7 +27,8 @@ class SilverTable:
     partition_date_of: str | None = None     # opt-in day partitioning, as for bronze
 
 
-def load_silver_table(store: TableStore, cfg: SilverTable, ctx: RunContext, last_processed=None) -> TableResult:
+def load_silver_table(store: TableStore, cfg: SilverTable, ctx: RunContext, last_processed=None,
+                      lookups: dict | None = None) -> TableResult:
     res = TableResult(cfg.clean_table_name, time_from=None if last_processed is None else str(last_processed),
                       time_to=ctx.upper_bound)
     raw = store.read(cfg.raw_table_name)
@@ -41,7 +42,7 @@ def load_silver_table(store: TableStore, cfg: SilverTable, ctx: RunContext, last
     src = counts.source(src)
     steps = cfg.steps
     steps.extract_key = steps.extract_key or cfg.extract_key
-    cleaned = clean.silver_transform(src, steps, ctx.run_type)
+    cleaned = clean.silver_transform(src, steps, ctx.run_type, lookups)
     targets = [c.strip() for c in cfg.column_name.split(",") if c.strip()]
     if ctx.run_type.upper() == "FULL":
         # the configured columns must all exist after the steps (section 3.2)

@@ -187,11 +187,13 @@ class SilverSteps:
     is_duplicate_check: bool = False
 
 
-def silver_transform(df: DataFrame, s: SilverSteps, run_type: str = "DELTA") -> DataFrame:
+def silver_transform(df: DataFrame, s: SilverSteps, run_type: str = "DELTA",
+                     lookups: dict | None = None) -> DataFrame:
     """All configured steps in the reference's order.
 
     DELTA applies the business cut-off third; FULL applies it last, after
-    de-duplication (section 3.2 of the survey).
+    de-duplication (section 3.2 of the survey).  ``lookups`` (name ->
+    DataFrame) turns on the optional join-enrichment fill (JN-12).
     """
     from strata.operators.rowindex import row_index
 
@@ -205,6 +207,8 @@ def silver_transform(df: DataFrame, s: SilverSteps, run_type: str = "DELTA") ->
     if s.is_json_xml_flatten:
         df = flatten_semistructured(df, s.is_json_xml_flatten)
     df = add_placeholders(df, s.is_add_indicator, s.is_join_enrichment)
+    if lookups and s.is_join_enrichment:
+        df = join_enrichment(df, s.is_join_enrichment, lookups)
     if s.is_country_code_unification:
         df = country_code_unification(df, s.is_country_code_unification)
     if s.is_null_handling:

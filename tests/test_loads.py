@@ -159,3 +159,14 @@ def test_compact_append_only_rows(spark, scratch):
     store.compact_rows("audit")
     assert len(glob.glob(os.path.join(scratch, "audit", "*.parquet"))) == 1
     assert sorted(r[0] for r in store.read_rows("audit").collect()) == list(range(50))
+
+
+def test_silver_transform_fills_enrichment_only_with_lookups(spark):
+    from strata.operators.clean import SilverSteps, silver_transform
+    base = spark.createDataFrame([(1, 10)], "id int, nk int")
+    cfg = {"joins": [{"table": "nation", "on": [["nk", "n_nationkey"]],
+                      "selected_columns": [{"column": "n_name", "alias": "nation_name"}]}]}
+    steps = SilverSteps(is_join_enrichment=cfg)
+    assert silver_transform(base, steps).first()["nation_name"] is None
+    nation = spark.createDataFrame([(10, "TEN")], "n_nationkey int, n_name string")
+    assert silver_transform(base, steps, lookups={"nation": nation}).first()["nation_name"] == "TEN"
