@@ -170,3 +170,13 @@ def test_silver_transform_fills_enrichment_only_with_lookups(spark):
     assert silver_transform(base, steps).first()["nation_name"] is None
     nation = spark.createDataFrame([(10, "TEN")], "n_nationkey int, n_name string")
     assert silver_transform(base, steps, lookups={"nation": nation}).first()["nation_name"] == "TEN"
+
+
+def test_composite_fare_service_join(spark):
+    from strata.plans.pnl import join_fare_service
+    fare = spark.createDataFrame([(1, 13, 100.0), (1, 14, 50.0), (2, 13, 70.0)],
+                                 "fare_id long, service_type_id int, customer_price double")
+    service = spark.createDataFrame([(1, 13, 1), (1, 15, 2), (2, 13, 2)],
+                                    "cus_base_fare_id long, service_type_id int, record_type int")
+    out = join_fare_service(fare, service).select("fare_id", "service_type_id", "record_type")
+    assert rows(out) == [(1, 13, 1), (2, 13, 2)]       # both key parts must match
