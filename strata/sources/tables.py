@@ -7,6 +7,9 @@ the Parquet scan (or into the JDBC query).
 
 from __future__ import annotations
 
+import os
+from urllib.parse import urlparse
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,9 +37,12 @@ def _spread_target(spark: SparkSession, df: DataFrame) -> int | None:
         if not sc.master.startswith("local"):
             return None
         target = sc.defaultParallelism
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        files = df.inputFiles()
+        if not files or not all(f.startswith("file:") for f in files):
+            return None
+        size = sum(os.path.getsize(urlparse(f).path) for f in files)
         splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- Spark Connect: no RDD or plan access
+    except Exception:  # noqa: BLE001 -- Spark Connect: no RDD view
         return None
     if size < SPREAD_MIN_BYTES or splits >= target:
         return None
