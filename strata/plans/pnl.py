@@ -9,8 +9,9 @@ share two one-row aggregates:
 * ``ledger_summary``: one pass over the ledger with one conditional sum per
   category rule (AG-03) -- incentive, expense and EBITDA expense.
 
-Each statement is then a projection of the cross join of those one-row frames
-(JN-08), so the whole P&L costs one scan of each fact.  A rule with no
+Each statement is then a projection of those one-row frames set side by side
+(JN-08, the reference's CROSS JOIN, done as a union folded by ``max``), so the
+whole P&L costs one scan of each fact.  A rule with no
 matching row keeps SQL's NULL (``sum`` over nothing), so profit is NULL then,
 as in the reference.
 """
@@ -144,13 +145,26 @@ def ledger_summary(transactions: DataFrame, chart: DataFrame, documents: DataFra
     )
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Side by side combination of one-row aggregates (JN-08) without a join.
+
+    The frames are stacked by name and folded with ``max`` per column: each
+    column has exactly one non-NULL source row, and a figure that is NULL
+    (a rule matching no row) stays NULL.
+    """
+    stacked = frames[0]
+    for f in frames[1:]:
+        stacked = stacked.unionByName(f, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def summary(sp: DataFrame, ledger: DataFrame) -> DataFrame:
     """All P&L figures in one row (AG-04..AG-07); both inputs are one row."""
     gmv = F.col("gmv_sale") - F.col("gmv_refund")
     purchase = F.col("purchase_sale") - F.col("purchase_refund")
     op_rev = gmv - purchase
     total_rev = op_rev + F.col("incentive_amount")
-    return sp.crossJoin(ledger).select(
+    return one_row(sp, ledger).select(
         gmv.alias("gmv"), purchase.alias("purchase"), op_rev.alias("operational_revenue"),
         F.col("incentive_amount"), total_rev.alias("total_revenue"),
         F.col("total_expense"), (total_rev + F.col("total_expense")).alias("net_profit"),

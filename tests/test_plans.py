@@ -22,8 +22,7 @@ def plan(df):
 def test_no_python_and_no_nested_loop(spark, name):
     p = plan(QUERIES[name](spark, SF_SMALL))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
-    if "pnl" not in name:
-        assert "NestedLoopJoin" not in p
+    assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
     if name not in ALLOWED_SINGLE_PARTITION:
         assert "SinglePartition" not in p, name
 
