@@ -263,7 +263,8 @@ def xml_vocabulary(df: DataFrame, column: str) -> tuple[list[str], list[tuple[st
     # elements whose own text (before the next tag) is non-blank somewhere
     tags = F.regexp_extract_all(c, F.lit(rf"<(?:{_NAME}:)?({_NAME})(?:\s[^>]*)?(?<!/)>[^<]*[^<\s]"), 1)
     names = (df.select(F.explode(tags).alias("t")).distinct().orderBy("t"))
-    tag_attr = F.regexp_extract_all(c, F.lit(rf"<(?:{_NAME}:)?({_NAME}(?:\s+{_NAME}\s*=\s*\"[^\"]*\")+)"), 1)
+    tag_attr = F.regexp_extract_all(
+        c, F.lit(rf"<(?:{_NAME}:)?({_NAME}(?:\s+{_NAME}\s*=\s*(?:\"[^\"]*\"|'[^']*'))+)"), 1)
     pairs = (df.select(F.explode(tag_attr).alias("s"))
              .select(F.regexp_extract("s", rf"^({_NAME})", 1).alias("t"),
                      F.explode(F.regexp_extract_all("s", F.lit(rf"\s({_NAME})\s*="), 1)).alias("a"))
@@ -282,7 +283,8 @@ def xml_extract_all(df: DataFrame, column: str) -> DataFrame:
     ok = F.col(ok_col)
     exprs = {}
     for t in names:
-        texts = F.xpath(c, F.lit(f"//*[local-name()='{t}']/text()"))
+        # the element's leading text (before its first child), lxml's ``.text``
+        texts = F.xpath(c, F.lit(f"//*[local-name()='{t}']/text()[not(preceding-sibling::*)]"))
         last = F.try_element_at(F.filter(texts, lambda x: F.trim(x) != ""), F.lit(-1))
         exprs[t] = F.when(ok, F.trim(last))
     for t, a in pairs:

@@ -191,3 +191,9 @@ def test_nan_to_null_all(spark):
     df = spark.createDataFrame([(float("nan"), 1.5, "x")], "a double, b double, c string")
     r = codes.nan_to_null_all(df).first()
     assert r["a"] is None and r["b"] == 1.5 and r["c"] == "x"
+
+
+def test_xml_extract_all_reads_leading_text(spark):
+    df = spark.createDataFrame([(1, "<a><b>x<c/>tail</b><d k='v'>y</d></a>")], "id int, x string")
+    r = semistructured.xml_extract_all(df, "x").first()
+    assert r["b"] == "x" and r["d"] == "y" and r["d_attr_k"] == "v"
