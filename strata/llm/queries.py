@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import quality_rules
+from strata.llm import bpe, quality_rules, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,22 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "n_stop_words", "n_lines", "n_upper", "base_failed", "kept")
 
 
+def vocabulary() -> str:
+    """Default vocabulary file of the BPE queries; the operator takes any path."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest_documents(_table(spark, sf_dir, "documents"), vocabulary())
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_bpe": op2_bpe,
     "op3_quality_rules": op3_quality_rules,
+    "op9_sharding": op9_sharding,
 }
