@@ -47,6 +47,15 @@ SELECT *, NOT {_verdict(quality_rules.BASE_RULES)} AS base_failed,
 FROM m"""
 
 
+WARC_SQL = """
+SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+       CASE WHEN strlen(coalesce(html, '')) >= 100 AND page_id <> min(page_id) OVER same
+            THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(coalesce(html, '')) >= 100 AND page_id <> min(page_id) OVER same
+            THEN min(page_id) OVER same END AS refers_to
+FROM pages WINDOW same AS (PARTITION BY coalesce(html, ''))"""
+
 ORACLE = {
     "op3_quality_rules": quality_sql(),
+    "op6_warc": WARC_SQL,
 }

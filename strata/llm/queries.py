@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, quality_rules, sharding
+from strata.llm import bpe, quality_classifier, quality_rules, sharding, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,14 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
@@ -34,5 +42,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_quality_rules": op3_quality_rules,
+    "op6_warc": op6_warc,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_sharding": op9_sharding,
 }
