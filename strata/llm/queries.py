@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, quality_classifier, quality_rules, sharding, warc
+from strata.llm import bpe, pii, quality_classifier, quality_rules, sharding, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pii.report(docs, pii.train(docs))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(_table(spark, sf_dir, "documents"), vocabulary())
 
@@ -40,6 +45,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_bpe": op2_bpe,
     "op3_quality_rules": op3_quality_rules,
     "op6_warc": op6_warc,

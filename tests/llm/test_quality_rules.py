@@ -1,10 +1,8 @@
 """Quality rules against a plain Python reading of the contract."""
 
+import random
 import re
 
-from hypothesis import given, settings
-from hypothesis import strategies as st
-
 from strata.llm import quality_rules as q
 
 SCHEMA = "doc_id long, text string, n_words string"
@@ -34,9 +32,9 @@ def test_measures_on_edge_cases(spark):
     assert got == [brute(t) for t in texts + texts]
 
 
-@settings(max_examples=15, deadline=None)
-@given(st.lists(st.text(alphabet="ab #\n\tÉ", max_size=60), min_size=1, max_size=25))
-def test_measures_property(spark, texts):
+def test_measures_on_random_texts(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("ab #\n\tÉ", k=rng.randrange(80))) for _ in range(1200)]
     got, _ = rows(spark, texts)
     assert got == [brute(t) for t in texts]
 
