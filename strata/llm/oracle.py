@@ -55,7 +55,24 @@ SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coal
             THEN min(page_id) OVER same END AS refers_to
 FROM pages WINDOW same AS (PARTITION BY coalesce(html, ''))"""
 
+SUBSTRING_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS t
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM w)),
+rep AS (SELECT doc_id, i FROM win QUALIFY row_number() OVER (PARTITION BY t ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS k FROM rep, (SELECT unnest(range(0, 20)) AS k)),
+place AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS k FROM w),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS t, count(*) AS n
+  FROM place ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""
+
 ORACLE = {
     "op3_quality_rules": quality_sql(),
     "op6_warc": WARC_SQL,
+    "op7_substring_dedup": SUBSTRING_SQL,
 }

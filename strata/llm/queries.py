@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, pii, quality_classifier, quality_rules, sharding, warc
+from strata.llm import bpe, pii, quality_classifier, quality_rules, sharding, substring_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_quality_rules": op3_quality_rules,
     "op6_warc": op6_warc,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_sharding": op9_sharding,
 }
