@@ -10,10 +10,9 @@ by member through the index.
 
 Records with equal payloads of at least ``MIN_REVISIT`` bytes: the smallest page
 id keeps the payload, the others become revisits that refer to it.  The smallest
-id of a payload comes from an aggregate with partial sums and a join on the
-digest, so a payload that fills a third of all pages costs one row per task
-before the shuffle and can be split in the join.  Payloads move once, to the
-archive files; archives hold at most ``RECORDS_PER_FILE`` records, and a task
+id of a payload comes from an aggregate with partial sums and a join of ids on
+the digest, so a payload that fills a third of all pages costs one row per task
+before the shuffle and can be split in the join.  Payloads move once, by page; archives hold at most ``RECORDS_PER_FILE`` records, and a task
 holds one compressed archive and one record at a time.
 
 Files are written under an attempt's own name and renamed, and the index rows
@@ -66,14 +65,15 @@ def records(pages: DataFrame) -> DataFrame:
     rows = pages.select(
         "page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumns({"digest": F.sha2("html", 256), "size": F.octet_length("html").cast("long")})
-    first = (rows.filter(F.col("size") >= MIN_REVISIT).groupBy("digest")
-             .agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies"))
-             .filter("copies > 1").drop("copies").withColumnRenamed("digest", "key"))
-    # Small payloads never meet: each gets a key of its own, so that none of them is hot.
-    own = F.concat(F.lit("small:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")))
-    rows = rows.withColumn("key", F.when(F.col("size") >= MIN_REVISIT, F.col("digest")).otherwise(own))
-    rows = rows.join(first.withColumn("shared", F.lit(True)), "key", "left")
-    revisit = F.col("shared").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
+    # Who refers to whom is settled on ids and digests alone; only then do payloads move, by page.
+    ids = rows.filter(F.col("size") >= MIN_REVISIT).select("page_id", "digest")
+    first = (ids.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies"))
+             .filter("copies > 1").drop("copies"))
+    decided = (ids.join(first, "digest").filter(~F.col("page_id").eqNullSafe(F.col("first_id"))).distinct()
+               .select(F.col("page_id").alias("d_page"), F.col("digest").alias("d_digest"), "first_id",
+                       F.lit(True).alias("shared")))
+    rows = rows.join(decided, F.col("page_id").eqNullSafe(F.col("d_page")) & (F.col("digest") == F.col("d_digest")), "left")
+    revisit = F.col("shared").isNotNull()
     block = F.concat(F.lit(HTTP), F.when(revisit, F.lit("")).otherwise(F.col("html")))
     header = F.concat(
         F.lit("WARC/1.1\r\n"),
@@ -217,13 +217,12 @@ def _archives(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
 
 
-def read_archives(spark: SparkSession, folder: str, index: DataFrame | None = None,
-                  with_payload: bool = True) -> DataFrame:
+def read_archives(spark: SparkSession, folder: str, by_index: bool = True, with_payload: bool = True) -> DataFrame:
     """Every record of the normalised archives of ``folder``.
 
     Length and digest of a response are taken from the payload read; a revisit
-    carries those of the payload that it refers to.  ``index`` (the result of
-    ``normalise``) gives each member's place; without it the members are walked.
+    carries those of the payload that it refers to.  The sidecar index gives each
+    member's place; without it the members are walked.
     """
     def row(fields: dict[str, str], block: bytes) -> dict:
         payload = block[block.index(SEPARATOR) + 4:]
@@ -239,13 +238,21 @@ def read_archives(spark: SparkSession, folder: str, index: DataFrame | None = No
                 "payload_digest": digest, "record_type": fields["WARC-Type"],
                 "refers_to": int(refers) if refers else None, "payload": payload if with_payload else None}
 
+    def members(path: str, data: bytes) -> Iterator[bytes]:
+        if not by_index:
+            yield data
+            return
+        files, place = _filesystem(f"{folder}/{path.rsplit('/', 1)[1].replace('.warc.gz', '.index.jsonl')}")
+        with files.open_input_stream(place) as side:
+            for line in side.read().splitlines():
+                x = json.loads(line)
+                yield data[x["offset"]:x["offset"] + x["length"]]
+
     def run(batches):
         for batch in batches:
-            places = batch.column(1).to_pylist() if batch.num_columns > 1 else [None] * batch.num_rows
-            for data, place in zip(batch.column(0).to_pylist(), places):
-                parts = [data] if place is None else [data[p["offset"]:p["offset"] + p["length"]] for p in place]
+            for path, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rows, held = [], 0
-                for part in parts:
+                for part in members(path, data):
                     for fields, _, block in split_records(_inflated(part)):
                         rows.append(row(fields, block))
                         held += len(block) if with_payload else 0
@@ -254,13 +261,7 @@ def read_archives(spark: SparkSession, folder: str, index: DataFrame | None = No
                             rows, held = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema=_READ_SCHEMA)
 
-    files = _archives(spark, folder, "*.warc.gz").select(F.regexp_extract("path", "[^/]+$", 0).alias("at"), "content")
-    if index is None:
-        return files.select("content").mapInArrow(run, READ)
-    # A file's list is bounded by the records per archive.
-    places = (index.groupBy(F.regexp_extract("path", "[^/]+$", 0).alias("at"))
-              .agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("places")))
-    return files.join(places, "at").select("content", "places").mapInArrow(run, READ)
+    return _archives(spark, folder, "*.warc.gz").select("path", "content").mapInArrow(run, READ)
 
 
 _READ_SCHEMA = pa.schema([
@@ -273,6 +274,6 @@ def round_trip(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     raw, neat = new_folder(spark, "warc-raw"), new_folder(spark, "warc")
     write_archives(pages, raw)
-    index = normalise(spark, raw, neat)
-    return read_archives(spark, neat, index, with_payload=False).select(
+    normalise(spark, raw, neat)
+    return read_archives(spark, neat, with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

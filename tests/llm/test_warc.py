@@ -55,7 +55,7 @@ def test_files_index_and_payloads(spark, scratch):
         assert one.startswith(b"WARC/1.1\r\n") and one.endswith(b"\r\n\r\n")
         side = [json.loads(x) for x in open(r.path.replace(".warc.gz", ".index.jsonl"))]
         assert side[r.record]["offset"] == r.offset and side[r.record]["length"] == r.length
-    by_index, walked = warc.read_archives(spark, neat, index), warc.read_archives(spark, neat)
+    by_index, walked = warc.read_archives(spark, neat), warc.read_archives(spark, neat, by_index=False)
     assert rows_of(by_index) == rows_of(walked)
     payloads = {r.page_id: bytes(r.payload) for r in walked.collect() if r.record_type == "response"}
     assert payloads[5].decode() == PAGES[6][2] and payloads[14].decode() == PAGES[12][2]
