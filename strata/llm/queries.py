@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, pii, quality_classifier, quality_rules, sharding, substring_dedup, warc
+from strata.llm import bpe, ngram_join, pii, quality_classifier, quality_rules, sharding, substring_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_bpe": op2_bpe,
     "op3_quality_rules": op3_quality_rules,
+    "op4_ngram_join": op4_ngram_join,
     "op6_warc": op6_warc,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_classifier": op8_quality_classifier,
