@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import bytes_of, mixed, word_hashes
 
-SAMPLE = 3000
+SAMPLE = 2000
 BUCKETS = 1 << 18
 DIMENSIONS = 16
 EPOCHS = 6
@@ -79,6 +79,30 @@ def features(texts: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
         [owner, owner[1:][same], gram_owner])
 
 
+def _chunks(texts: list[bytes]):
+    chunk, held = [], 0
+    for text in texts:
+        chunk.append(text)
+        held += len(text)
+        if held > CHUNK_BYTES:
+            yield chunk
+            chunk, held = [], 0
+    if chunk:
+        yield chunk
+
+
+def _bags(texts: list[bytes], buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Table rows and their shares of each text."""
+    rows, owner = features(texts, buckets)
+    order = np.argsort(owner, kind="stable")
+    rows, ends = rows[order], np.searchsorted(owner[order], np.arange(len(texts) + 1))
+    out = []
+    for d in range(len(texts)):
+        found, times = np.unique(rows[ends[d]:ends[d + 1]], return_counts=True)
+        out.append((found.astype(np.int32), (times / max(times.sum(), 1)).astype(np.float32)))
+    return out
+
+
 @dataclass
 class Model:
     vectors: np.ndarray  # bucket x dimension
@@ -100,14 +124,7 @@ def train(texts: list[bytes], labels: list[int], buckets: int = BUCKETS, dimensi
     table = rng.uniform(-1 / dimensions, 1 / dimensions, (buckets, dimensions)).astype(np.float32)
     output, bias = np.zeros((dimensions, 2), np.float32), np.zeros(2, np.float32)
     weight = len(y) / (2.0 * np.bincount(y, minlength=2))
-    rows, owner = features(texts, buckets)
-    order = np.argsort(owner, kind="stable")
-    rows = rows[order]
-    ends = np.searchsorted(owner[order], np.arange(len(texts) + 1))
-    bags = []
-    for d in range(len(texts)):
-        found, times = np.unique(rows[ends[d]:ends[d + 1]], return_counts=True)
-        bags.append((found, (times / max(times.sum(), 1)).astype(np.float32)))
+    bags = [bag for chunk in _chunks(texts) for bag in _bags(chunk, buckets)]
     steps, total = 0, epochs * len(y)
     for _ in range(epochs):
         for d in rng.permutation(len(y)):
@@ -151,15 +168,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            out, chunk, held = [], [], 0
-            for text in bytes_of(batch.column(1)):
-                chunk.append(text)
-                held += len(text)
-                if held > CHUNK_BYTES:
-                    out.append(chunk_scores(chunk))
-                    chunk, held = [], 0
-            if chunk:
-                out.append(chunk_scores(chunk))
+            out = [chunk_scores(chunk) for chunk in _chunks(bytes_of(batch.column(1)))]
             values = np.concatenate(out) if out else np.empty(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.float64())], ["doc_id", "score"])
 
