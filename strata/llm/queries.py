@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, ngram_join, pii, quality_classifier, quality_rules, sharding, substring_dedup, warc
+from strata.llm import bpe, license_scan, ngram_join, pii, quality_classifier, quality_rules, sharding, substring_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_bpe": op2_bpe,
@@ -61,4 +65,5 @@ QUERIES = {
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_sharding": op9_sharding,
+    "op10_license_scan": op10_license_scan,
 }
