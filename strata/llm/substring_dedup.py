@@ -148,6 +148,8 @@ def _later(places: DataFrame, key: list[str], at: list[str]) -> DataFrame:
     """Rows of ``places`` that have an earlier row of the same key, by ``at``."""
     first = (places.groupBy(*key).agg(F.min(F.struct(*at)).alias("_first"), F.count("*").alias("_n"))
              .filter("_n > 1").drop("_n"))
+    # Written first: a join of two plain shuffles is one whose hot keys Spark can split.
+    first = written(first, "substring-first")
     return places.join(first, key).filter(F.struct(*at) > F.col("_first")).drop("_first")
 
 
@@ -156,13 +158,13 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     spark = docs.sparkSession
     blocks = _seed_blocks(docs, length, gram)
     often = blocks.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed")
-    seeds = written(blocks.join(often, "seed"), "substring-seeds")
+    seeds = written(blocks.join(written(often, "substring-often"), "seed"), "substring-seeds")
     release(spark)
 
     whole = _later(seeds, ["seed", "block"], ["doc_id", "tie", "first"]).select("doc_id", "tie", "first", "last")
     kinds = seeds.groupBy("seed", "block").agg(F.min(F.struct("doc_id", "tie", "first", "last")).alias("x"))
     several = kinds.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed")
-    edges = kinds.join(several, "seed").select("x.*")
+    edges = kinds.join(written(several, "substring-several"), "seed").select("x.*")
 
     # Ranges of one document are bounded by its own words.
     ranges = edges.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
