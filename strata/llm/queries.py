@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, license_scan, ngram_join, pii, quality_classifier, quality_rules, sharding, substring_dedup, warc
+from strata.llm import bpe, decontaminate, license_scan, ngram_join, pii, quality_classifier, quality_rules, sharding, substring_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -61,6 +65,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_quality_rules": op3_quality_rules,
     "op4_ngram_join": op4_ngram_join,
+    "op5_decontaminate": op5_decontaminate,
     "op6_warc": op6_warc,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_classifier": op8_quality_classifier,
