@@ -226,25 +226,34 @@ def _links(docs: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
     """component of every class representative that links with another."""
     spark = docs.sparkSession
     entries = sets.filter("n > 0 AND doc_id IS NOT NULL").select(
-        F.posexplode("prefix").alias("pos", "tok"), F.col("doc_id").alias("doc"), "n", F.size("prefix").alias("taken"))
+        F.posexplode("prefix").alias("pos", "tok"), F.col("doc_id").alias("doc"))
     often = entries.groupBy("tok").agg(F.count("*").alias("k")).filter("k > 1").select("tok")
-    lists = entries.join(often, "tok").join(classes.select(F.col("rep").alias("doc")).distinct(), "doc")
+    # Aggregates are written before they are joined back on their key: a join of two plain shuffles
+    # is one whose hot keys Spark can split.
+    often = written(often, "join-often")
+    release(spark)
+    # Sizes come with the representatives, after most entries are gone.
+    sizes = classes.groupBy(F.col("rep").alias("doc")).agg(F.min("n").alias("n"))
+    sizes = sizes.withColumn("taken", F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
+    lists = entries.join(often, "tok").join(written(sizes, "join-sizes"), "doc")
     lists = written(lists.select("tok", "doc", "n", "pos", "taken"), "join-lists")
     release(spark)
 
-    size = lists.groupBy("tok").agg(F.count("*").alias("k")).filter("k > 1")
+    size = written(lists.groupBy("tok").agg(F.count("*").alias("k")).filter("k > 1"), "join-size")
     ranked = lists.select("tok", "doc", "taken").join(size, "tok")
     ranked = written(ranked, "join-ranked")
     centre = ranked.groupBy("doc").agg((F.sum("k") / F.max("taken")).alias("score"))
     leaders = (ranked.join(centre, "doc").groupBy("tok")
                .agg(F.max(F.struct("score", (-F.col("doc")).alias("minus"))).alias("top"))
                .select("tok", (-F.col("top")["minus"]).alias("leader")))
+    leaders = written(leaders, "join-leaders")
     shared = (ranked.join(leaders, "tok").filter("doc <> leader").groupBy("doc", "leader")
               .agg(F.count("*").alias("shared"), F.max("taken").alias("taken")))
     star = (shared.filter("2 * shared >= taken").groupBy("doc")
             .agg(F.max(F.struct("shared", (-F.col("leader")).alias("minus"))).alias("top"))
             .select(F.col("doc").alias("a"), (-F.col("top")["minus"]).alias("b")))
     star = written(star, "join-star")
+    release(spark)
 
     needed = ranked.select(F.col("doc").alias("doc_id")).distinct()
     texts = written(docs.select("doc_id", "text").join(needed, "doc_id"), "join-texts")
