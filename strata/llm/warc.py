@@ -39,7 +39,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import new_folder, written
+from strata.llm.common import new_folder, release, written
 
 MIN_REVISIT = 100
 RECORDS_PER_FILE = 2000
@@ -274,6 +274,7 @@ def round_trip(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     raw, neat = new_folder(spark, "warc-raw"), new_folder(spark, "warc")
     write_archives(pages, raw)
+    release(spark)
     normalise(spark, raw, neat)
     return read_archives(spark, neat, with_payload=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
