@@ -111,8 +111,9 @@ def text_before(c, marker: str, *, whole_if_absent: bool) -> Column:
 
     PostgreSQL form (``whole_if_absent=True``): the whole text if the marker is
     absent.  T-SQL ``LEFT(x, PATINDEX(...))`` form: empty string if absent.
+    NULL stays NULL in both.
     """
     c = _c(c)
     pos = F.instr(c, marker)
     found = F.substring(c, F.lit(1), pos - 1)
-    return F.when(pos > 0, found).otherwise(c if whole_if_absent else F.lit(""))
+    return F.when(pos > 0, found).when(c.isNotNull(), c if whole_if_absent else F.lit(""))

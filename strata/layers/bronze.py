@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.layers.common import Counted, RunContext, TableResult, status_of, with_load_day, write_target
+from strata.layers.common import Counted, RunContext, TableResult, status_of, with_layout, write_target
 from strata.operators import clean, loads, schema, windows
 from strata.sources.store import TableStore
 
@@ -31,7 +31,9 @@ class BronzeTable:
     # opt-in: store the target partitioned by the date of this timestamp
     # column; a window append then rewrites only the days it touches
     partition_date_of: str | None = None
-
+    # opt-in: store the target in so many buckets of the load key; an upsert
+    # then rewrites only the buckets of the delivered keys
+    load_buckets: int | None = None
 
 
 def load_bronze_table(store: TableStore, source: DataFrame, cfg: BronzeTable, ctx: RunContext,
@@ -53,15 +55,20 @@ def load_bronze_table(store: TableStore, source: DataFrame, cfg: BronzeTable, ct
     staged = clean.bronze_clean(loads.stamp(src, ctx.run_ts))
     if existing is not None:
         staged = schema.cast_like(staged, existing.schema)
-    incoming = counts.sink(with_load_day(staged, cfg.partition_date_of))
-    window_replace = (ctx.run_type.upper() == "DELTA" and cfg.load_type.lower() == "append"
-                      and last_processed is not None and existing is not None)
+    keys = load_keys(cfg, source_db)
+    incoming = counts.sink(with_layout(staged, cfg.partition_date_of, cfg.load_buckets, keys))
+    mode = "full"
+    if ctx.run_type.upper() == "DELTA" and existing is not None:
+        if cfg.load_type.lower() == "append" and last_processed is not None:
+            mode = "window"
+        elif cfg.load_type.lower() == "incremental":
+            mode = "upsert"
     scope = None if source_db is None else (F.col("source_db_id") == F.lit(source_db[0]))
     res.version = write_target(
         store, cfg.target_table_name,
         lambda: new_state(existing, incoming, cfg, ctx, window, last_processed, source_db),
-        date_of=cfg.partition_date_of, window_replace=window_replace, incoming=incoming, window=window,
-        scope=scope)
+        date_of=cfg.partition_date_of, buckets=cfg.load_buckets, keys=keys,
+        order_by=windows.split_keys(cfg.extract_key), mode=mode, incoming=incoming, window=window, scope=scope)
     res.fetched, res.processed = counts.result()
     res.status = status_of(res.fetched, res.processed)
     return res
@@ -80,7 +87,11 @@ def new_state(existing, incoming, cfg: BronzeTable, ctx: RunContext, window, las
         return loads.full_replace(existing, incoming)
     if lt == "append":
         return loads.window_append(existing, incoming, window, scope)
+    return loads.upsert(existing, incoming, load_keys(cfg, source_db),
+                        order_by=windows.split_keys(cfg.extract_key))
+
+
+def load_keys(cfg: BronzeTable, source_db: tuple | None) -> list[str]:
+    """The load key; rows of a multi-database source are keyed by their database too."""
     keys = windows.split_keys(cfg.load_key)
-    if source_db is not None and "source_db_id" not in keys:
-        keys = keys + ["source_db_id"]
-    return loads.upsert(existing, incoming, keys, order_by=windows.split_keys(cfg.extract_key) or None)
+    return keys + ["source_db_id"] if keys and source_db is not None and "source_db_id" not in keys else keys

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import control
+from strata.sources.store import BUCKET_COLUMN, PartitionedTable, TableStore, bucketed
 
 AUDIT_SCHEMA = ("process_id string, batch_run_id long, data_source string, db_code string, "
                 "source_table_name string, destination_table_name string, operation string, "
@@ -109,20 +110,28 @@ def with_load_day(df: DataFrame, date_of: str | None) -> DataFrame:
     return df.withColumn(PARTITION_COLUMN, F.to_date(F.col(date_of))) if date_of else df
 
 
-def write_target(store, name: str, state_fn, *, date_of: str | None, window_replace: bool,
-                 incoming: DataFrame, window, scope=None) -> int | None:
-    """Write a layer target.
+def with_layout(df: DataFrame, date_of: str | None, buckets: int | None, keys: list[str]) -> DataFrame:
+    """Add the partition column of an opt-in layout: the day of a timestamp, or a bucket of the load key."""
+    if date_of:
+        return with_load_day(df, date_of)
+    return bucketed(df, keys, buckets) if buckets and keys else df
 
-    Unpartitioned: the next state (``state_fn()``) becomes a new version.
-    Day-partitioned (``date_of`` set): a window load replaces only the days
-    the window touches; any other load replaces the whole table.
+
+def write_target(store: TableStore, name: str, state_fn, *, date_of: str | None, buckets: int | None,
+                 keys: list[str], order_by: list[str], mode: str, incoming: DataFrame, window=None,
+                 scope=None) -> int:
+    """Write a layer target; ``mode`` is full, window or upsert.
+
+    Without a layout the next state (``state_fn()``) becomes a new version.  By
+    day or bucket, a window load replaces only the partitions that the window
+    touches, and by bucket an upsert only the buckets of the delivered keys.
     """
-    if not date_of:
+    column = PARTITION_COLUMN if date_of else BUCKET_COLUMN if buckets and keys else None
+    if column is None:
         return store.write(name, state_fn())
-    from strata.sources.store import PartitionedTable
-    table = PartitionedTable(store.spark, f"{store.root}/{name}", PARTITION_COLUMN)
-    if window_replace:
-        table.replace_window(incoming, window, scope)
-    else:
-        table.replace_all(state_fn())
-    return None
+    table = PartitionedTable(store.spark, f"{store.root}/{name}", column)
+    if mode == "window":
+        return table.replace_window(incoming, window, scope)
+    if mode == "upsert" and not date_of:
+        return table.upsert(incoming, keys, order_by)
+    return table.replace_all(state_fn())

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from strata.functions import codes
-from strata.layers.common import Counted, RunContext, TableResult, status_of, with_load_day, write_target
+from strata.layers.common import Counted, RunContext, TableResult, status_of, with_layout, write_target
 from strata.operators import loads, schema, windows
 from strata.sources import templates
 from strata.sources.store import TableStore
@@ -23,6 +23,7 @@ class GoldTable:
     execution_order: int = 0
     bound_append_delete: bool = True              # survey quirk 16
     partition_date_of: str | None = None          # opt-in day partitioning, as for bronze
+    load_buckets: int | None = None               # opt-in buckets of the load key, as for bronze
 
 
 def load_gold_table(store: TableStore, cfg: GoldTable, ctx: RunContext, views: dict[str, DataFrame],
@@ -36,10 +37,11 @@ def load_gold_table(store: TableStore, cfg: GoldTable, ctx: RunContext, views: d
     df = counts.source(templates.run_template(spark, cfg.data_load_sql_template, ctx.run_type, lower,
                                               ctx.upper_bound, views))
     existing = store.read(cfg.target_table_name)
-    shaped = codes.cast_integral_floats(codes.nan_to_null_all(df))
-    if existing is not None:
-        shaped = schema.cast_like(shaped, existing.schema)
-    incoming = counts.sink(with_load_day(shaped, cfg.partition_date_of))
+    shaped = codes.nan_to_null_all(df)
+    # The target's types decide; only the load that makes the target looks at the data for them.
+    shaped = codes.cast_integral_floats(shaped) if existing is None else schema.cast_like(shaped, existing.schema)
+    load_key = windows.split_keys(cfg.load_key)
+    incoming = counts.sink(with_layout(shaped, cfg.partition_date_of, cfg.load_buckets, load_key))
     strategy = cfg.ingestion_strategy.upper()
     if strategy not in ("TRUNCATE_INSERT", "APPEND", "MERGE"):
         raise ValueError(f"Unknown ingestion_strategy: {strategy}")
@@ -58,10 +60,13 @@ def load_gold_table(store: TableStore, cfg: GoldTable, ctx: RunContext, views: d
         if strategy == "APPEND":
             return loads.window_append(existing, incoming, delete) if delete is not None else \
                 loads.append(existing, incoming)
-        return loads.upsert(existing, incoming, windows.split_keys(cfg.load_key), order_by=[])
+        return loads.upsert(existing, incoming, load_key, order_by=[])
 
+    mode = "full"
+    if not full:
+        mode = "upsert" if strategy == "MERGE" else "window" if delete is not None else "full"
     res.version = write_target(store, cfg.target_table_name, state, date_of=cfg.partition_date_of,
-                               window_replace=(not full and strategy == "APPEND" and delete is not None),
+                               buckets=cfg.load_buckets, keys=load_key, order_by=[], mode=mode,
                                incoming=incoming, window=delete)
     res.fetched, res.processed = counts.result()
     res.status = status_of(res.fetched, res.processed)

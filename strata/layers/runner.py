@@ -91,7 +91,7 @@ def run_tables(store: TableStore, ctx: RunContext, jobs: list, *, audit_name: st
         try:
             result = job.loader(last)
         except Exception as e:  # noqa: BLE001 -- one table's failure must not stop the run
-            result = TableResult(job.target_table, status=control.FAILED, error=str(e)[:2000],
+            result = TableResult(job.target_table, status=control.FAILED, error=str(e),
                                  time_to=ctx.upper_bound)
         append_audit(job, result, started, now())
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import functions as F
 
 from strata.functions import codes
-from strata.layers.common import Counted, RunContext, TableResult, status_of, with_load_day, write_target
+from strata.layers.common import Counted, RunContext, TableResult, status_of, with_layout, write_target
 from strata.operators import clean, loads, schema, windows
 from strata.sources.store import TableStore
 
@@ -25,6 +25,7 @@ class SilverTable:
     steps: clean.SilverSteps = field(default_factory=clean.SilverSteps)
     xml_columns: tuple = ()
     partition_date_of: str | None = None     # opt-in day partitioning, as for bronze
+    load_buckets: int | None = None          # opt-in buckets of the load key, as for bronze
 
 
 def load_silver_table(store: TableStore, cfg: SilverTable, ctx: RunContext, last_processed=None,
@@ -56,7 +57,8 @@ def load_silver_table(store: TableStore, cfg: SilverTable, ctx: RunContext, last
     stamped = codes.nan_to_null_all(loads.stamp(shaped, ctx.run_ts))
     if existing is not None:
         stamped = schema.cast_like(stamped, existing.schema)
-    incoming = counts.sink(with_load_day(stamped, cfg.partition_date_of))
+    keys = windows.split_keys(cfg.load_key)
+    incoming = counts.sink(with_layout(stamped, cfg.partition_date_of, cfg.load_buckets, keys))
     lt = cfg.load_type.lower()
 
     def state():
@@ -64,13 +66,15 @@ def load_silver_table(store: TableStore, cfg: SilverTable, ctx: RunContext, last
             return loads.full_replace(existing, incoming)
         if lt == "append":
             return loads.window_append(existing, incoming, window)
-        return loads.upsert(existing, incoming, windows.split_keys(cfg.load_key),
-                            order_by=windows.split_keys(cfg.extract_key) or None)
+        return loads.upsert(existing, incoming, keys, order_by=windows.split_keys(cfg.extract_key))
 
-    window_replace = (ctx.run_type.upper() == "DELTA" and lt == "append" and existing is not None
-                      and window is not None)
+    mode = "full"
+    if ctx.run_type.upper() == "DELTA" and existing is not None:
+        mode = "window" if lt == "append" and window is not None else "upsert" if lt == "incremental" else "full"
     res.version = write_target(store, cfg.clean_table_name, state, date_of=cfg.partition_date_of,
-                               window_replace=window_replace, incoming=incoming, window=window)
+                               buckets=cfg.load_buckets, keys=keys,
+                               order_by=windows.split_keys(cfg.extract_key), mode=mode,
+                               incoming=incoming, window=window)
     res.fetched, res.processed = counts.result()
     res.status = status_of(res.fetched, res.processed)
     return res

@@ -63,6 +63,10 @@ def processing_order(config: DataFrame, layer: str) -> list[Column]:
     return [F.col(k).asc_nulls_last() for k in keys]
 
 
+# Fixed value: audit name of an update after the cleaning.
+POST_CLEAN_UPDATE = "Post-Clean_Update"
+
+
 def high_water_marks(audit: DataFrame, batches: DataFrame,
                      by: list[str] = ("source_table_name",),
                      overlap: str = "5 minutes") -> DataFrame:
@@ -70,9 +74,10 @@ def high_water_marks(audit: DataFrame, batches: DataFrame,
 
     One grouped aggregate for all tables at once, instead of one query per
     table.  A table with no such run has no row (its first run is unbounded
-    below, or uses the layer default).
+    below, or uses the layer default).  Updates that follow the cleaning are
+    not loads and move no mark.
     """
-    ok = (audit.filter(F.col("etl_start_time").isNotNull()
+    ok = (audit.filter(F.col("etl_start_time").isNotNull() & (F.col("operation") != POST_CLEAN_UPDATE)
                        & F.col("operation_result").isin(*SUCCESS_WORDS))
           .join(batches.filter(F.col("load_type") == "DELTA").select("batch_run_id"),
                 "batch_run_id"))
@@ -120,14 +125,20 @@ def run_summary(table_audit: DataFrame, by: str = "batch_run_id") -> DataFrame:
         F.round(n_ok * F.lit(100.0) / total, 2).alias("success_rate"),
         F.sum("input_row").alias("rows_fetched"),
         F.sum("output_row").alias("rows_processed"),
+        F.min("etl_start_time").alias("run_start"),
+        F.max("etl_end_time").alias("run_end"),
+        F.timestamp_diff("SECOND", F.min("etl_start_time"), F.max("etl_end_time")).alias("duration_seconds"),
         F.array_join(F.array_sort(F.collect_set(F.when(failed, F.col("destination_table_name")))),
                      ", ").alias("failed_tables"),
     )
 
 
-def latest_successful_run(audit: DataFrame, table: str, table_col: str = "destination_table_name") -> DataFrame:
-    """Top-1 latest successful audit row of a table (SL-03)."""
+def latest_successful_run(audit: DataFrame, batches: DataFrame, table: str,
+                          table_col: str = "destination_table_name") -> DataFrame:
+    """Top-1 latest successful audit row of a table in a DELTA batch (SL-03)."""
+    delta = batches.filter(F.col("load_type") == "DELTA").select("batch_run_id").distinct()
     return (audit.filter((F.col(table_col) == table) & F.col("operation_result").isin(*SUCCESS_WORDS))
+            .join(delta, "batch_run_id", "left_semi")
             .orderBy(F.col("time_to").desc_nulls_last(), F.col("process_id").desc())
             .limit(1))
 

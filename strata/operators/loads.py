@@ -85,12 +85,12 @@ def upsert(existing: DataFrame | None, incoming: DataFrame, keys: list[str],
     """Upsert on ``keys``: re-delivered keys take the incoming row (IO-10).
 
     Duplicate keys inside one delivery keep the last by ``order_by`` (quirk
-    14); ``order_by=[]`` keeps the greatest whole row, ``None`` trusts the
-    delivery to be unique.  With only key columns it is insert-if-absent
-    (quirk 15).
+    14); with no ``order_by`` the greatest whole row.  With only key columns it
+    is insert-if-absent (quirk 15).
     """
-    if order_by is not None:
-        incoming = latest_per_key(incoming, keys, order_by)
+    if not keys:
+        raise ValueError("an upsert needs a load key")
+    incoming = latest_per_key(incoming, keys, order_by or [])
     if existing is None:
         return incoming
     kept = existing.join(incoming.select(*keys), on=keys, how="left_anti")

@@ -89,7 +89,8 @@ def choose_window(layer: str, run_type: str, load_type: str, keys, lower, upper)
     """Pick the extraction window for a run (FP-17).
 
     * FULL run: upper bound only (silver: no bound at all for ``full`` tables).
-    * DELTA + incremental/append: both bounds, or upper only on a first run.
+    * DELTA + incremental/append: both bounds; on a first run the layer's
+      default lower bound (bronze has none: upper only).
     * DELTA + full: upper bound only in bronze and gold, no bound in silver.
     """
     run_type, load_type = run_type.upper(), load_type.lower()
@@ -100,6 +101,8 @@ def choose_window(layer: str, run_type: str, load_type: str, keys, lower, upper)
     check_bounds(lower, upper)
     if layer == "silver" and load_type == "full":
         return None
+    if lower is None and run_type == "DELTA":
+        lower = FIRST_RUN_LOWER[layer]
     if run_type == "FULL" or load_type == "full" or lower is None:
         return upper_bound_window(keys, upper)
     return incremental_window(keys, lower, upper)

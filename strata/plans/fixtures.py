@@ -115,7 +115,9 @@ def table_audit_from_events(events: DataFrame) -> DataFrame:
         F.col("user_id").alias("batch_run_id"),
         F.col("event_type").alias("source_table_name"),
         F.concat(F.lit("clean_"), F.col("event_type")).alias("destination_table_name"),
+        F.when(F.col("value") > 90, "Post-Clean_Update").otherwise("append").alias("operation"),
         F.col("ts").alias("etl_start_time"),
+        F.timestamp_add("SECOND", F.floor("value").cast("int"), F.col("ts")).alias("etl_end_time"),
         F.col("ts").alias("time_to"),
         fetched.alias("input_row"),
         processed.cast("bigint").alias("output_row"),

@@ -116,7 +116,7 @@ def itinerary_rollup(m, bookings: DataFrame | None = None, utc_offset_in_minutes
         F.min("Departure").alias("_first"), F.max("Arrival").alias("_last"),
         F.min("cabin").alias("In"),
         ordered_string_agg(leg, [F.col("Departure"), F.col("a1_code"), F.col("a2_code")], ", ").alias("Route"))
-    flight_time = F.when(F.col("AirTripTypeID") == 1, F.floor(F.col("_minutes") / 2)).otherwise(F.col("_minutes"))
+    flight_time = F.when(F.col("AirTripTypeID") == 1, F.expr("_minutes div 2")).otherwise(F.col("_minutes"))
     return g.select(F.col("b_id").alias("ID"), flight_time.cast("bigint").alias("Flight_Time"),
                     dates.format_dmy(F.col("_first")).alias("From"), dates.format_dmy(F.col("_last")).alias("To"),
                     "In", "Route")

@@ -168,6 +168,8 @@ batches AS (
 audit0 AS (
   SELECT event_id AS process_id, user_id AS batch_run_id, event_type AS source_table_name,
          'clean_' || event_type AS destination_table_name, ts AS etl_start_time, ts AS time_to,
+         CASE WHEN value > 90 THEN 'Post-Clean_Update' ELSE 'append' END AS operation,
+         ts + to_seconds(CAST(floor(value) AS BIGINT)) AS etl_end_time,
          CAST(floor(value * 10) AS BIGINT) AS input_row,
          CAST(CASE WHEN value < 2 THEN 0 WHEN value < 4 THEN CAST(floor(value * 10) AS BIGINT) - 1
                    ELSE CAST(floor(value * 10) AS BIGINT) END AS BIGINT) AS output_row
@@ -183,7 +185,7 @@ audit AS (
 ORACLE["watermark"] = _with(CONTROL_CTES, """
 SELECT a.source_table_name, MAX(a.time_to) - INTERVAL 5 MINUTE AS last_processed_date
 FROM audit a JOIN batches b ON a.batch_run_id = b.batch_run_id
-WHERE b.load_type = 'DELTA' AND a.etl_start_time IS NOT NULL
+WHERE b.load_type = 'DELTA' AND a.etl_start_time IS NOT NULL AND a.operation <> 'Post-Clean_Update'
   AND a.operation_result IN ('Success', 'SUCCESS', 'success')
 GROUP BY a.source_table_name""")
 
@@ -204,6 +206,8 @@ SELECT batch_run_id, COUNT(*) AS tables_total,
        CAST(SUM(CASE WHEN operation_result = 'Failed' THEN 1 ELSE 0 END) AS BIGINT) AS tables_failed,
        ROUND(SUM(CASE WHEN operation_result IN ('Success','SUCCESS','success') THEN 1 ELSE 0 END) * 100.0 / COUNT(*), 2) AS success_rate,
        CAST(SUM(input_row) AS BIGINT) AS rows_fetched, CAST(SUM(output_row) AS BIGINT) AS rows_processed,
+       MIN(etl_start_time) AS run_start, MAX(etl_end_time) AS run_end,
+       date_sub('second', MIN(etl_start_time), MAX(etl_end_time)) AS duration_seconds,
        COALESCE(array_to_string(list_sort(list_distinct(list(destination_table_name) FILTER (WHERE operation_result = 'Failed'))), ', '), '') AS failed_tables
 FROM audit GROUP BY batch_run_id""")
 
@@ -722,6 +726,7 @@ FROM part"""
 ORACLE["latest_success"] = _with(CONTROL_CTES, """
 SELECT process_id, destination_table_name, time_to, input_row FROM audit
 WHERE destination_table_name = 'clean_purchase' AND operation_result IN ('Success', 'SUCCESS', 'success')
+  AND batch_run_id IN (SELECT batch_run_id FROM batches WHERE load_type = 'DELTA')
 ORDER BY time_to DESC NULLS LAST, process_id DESC LIMIT 1""")
 
 ORACLE["source_systems"] = """

@@ -443,8 +443,9 @@ def xml_extract_all(spark, sf_dir):
 
 @register("latest_success")
 def latest_success(spark, sf_dir):
-    audit = fx.table_audit_from_events(Tables.for_session(spark, sf_dir).events)
-    return control.latest_successful_run(audit, "clean_purchase").select(
+    ev = Tables.for_session(spark, sf_dir).events
+    return control.latest_successful_run(fx.table_audit_from_events(ev), fx.batches_from_events(ev),
+                                         "clean_purchase").select(
         "process_id", "destination_table_name", "time_to", "input_row")
 
 

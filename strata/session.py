@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -21,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # Checkpoints go once nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -50,22 +51,17 @@ def get_session(master: str | None = None, app_name: str = "strata",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a scratch folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session.  Only a local session may
+    do without it (tests): a scratch folder is made and registered.  On any
+    other master each executor would write to its own disk, so that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or None
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 -- Spark Connect: the server's setting applies
-        sc = None
-    if configured is None and sc is not None:
-        configured = sc.getCheckpointDir()
-    if configured:
-        if sc is not None:
-            sc.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
-    if sc is not None:
-        sc.setCheckpointDir(local)
-    return local
+    sc = spark.sparkContext
+    configured = configured or sc.getCheckpointDir()
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="strata-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    sc.setCheckpointDir(configured)
+    return configured

@@ -1,24 +1,39 @@
 """Table store on plain Parquet with an append-only commit log (IO-06..IO-10 sinks).
 
-A table is a folder of immutable versions ``v=<n>`` plus a ``_commits``
-dataset with one row per committed version.  A load writes the new state to
-a fresh version folder and commits it by appending one row to the log, so a
-job that dies mid-write leaves the previous version readable, and a new state
-may be computed from the current one (an upsert reads what it replaces).
-Audit tables are plain append-only datasets.
-
-Only Spark's reader and writer are used; the root must be a shared folder
-(HDFS, object store, or the cluster's ``spark.checkpoint.dir`` area).
+A table is a folder of immutable versions plus a ``_commits`` dataset.  A load
+writes its files under a version folder of its own and commits by appending rows
+to the log; nothing committed is ever overwritten, so a job that dies anywhere
+leaves the last committed state readable, and a state may be computed from the
+one that it replaces.  What has no commit row is not read.
+
+Two layouts share that rule.  A *whole* table's state is its latest version.  A
+*partitioned* table's state is, for each partition value, the latest version
+that replaced it (the commit log names the values, a vanished or NULL one
+included), so that a load rewrites only the partitions that it touches.  One
+writer at a time is assumed for a table; two never overwrite each other's files,
+the later commit wins.
+
+Only Spark's reader and writer are used; the root must be a shared folder.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from strata.operators import loads
+
+COMMIT_SCHEMA = "version int, folder string, layout string, part string, committed_at timestamp_ntz, tag string"
+WHOLE, PARTS = "whole", "parts"
+
+
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
@@ -28,30 +43,43 @@ class TableStore:
     def _table(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _commits(self, name: str) -> DataFrame | None:
+    def commits(self, name: str) -> DataFrame | None:
         try:
             return self.spark.read.parquet(f"{self._table(name)}/_commits")
         except AnalysisException:
             return None
 
-    def version(self, name: str) -> int | None:
-        """Latest committed version number (one small aggregate)."""
-        log = self._commits(name)
+    def _latest(self, name: str):
+        log = self.commits(name)
         if log is None:
             return None
-        return log.agg(F.max("version")).first()[0]
+        return log.orderBy(F.col("version").desc(), F.col("committed_at").desc(), "folder").first()
+
+    def version(self, name: str) -> int | None:
+        """Latest committed version number."""
+        row = self._latest(name)
+        return None if row is None else row["version"]
+
+    def next_folder(self, name: str) -> tuple[int, str]:
+        current = self.version(name)
+        v = 0 if current is None else current + 1
+        return v, f"v={v:06d}-{uuid.uuid4().hex[:12]}"
+
+    def commit(self, name: str, rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(f"{self._table(name)}/_commits")
 
     def read(self, name: str) -> DataFrame | None:
-        v = self.version(name)
-        if v is None:
-            # a partitioned table (``PartitionedTable``) has no commit log
-            return PartitionedTable(self.spark, self._table(name), "").read()
-        return self.spark.read.parquet(f"{self._table(name)}/v={v:06d}")
+        row = self._latest(name)
+        if row is None:
+            return None
+        if row["layout"] == PARTS:
+            return PartitionedTable(self.spark, self._table(name)).read()
+        return self.spark.read.parquet(f"{self._table(name)}/{row['folder']}")
 
     def has_tag(self, name: str, tag: str) -> bool:
         """Whether a version carrying ``tag`` (e.g. a stream epoch) is committed."""
-        log = self._commits(name)
-        return log is not None and log.filter(F.col("tag") == tag).limit(1).count() > 0
+        log = self.commits(name)
+        return log is not None and not log.filter(F.col("tag") == tag).isEmpty()
 
     def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None,
               tag: str | None = None, sort_within: list[str] | None = None) -> int:
@@ -60,109 +88,166 @@ class TableStore:
         ``sort_within``: order rows by the load key inside each file (SL-05),
         which keeps files clustered for readers; no global sort.
         """
-        current = self.version(name)
-        v = 0 if current is None else current + 1
+        v, folder = self.next_folder(name)
         if sort_within:
             df = df.sortWithinPartitions(*sort_within)
-        writer = df.write.mode("overwrite")
+        writer = df.write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self._table(name)}/v={v:06d}")
-        commit = self.spark.createDataFrame(
-            [(v, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), tag)],
-            "version int, committed_at timestamp_ntz, tag string")
-        commit.write.mode("append").parquet(f"{self._table(name)}/_commits")
+        writer.parquet(f"{self._table(name)}/{folder}")
+        self.commit(name, self.spark.createDataFrame([(v, folder, WHOLE, None, _now(), tag)], COMMIT_SCHEMA))
         return v
 
+    # --- append-only rows (audit logs): generations, so that compaction never replaces what is read
+
+    def _generation(self, name: str) -> int:
+        try:
+            return self.spark.read.parquet(f"{self._table(name)}/_generation").agg(F.max("g")).first()[0]
+        except AnalysisException:
+            return 0
+
     def append_rows(self, name: str, df: DataFrame) -> None:
         """Append to an append-only dataset (audit logs)."""
-        df.write.mode("append").parquet(self._table(name))
+        df.write.mode("append").parquet(f"{self._table(name)}/g={self._generation(name):06d}")
 
-    def compact_rows(self, name: str, files: int = 1) -> None:
+    def compact_rows(self, name: str, files: int = 8) -> None:
         """Rewrite an append-only dataset (audit log) into ``files`` files.
 
         Every run appends small files; reading thousands of them slows each
-        watermark lookup.  Run it between batches: the rows are staged in the
-        shared checkpoint folder first, because the write replaces what it reads.
+        watermark lookup.  Run it between batches: the rows go to a new
+        generation, which becomes the one read once it is whole.
         """
-        from strata.session import ensure_checkpoint_dir
         df = self.read_rows(name)
         if df is None:
             return
-        ensure_checkpoint_dir(self.spark)
-        staged = df.checkpoint(eager=True)
-        staged.coalesce(files).write.mode("overwrite").parquet(self._table(name))
+        g = self._generation(name) + 1
+        df.repartition(files).write.mode("overwrite").parquet(f"{self._table(name)}/g={g:06d}")
+        self.spark.createDataFrame([(g,)], "g int").write.mode("append").parquet(f"{self._table(name)}/_generation")
 
     def read_rows(self, name: str) -> DataFrame | None:
         try:
-            return self.spark.read.parquet(self._table(name))
+            return self.spark.read.parquet(f"{self._table(name)}/g={self._generation(name):06d}")
         except AnalysisException:
             return None
 
 
 class PartitionedTable:
-    """A table partitioned by a column (e.g. a load date), updated partition by
-    partition with dynamic partition overwrite.
-
-    For large targets a window append should touch only the partitions the
-    window covers: ``replace_window`` reads just those partitions (partition
-    pruning), rebuilds them, materialises the result in the shared checkpoint
-    folder (so the job does not read the path it overwrites) and replaces
-    exactly those partitions.  Every other partition is left as written.
+    """A table kept by partition, updated partition by partition.
+
+    ``column`` is a column of the rows (a load day), or a bucket of the load key.
+    Every update writes the incoming rows once, then adds the kept rows of the
+    partitions that those touch; all other partitions stay as written.  Which
+    partitions are touched never passes through the driver.
     """
 
-    def __init__(self, spark: SparkSession, path: str, partition_col: str):
+    def __init__(self, spark: SparkSession, path: str, column: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.partition_col = partition_col
+        root, _, self.name = self.path.rpartition("/")
+        self.store = TableStore(spark, root)
+        self.column = column
 
-    def read(self) -> DataFrame | None:
+    def _state(self) -> DataFrame | None:
+        """part, folder: the version in force of each partition (one row for each partition value)."""
+        log = self.store.commits(self.name)
+        if log is None:
+            return None
+        top = F.max_by("folder", F.struct("version", "committed_at", "folder"))
+        return log.filter(F.col("layout") == PARTS).groupBy("part").agg(top.alias("folder"))
+
+    def _files(self) -> DataFrame | None:
+        """All committed rows with ``_part`` and ``_folder``, current or not."""
         try:
-            return self.spark.read.parquet(self.path)
+            return self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/data")
         except AnalysisException:
             return None
 
-    def _write(self, df: DataFrame) -> None:
-        from strata.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(self.spark)
-        staged = df.checkpoint(eager=True)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(self.partition_col).parquet(self.path))
-
-    def replace_all(self, df: DataFrame) -> None:
-        """Replace the whole table (full load), staged through a checkpoint."""
-        from strata.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(self.spark)
-        staged = df.checkpoint(eager=True)
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(self.partition_col).parquet(self.path))
-
-    def replace_window(self, incoming: DataFrame, window, scope=None) -> list:
-        """Idempotent window append (IO-08) that rewrites only touched partitions.
-
-        Returns the partition values that were rewritten.  Their number is
-        bounded by the window's length in partition units, which is why they
-        can be listed on the driver and used as a partition filter.
-        """
-        p = self.partition_col
-        existing = self.read()
-        parts = incoming.select(p)
-        if existing is not None and window is not None:
-            gone = F.coalesce(window, F.lit(False))
-            if scope is not None:
-                gone = gone & F.coalesce(scope, F.lit(False))
-            parts = parts.unionByName(existing.filter(gone).select(p))
-        touched = [r[0] for r in parts.distinct().collect()]
-        if not touched:
-            return []
-        if existing is None:
-            self._write(incoming)
-            return touched
-        keep = existing.filter(F.col(p).isin(touched))
-        if window is not None:
-            inside = F.coalesce(window, F.lit(False))
-            if scope is not None:
-                inside = inside & F.coalesce(scope, F.lit(False))
-            keep = keep.filter(~inside)
-        self._write(keep.unionByName(incoming.select(*existing.columns)))
-        return touched
+    def read(self) -> DataFrame | None:
+        state, files = self._state(), self._files()
+        if state is None or files is None:
+            return None
+        return self._in_force(files, state).drop("_part", "_folder")
+
+    @staticmethod
+    def _in_force(files: DataFrame, state: DataFrame) -> DataFrame:
+        # Both columns are folder names, so Spark prunes the scan by the joined state.
+        return files.join(state.select(F.col("part").alias("_part"), F.col("folder").alias("_folder")),
+                          ["_part", "_folder"])
+
+    def _part(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("_part", F.coalesce(F.col(self.column).cast("string"), F.lit("")))
+
+    def _write(self, df: DataFrame, folder: str) -> None:
+        """Add rows that carry ``_part`` to a version folder."""
+        (df.withColumn("_folder", F.lit(folder)).withColumn("_p", F.concat(F.lit("p"), F.col("_part")))
+         .drop("_part").withColumnRenamed("_p", "_part").write.mode("append")
+         .option("partitionOverwriteMode", "static").partitionBy("_folder", "_part").parquet(f"{self.path}/data"))
+
+    def _commit(self, parts: DataFrame, version: int, folder: str) -> int:
+        self.store.commit(self.name, parts.select(
+            F.lit(version).alias("version"), F.lit(folder).alias("folder"), F.lit(PARTS).alias("layout"),
+            F.col("_part").alias("part"), F.lit(_now()).alias("committed_at"), F.lit(None).cast("string").alias("tag")))
+        return version
+
+    def _rows(self, folder: str) -> DataFrame | None:
+        files = self._files()
+        return None if files is None else files.filter(F.col("_folder") == folder)
+
+    def _parts(self, folder: str) -> DataFrame:
+        rows = self._rows(folder)
+        if rows is None:
+            return self.spark.createDataFrame([], "_part string")
+        return rows.select("_part").distinct()
+
+    def replace_all(self, df: DataFrame) -> int:
+        """Replace the whole table (full load): partitions that no row has any more end up empty."""
+        state = self._state()
+        version, folder = self.store.next_folder(self.name)
+        self._write(self._part(df), folder)
+        parts = self._parts(folder)
+        if state is not None:
+            parts = parts.unionByName(state.select(F.col("part").alias("_part"))).distinct()
+        return self._commit(parts, version, folder)
+
+    def _replace(self, incoming: DataFrame, lost: Column | None, keys: list[str] | None) -> int:
+        state, version_folder = self._state(), self.store.next_folder(self.name)
+        version, folder = version_folder
+        self._write(self._part(incoming), folder)
+        touched = self._parts(folder)
+        files = None if state is None else self._files()
+        if files is not None:
+            mine = self._in_force(files, state).drop("_folder")
+            if lost is not None:
+                touched = touched.unionByName(mine.filter(lost).select("_part")).distinct()
+                kept = mine.filter(~lost).join(touched, "_part", "left_semi")
+            else:
+                new = self._rows(folder).select("_part", *keys)
+                same = [mine[k].eqNullSafe(new[k]) for k in keys]
+                kept = mine.join(touched, "_part", "left_semi").join(
+                    new, [mine["_part"] == new["_part"], *same], "left_anti")
+            # The prefix of folder names is put back by the writer.
+            self._write(kept.withColumn("_part", F.expr("substring(_part, 2)")), folder)
+        return self._commit(touched, version, folder)
+
+    def replace_window(self, incoming: DataFrame, window: Column | None, scope: Column | None = None) -> int:
+        """Idempotent window append (IO-08): rows inside the window (and scope) give way to ``incoming``."""
+        if window is None:
+            return self.replace_all(incoming)
+        lost = F.coalesce(window, F.lit(False))
+        if scope is not None:
+            lost = lost & F.coalesce(scope, F.lit(False))
+        return self._replace(incoming, lost, None)
+
+    def upsert(self, incoming: DataFrame, keys: list[str], order_by: list[str] | None = None) -> int:
+        """Upsert (IO-10) into a table whose partition column is a function of the keys (see ``bucketed``)."""
+        if not keys:
+            raise ValueError("an upsert needs a load key")
+        return self._replace(loads.latest_per_key(incoming, keys, order_by or []), None, keys)
+
+
+BUCKET_COLUMN = "load_bucket"
+
+
+def bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """``df`` with a bucket of its load key: a delivery touches only the buckets of its keys."""
+    return df.withColumn(BUCKET_COLUMN, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))

@@ -119,6 +119,8 @@ def test_text_before(spark):
     assert one(spark, lambda c: text.text_before(c, " (", whole_if_absent=True), "Emirates (EK)") == "Emirates"
     assert one(spark, lambda c: text.text_before(c, " (", whole_if_absent=True), "Emirates") == "Emirates"
     assert one(spark, lambda c: text.text_before(c, " (", whole_if_absent=False), "Emirates") == ""
+    assert one(spark, lambda c: text.text_before(c, " (", whole_if_absent=False), None) is None
+    assert one(spark, lambda c: text.text_before(c, " (", whole_if_absent=True), None) is None
 
 
 def test_repaired_date(spark):

@@ -14,7 +14,7 @@ from .conftest import SF_SMALL
 
 
 def rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(x is not None, str(type(x)), x) for x in r])
 
 
 def test_window_bounds_are_strict_and_null_keys_never_match(spark):
@@ -122,6 +122,12 @@ def test_row_index_splits_a_hot_key(spark):
     assert first == 300   # the hot key's rows come first, numbered 1..300
 
 
+def parts_of_last_version(table):
+    log = table.store.commits(table.name)
+    last = log.agg(F.max("version")).first()[0]
+    return sorted(r["part"] for r in log.filter(F.col("version") == last).select("part").collect())
+
+
 def test_partitioned_window_append_rewrites_only_touched_days(spark, scratch):
     import os
 
@@ -130,23 +136,90 @@ def test_partitioned_window_append_rewrites_only_touched_days(spark, scratch):
     table = PartitionedTable(spark, os.path.join(scratch, "events_by_day"), "day")
     first = ev.filter(windows.upper_bound_window("ts", "2024-01-20"))
     table.replace_window(first, None)
-    untouched = os.path.join(table.path, "day=2024-01-05")
-    before = sorted(os.listdir(untouched))
 
     w = windows.incremental_window("ts", "2024-01-15 12:00:00", "2024-01-22 00:00:00")
     incoming = ev.filter(w).withColumn("value", F.col("value") + 1)
-    touched = table.replace_window(incoming, w)
-    assert sorted(str(d) for d in touched) == [f"2024-01-{d:02d}" for d in range(15, 22)]
-    assert sorted(os.listdir(untouched)) == before          # other days not rewritten
+    table.replace_window(incoming, w)
+    assert parts_of_last_version(table) == [f"p2024-01-{d:02d}" for d in range(15, 22)]
 
     expected = loads.window_append(first, incoming, w)
-    got = table.read().select(*expected.columns)
-    assert rows(got) == rows(expected)
+    assert rows(table.read().select(*expected.columns)) == rows(expected)
     # rerunning the same window changes nothing
     table.replace_window(incoming, w)
     assert rows(table.read().select(*expected.columns)) == rows(expected)
 
 
+def test_partitioned_and_plain_sinks_agree(spark, scratch):
+    import os
+    import random
+
+    from strata.sources.store import BUCKET_COLUMN, PartitionedTable, bucketed
+    rng = random.Random(6)
+    schema = "id int, updated int, day string"
+
+    def delivery(n, low, high):  # hot day d0, NULL days, moved days, NULL window keys
+        return [(rng.randrange(60), rng.choice([None, *range(low, high)]),
+                 rng.choice(["d0"] * 6 + [f"d{k}" for k in range(9)] + [None])) for _ in range(n)]
+
+    days = PartitionedTable(spark, os.path.join(scratch, "days"), "day")
+    buckets = PartitionedTable(spark, os.path.join(scratch, "buckets"), BUCKET_COLUMN)
+    plain = spark.createDataFrame(delivery(80, 0, 30), schema)
+    keyed = loads.upsert(None, plain, ["id"], ["updated"])
+    days.replace_all(plain)
+    buckets.upsert(bucketed(plain, ["id"], 7), ["id"], ["updated"])
+    assert rows(days.read().select("id", "updated", "day")) == rows(plain)
+    for low, high in ((20, 40), (0, 50), (10, 12)):
+        w = windows.incremental_window("updated", str(low), str(high))
+        # the second delivery is empty: everything in its window vanishes
+        incoming = spark.createDataFrame(delivery(0 if low == 0 else 12, low + 1, high), schema)
+        plain = spark.createDataFrame(loads.window_append(plain, incoming, w).collect(), schema)
+        days.replace_window(incoming, w)
+        assert rows(days.read().select("id", "updated", "day")) == rows(plain)
+        keyed = spark.createDataFrame(loads.upsert(keyed, incoming, ["id"], ["updated"]).collect(), schema)
+        buckets.upsert(bucketed(incoming, ["id"], 7), ["id"], ["updated"])
+        assert rows(buckets.read().select("id", "updated", "day")) == rows(keyed)
+    assert len(parts_of_last_version(buckets)) <= 7
+
+
+def test_upsert_without_a_key_is_an_error(spark):
+    import pytest
+    df = spark.range(3)
+    with pytest.raises(ValueError):
+        loads.upsert(None, df, [])
+
+
+def test_uncommitted_files_are_not_read(spark, scratch):
+    import os
+
+    from strata.sources.store import TableStore
+    spark.range(10).write.parquet(os.path.join(scratch, "t", "v=000000-x"))
+    assert TableStore(spark, scratch).read("t") is None
+    spark.range(10).withColumn("_part", F.lit("p")).write.parquet(os.path.join(scratch, "u", "data", "_folder=v"))
+    assert TableStore(spark, scratch).read("u") is None
+
+
+def test_checkpoint_folder_is_required_off_local_masters():
+    import pytest
+
+    from strata.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):  # noqa: N802
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session())
+
+
 def test_compact_append_only_rows(spark, scratch):
     import glob
     import os
@@ -155,10 +228,11 @@ def test_compact_append_only_rows(spark, scratch):
     store = TableStore(spark, scratch)
     for i in range(5):
         store.append_rows("audit", spark.range(i * 10, i * 10 + 10).coalesce(1))
-    assert len(glob.glob(os.path.join(scratch, "audit", "*.parquet"))) == 5
-    store.compact_rows("audit")
-    assert len(glob.glob(os.path.join(scratch, "audit", "*.parquet"))) == 1
-    assert sorted(r[0] for r in store.read_rows("audit").collect()) == list(range(50))
+    assert len(glob.glob(os.path.join(scratch, "audit", "g=000000", "*.parquet"))) == 5
+    store.compact_rows("audit", files=2)
+    assert len(glob.glob(os.path.join(scratch, "audit", "g=000001", "*.parquet"))) == 2
+    store.append_rows("audit", spark.range(50, 60))
+    assert sorted(r[0] for r in store.read_rows("audit").collect()) == list(range(60))
 
 
 def test_silver_transform_fills_enrichment_only_with_lookups(spark):
