@@ -112,18 +112,14 @@ def flatten_cell(c: Column, path: str, wellformed: Column | None = None) -> Colu
 
 
 def flatten(df: DataFrame, config: dict) -> DataFrame:
-    """Add one column per configured key (F-15).  ``extract_all`` JSON
-    columns get one column per top-level key (F-15b), found by one distinct
-    pass over the keys."""
+    """Add one column per configured key (F-15), or with ``extract_all`` one
+    per top-level key or element found (F-15b)."""
     for column, cfg in (config or {}).items():
         if column not in df.columns:
             continue
         if cfg.get("extract_all"):
-            if cfg.get("format", "json").lower() == "xml":
-                df = xml_extract_all(df, column)
-                continue
-            for key in json_top_level_keys(df, column):
-                df = df.withColumn(key, F.get_json_object(F.col(column), json_path(key)))
+            kind = cfg.get("format", "").lower()
+            df = extract_all(df, column, json=kind != "xml", xml=kind != "json")
             continue
         keys = parse_keys(column, cfg.get("keys_to_extract"))
         if not keys:
@@ -135,10 +131,44 @@ def flatten(df: DataFrame, config: dict) -> DataFrame:
     return df
 
 
+def looks_like_json(c: Column) -> Column:
+    """Whether a cell is JSON, by its first character; any other is taken for XML."""
+    head = F.ltrim(c)
+    return head.startswith("{") | head.startswith("[")
+
+
+def extract_all(df: DataFrame, column: str, json: bool = True, xml: bool = True) -> DataFrame:
+    """One column per name found in a column (F-15b), chosen cell by cell: the
+    top-level keys of JSON cells, elements and attributes of XML cells.
+
+    JSON cells are parsed once, into a map, so a key may hold any character.
+    ``json`` or ``xml`` may be switched off where a column's kind is known: that
+    saves its pass over the names.
+    """
+    c, parsed = F.col(column), f"__{column}_json"
+    found: dict[str, Column] = {}
+    if json:
+        cell = F.when(looks_like_json(c), c)
+        keys = json_top_level_keys(df.select(cell.alias(column)), column)
+        if keys:
+            df = df.withColumn(parsed, F.from_json(cell, "map<string,string>"))
+            found = {k: F.try_element_at(F.col(parsed), F.lit(k)) for k in keys}
+    if xml:
+        cell = F.when(~looks_like_json(c), c)
+        names, pairs = xml_vocabulary(df.select(cell.alias(column)), column)
+        if names or pairs:
+            ok = f"__{column}_xml_ok"
+            df = df.withColumn(ok, is_wellformed_xml(cell))
+            for name, value in xml_values(c, F.col(ok), names, pairs).items():
+                found[name] = F.coalesce(found[name], value) if name in found else value
+    return df.withColumns(found).drop(parsed, f"__{column}_xml_ok") if found else df
+
+
 def json_top_level_keys(df: DataFrame, column: str) -> list[str]:
     """Distinct top-level keys of a JSON column (the schema pass of F-15b).
 
-    The distinct runs on the executors; only the key names reach the driver.
+    The distinct runs on the executors; the key names, which become the columns
+    of the result, reach the driver.
     """
     c = F.col(column)
     keys = (df.select(F.explode(F.json_object_keys(c)).alias("k"))
@@ -272,15 +302,9 @@ def xml_vocabulary(df: DataFrame, column: str) -> tuple[list[str], list[tuple[st
     return [r["t"] for r in names.collect()], [(r["t"], r["a"]) for r in pairs.collect()]
 
 
-def xml_extract_all(df: DataFrame, column: str) -> DataFrame:
-    """XML ``extract_all`` (F-15b): one column per element local name holding
-    its last non-blank text (stripped), and ``<tag>_attr_<name>`` per attribute
-    (last occurrence wins), as the reference's element walk produces."""
-    names, pairs = xml_vocabulary(df, column)
-    c = F.col(column)
-    ok_col = f"__{column}_xml_ok"
-    df = df.withColumn(ok_col, is_wellformed_xml(c))
-    ok = F.col(ok_col)
+def xml_values(c: Column, ok: Column, names: list[str], pairs: list[tuple[str, str]]) -> dict[str, Column]:
+    """One value per element local name, its last non-blank text (stripped), and
+    ``<tag>_attr_<name>`` per attribute (last occurrence wins)."""
     exprs = {}
     for t in names:
         # the element's leading text (before its first child), lxml's ``.text``
@@ -290,4 +314,9 @@ def xml_extract_all(df: DataFrame, column: str) -> DataFrame:
     for t, a in pairs:
         vals = F.xpath(c, F.lit(f"//*[local-name()='{t}']/@{a}"))
         exprs[f"{t}_attr_{a}"] = F.when(ok, F.try_element_at(vals, F.lit(-1)))
-    return df.withColumns(exprs).drop(ok_col)
+    return exprs
+
+
+def xml_extract_all(df: DataFrame, column: str) -> DataFrame:
+    """``extract_all`` of a column known to hold XML."""
+    return extract_all(df, column, json=False)

@@ -8,8 +8,9 @@ Two branches with 22 columns each, combined with ``UNION`` (distinct, SO-01):
 * services: labels cut from the ``Details`` XML (D-06, D-08, D-10) and the
   hotel country found from a city code cut out of that XML (JN-07, D-09).
 
-Joins to entities whose columns the output never reads and whose keys are
-unique (hotel room stay / room type) are left out: they change no row.
+Left joins to entities whose columns the output never reads (hotel room stay,
+room type, traveler profile) are left out: at most they repeat a row, and the
+final UNION is distinct.
 """
 
 from __future__ import annotations
@@ -84,7 +85,7 @@ def itinerary_rollup(m, bookings: DataFrame | None = None, utc_offset_in_minutes
     """Per booking: flight minutes (halved for round trips), first departure,
     last arrival, lowest cabin name, route list (AG-08).
 
-    ``bookings`` (one ``ID`` column) restricts the rollup to the bookings a
+    ``bookings`` (rows of the booking table) restricts the rollup to those a
     report selects: the result is then left-joined on the booking id, so the
     rows are the same, but a one-month report no longer aggregates every
     segment ever booked.
@@ -97,9 +98,7 @@ def itinerary_rollup(m, bookings: DataFrame | None = None, utc_offset_in_minutes
     a2 = m.airport.select(F.col("ID").alias("a2_id"), F.col("IATACode").alias("a2_code"), F.col("CityID").alias("a2_city"))
     c1 = m.city.select(F.col("ID").alias("c1_id"), F.col("UTCDifference").alias("utc1"))
     c2 = m.city.select(F.col("ID").alias("c2_id"), F.col("UTCDifference").alias("utc2"))
-    b = m.booking.select(F.col("ID").alias("b_id"), "AirTripTypeID")
-    if bookings is not None:
-        b = b.join(bookings.select(F.col("ID").alias("b_id")).distinct(), "b_id", "left_semi")
+    b = (m.booking if bookings is None else bookings).select(F.col("ID").alias("b_id"), "AirTripTypeID")
     j = (b.join(aod, F.col("b_id") == F.col("bid"))
          .join(seg, F.col("AirOriginDestinationID") == F.col("aod_id"))
          .join(cab, F.col("BookedAirCabinClassID") == F.col("cab_id"))
@@ -161,13 +160,11 @@ def booking_branch(m, p: ListingParams) -> DataFrame:
          .join(usr, F.col("RelationshipManagerUserID") == F.col("U_ID"), "left")
          .filter(cond))
     j = traveler_via_air_or_hotel(j, m)
-    tp = m.traveler_profile.select(F.col("ID").alias("TP_ID"), F.col("OrganizationID").alias("TP_Org"))
-    j = j.join(tp, (F.col("TP_ID") == F.col("T_TravelerProfileID")) & (F.col("Org_ID") == F.col("TP_Org")), "left")
     airline = m.airline.select(F.col("ID").alias("AL_ID"), F.col("NameEN").alias("AL_Name"))
     status = m.booking_status.select(F.col("ID").alias("BS_ID"), F.col("NameEN").alias("BS_Name"))
     # bookings the report can select, from booking-level predicates only (one
     # filtered scan, no join): the rollup then covers the report period only
-    selected = m.booking.filter(_own_conditions(p) & (F.col("TravelSectorID") == 1)).select("ID")
+    selected = m.booking.filter(_own_conditions(p) & (F.col("TravelSectorID") == 1))
     route = itinerary_rollup(m, selected, p.utc_offset_in_minutes).select(F.col("ID").alias("ARI_ID"), *[F.col(c).alias(f"ARI_{c}") for c in
                                                                       ("Flight_Time", "From", "To", "In", "Route")])
     hpi = m.hotel_property_item.select(F.col("ID").alias("HPI_ID"), F.col("NameEN").alias("HPI_Name"),
@@ -227,20 +224,19 @@ def city_code(loc: Column) -> Column:
                    .otherwise(F.right(F.substring(loc, pos, 4), F.lit(3))))
 
 
-def service_country(m, services: DataFrame | None = None) -> DataFrame:
-    """Hotel services -> city code from the XML location -> city -> country (JN-07).
+def code_country(m) -> DataFrame:
+    """City code -> country."""
+    city = m.city.select(F.col("IATACode"), F.col("CountryID"))
+    ctry = m.country.select(F.col("ID").alias("K_ID"), F.col("NameEN").alias("Country"))
+    return city.join(ctry, F.col("K_ID") == F.col("CountryID")).select("IATACode", "Country")
 
-    ``services`` (one ``ID`` column) restricts the lookup to a report's services.
-    """
+
+def service_country(m) -> DataFrame:
+    """Hotel services -> city code from the XML location -> city -> country (JN-07)."""
     s = m.service.filter(F.col("ServiceTypeID").isin(*HOTEL_TYPES))
-    if services is not None:
-        s = s.join(services.select("ID").distinct(), "ID", "left_semi")
     loc = semistructured.XmlDoc(F.col("Details"), [LOC]).value(LOC)
     w = s.select(F.col("ID").alias("ServiceID"), city_code(loc).alias("CityIATA"))
-    city = m.city.select(F.col("IATACode"), F.col("CountryID"))
-    ctry = m.country.select(F.col("ID").alias("K_ID"), F.col("NameEN").alias("Country"))
-    return (w.join(city, F.col("IATACode") == F.col("CityIATA"))
-            .join(ctry, F.col("K_ID") == F.col("CountryID"))
+    return (w.join(code_country(m), F.col("IATACode") == F.col("CityIATA"))
             .select(F.col("ServiceID").alias("CI_ID"), "Country"))
 
 
@@ -272,9 +268,7 @@ def service_branch(m, p: ListingParams) -> DataFrame:
                                 "OrganizationGroup", "RelationshipManagerUserID")
     usr = m.user.select(F.col("ID").alias("U_ID"), "FirstName", "LastName")
     st = m.service_traveler.select(F.col("ServiceID").alias("ST_Service"), F.col("TravelerID").alias("ST_Traveler"))
-    trav = m.traveler.select(F.col("ID").alias("T_ID"), F.col("FullName").alias("T_FullName"),
-                             F.col("TravelerProfileID").alias("T_Profile"))
-    tp = m.traveler_profile.select(F.col("ID").alias("TP_ID"), F.col("OrganizationID").alias("TP_Org"))
+    trav = m.traveler.select(F.col("ID").alias("T_ID"), F.col("FullName").alias("T_FullName"))
     status = m.booking_status.select(F.col("ID").alias("BS_ID"), F.col("NameEN").alias("BS_Name"))
     stype = m.service_type.select(F.col("ID").alias("STY_ID"), F.col("NameEN").alias("STY_Name"))
     cond = (F.col("RemitDate").between(F.lit(p.remit_from), F.lit(p.remit_to))
@@ -288,16 +282,16 @@ def service_branch(m, p: ListingParams) -> DataFrame:
          .filter(cond)
          .join(st, F.col("S_ID") == F.col("ST_Service"), "left")
          .join(trav, F.col("ST_Traveler") == F.col("T_ID"), "left")
-         .join(tp, (F.col("TP_ID") == F.col("T_Profile")) & (F.col("Org_ID") == F.col("TP_Org")), "left")
          .join(status, F.col("BS_ID") == F.col("BookingStatusID"))
          .join(stype, F.col("ServiceTypeID") == F.col("STY_ID"), "left")
          )
-    hotels = m.service.filter(_own_conditions(p) & F.col("ServiceTypeID").isin(*HOTEL_TYPES)).select("ID")
-    j = j.join(service_country(m, hotels), F.col("S_ID") == F.col("CI_ID"), "left")
     # one parse of the Details XML per row serves all seven reads
     doc = semistructured.XmlDoc(F.col("Details"), [SC, SN, LOC, SD, ED])
     j = doc.bind(j, "_doc")
     sc, sn, loc, sd, ed = (doc.value(p_) for p_ in (SC, SN, LOC, SD, ED))
+    # the country comes from the same parse: no second scan of the services
+    j = j.withColumn("_code", F.when(F.col("ServiceTypeID").isin(*HOTEL_TYPES), city_code(loc)))
+    j = j.join(code_country(m), F.col("_code") == F.col("IATACode"), "left")
     t = F.col("ServiceTypeID")
     hotel, flight = t.isin(*HOTEL_TYPES), t.isin(*FLIGHT_TYPES)
     in_label = None

@@ -101,7 +101,7 @@ SELECT CAST(total_revenue AS DOUBLE) AS total_revenue, CAST(ebitda_expense AS DO
        CAST(total_revenue + ebitda_expense AS DOUBLE) AS ebitda FROM pnl""")
 
 # --- windows and loads -----------------------------------------------------
-EVENTS_KEYS = """ev AS (SELECT event_id, ts, user_id, event_type, value,
+EVENTS_KEYS = """ev AS (SELECT event_id, ts, user_id, event_type, value, props,
                        ts + INTERVAL 3 DAY AS updated_at FROM events)"""
 
 ORACLE["window_delta"] = _with(EVENTS_KEYS, """
@@ -123,7 +123,7 @@ WHERE COALESCE(o_orderdate >= TIMESTAMP '1999-06-01', FALSE)
    OR COALESCE(TRY_CAST(ship_text AS TIMESTAMP) >= TIMESTAMP '1999-06-01', FALSE)"""
 
 FIRST_LOAD = """first_load AS (
-  SELECT event_id, ts, user_id, event_type, value, TIMESTAMP '2024-01-20 00:00:00' AS insertion_date
+  SELECT event_id, ts, user_id, event_type, value, props, TIMESTAMP '2024-01-20 00:00:00' AS insertion_date
   FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00')"""
 
 ORACLE["load_full"] = _with(FIRST_LOAD, "SELECT * FROM first_load")
@@ -132,14 +132,14 @@ ORACLE["load_window_append"] = _with(FIRST_LOAD, """
 SELECT * FROM first_load
 WHERE NOT COALESCE(ts > TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-25 06:00:00', FALSE)
 UNION ALL
-SELECT event_id, ts, user_id, event_type, value + 1 AS value, TIMESTAMP '2024-01-25 06:00:00' AS insertion_date
+SELECT event_id, ts, user_id, event_type, value + 1 AS value, props, TIMESTAMP '2024-01-25 06:00:00' AS insertion_date
 FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-25 06:00:00'""")
 
 ORACLE["load_upsert"] = """
-WITH d1 AS (SELECT event_id, ts, user_id, event_type, value FROM events
+WITH d1 AS (SELECT event_id, ts, user_id, event_type, value, props FROM events
             WHERE ts < TIMESTAMP '2024-01-20 00:00:00'
             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
-d2 AS (SELECT event_id, ts, user_id, event_type, value FROM events
+d2 AS (SELECT event_id, ts, user_id, event_type, value, props FROM events
        WHERE ts > TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-25 06:00:00'
        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
 SELECT * FROM d1 WHERE user_id NOT IN (SELECT user_id FROM d2)
@@ -362,10 +362,10 @@ SELECT l_orderkey, l_linenumber, l_partkey,
        CAST(to_json({'k': l_partkey, 'f': l_returnflag}) AS VARCHAR) AS js
 FROM lineitem"""
 
-ORACLE["dedup_rows"] = "SELECT DISTINCT l_returnflag, l_linestatus, l_shipdate FROM lineitem"
+ORACLE["dedup_rows"] = "SELECT DISTINCT * FROM lineitem"
 
 ORACLE["row_index"] = """
-SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey) AS partition_index FROM orders"""
+SELECT *, row_number() OVER (ORDER BY o_orderkey) AS partition_index FROM orders"""
 
 ORACLE["schema_align"] = """
 SELECT o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS missing_col,
@@ -447,99 +447,100 @@ service AS (
 service_traveler AS (SELECT p_partkey + 100000 AS ID, p_partkey AS ServiceID FROM part)
 """
 
-GC = ("acos(greatest(least(sin(radians({a}.Latitude)) * sin(radians({b}.Latitude)) + cos(radians({a}.Latitude)) "
-      "* cos(radians({b}.Latitude)) * cos(radians({b}.Longitude - {a}.Longitude)), 1.0), -1.0)) * 6371")
-
+# The emission and listing statements follow the meaning of each output column: distances come from a
+# table of all airport pairs, factors and labels from rule tables, and flights, hotels and services are
+# separate parts of a union.
 EMISSION_CTES = BOOKING_CTES + """,
-booking_source AS (
-  SELECT BF.ID AS BookingFileID, O.ID AS OrganizationId, BF.SystemReference AS Trip, B.ID AS BookingID,
-         ASG.Departure AS Start_Date, ASG.Arrival AS End_Date, ATR.ID AS TravelerId, AA.NameEN AS Airline,
-         ATA.NameEN AS TripType, ACC.NameEN AS Cabin_Class, ATR.ETicketNumber AS E_Ticket, B.RemitDate,
-         CASE WHEN B.AirTripTypeID IN (0, 1) THEN A.IATACode || '-' || A1.IATACode
-              WHEN B.AirTripTypeID = 4 THEN A.IATACode || '-' || A1.IATACode || '-*' END AS Route,
-         CASE WHEN A.Latitude IS NULL OR A1.Latitude IS NULL OR A.Longitude IS NULL OR A1.Longitude IS NULL THEN 0
-              ELSE """ + GC.format(a="A", b="A1") + """ * CASE WHEN B.AirTripTypeID = 1 THEN 2 ELSE 1 END END AS KM,
-         CASE WHEN B.Amount < 0 THEN 'Cancelled'
-              WHEN B.IsDomestic = TRUE AND B.Amount < 100 THEN 'Changed'
-              WHEN B.IsDomestic = FALSE AND B.Amount < 250 THEN 'Changed'
-              ELSE CAST(B.BookingStatusID AS VARCHAR) END AS Ticket_status
-  FROM booking B
-  JOIN booking_file BF ON B.BookingFileID = BF.ID
-  JOIN trip_type ATA ON ATA.ID = B.AirTripTypeID
-  JOIN air_traveler ATR ON ATR.BookingID = B.ID
-  LEFT JOIN organization O ON BF.BookedForOrganizationID = O.ID
-  JOIN origin_destination AOD ON B.ID = AOD.BookingID
-  JOIN segment ASG ON AOD.ID = ASG.AirOriginDestinationID
-  JOIN cabin_class ACC ON ASG.BookedAirCabinClassID = ACC.ID
-  JOIN airline AA ON AA.ID = ASG.MarketingAirlineID
-  JOIN airport A ON ASG.DepartureAirportID = A.ID
-  JOIN airport A1 ON ASG.ArrivalAirportID = A1.ID
-  WHERE B.TravelSectorID = 1 AND BF.BookingFileStatusID = 16 AND B.IsActive = TRUE
-    AND BF.BookedForOrganizationID IS NOT NULL),
-service_source AS (
-  SELECT BF.ID AS BookingFileID, O.ID AS OrganizationId, BF.SystemReference AS Trip, S.ID AS BookingID,
-         CAST(S.Service_Start_Date AS DATE) AS Start_Date, CAST(S.Service_End_Date AS DATE) AS End_Date,
-         ST.ID AS TravelerId,
-         CASE WHEN position(' (' IN S.NameEN) > 0 THEN substring(S.NameEN, 1, position(' (' IN S.NameEN) - 1)
-              ELSE S.NameEN END AS Airline,
-         S.Service AS TripType,
-         CASE WHEN S.ServiceTypeID IN (13, 15) AND lower(S.Service_Class) LIKE '%eco%' THEN 'Economy class'
-              WHEN S.ServiceTypeID IN (13, 15) AND lower(S.Service_Class) LIKE '%busi%' THEN 'Business class'
-              WHEN S.ServiceTypeID IN (13, 15) AND lower(S.Service_Class) LIKE '%first%' THEN 'First class'
-              WHEN S.ServiceTypeID IN (13, 15) AND lower(S.Service_Class) LIKE '%premium%' THEN 'Premium economy class'
-              ELSE 'Other' END AS Cabin_Class,
-         COALESCE(S.ProviderConfirmationReference, '-') AS E_Ticket, S.RemitDate,
-         COALESCE(S.Service_Location, '-') AS Route,
-         split_part(S.Service_Location, '-', 1) AS A0Code, split_part(S.Service_Location, '-', 2) AS A1Code,
-         split_part(S.Service_Location, '-', 3) AS A2Code, split_part(S.Service_Location, '-', 4) AS A3Code,
-         split_part(S.Service_Location, '-', 5) AS A4Code
-  FROM service S
-  JOIN booking_file BF ON BF.ID = S.BookingFileID
-  JOIN organization O ON O.ID = BF.BookedForOrganizationID
-  JOIN service_traveler ST ON ST.ServiceID = S.ID
-  WHERE S.ServiceTypeID IN (13, 15) AND BF.BookedForOrganizationID IS NOT NULL AND O.IsActive = TRUE
-    AND S.BookingStatusID = 16 AND S.IsActive = TRUE),
-service_km AS (
-  SELECT ss.*, COALESCE(""" + GC.format(a="A0", b="A1") + """, 0) + COALESCE(""" + GC.format(a="A1", b="A2") + """, 0)
-             + COALESCE(""" + GC.format(a="A2", b="A3") + """, 0) + COALESCE(""" + GC.format(a="A3", b="A4") + """, 0) AS KM
-  FROM service_source ss
-  LEFT JOIN airport A0 ON ss.A0Code = A0.IATACode LEFT JOIN airport A1 ON ss.A1Code = A1.IATACode
-  LEFT JOIN airport A2 ON ss.A2Code = A2.IATACode LEFT JOIN airport A3 ON ss.A3Code = A3.IATACode
-  LEFT JOIN airport A4 ON ss.A4Code = A4.IATACode),
-unified AS (
-  SELECT BookingFileID, 'Booking' AS booking_service_type, OrganizationId, Trip, BookingID, Start_Date, End_Date,
-         TravelerId, Airline, TripType, Cabin_Class, E_Ticket, RemitDate, Route, KM FROM booking_source
-  UNION ALL
-  SELECT BookingFileID, 'Service' AS booking_service_type, OrganizationId, Trip, BookingID, Start_Date, End_Date,
-         TravelerId, Airline, TripType, Cabin_Class, E_Ticket, RemitDate, Route, KM FROM service_km),
-emission_calc AS (
-  SELECT u.*,
-    CASE WHEN u.KM <= 785 THEN u.KM * 1.09 * 0.16685
-         WHEN u.KM > 785 AND u.KM <= 3700 THEN
-           CASE WHEN lower(u.Cabin_Class) LIKE '%economy%' THEN u.KM * 1.09 * 0.09074 ELSE u.KM * 1.09 * 0.13612 END
-         WHEN u.KM > 3700 THEN
-           CASE WHEN lower(u.Cabin_Class) LIKE '%economy%' THEN u.KM * 1.09 * 0.07954
-                WHEN lower(u.Cabin_Class) LIKE '%first%' THEN u.KM * 1.09 * 0.31816
-                ELSE u.KM * 1.09 * 0.23066 END END AS TotalEmission
-  FROM unified u)
+hop AS (
+  SELECT p.ID AS from_id, q.ID AS to_id, p.IATACode AS from_code, q.IATACode AS to_code,
+         6371 * acos(greatest(-1.0, least(1.0,
+           sin(radians(p.Latitude)) * sin(radians(q.Latitude))
+           + cos(radians(p.Latitude)) * cos(radians(q.Latitude)) * cos(radians(q.Longitude - p.Longitude))))) AS km
+  FROM airport p CROSS JOIN airport q),
+client_file AS (
+  SELECT f.*, o.ID AS client, o.IsActive AS client_active
+  FROM booking_file f LEFT JOIN organization o ON o.ID = f.BookedForOrganizationID
+  WHERE f.BookedForOrganizationID IS NOT NULL),
+flight_booking AS (
+  SELECT x.ID, x.AirTripTypeID, x.RemitDate, x.Amount, x.IsDomestic, x.BookingStatusID,
+         c.ID AS file_id, c.client, c.SystemReference
+  FROM booking x JOIN client_file c ON c.ID = x.BookingFileID
+  WHERE x.IsActive AND x.TravelSectorID = 1 AND c.BookingFileStatusID = 16),
+flown AS (
+  SELECT d.BookingID, g.Departure, g.Arrival, g.MarketingAirlineID, g.BookedAirCabinClassID,
+         h.from_code || '-' || h.to_code AS pair, coalesce(h.km, 0) AS km
+  FROM origin_destination d
+  JOIN segment g ON g.AirOriginDestinationID = d.ID
+  JOIN hop h ON h.from_id = g.DepartureAirportID AND h.to_id = g.ArrivalAirportID),
+booking_leg AS (
+  SELECT t.file_id, t.client AS OrganizationId, t.SystemReference AS Trip, t.ID AS BookingID,
+         w.Departure AS Start_Date, w.Arrival AS End_Date, p.ID AS TravelerId, carrier.NameEN AS Airline,
+         kind.NameEN AS TripType, cabin.NameEN AS Cabin_Class, p.ETicketNumber AS E_Ticket, t.RemitDate,
+         w.pair || CASE t.AirTripTypeID WHEN 0 THEN '' WHEN 1 THEN '' WHEN 4 THEN '-*' END AS Route,
+         w.km * (CASE t.AirTripTypeID WHEN 1 THEN 2 ELSE 1 END) AS KM,
+         CASE WHEN t.Amount < 0 THEN 'Cancelled'
+              WHEN t.Amount < (CASE t.IsDomestic WHEN TRUE THEN 100 WHEN FALSE THEN 250 END) THEN 'Changed'
+              ELSE CAST(t.BookingStatusID AS VARCHAR) END AS Ticket_status
+  FROM flight_booking t
+  JOIN air_traveler p ON p.BookingID = t.ID
+  JOIN flown w ON w.BookingID = t.ID
+  JOIN trip_type kind ON kind.ID = t.AirTripTypeID
+  JOIN cabin_class cabin ON cabin.ID = w.BookedAirCabinClassID
+  JOIN airline carrier ON carrier.ID = w.MarketingAirlineID),
+stop AS (
+  SELECT ID, i, string_split(Service_Location, '-')[i] AS here, string_split(Service_Location, '-')[i + 1] AS next
+  FROM service, (SELECT unnest(range(1, 5)) AS i)),
+service_distance AS (
+  SELECT stop.ID, sum(coalesce(hop.km, 0)) AS km
+  FROM stop LEFT JOIN hop ON hop.from_code = stop.here AND hop.to_code = stop.next GROUP BY stop.ID),
+class_word AS (
+  SELECT * FROM (VALUES (1, 'eco', 'Economy class'), (2, 'busi', 'Business class'), (3, 'first', 'First class'),
+                        (4, 'premium', 'Premium economy class')) v(turn, word, label)),
+service_class AS (
+  SELECT s.ID, min_by(c.label, c.turn) AS label
+  FROM service s JOIN class_word c ON contains(lower(s.Service_Class), c.word) GROUP BY s.ID),
+service_leg AS (
+  SELECT c.ID AS file_id, c.client AS OrganizationId, c.SystemReference AS Trip, s.ID AS BookingID,
+         CAST(s.Service_Start_Date AS DATE) AS Start_Date, CAST(s.Service_End_Date AS DATE) AS End_Date,
+         who.ID AS TravelerId, split_part(s.NameEN, ' (', 1) AS Airline, s.Service AS TripType,
+         coalesce(k.label, 'Other') AS Cabin_Class, coalesce(s.ProviderConfirmationReference, '-') AS E_Ticket,
+         s.RemitDate, coalesce(s.Service_Location, '-') AS Route, far.km AS KM
+  FROM service s
+  JOIN client_file c ON c.ID = s.BookingFileID AND c.client_active
+  JOIN service_traveler who ON who.ServiceID = s.ID
+  JOIN service_distance far ON far.ID = s.ID
+  LEFT JOIN service_class k ON k.ID = s.ID
+  WHERE s.ServiceTypeID IN (13, 15) AND s.BookingStatusID = 16 AND s.IsActive),
+every_leg AS (
+  SELECT 'Booking' AS source, * EXCLUDE (Ticket_status) FROM booking_leg
+  UNION ALL BY NAME SELECT 'Service' AS source, * FROM service_leg),
+factor AS (
+  SELECT * FROM (VALUES
+    (-1, 785, 'economy', 0.16685), (-1, 785, 'first', 0.16685), (-1, 785, 'other', 0.16685),
+    (785, 3700, 'economy', 0.09074), (785, 3700, 'first', 0.13612), (785, 3700, 'other', 0.13612),
+    (3700, 1e9, 'economy', 0.07954), (3700, 1e9, 'first', 0.31816), (3700, 1e9, 'other', 0.23066))
+    v(above, up_to, cabin, kg)),
+emitted AS (
+  SELECT l.*, l.KM * 1.09 * CAST(f.kg AS DOUBLE) AS kg
+  FROM every_leg l LEFT JOIN factor f ON l.KM > f.above AND l.KM <= f.up_to AND f.cabin =
+    CASE WHEN contains(lower(l.Cabin_Class), 'economy') THEN 'economy'
+         WHEN contains(lower(l.Cabin_Class), 'first') THEN 'first' ELSE 'other' END)
 """
 
 ORACLE["emission_booking"] = _with(EMISSION_CTES, """
 SELECT BookingID, OrganizationId, Trip, Start_Date, Airline, TripType, Cabin_Class, E_Ticket, Route,
-       round(KM, 6) AS KM, Ticket_status FROM booking_source""")
+       round(KM, 6) AS KM, Ticket_status FROM booking_leg""")
 
 ORACLE["emission_multileg"] = _with(EMISSION_CTES, """
 SELECT BookingID, OrganizationId, Trip, Start_Date, End_Date, TravelerId, Airline, TripType, Cabin_Class,
-       E_Ticket, Route, round(KM, 6) AS KM FROM service_km""")
+       E_Ticket, Route, round(KM, 6) AS KM FROM service_leg""")
 
 ORACLE["emission_mart"] = _with(EMISSION_CTES, """
-SELECT e.Trip AS trip_id, e.BookingID AS booking_service_id, e.booking_service_type,
-       e.OrganizationId AS organization_id, e.TravelerId AS traveler_id, e.TripType AS trip_type,
-       e.Airline AS airline_name, e.Route AS flight_route, e.Cabin_Class AS booking_class,
-       round(e.KM, 6) AS distance, round(e.TotalEmission, 6) AS emission,
-       e.Start_Date AS start_date, e.End_Date AS end_date
-FROM emission_calc e
-ORDER BY e.RemitDate DESC NULLS FIRST, e.OrganizationId ASC NULLS LAST""")
+SELECT Trip AS trip_id, BookingID AS booking_service_id, source AS booking_service_type,
+       OrganizationId AS organization_id, TravelerId AS traveler_id, TripType AS trip_type,
+       Airline AS airline_name, Route AS flight_route, Cabin_Class AS booking_class,
+       round(KM, 6) AS distance, round(kg, 6) AS emission, Start_Date AS start_date, End_Date AS end_date
+FROM emitted""")
 
 # --- listing -------------------------------------------------------------------
 LISTING_CTES = BOOKING_CTES + """,
@@ -576,139 +577,128 @@ hprop AS (SELECT n_nationkey AS ID, 'Hotel ' || n_name AS NameEN, n_regionkey AS
 dest AS (SELECT r_regionkey AS ID, r_regionkey AS CountryID FROM region),
 citydest AS (SELECT r_regionkey AS DestinationID, r_regionkey * 5 AS CityID FROM region),
 strav AS (SELECT p_partkey AS ServiceID, p_partkey + 3 AS TravelerID FROM part),
-route_info AS (
-  SELECT B.ID,
-         CAST(CASE WHEN B.AirTripTypeID = 1 THEN trunc(SUM(date_diff('minute',
-                   ASG.Departure + to_hours(CAST(trunc(-Cty1.UTCDifference) AS BIGINT)),
-                   ASG.Arrival + to_hours(CAST(trunc(-Cty2.UTCDifference) AS BIGINT)))) / 2.0)
-              ELSE SUM(date_diff('minute',
-                   ASG.Departure + to_hours(CAST(trunc(-Cty1.UTCDifference) AS BIGINT)),
-                   ASG.Arrival + to_hours(CAST(trunc(-Cty2.UTCDifference) AS BIGINT)))) END AS BIGINT) AS Flight_Time,
-         strftime(MIN(ASG.Departure), '%d/%m/%Y') AS "From", strftime(MAX(ASG.Arrival), '%d/%m/%Y') AS "To",
-         MIN(ACC.NameEN) AS "In",
-         string_agg(A1.IATACode || '-' || A2.IATACode, ', '
-                    ORDER BY ASG.Departure, A1.IATACode, A2.IATACode, A1.IATACode || '-' || A2.IATACode) AS Route
-  FROM booking B
-  JOIN origin_destination AOD ON B.ID = AOD.BookingID
-  JOIN segment ASG ON ASG.AirOriginDestinationID = AOD.ID
-  JOIN cabin_class ACC ON ASG.BookedAirCabinClassID = ACC.ID
-  JOIN airport2 A1 ON ASG.DepartureAirportID = A1.ID
-  JOIN city Cty1 ON A1.CityID = Cty1.ID
-  JOIN airport2 A2 ON ASG.ArrivalAirportID = A2.ID
-  JOIN city Cty2 ON A2.CityID = Cty2.ID
-  GROUP BY B.ID, B.AirTripTypeID),
-country_info AS (
-  SELECT W.ServiceID AS CI_ID, K.NameEN AS Country
-  FROM (SELECT ID AS ServiceID,
-               upper(CASE WHEN position('(' IN x_loc) = 0 THEN left(x_loc, 3)
-                          ELSE right(substring(x_loc, position('(' IN x_loc), 4), 3) END) AS CityIATA
-        FROM service WHERE ServiceTypeID IN (14, 20, 27, 31)) W
-  JOIN city ON city.IATACode = W.CityIATA
-  JOIN country K ON K.ID = city.CountryID),
-traveler_or AS (
-  SELECT B.ID AS B_ID, ATR.TravelerID AS at_traveler, HT.TravelerID AS ht_traveler, T.ID AS traveler_id,
-         T.FullName AS traveler_name
-  FROM booking B
-  LEFT JOIN atrav ATR ON B.ID = ATR.BookingID
-  LEFT JOIN htrav HT ON B.ID = HT.BookingID
-  LEFT JOIN traveler T ON ATR.TravelerID = T.ID OR HT.TravelerID = T.ID),
-booking_rows AS (
-  SELECT CASE WHEN B.IsDomestic THEN 'Domestic' ELSE 'International' END AS dom_int,
-         BF.SystemReference AS trip_reference, 'B-' || CAST(B.ID AS VARCHAR) AS id,
-         CASE BF.MarketProfileID WHEN 1 THEN 'UAE' WHEN 2 THEN 'India' WHEN 3 THEN 'Qatar' WHEN 4 THEN 'Saudi Arabia' END AS market,
-         CAST(O.ID AS BIGINT) AS organization_id, O.Name AS organization, concat_ws(' ', U.FirstName, U.LastName) AS rm,
-         CASE WHEN BF.MarketProfileID IN (1, 2, 3, 4) THEN strftime(B.RemitDate, '%d/%m/%Y') END AS approved,
-         CASE WHEN B.TravelSectorID = 1 THEN 'Flight' WHEN B.TravelSectorID = 3 THEN 'Hotel' END AS category,
-         COALESCE(CASE WHEN B.TravelSectorID = 3 THEN B.ProviderConfirmationReference ELSE ATR.ETicketNumber END, '-') AS e_ticket_number,
-         BS.NameEN AS ticket_status, upper(BF.CustomerFullName) AS for_name,
-         CASE WHEN B.TravelSectorID = 1 THEN ARI."In" WHEN B.TravelSectorID = 3 THEN HPI.NameEN END AS in_label,
-         CASE WHEN B.TravelSectorID = 1 THEN COALESCE(AL.NameEN, '-') WHEN B.TravelSectorID = 3 THEN COALESCE(HP.NameEN, '-') END AS on_at,
-         CASE WHEN B.TravelSectorID = 1 THEN ARI.Route WHEN B.TravelSectorID = 3 THEN CT.NameEN END AS route_city,
-         CASE WHEN B.TravelSectorID = 1 THEN '-' WHEN B.TravelSectorID = 3 THEN K.NameEN END AS hotel_country,
-         CASE WHEN B.TravelSectorID = 1 THEN ARI."From" WHEN B.TravelSectorID = 3 THEN strftime(B.CheckIn, '%d/%m/%Y') END AS from_date,
-         CASE WHEN B.TravelSectorID = 1 THEN ARI."To" WHEN B.TravelSectorID = 3 THEN strftime(B.CheckOut, '%d/%m/%Y') END AS to_date,
-         CASE WHEN B.TravelSectorID = 1 THEN ARI.Flight_Time WHEN B.TravelSectorID = 3 THEN 0 END AS flight_time,
-         CASE WHEN B.TravelSectorID = 1 AND B.BookingStatusID IN (16, 20, 23) THEN COALESCE(ATR.AmountNetRemit, 0)
-              ELSE COALESCE(B.AmountNetRemit, 0) END AS amount,
-         upper(T.FullName) AS estimated_traveler, COALESCE(O.OrganizationGroup, '-') AS org_group
-  FROM bfile BF
-  JOIN booking B ON BF.ID = B.BookingFileID
-  JOIN org O ON BF.BookedForOrganizationID = O.ID
-  LEFT JOIN usr U ON O.RelationshipManagerUserID = U.ID
-  LEFT JOIN atrav ATR ON B.ID = ATR.BookingID
-  LEFT JOIN htrav HT ON B.ID = HT.BookingID
-  LEFT JOIN traveler T ON ATR.TravelerID = T.ID OR HT.TravelerID = T.ID
-  LEFT JOIN tprofile TP ON TP.ID = T.TravelerProfileID AND O.ID = TP.OrganizationID
-  LEFT JOIN airline AL ON B.ValidatingAirlineID = AL.ID
-  JOIN bstatus BS ON BS.ID = B.BookingStatusID
-  LEFT JOIN route_info ARI ON ARI.ID = B.ID
-  LEFT JOIN hpitem HPI ON B.HotelPropertyItemID = HPI.ID
-  LEFT JOIN hprop HP ON HP.ID = HPI.HotelPropertyID
-  LEFT JOIN dest D ON D.ID = HP.DestinationID
-  LEFT JOIN citydest CD ON D.ID = CD.DestinationID
-  LEFT JOIN city CT ON CD.CityID = CT.ID
-  LEFT JOIN country K ON K.ID = D.CountryID
-  WHERE B.RemitDate BETWEEN TIMESTAMP '1995-01-01 00:00:00' AND TIMESTAMP '2001-12-31 23:59:59'
-    AND BF.BookedForOrganizationID IS NOT NULL AND BF.MarketProfileID = 1 AND B.BookingStatusID > 0
-    AND B.IsActive AND B.RemitDate IS NOT NULL),
-service_rows AS (
-  SELECT CASE WHEN STY.NameEN ILIKE '%DOM%' THEN 'Domastic' WHEN STY.NameEN ILIKE '%INT%' THEN 'International'
-              ELSE '-' END AS dom_int,
-         BF.SystemReference AS trip_reference, 'S-' || CAST(S.ID AS VARCHAR) AS id,
-         CASE BF.MarketProfileID WHEN 1 THEN 'UAE' WHEN 2 THEN 'India' WHEN 3 THEN 'Qatar' WHEN 4 THEN 'Saudi Arabia' END AS market,
-         CAST(O.ID AS BIGINT) AS organization_id, O.Name AS organization, concat_ws(' ', U.FirstName, U.LastName) AS rm,
-         CASE WHEN BF.MarketProfileID IN (1, 2, 3, 4) THEN strftime(S.RemitDate, '%d/%m/%Y') END AS approved,
-         CASE WHEN S.ServiceTypeID IN (13, 15) THEN 'Flight' WHEN S.ServiceTypeID IN (14, 20, 27, 31) THEN 'Hotel'
-              ELSE STY.NameEN END AS category,
-         COALESCE(S.ProviderConfirmationReference, '-') AS e_ticket_number,
-         BS.NameEN AS ticket_status, BF.CustomerFullName AS for_name,
-         CASE WHEN S.ServiceTypeID IN (14, 20, 27, 31) AND S.x_sc ILIKE '%STAND%' THEN 'Standard room'
-              WHEN S.ServiceTypeID IN (14, 20, 27, 31) AND S.x_sc ILIKE '%PREMI%' THEN 'Deluxe room'
-              WHEN S.ServiceTypeID IN (14, 20, 27, 31) AND S.x_sc ILIKE '%exec%' THEN 'Executive room'
-              WHEN S.ServiceTypeID IN (14, 20, 27, 31) AND S.x_sc ILIKE '%lux%' THEN 'Deluxe room'
-              WHEN S.ServiceTypeID IN (14, 20, 27, 31) AND S.x_sc ILIKE '%ECO%' THEN 'Standard room'
-              WHEN S.ServiceTypeID IN (13, 15) AND S.x_sc ILIKE '%STAND%' THEN 'Economy class'
-              WHEN S.ServiceTypeID IN (13, 15) AND S.x_sc ILIKE '%eco%' THEN 'Economy class'
-              WHEN S.ServiceTypeID IN (13, 15) AND S.x_sc ILIKE '%Busi%' THEN 'Business class'
-              WHEN S.ServiceTypeID IN (13, 15) AND S.x_sc ILIKE '%First%' THEN 'First class'
-              WHEN S.ServiceTypeID IN (13, 15) AND S.x_sc ILIKE '%PREMIUM%' THEN 'Premium economy class'
-              ELSE 'Other' END AS in_label,
-         CASE WHEN S.ServiceTypeID IN (13, 15)
-                THEN COALESCE(trim(CASE WHEN position(' (' IN S.x_sn) > 0
-                                        THEN left(S.x_sn, position(' (' IN S.x_sn) - 1) ELSE '' END), '-')
-              WHEN S.ServiceTypeID IN (14, 20, 27, 31) THEN trim(S.x_sn) ELSE '-' END AS on_at,
-         COALESCE(S.x_loc, '-') AS route_city,
-         COALESCE(CI.Country, '-') AS hotel_country,
-         CASE WHEN S.x_sd IS NOT NULL AND S.x_sd LIKE '____-%'
-                THEN right(S.x_sd, 2) || '/' || substring(S.x_sd, position('-' IN S.x_sd) + 1, 2) || '/' || left(S.x_sd, 4)
-              WHEN S.x_sd IS NOT NULL THEN replace(S.x_sd, right(S.x_sd, 3), replace(right(S.x_sd, 3), '/', '/20'))
-              ELSE strftime(S.RemitDate, '%d/%m/%Y') END AS from_date,
-         CASE WHEN S.x_ed IS NOT NULL AND S.x_ed LIKE '____-%'
-                THEN right(S.x_ed, 2) || '/' || substring(S.x_ed, position('-' IN S.x_ed) + 1, 2) || '/' || left(S.x_ed, 4)
-              WHEN S.x_ed IS NOT NULL THEN replace(S.x_ed, right(S.x_ed, 3), replace(right(S.x_ed, 3), '/', '/20'))
-              ELSE strftime(S.RemitDate, '%d/%m/%Y') END AS to_date,
-         CAST(0 AS BIGINT) AS flight_time, COALESCE(S.AmountNetRemit, 0) AS amount,
-         COALESCE(upper(T.FullName), '-') AS estimated_traveler, COALESCE(O.OrganizationGroup, '-') AS org_group
-  FROM bfile BF
-  JOIN service S ON BF.ID = S.BookingFileID
-  JOIN org O ON BF.BookedForOrganizationID = O.ID
-  LEFT JOIN usr U ON O.RelationshipManagerUserID = U.ID
-  LEFT JOIN strav ST ON S.ID = ST.ServiceID
-  LEFT JOIN traveler T ON ST.TravelerID = T.ID
-  LEFT JOIN tprofile TP ON TP.ID = T.TravelerProfileID AND O.ID = TP.OrganizationID
-  JOIN bstatus BS ON BS.ID = S.BookingStatusID
-  LEFT JOIN stype STY ON S.ServiceTypeID = STY.ID
-  LEFT JOIN country_info CI ON S.ID = CI.CI_ID
-  WHERE S.RemitDate BETWEEN TIMESTAMP '1995-01-01 00:00:00' AND TIMESTAMP '2001-12-31 23:59:59'
-    AND BF.BookedForOrganizationID IS NOT NULL AND BF.MarketProfileID = 1 AND S.BookingStatusID > 0
-    AND S.IsActive AND S.RemitDate IS NOT NULL)
+leg_clock AS (
+  SELECT d.BookingID, g.Departure, g.Arrival, cabin.NameEN AS cabin, p.IATACode || '-' || q.IATACode AS pair,
+         p.IATACode AS p_code, q.IATACode AS q_code,
+         date_diff('minute', g.Departure - to_hours(CAST(trunc(near.UTCDifference) AS BIGINT)),
+                   g.Arrival - to_hours(CAST(trunc(far.UTCDifference) AS BIGINT))) AS minutes
+  FROM origin_destination d
+  JOIN segment g ON g.AirOriginDestinationID = d.ID
+  JOIN cabin_class cabin ON cabin.ID = g.BookedAirCabinClassID
+  JOIN airport2 p ON p.ID = g.DepartureAirportID JOIN city near ON near.ID = p.CityID
+  JOIN airport2 q ON q.ID = g.ArrivalAirportID JOIN city far ON far.ID = q.CityID),
+itinerary AS (
+  SELECT x.ID, CAST(trunc(sum(k.minutes) / CASE x.AirTripTypeID WHEN 1 THEN 2.0 ELSE 1.0 END) AS BIGINT) AS Flight_Time,
+         strftime(min(k.Departure), '%d/%m/%Y') AS "From", strftime(max(k.Arrival), '%d/%m/%Y') AS "To",
+         min(k.cabin) AS "In",
+         string_agg(k.pair, ', ' ORDER BY k.Departure, k.p_code, k.q_code, k.pair) AS Route
+  FROM booking x JOIN leg_clock k ON k.BookingID = x.ID GROUP BY x.ID, x.AirTripTypeID),
+code_country AS (
+  SELECT s.ID AS CI_ID, nation_name.NameEN AS Country
+  FROM service s
+  JOIN city ON city.IATACode = upper(CASE WHEN contains(s.x_loc, '(')
+                                          THEN substring(split_part(s.x_loc, '(', 2), 1, 3)
+                                          ELSE substring(s.x_loc, 1, 3) END)
+  JOIN country nation_name ON nation_name.ID = city.CountryID
+  WHERE s.ServiceTypeID IN (14, 20, 27, 31)),
+held AS (
+  SELECT x.ID AS b_id, air.TravelerID AS at_traveler, hotel.TravelerID AS ht_traveler,
+         air.ETicketNumber AS ticket, air.AmountNetRemit AS air_amount
+  FROM booking x LEFT JOIN atrav air ON air.BookingID = x.ID LEFT JOIN htrav hotel ON hotel.BookingID = x.ID),
+either AS (
+  SELECT held.*, person.ID AS traveler_id, person.FullName AS traveler_name
+  FROM held LEFT JOIN traveler person ON person.ID IN (held.at_traveler, held.ht_traveler)),
+report_file AS (
+  SELECT f.ID AS file_id, f.SystemReference AS trip_reference, f.CustomerFullName,
+         (['UAE', 'India', 'Qatar', 'Saudi Arabia'])[f.MarketProfileID] AS market,
+         CAST(o.ID AS BIGINT) AS organization_id, o.Name AS organization,
+         concat_ws(' ', m.FirstName, m.LastName) AS rm, coalesce(o.OrganizationGroup, '-') AS org_group
+  FROM bfile f JOIN org o ON o.ID = f.BookedForOrganizationID
+  LEFT JOIN usr m ON m.ID = o.RelationshipManagerUserID
+  WHERE f.MarketProfileID = 1),
+due AS (SELECT TIMESTAMP '1995-01-01 00:00:00' AS since, TIMESTAMP '2001-12-31 23:59:59' AS until),
+due_booking AS (
+  SELECT x.*, r.*, status.NameEN AS ticket_status, e.ticket, e.air_amount, upper(e.traveler_name) AS estimated_traveler,
+         CASE WHEN x.IsDomestic THEN 'Domestic' ELSE 'International' END AS dom_int,
+         strftime(x.RemitDate, '%d/%m/%Y') AS approved, 'B-' || CAST(x.ID AS VARCHAR) AS row_id,
+         upper(r.CustomerFullName) AS for_name
+  FROM booking x JOIN report_file r ON r.file_id = x.BookingFileID JOIN bstatus status ON status.ID = x.BookingStatusID
+  JOIN either e ON e.b_id = x.ID JOIN due ON x.RemitDate BETWEEN due.since AND due.until
+  WHERE x.IsActive AND x.BookingStatusID > 0),
+flight_row AS (
+  SELECT d.*, 'Flight' AS category, coalesce(d.ticket, '-') AS e_ticket_number, i."In" AS in_label,
+         coalesce(carrier.NameEN, '-') AS on_at, i.Route AS route_city, '-' AS hotel_country,
+         i."From" AS from_date, i."To" AS to_date, i.Flight_Time AS flight_time,
+         coalesce(CASE WHEN d.BookingStatusID IN (16, 20, 23) THEN d.air_amount ELSE d.AmountNetRemit END, 0) AS payable
+  FROM due_booking d LEFT JOIN airline carrier ON carrier.ID = d.ValidatingAirlineID
+  LEFT JOIN itinerary i ON i.ID = d.ID WHERE d.TravelSectorID = 1),
+hotel_row AS (
+  SELECT d.*, 'Hotel' AS category, coalesce(d.ProviderConfirmationReference, '-') AS e_ticket_number,
+         room.NameEN AS in_label, coalesce(house.NameEN, '-') AS on_at, town.NameEN AS route_city,
+         land.NameEN AS hotel_country, strftime(d.CheckIn, '%d/%m/%Y') AS from_date,
+         strftime(d.CheckOut, '%d/%m/%Y') AS to_date, CAST(0 AS BIGINT) AS flight_time,
+         coalesce(d.AmountNetRemit, 0) AS payable
+  FROM due_booking d LEFT JOIN hpitem room ON room.ID = d.HotelPropertyItemID
+  LEFT JOIN hprop house ON house.ID = room.HotelPropertyID LEFT JOIN dest spot ON spot.ID = house.DestinationID
+  LEFT JOIN citydest near ON near.DestinationID = spot.ID LEFT JOIN city town ON town.ID = near.CityID
+  LEFT JOIN country land ON land.ID = spot.CountryID WHERE d.TravelSectorID = 3),
+class_label AS (
+  SELECT * FROM (VALUES
+    ('Hotel', 1, 'stand', 'Standard room'), ('Hotel', 2, 'premi', 'Deluxe room'), ('Hotel', 3, 'exec', 'Executive room'),
+    ('Hotel', 4, 'lux', 'Deluxe room'), ('Hotel', 5, 'eco', 'Standard room'),
+    ('Flight', 1, 'stand', 'Economy class'), ('Flight', 2, 'eco', 'Economy class'), ('Flight', 3, 'busi', 'Business class'),
+    ('Flight', 4, 'first', 'First class'), ('Flight', 5, 'premium', 'Premium economy class')) v(kind, turn, word, label)),
+kind_of AS (
+  SELECT s.ID, CASE WHEN s.ServiceTypeID IN (13, 15) THEN 'Flight'
+                    WHEN s.ServiceTypeID IN (14, 20, 27, 31) THEN 'Hotel' END AS kind
+  FROM service s),
+label_of AS (
+  SELECT s.ID, min_by(c.label, c.turn) AS label
+  FROM service s JOIN kind_of k ON k.ID = s.ID
+  JOIN class_label c ON c.kind = k.kind AND contains(lower(s.x_sc), c.word) GROUP BY s.ID),
+printed AS (
+  SELECT ID, side, max(shown) AS shown
+  FROM (SELECT ID, side,
+               CASE WHEN regexp_matches(d, '^....-') THEN concat_ws('/', right(d, 2), split_part(d, '-', 2)[1:2], left(d, 4))
+                    ELSE replace(d, right(d, 3), replace(right(d, 3), '/', '/20')) END AS shown
+        FROM (SELECT ID, 'from' AS side, x_sd AS d FROM service UNION ALL SELECT ID, 'to', x_ed FROM service)
+        WHERE d IS NOT NULL) GROUP BY ID, side),
+service_row AS (
+  SELECT r.*, 'S-' || CAST(s.ID AS VARCHAR) AS row_id, status.NameEN AS ticket_status,
+         upper(person.FullName) AS traveler_name, strftime(s.RemitDate, '%d/%m/%Y') AS approved,
+         CASE WHEN contains(lower(t.NameEN), 'dom') THEN 'Domastic'
+              WHEN contains(lower(t.NameEN), 'int') THEN 'International' ELSE '-' END AS dom_int,
+         coalesce(k.kind, t.NameEN) AS category, coalesce(s.ProviderConfirmationReference, '-') AS e_ticket_number,
+         coalesce(l.label, 'Other') AS in_label,
+         CASE k.kind WHEN 'Hotel' THEN trim(s.x_sn)
+                     WHEN 'Flight' THEN CASE WHEN s.x_sn IS NULL THEN '-' WHEN contains(s.x_sn, ' (')
+                                             THEN trim(split_part(s.x_sn, ' (', 1)) ELSE '' END
+                     ELSE '-' END AS on_at,
+         coalesce(s.x_loc, '-') AS route_city, coalesce(land.Country, '-') AS hotel_country,
+         coalesce(f.shown, strftime(s.RemitDate, '%d/%m/%Y')) AS from_date,
+         coalesce(u.shown, strftime(s.RemitDate, '%d/%m/%Y')) AS to_date, coalesce(s.AmountNetRemit, 0) AS payable
+  FROM service s JOIN report_file r ON r.file_id = s.BookingFileID JOIN bstatus status ON status.ID = s.BookingStatusID
+  JOIN kind_of k ON k.ID = s.ID JOIN due ON s.RemitDate BETWEEN due.since AND due.until
+  LEFT JOIN stype t ON t.ID = s.ServiceTypeID LEFT JOIN label_of l ON l.ID = s.ID
+  LEFT JOIN strav named ON named.ServiceID = s.ID LEFT JOIN traveler person ON person.ID = named.TravelerID
+  LEFT JOIN code_country land ON land.CI_ID = s.ID
+  LEFT JOIN printed f ON f.ID = s.ID AND f.side = 'from' LEFT JOIN printed u ON u.ID = s.ID AND u.side = 'to'
+  WHERE s.IsActive AND s.BookingStatusID > 0)
 """
 
-ORACLE["or_join_traveler"] = _with(LISTING_CTES, "SELECT * FROM traveler_or")
+_LISTED = ("dom_int, trip_reference, row_id AS id, market, organization_id, organization, rm, approved, category, "
+           "e_ticket_number, ticket_status, {name} AS for_name, in_label, on_at, route_city, hotel_country, from_date, "
+           "to_date, {minutes} AS flight_time, payable AS amount, {traveler} AS estimated_traveler, org_group")
+_BOOKED = _LISTED.format(name="for_name", minutes="flight_time", traveler="estimated_traveler")
+_SERVED = _LISTED.format(name="CustomerFullName", minutes="CAST(0 AS BIGINT)", traveler="coalesce(traveler_name, '-')")
+
+ORACLE["or_join_traveler"] = _with(LISTING_CTES, """
+SELECT b_id AS B_ID, at_traveler, ht_traveler, traveler_id, traveler_name FROM either""")
 ORACLE["itinerary_rollup"] = _with(LISTING_CTES, """
-SELECT ID, Flight_Time, "From", "To", "In", Route FROM route_info""")
-ORACLE["city_code_country"] = _with(LISTING_CTES, "SELECT CI_ID, Country FROM country_info")
-ORACLE["listing_union"] = _with(LISTING_CTES, "SELECT * FROM booking_rows UNION SELECT * FROM service_rows")
+SELECT ID, Flight_Time, "From", "To", "In", Route FROM itinerary""")
+ORACLE["city_code_country"] = _with(LISTING_CTES, "SELECT CI_ID, Country FROM code_country")
+ORACLE["listing_union"] = _with(LISTING_CTES, f"""
+SELECT {_BOOKED} FROM flight_row UNION SELECT {_BOOKED} FROM hotel_row UNION SELECT {_SERVED} FROM service_row""")
 
 ORACLE["gold_template"] = """
 SELECT event_type, user_id, COUNT(*) AS n_events, ROUND(SUM(value), 2) AS total_value
@@ -735,3 +725,29 @@ FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
 JOIN region r ON r.r_regionkey = n.n_regionkey
 JOIN nation d ON d.n_regionkey = n.n_regionkey
 WHERE r.r_regionkey <> 4 AND CASE WHEN s.s_acctbal > -500 THEN 1 ELSE 0 END = 1"""
+
+ORACLE["sink_window_by_day"] = """
+SELECT * EXCLUDE (value), value + CASE WHEN again THEN 1 ELSE 0 END AS value FROM (
+  SELECT *, CASE WHEN event_id % 50 <> 0 THEN CAST(ts AS DATE) END AS day,
+         ts > TIMESTAMP '2024-01-15 12:00:00' AND ts < TIMESTAMP '2024-01-25 00:00:00' AS again FROM events)
+WHERE CASE WHEN again THEN dayofmonth(ts) <> 18 ELSE ts < TIMESTAMP '2024-01-20 00:00:00' END"""
+ORACLE["sink_window_by_day"] = f"SELECT * EXCLUDE (again) FROM ({ORACLE['sink_window_by_day']})"
+
+ORACLE["sink_upsert_by_bucket"] = """
+WITH one AS (
+  SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-12'
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+two AS (
+  SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-14'
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+SELECT * FROM two UNION ALL SELECT one.* FROM one ANTI JOIN two USING (user_id)"""
+
+ORACLE["first_silver_delta"] = """
+SELECT * FROM orders WHERE o_orderdate + INTERVAL 18 YEARS > TIMESTAMP '2015-01-01'
+  AND o_orderdate + INTERVAL 18 YEARS < TIMESTAMP '2018-01-01'"""
+
+ORACLE["ordered_plan"] = """
+SELECT s_name AS source_table_name, CAST(floor(s_acctbal / 1000) AS BIGINT) AS load_sequence,
+       s_suppkey AS hierarchy_number,
+       row_number() OVER (ORDER BY CAST(floor(s_acctbal / 1000) AS BIGINT), s_suppkey) AS place
+FROM supplier"""

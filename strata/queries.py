@@ -79,7 +79,7 @@ def pnl_ebitda(spark, sf_dir):
 # --- windows and loads (FP-01..04, IO-04..11, WN-02) -----------------------
 
 
-EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value"]
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 RUN1_TS = "2024-01-20 00:00:00"
 RUN2_TS = "2024-01-25 06:00:00"
 
@@ -332,13 +332,12 @@ def json_array_serialise(spark, sf_dir):
 @register("dedup_rows")
 def dedup_rows(spark, sf_dir):
     li = Tables.for_session(spark, sf_dir).lineitem
-    return clean.remove_duplicates(li.select("l_returnflag", "l_linestatus", "l_shipdate"))
+    return clean.remove_duplicates(li.unionByName(li.filter("l_linenumber = 1")))
 
 
 @register("row_index")
 def row_index_q(spark, sf_dir):
-    o = Tables.for_session(spark, sf_dir).orders.select("o_orderkey", "o_custkey")
-    return row_index(o, ["o_orderkey"])
+    return row_index(Tables.for_session(spark, sf_dir).orders, ["o_orderkey"])
 
 
 @register("schema_align")
@@ -455,3 +454,51 @@ def source_systems(spark, sf_dir):
     plan = control.expand_config(m.systems.filter(F.col("system_is_active") == 1), m.databases,
                                  control.select_config(m.tables))
     return control.distinct_sources(plan, ("source_system_name", "is_multi_db"))
+
+
+# --- sinks: a state read back after two deliveries (IO-06, IO-08, IO-10), first silver DELTA (FP-17)
+
+def _sink(spark, label):
+    import uuid
+
+    from strata.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark)}/sink-{label}-{uuid.uuid4().hex}"
+
+
+@register("sink_window_by_day")
+def sink_window_by_day(spark, sf_dir):
+    from strata.sources.store import PartitionedTable
+    ev = Tables.for_session(spark, sf_dir).events.withColumn("day", F.to_date("ts"))
+    # NULL days, and days that the second delivery empties
+    ev = ev.withColumn("day", F.when(F.col("event_id") % 50 != 0, F.col("day")))
+    table = PartitionedTable(spark, _sink(spark, "days"), "day")
+    table.replace_window(ev.filter(windows.upper_bound_window("ts", "2024-01-20")), None)
+    w = windows.incremental_window("ts", "2024-01-15 12:00:00", "2024-01-25 00:00:00")
+    table.replace_window(ev.filter(w).filter(F.dayofmonth("ts") != 18).withColumn("value", F.col("value") + 1), w)
+    return table.read()
+
+
+@register("sink_upsert_by_bucket")
+def sink_upsert_by_bucket(spark, sf_dir):
+    from strata.sources.store import BUCKET_COLUMN, PartitionedTable, bucketed
+    ev = Tables.for_session(spark, sf_dir).events
+    table = PartitionedTable(spark, _sink(spark, "buckets"), BUCKET_COLUMN)
+    for low, high in (("2024-01-01", "2024-01-12"), ("2024-01-10", "2024-01-14")):
+        part = ev.filter(windows.incremental_window("ts", low, high))
+        table.upsert(bucketed(part, ["user_id"], 16), ["user_id"], ["ts", "event_id"])
+    return table.read().drop(BUCKET_COLUMN)
+
+
+@register("first_silver_delta")
+def first_silver_delta(spark, sf_dir):
+    o = Tables.for_session(spark, sf_dir).orders.withColumn("seen", F.expr("o_orderdate + INTERVAL 18 YEARS"))
+    w = windows.choose_window("silver", "DELTA", "append", "seen", None, "2018-01-01 00:00:00")
+    return o.filter(w).drop("seen")
+
+
+@register("ordered_plan")
+def ordered_plan(spark, sf_dir):
+    """SL-04: the place of each table in the run order, as a column."""
+    m = fx.config_model(Tables.for_session(spark, sf_dir))
+    return row_index(m.tables, ["load_sequence", "hierarchy_number"], column="place").select(
+        "source_table_name", "load_sequence", "hierarchy_number", "place")

@@ -199,3 +199,14 @@ def test_xml_extract_all_reads_leading_text(spark):
     df = spark.createDataFrame([(1, "<a><b>x<c/>tail</b><d k='v'>y</d></a>")], "id int, x string")
     r = semistructured.xml_extract_all(df, "x").first()
     assert r["b"] == "x" and r["d"] == "y" and r["d_attr_k"] == "v"
+
+
+def test_extract_all_by_cell_with_any_key(spark):
+    from strata.operators import clean
+    df = spark.createDataFrame([(1, '{"a.b": 1, "c/d": {"x": [1]}, "it\'s": null, "n": "t"}'), (2, "<r><n at='q'> v </n></r>"),
+                                (3, None), (4, "{broken"), (5, "[1]")], "id int, v string")
+    out = clean.flatten_semistructured(df, {"v": {"extract_all": True}})
+    got = {r["id"]: r for r in out.collect()}
+    assert got[1]["a.b"] == "1" and got[1]["c/d"] == '{"x":[1]}' and got[1]["it's"] is None and got[1]["n"] == "t"
+    assert got[2]["n"] == "v" and got[2]["n_attr_at"] == "q" and got[2]["a.b"] is None
+    assert all(got[i]["n"] is None for i in (3, 4, 5))
