@@ -21,10 +21,11 @@ def left_join_any_key(base: DataFrame, dim: DataFrame, dim_key: str, base_keys:
     cols = dim.columns
     out = base
     structs = []
+    row = F.xxhash64(*[F.col(c) for c in base.columns])
     for i, k in enumerate(base_keys):
         alias = f"_m{i}"
         side = dim.select(F.col(dim_key).alias(f"_k{i}"), F.struct(*[F.col(c) for c in cols]).alias(alias))
-        out = out.join(side, out[k] == side[f"_k{i}"], "left").drop(f"_k{i}")
+        out = left_join_spread(out, side, k, f"_k{i}", row).drop(f"_k{i}")
         structs.append(F.col(alias))
     matches = F.array_distinct(F.array_compact(F.array(*structs)))
     out = out.withColumn("_match", F.explode_outer(matches)).drop(*[f"_m{i}" for i in range(len(base_keys))])
@@ -32,6 +33,18 @@ def left_join_any_key(base: DataFrame, dim: DataFrame, dim_key: str, base_keys:
                       *[F.col("_match")[c].alias(f"{prefix}{c}") for c in cols])
 
 
+def left_join_spread(base: DataFrame, dim: DataFrame, key: str, dim_key: str, row: Column) -> DataFrame:
+    """``base LEFT JOIN dim ON base.key = dim.dim_key`` for a key that is often NULL.
+
+    All rows of a NULL key hash to one task.  A second key, a hash of the row
+    where the key is NULL, spreads them; it cannot match, as the key does not.
+    """
+    left = base.withColumn("_spread", F.when(F.col(key).isNull(), row).otherwise(F.lit(0)))
+    right = dim.withColumn("_zero", F.col(dim_key).isNull().cast("long"))
+    return left.join(right, (left[key] == right[dim_key]) & (left["_spread"] == right["_zero"]), "left").drop(
+        "_spread", "_zero")
+
+
 def ordered_string_agg(value: Column, order: list[Column], sep: str) -> Column:
     """``STRING_AGG(value, sep)`` with an explicit order (S-15).
 

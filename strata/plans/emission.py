@@ -112,7 +112,9 @@ def emission_mart(m, digits: int | None = 6) -> DataFrame:
     u = unified(m)
     e = u.withColumn("TotalEmission", geo.emission_kg(F.col("KM"), F.col("Cabin_Class")))
     rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
-    return (e.orderBy(F.col("RemitDate").desc_nulls_first(), F.col("OrganizationId").asc_nulls_last())
+    # the ids after the report's order split equal keys over the ranges of the sort
+    return (e.orderBy(F.col("RemitDate").desc_nulls_first(), F.col("OrganizationId").asc_nulls_last(),
+                      "BookingID", "booking_service_type", "TravelerId")
             .select(F.col("Trip").alias("trip_id"), F.col("BookingID").alias("booking_service_id"),
                     "booking_service_type", F.col("OrganizationId").alias("organization_id"),
                     F.col("TravelerId").alias("traveler_id"), F.col("TripType").alias("trip_type"),

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import dates, semistructured, text
-from strata.operators.joins import left_join_any_key, ordered_string_agg
+from strata.operators.joins import left_join_any_key, left_join_spread, ordered_string_agg
 
 # Fixed values of the reference.
 MARKETS = {1: "UAE", 2: "India", 3: "Qatar", 4: "Saudi Arabia"}
@@ -176,9 +176,10 @@ def booking_branch(m, p: ListingParams) -> DataFrame:
     ctry = m.country.select(F.col("ID").alias("K_ID"), F.col("NameEN").alias("K_Name"))
     j = (j.join(airline, F.col("ValidatingAirlineID") == F.col("AL_ID"), "left")
          .join(status, F.col("BS_ID") == F.col("BookingStatusID"))
-         .join(route, F.col("ARI_ID") == F.col("B_ID"), "left")
-         .join(hpi, F.col("HotelPropertyItemID") == F.col("HPI_ID"), "left")
-         .join(hp, F.col("HP_ID") == F.col("HotelPropertyID"), "left")
+         .join(route, F.col("ARI_ID") == F.col("B_ID"), "left"))
+    # only hotel bookings have a room: most keys are NULL
+    j = left_join_spread(j, hpi, "HotelPropertyItemID", "HPI_ID", F.xxhash64("B_ID"))
+    j = (j.join(hp, F.col("HP_ID") == F.col("HotelPropertyID"), "left")
          .join(dst, F.col("D_ID") == F.col("DestinationID"), "left")
          .join(cd, F.col("D_ID") == F.col("CD_Dest"), "left")
          .join(city, F.col("CD_City") == F.col("C_ID"), "left")

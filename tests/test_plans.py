@@ -3,11 +3,11 @@ single-partition exchange, filters and projections pushed into scans."""
 
 import pytest
 
-from __spark_entry__ import entry, queries
+from __spark_entry__ import entry, oracle_sql, queries
+from strata.queries import QUERIES
 
 from .conftest import SF_SMALL
 
-QUERIES = queries()
 ALLOWED_SINGLE_PARTITION = {
     # one-row global aggregates and the top-1 report: the single partition holds partial results only
     "pnl_gmv", "pnl_total_revenue", "pnl_total_expense", "pnl_net_profit", "pnl_ebitda", "latest_batch",
@@ -40,6 +40,18 @@ def test_projection_pruned(spark):
     assert "o_custkey" not in schema and "o_orderpriority" not in schema
 
 
+def test_entry_lists_every_query():
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
+
+
+def test_listing_scans_services_once_and_bookings_once_per_role(spark):
+    import re
+    p = plan(QUERIES["listing_union"](spark, SF_SMALL))
+    scans = re.findall(r"FileScan parquet.*?/(\w+)\.parquet", p)
+    assert scans.count("part") <= 2      # services, and their travelers
+    assert scans.count("orders") <= 5    # bookings, the rollup's bookings, origin-destination, two travelers
+
+
 def test_entry_runs(spark):
     df = entry(spark)
     rows = df.collect()
