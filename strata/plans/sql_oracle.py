@@ -751,3 +751,21 @@ SELECT s_name AS source_table_name, CAST(floor(s_acctbal / 1000) AS BIGINT) AS l
        s_suppkey AS hierarchy_number,
        row_number() OVER (ORDER BY CAST(floor(s_acctbal / 1000) AS BIGINT), s_suppkey) AS place
 FROM supplier"""
+
+ORACLE["silver_full_scan"] = "SELECT * FROM events"
+
+ORACLE["load_append"] = """
+SELECT * FROM orders UNION ALL BY NAME
+SELECT * EXCLUDE (o_orderpriority) FROM orders WHERE o_orderstatus = 'F'"""
+
+ORACLE["gold_unbounded_delete"] = """
+SELECT * FROM events WHERE ts <= TIMESTAMP '2024-01-15 00:00:00' UNION ALL
+SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'"""
+
+ORACLE["nan_clean"] = """
+SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity >= 5 THEN CAST(l_extendedprice AS DOUBLE) END AS price
+FROM lineitem"""
+
+ORACLE["layers_end_to_end"] = """
+SELECT upper(event_type) AS event_type, count(*) AS n, max(ts) AS last_ts
+FROM events WHERE ts < TIMESTAMP '2024-01-25 06:00:00' GROUP BY event_type"""

@@ -502,3 +502,58 @@ def ordered_plan(spark, sf_dir):
     m = fx.config_model(Tables.for_session(spark, sf_dir))
     return row_index(m.tables, ["load_sequence", "hierarchy_number"], column="place").select(
         "source_table_name", "load_sequence", "hierarchy_number", "place")
+
+
+# --- loads and rules that had no query: IO-02, IO-07, FP-03, F-03, JN-12, PJ-01..PJ-05
+
+@register("silver_full_scan")
+def silver_full_scan(spark, sf_dir):
+    from strata.sources.tables import scan_window
+    ev = Tables.for_session(spark, sf_dir).events
+    return scan_window(ev, windows.choose_window("silver", "FULL", "full", "ts", None, RUN1_TS))
+
+
+@register("load_append")
+def load_append(spark, sf_dir):
+    o = Tables.for_session(spark, sf_dir).orders
+    return loads.append(o, o.filter("o_orderstatus = 'F'").drop("o_orderpriority"))
+
+
+@register("gold_unbounded_delete")
+def gold_unbounded_delete(spark, sf_dir):
+    ev = Tables.for_session(spark, sf_dir).events
+    w = windows.lower_bound_window("ts", "2024-01-15 00:00:00")
+    delivered = ev.filter(windows.incremental_window("ts", "2024-01-15 00:00:00", RUN1_TS))
+    return loads.window_append(ev, delivered, w)
+
+
+@register("nan_clean")
+def nan_clean(spark, sf_dir):
+    li = Tables.for_session(spark, sf_dir).lineitem
+    broken = F.when(F.col("l_quantity") < 5, F.lit(float("nan"))).otherwise(F.col("l_extendedprice").cast("double"))
+    return codes.nan_to_null_all(li.select("l_orderkey", "l_linenumber", broken.alias("price")))
+
+
+@register("layers_end_to_end")
+def layers_end_to_end(spark, sf_dir):
+    """Bronze, silver and gold jobs of a FULL and a DELTA batch; the gold table read back."""
+    from strata.layers.bronze import BronzeTable, load_bronze_table
+    from strata.layers.common import RunContext
+    from strata.layers.gold import GoldTable, load_gold_table
+    from strata.layers.silver import SilverTable, load_silver_table
+    from strata.sources.store import TableStore
+    ev = Tables.for_session(spark, sf_dir).events
+    store = TableStore(spark, _sink(spark, "layers"))
+    bronze = BronzeTable("events", "raw_events", extract_key="ts", load_key="event_id", load_type="append",
+                         partition_date_of="ts")
+    silver = SilverTable("raw_events", "clean_events", "event_id, ts, event_type, value", extract_key="ts",
+                         load_key="event_id", load_type="incremental", load_buckets=8,
+                         steps=clean.SilverSteps(case_unification={"event_type": "UPPER"}))
+    gold = GoldTable("dm_events", "SELECT event_type, COUNT(*) AS n, MAX(ts) AS last_ts FROM clean_events "
+                                  "GROUP BY event_type", "MERGE", load_key="event_type")
+    for batch, (run, upper, last) in enumerate((("FULL", RUN1_TS, None), ("DELTA", RUN2_TS, "2024-01-15 00:00:00"))):
+        ctx = RunContext(batch_run_id=batch, run_type=run, upper_bound=upper, run_ts=upper)
+        load_bronze_table(store, ev, bronze, ctx, last)
+        load_silver_table(store, silver, ctx, last)
+        load_gold_table(store, gold, ctx, {"clean_events": store.read("clean_events")}, last)
+    return store.read("dm_events")
