@@ -71,6 +71,7 @@ def run_tables(store: TableStore, ctx: RunContext, jobs: list, *, audit_name: st
     > 1 the tables of one level load concurrently -- each is its own Spark
     job, so a cluster is not left idle by a long sequential table loop.
     """
+    run_started = now()
     spark = store.spark
     jobs = [j if isinstance(j, Job) else Job(*j) for j in jobs]
     marks = watermarks(store, audit_name, batch_name) if ctx.run_type.upper() == "DELTA" else {}
@@ -109,7 +110,20 @@ def run_tables(store: TableStore, ctx: RunContext, jobs: list, *, audit_name: st
         else:
             for target_jobs in by_target.values():
                 run_target(target_jobs)
-    return summary(store, audit_name, ctx.batch_run_id)
+    result = summary(store, audit_name, ctx.batch_run_id)
+    store.append_rows(f"{audit_name}_runs", run_audit(result, ctx, source, run_started))
+    return result
+
+
+def run_audit(result: DataFrame, ctx: RunContext, source: str, started) -> DataFrame:
+    """One run-level audit row (PJ-07): counts of tables and the status of the run."""
+    ok, failed = F.col("tables_successful"), F.col("tables_failed")
+    status = (F.when(failed == 0, control.SUCCESS).when(ok > 0, control.PARTIAL).otherwise(control.FAILED))
+    return result.select(
+        F.lit(ctx.process_id).alias("process_id"), "batch_run_id", F.lit(source).alias("data_source"),
+        F.lit(started).alias("run_start"), F.lit(now()).alias("run_end"),
+        F.col("tables_total").alias("tables_processed"), ok.alias("tables_succeeded"), failed.alias("tables_failed"),
+        "rows_fetched", "rows_processed", status.alias("run_status"))
 
 
 def audit_state(store: TableStore, audit_name: str) -> DataFrame:

@@ -78,6 +78,10 @@ def test_failed_table_does_not_stop_the_run(spark, scratch):
             ("events", "raw_ok", "full", lambda last: load_bronze_table(store, ev, ok, ctx, last))]
     s = run_tables(store, ctx, jobs, audit_name="audit", batch_name="batches").first()
     assert (s["tables_total"], s["tables_successful"], s["tables_failed"]) == (2, 1, 1)
+    run = store.read_rows("audit_runs").first()
+    assert (run["batch_run_id"], run["tables_processed"], run["tables_failed"], run["run_status"]) == (
+        7, 2, 1, "Partial Success")
+    assert run["run_end"] >= run["run_start"]
     assert s["failed_tables"] == "raw_broken"
     assert store.read("raw_ok").count() > 0
 
