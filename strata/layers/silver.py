@@ -39,6 +39,8 @@ def load_silver_table(store: TableStore, cfg: SilverTable, ctx: RunContext, last
                                    last_processed, ctx.upper_bound)
     src = raw.drop("insertion_date") if "insertion_date" in raw.columns else raw
     src = src if window is None else src.filter(window)
+    if cfg.raw_table_name in loads.SENTINEL_TABLES and "EndDate" in src.columns:
+        src = loads.clamp_sentinel(src, "EndDate")
     counts = Counted()
     src = counts.source(src)
     steps = cfg.steps

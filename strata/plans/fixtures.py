@@ -38,15 +38,14 @@ def _money(c: str) -> Column:
     return F.col(c).cast(MONEY)
 
 
-def finance_model(t) -> SimpleNamespace:
-    """Finance star from lineitem/orders/customer/part/nation."""
-    li, o = t.lineitem, t.orders
+def finance_lines(t) -> DataFrame:
+    """One fare-and-service row per lineitem, each with a fare id of its own."""
     price = _money("l_extendedprice")
     disc = F.col("l_discount").cast(RATE)
     tax = F.col("l_tax").cast(RATE)
     supplier_amount = price * (F.lit(1) - disc)
-    service_fare = li.select(
-        F.col("l_orderkey").alias("fare_id"),
+    return t.lineitem.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("fare_id"),
         F.col("l_partkey").alias("service_type_id"),
         F.col("l_orderkey").alias("ta_supp_doc_no_id"),
         F.when(F.col("l_returnflag") == "R", 2).otherwise(1).alias("record_type"),
@@ -58,6 +57,12 @@ def finance_model(t) -> SimpleNamespace:
         supplier_amount.alias("supplier_amount"),
         (supplier_amount * tax).alias("supplier_tax"),
     )
+
+
+def finance_model(t) -> SimpleNamespace:
+    """Finance star from lineitem/orders/customer/part/nation."""
+    o = t.orders
+    service_fare = finance_lines(t)
     status = F.col("o_orderstatus")
     supp_doc = o.select(
         F.col("o_orderkey").alias("supp_doc_no_id"),

@@ -769,3 +769,6 @@ FROM lineitem"""
 ORACLE["layers_end_to_end"] = """
 SELECT upper(event_type) AS event_type, count(*) AS n, max(ts) AS last_ts
 FROM events WHERE ts < TIMESTAMP '2024-01-25 06:00:00' GROUP BY event_type"""
+
+# the same statement: splitting the fact in two and joining it again changes nothing
+ORACLE["pnl_gmv_from_two_facts"] = ORACLE["pnl_gmv"]

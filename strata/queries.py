@@ -44,6 +44,22 @@ def pnl_gmv(spark, sf_dir):
     return pnl.gmv_statement(sp)
 
 
+@register("pnl_gmv_from_two_facts")
+def pnl_gmv_from_two_facts(spark, sf_dir):
+    """The GMV statement over separate fare and service facts, joined on both key parts (JN-03)."""
+    t = Tables.for_session(spark, sf_dir)
+    m = t.memo("finance_model", fx.finance_model)
+    # each fare line has an id of its own; a decoy service of another type must not match
+    keyed = fx.finance_lines(t)
+    fare = keyed.select("fare_id", "service_type_id", "customer_price", "deal_discount", "customer_tax",
+                        "rounding_amount")
+    own = keyed.select(F.col("fare_id").alias("cus_base_fare_id"), "service_type_id", "ta_supp_doc_no_id",
+                       "record_type", "last_action", "supplier_amount", "supplier_tax")
+    decoy = own.withColumn("service_type_id", F.col("service_type_id") + 1)
+    joined = pnl.join_fare_service(fare, own.unionByName(decoy))
+    return pnl.gmv_statement(pnl.sales_purchase(joined, m.supp_doc, m.service_dim, m.service_type_dim, fx.FIXTURE_PNL))
+
+
 @register("pnl_incentive_by_code")
 def pnl_incentive_by_code(spark, sf_dir):
     m = Tables.for_session(spark, sf_dir).memo("finance_model", fx.finance_model)
