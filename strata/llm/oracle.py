@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import quality_rules
+from strata.llm import license_scan, quality_rules
 
 _STOP = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
 
@@ -71,8 +71,37 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::B
        sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)"""
 
+def license_sql() -> str:
+    """Exact containment of every template in every window, without MinHash."""
+    lists, shingles = [], []
+    for name, text in license_scan.TEMPLATES:
+        n, parts = len(license_scan.template_words(text)), license_scan.template_shingles(text)
+        stride = -(-n // 2)
+        lists.append(f"('{name}', {stride}, {max(n + stride - 1 - license_scan.WIDTH, 0) + 1}, {len(parts)})")
+        shingles += [f"('{name}', '{x}')" for x in parts]
+    return rf"""
+WITH license AS (SELECT * FROM (VALUES {', '.join(lists)}) v(license, stride, held, wanted)),
+template AS (SELECT * FROM (VALUES {', '.join(shingles)}) v(license, s)),
+w AS (
+  SELECT doc_id, list_filter(list_transform(regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+'),
+           lambda x: regexp_replace(x, '^[^0-9\p{{L}}]+|[^0-9\p{{L}}]+$', '', 'g')), lambda x: x <> '') AS words
+  FROM documents),
+shingle AS (
+  SELECT doc_id, i, array_to_string(words[i + 1:i + 5], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(0, greatest(len(words) - 5, 0) + 1)) AS i FROM w)),
+held AS (
+  SELECT doc_id, license, wanted, (i // stride - back) * stride AS start, count(DISTINCT s) AS found
+  FROM shingle JOIN template USING (s) JOIN license USING (license), (SELECT unnest(range(0, 9)) AS back)
+  WHERE i // stride >= back AND i < (i // stride - back) * stride + held
+  GROUP BY ALL)
+SELECT doc_id, license, max(found) / any_value(wanted) AS containment,
+       CAST(min_by(start, (-found, start)) AS INT) AS start_word, CAST(count(*) AS INT) AS windows
+FROM held WHERE 100 * found >= {license_scan.CONTAINMENT} * wanted GROUP BY doc_id, license"""
+
+
 ORACLE = {
     "op3_quality_rules": quality_sql(),
     "op6_warc": WARC_SQL,
     "op7_substring_dedup": SUBSTRING_SQL,
+    "op10_license_scan": license_sql(),
 }
