@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -58,9 +59,13 @@ def release(spark: SparkSession) -> None:
 
     Spark's cleaner frees a shuffle once the driver has collected the objects
     that stand for it; without this they stay until the heap happens to fill.
+    The first round lets go of the Python side's handles, which reach the JVM
+    with the next call; the second collects what they held.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def let(value: Column, body) -> Column:
