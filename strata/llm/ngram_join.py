@@ -214,10 +214,19 @@ def _member_pairs(lists: DataFrame, follow: DataFrame, pivots: DataFrame, joined
     member = member.join(some, "pivot").unionByName(some.select(
         "pivot", F.col("pivot").alias("doc"), F.lit(0.0).alias("distance")))
     listed = member.join(lists.select("tok", "doc"), "doc")
-    left = near.join(listed.select(F.col("pivot").alias("a"), F.col("doc").alias("x"), "tok",
-                                   F.col("distance").alias("dx")), "a")
-    both = left.join(listed.select(F.col("pivot").alias("b"), F.col("doc").alias("y"), "tok",
-                                   F.col("distance").alias("dy")), ["b", "tok"])
+    # Of each pair of pivots the side with fewer entries opens its lists; the other is looked up in them,
+    # so a pivot of many followers is not opened once for each of its neighbours.
+    listed = written(listed.select("pivot", "doc", "tok", "distance"), "join-listed")
+    width = listed.groupBy("pivot").agg(F.count("*").alias("w"))
+    for side in ("a", "b"):
+        near = near.join(width.select(F.col("pivot").alias(side), F.col("w").alias(f"w_{side}")), side)
+    first = F.col("w_a") <= F.col("w_b")
+    near = near.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("small"),
+                       F.when(first, F.col("b")).otherwise(F.col("a")).alias("large"), "d")
+    left = near.join(listed.select(F.col("pivot").alias("small"), F.col("doc").alias("x"), "tok",
+                                   F.col("distance").alias("dx")), "small")
+    both = left.join(listed.select(F.col("pivot").alias("large"), F.col("doc").alias("y"), "tok",
+                                   F.col("distance").alias("dy")), ["large", "tok"])
     return (both.filter((F.col("dx") + F.col("dy") >= F.col("d") - _FAR - _EPS) & (F.col("dx") + F.col("dy") > 0))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
