@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import WORD_RULE, let
@@ -88,7 +88,19 @@ def _min_hash(shingle: Column, band: Column) -> Column:
     return F.xxhash64(shingle, band)
 
 
-def matches(text: Column, templates=TEMPLATES) -> Column:
+def signatures(spark: SparkSession, templates=TEMPLATES) -> dict[str, list[int]]:
+    """The MinHash values of each template, one for each band, computed once."""
+    bands = F.sequence(F.lit(0), F.lit(BANDS - 1))
+
+    def of(text: str) -> Column:
+        shingles = F.array(*[F.lit(s) for s in template_shingles(text)])
+        return F.transform(bands, lambda b: F.array_min(F.transform(shingles, lambda s: _min_hash(s, b))))
+
+    row = spark.range(1).select(*[of(t).alias(name) for name, t in templates]).first()
+    return {name: list(row[name]) for name, _ in templates}
+
+
+def matches(text: Column, signed: dict[str, list[int]], templates=TEMPLATES) -> Column:
     """array<struct<license, shingles, start>> of the windows that hold a template."""
     kind = "array<struct<license:string,found:int,wanted:int,start:int>>"
     none = F.array().cast(kind)
@@ -114,8 +126,7 @@ def matches(text: Column, templates=TEMPLATES) -> Column:
                             continue
                         parts = template_shingles(text_)
                         wanted = F.array(*[F.lit(s) for s in parts])
-                        target = F.transform(bands, lambda b: F.array_min(F.transform(  # noqa: B023
-                            wanted, lambda s: _min_hash(s, b))))
+                        target = F.array(*[F.lit(v).cast("long") for v in signed[name]])
                         agree = F.exists(F.zip_with(own, target, lambda a, b: a == b), lambda x: x)
                         found = F.size(F.array_intersect(F.slice(shingled, i, F.lit(held)), wanted))
                         verdict = F.struct(F.lit(name).alias("license"), found.alias("found"),
@@ -140,7 +151,8 @@ def matches(text: Column, templates=TEMPLATES) -> Column:
 
 def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     """doc_id, license, containment, start_word, windows: one row for each license of each document row."""
-    found = docs.select("doc_id", matches(F.coalesce("text", F.lit("")), templates).alias("all"))
+    found = docs.select("doc_id", matches(
+        F.coalesce("text", F.lit("")), signatures(docs.sparkSession, templates), templates).alias("all"))
     found = found.filter(F.size("all") > 0)
     names = F.array_sort(F.array_distinct(F.transform("all", lambda x: x["license"])))
     found = found.select("doc_id", "all", F.explode(names).alias("license"))
