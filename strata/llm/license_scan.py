@@ -14,11 +14,23 @@ templates reach 0.4 and more), so 32 bands of one value miss it with probability
 
 A text goes to the windows only if it holds one of the anchor words.  They are
 chosen from the templates such that fewer than 80 % of any template's shingles
-are free of them: a text without any of them cannot match.
+are free of them: a text without any of them cannot match.  Nor can a template
+of which the whole text holds less than 80 %: only the others meet its windows.
+
+*Versions.*  Notices of two versions differ in one word and so share most
+shingles.  A window settles a template if, for each of the template's words with
+a digit (and for ``gnu general``, which tells the GPL from its kin), a shingle
+with that word is in the window.  A template that no window settles has no row.
+
+The query takes ``CATALOGUE``: the templates and the notices of ``licenses.py``.
+A license has several notices there; the first listed one that is contained
+gives the row.  It also reads the identifiers of ``SPDX-License-Identifier:``
+lines, whole expressions, in the spelling of the SPDX list; an unknown one is
+reported in lower case.
 
 One narrow stage of built-in expressions, no shuffle; templates are literals, a
-fixed and small parameter.  Each MinHash value of a shingle is computed once per
-text and reused by all windows.
+fixed parameter.  Each MinHash value of a shingle is computed once per text and
+reused by all windows.
 
 Defined results: words are lower-cased and freed of punctuation at both ends;
 null, empty and unlicensed texts have no row; one row for each document row and
@@ -28,11 +40,13 @@ results; other columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm import licenses
 from strata.llm.common import WORD_RULE, let
 
 # Notices by which licenses are granted.
@@ -49,6 +63,9 @@ TEMPLATES = (
     ("GPL-text", "you can redistribute it and/or modify it under the terms of the GNU General Public License as "
                  "published by the Free Software Foundation"),
 )
+CATALOGUE = (*TEMPLATES, *licenses.notices())
+IDENTIFIERS = (*dict.fromkeys(name for name, _ in CATALOGUE), *licenses.SPDX)
+TAG = "spdx-license-identifier"
 WIDTH = 5
 BANDS = 32
 CONTAINMENT = 80  # per cent of the template's shingles
@@ -88,77 +105,129 @@ def _min_hash(shingle: Column, band: Column) -> Column:
     return F.xxhash64(shingle, band)
 
 
-def signatures(spark: SparkSession, templates=TEMPLATES) -> dict[str, list[int]]:
-    """The MinHash values of each template, one for each band, computed once."""
-    bands = F.sequence(F.lit(0), F.lit(BANDS - 1))
+def marks_of(text: str) -> list[list[str]]:
+    """The shingles of each distinguishing word; of each list one must be found."""
+    words = [w for w in dict.fromkeys(template_words(text)) if re.search("[0-9]", w)] + ["gnu general"]
+    lists = [[s for s in template_shingles(text) if f" {w} " in f" {s} "] for w in words]
+    return [x for x in lists if x]
+
+
+ENTRY = "struct<license:string,place:int,shingles:array<string>,marks:array<array<string>>,stride:int,held:int>"
+
+
+def _constant(value, kind: str) -> Column:
+    """One literal, which the optimizer reads once; a tree of thousands of literals takes long to plan."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def entries(templates=TEMPLATES) -> Column:
+    """The templates as a constant array: shingles, marks and windows of each."""
+    out = []
+    for place, (name, text) in enumerate(templates):
+        n = len(template_words(text))
+        stride = -(-n // 2)
+        out.append({"license": name, "place": place, "shingles": template_shingles(text), "marks": marks_of(text),
+                    "stride": stride, "held": max(n + stride - 1 - WIDTH, 0) + 1})
+    return _constant(out, f"array<{ENTRY}>")
+
 
-    def of(text: str) -> Column:
-        shingles = F.array(*[F.lit(s) for s in template_shingles(text)])
-        return F.transform(bands, lambda b: F.array_min(F.transform(shingles, lambda s: _min_hash(s, b))))
+def _tagged(words: Column, identifiers: tuple[str, ...]) -> Column:
+    """The identifiers that follow SPDX tags: the first, and known ones joined to it by and, or, with."""
+    names = {x.lower(): x for x in identifiers}
+    known = _constant(dict(sorted(names.items())), "map<string,string>")
+    kind = "array<struct<license:string,place:int,found:int,wanted:int,start:int,settled:boolean>>"
 
-    row = spark.range(1).select(*[of(t).alias(name) for name, t in templates]).first()
-    return {name: list(row[name]) for name, _ in templates}
+    def at(i: Column) -> Column:
+        def operand(j: int) -> Column:
+            word = F.get(words, i + 2 * j + 1)
+            name = F.try_element_at(known, word)
+            if not j:
+                return F.coalesce(name, word)
+            joined = [F.coalesce(F.get(words, i + 2 * k).isin("and", "or", "with"), F.lit(False)) for k in range(1, j + 1)]
+            return F.when(F.forall(F.array(*joined), lambda x: x), name)
 
+        def row(name: Column) -> Column:
+            return F.struct(name.alias("license"), F.lit(1 << 30).alias("place"), F.lit(1).alias("found"),
+                            F.lit(1).alias("wanted"), i.cast("int").alias("start"), F.lit(True).alias("settled"))
 
-def matches(text: Column, signed: dict[str, list[int]], templates=TEMPLATES) -> Column:
-    """array<struct<license, shingles, start>> of the windows that hold a template."""
-    kind = "array<struct<license:string,found:int,wanted:int,start:int>>"
+        return F.transform(F.array_compact(F.array_distinct(F.array(*[operand(j) for j in range(6)]))), row)
+
+    places = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i) == TAG)
+    return F.when(F.array_contains(words, TAG), F.flatten(F.transform(places, at))).otherwise(
+        F.array().cast(kind)).cast(kind)
+
+
+def matches(text: Column, catalogue: Column, templates=TEMPLATES, identifiers: tuple[str, ...] = ()) -> Column:
+    """array<struct<license, place, found, wanted, start, settled>> of the windows that hold a template, and of SPDX tags."""
+    kind = "array<struct<license:string,place:int,found:int,wanted:int,start:int,settled:boolean>>"
     none = F.array().cast(kind)
-    lengths = sorted({len(template_words(t)) for _, t in templates})
     bands = F.sequence(F.lit(0), F.lit(BANDS - 1))
+    known = _constant(sorted({s for _, t in templates for s in template_shingles(t)}), "array<string>")
+
+    def enough(found: Column, wanted: Column) -> Column:
+        return F.lit(100) * F.size(found) >= F.lit(CONTAINMENT) * F.size(wanted)
+
+    def in_windows(shingled: Column, likely: Column) -> Column:
+        def of(e: Column, hashes: Column, target: Column) -> Column:
+            def window(i: Column) -> Column:
+                signature = F.transform(hashes, lambda h: F.array_min(F.slice(h, i, e["held"])))
+                agree = F.exists(F.zip_with(signature, target, lambda a, b: a == b), lambda x: x)
+                own = F.slice(shingled, i, e["held"])
+                found = F.array_intersect(e["shingles"], own)
+                settled = F.forall(e["marks"], lambda m: F.arrays_overlap(m, own))
+                verdict = F.struct(e["license"].alias("license"), e["place"].alias("place"),
+                                   F.size(found).alias("found"), F.size(e["shingles"]).alias("wanted"),
+                                   (i - 1).cast("int").alias("start"), settled.alias("settled"))
+                return F.when(agree & enough(found, e["shingles"]), verdict)
+
+            every = F.array_compact(F.transform(F.sequence(F.lit(1), F.size(shingled), e["stride"]), window))
+            return let(every, lambda x: F.filter(x, lambda _: F.exists(x, lambda y: y["settled"])))
+
+        def target(e: Column) -> Column:
+            return F.transform(bands, lambda b: F.array_min(F.transform(e["shingles"], lambda s: _min_hash(s, b))))
+
+        hashes = F.transform(bands, lambda b: F.transform(shingled, lambda s: _min_hash(s, b)))
+        return let(hashes, lambda h: F.flatten(F.transform(
+            likely, lambda e: let(target(e), lambda t: of(e, h, t)))).cast(kind))
 
     def search(words: Column) -> Column:
         count = F.greatest(F.size(words) - WIDTH, F.lit(0)) + 1
         shingles = F.transform(F.sequence(F.lit(1), count),
                                lambda i: F.array_join(F.slice(words, i, F.lit(WIDTH)), " "))
 
-        def by_length(n: int, shingled: Column, hashes: Column) -> Column:
-            stride = -(-n // 2)
-            held = max(n + stride - 1 - WIDTH, 0) + 1  # shingles of a window
-
-            def window(i: Column) -> Column:
-                signature = F.transform(hashes, lambda h: F.array_min(F.slice(h, i, F.lit(held))))
-
-                def verdicts(own: Column) -> Column:
-                    out = []
-                    for name, text_ in templates:
-                        if len(template_words(text_)) != n:
-                            continue
-                        parts = template_shingles(text_)
-                        wanted = F.array(*[F.lit(s) for s in parts])
-                        target = F.array(*[F.lit(v).cast("long") for v in signed[name]])
-                        agree = F.exists(F.zip_with(own, target, lambda a, b: a == b), lambda x: x)
-                        found = F.size(F.array_intersect(F.slice(shingled, i, F.lit(held)), wanted))
-                        verdict = F.struct(F.lit(name).alias("license"), found.alias("found"),
-                                           F.lit(len(parts)).alias("wanted"), (i - 1).cast("int").alias("start"))
-                        out.append(F.when(agree, F.array(verdict)).otherwise(none))
-                    return F.concat(*out)
-
-                return let(signature, verdicts)
+        def retrieve(shingled: Column) -> Column:
+            def meet(seen: Column) -> Column:
+                likely = F.filter(catalogue, lambda e: enough(F.array_intersect(e["shingles"], seen), e["shingles"]))
+                found = let(likely, lambda l: F.when(F.size(l) > 0, in_windows(shingled, l)).otherwise(none))
+                return F.when(F.size(seen) > 0, found).otherwise(none)
 
-            return F.flatten(F.transform(F.sequence(F.lit(1), count, F.lit(stride)), window))
+            return let(F.array_intersect(shingled, known), meet)
 
-        def with_hashes(shingled: Column) -> Column:
-            hashes = F.transform(bands, lambda b: F.transform(shingled, lambda s: _min_hash(s, b)))
-            return let(hashes, lambda h: F.concat(*[by_length(n, shingled, h) for n in lengths]))
+        found = let(shingles, retrieve)
+        return F.concat(found, _tagged(words, identifiers)) if identifiers else found
 
-        every = let(shingles, with_hashes)
-        return F.filter(every, lambda x: F.lit(100) * x["found"] >= F.lit(CONTAINMENT) * x["wanted"])
+    anchors = [*anchor_words(templates), *([TAG] if identifiers else [])]
+    anchors = [w for w in anchors if not any(v != w and v in w for v in anchors)]
+    pattern = "|".join(re.escape(w) for w in anchors)
+    return F.when(F.lower(text).rlike(pattern), let(_words(text), search)).otherwise(none)
 
-    anchors = "|".join(re.escape(w) for w in anchor_words(templates))
-    return F.when(F.lower(text).rlike(anchors), let(_words(text), search)).otherwise(none)
 
+def scan(docs: DataFrame, templates=TEMPLATES, identifiers: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, license, containment, start_word, windows: one row for each license of each document row.
 
-def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
-    """doc_id, license, containment, start_word, windows: one row for each license of each document row."""
+    SPDX tags are read if ``identifiers`` gives the spelling of the known ones.
+    """
     found = docs.select("doc_id", matches(
-        F.coalesce("text", F.lit("")), signatures(docs.sparkSession, templates), templates).alias("all"))
+        F.coalesce("text", F.lit("")), entries(templates), templates, identifiers).alias("all"))
     found = found.filter(F.size("all") > 0)
     names = F.array_sort(F.array_distinct(F.transform("all", lambda x: x["license"])))
     found = found.select("doc_id", "all", F.explode(names).alias("license"))
     own = F.filter("all", lambda x: x["license"] == F.col("license"))
-    best = F.element_at(F.array_sort(F.transform(own, lambda x: F.struct(
-        (-x["found"]).alias("less"), x["start"].alias("start"), x["wanted"].alias("wanted")))), 1)
-    return found.select("doc_id", "license", F.size(own).alias("windows"), best.alias("best")).select(
+    own = let(own, lambda o: let(F.array_min(F.transform(o, lambda x: x["place"])),
+                                 lambda p: F.filter(o, lambda x: x["place"] == p)))
+    found = found.select("doc_id", "license", own.alias("own"))
+    best = F.element_at(F.array_sort(F.transform("own", lambda x: F.struct(
+        (~x["settled"]).alias("open"), (-x["found"]).alias("less"), x["start"].alias("start"), x["wanted"].alias("wanted")))), 1)
+    return found.select("doc_id", "license", F.size("own").alias("windows"), best.alias("best")).select(
         "doc_id", "license", (-F.col("best")["less"] / F.col("best")["wanted"]).alias("containment"),
         F.col("best")["start"].alias("start_word"), "windows")

@@ -57,7 +57,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(_table(spark, sf_dir, "documents"))
+    return license_scan.scan(_table(spark, sf_dir, "documents"), license_scan.CATALOGUE, license_scan.IDENTIFIERS)
 
 
 QUERIES = {
