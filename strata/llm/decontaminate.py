@@ -18,6 +18,10 @@
    words, its answer, are in the passage: that finds paraphrases that keep most
    words in order, and lets shared vocabulary go.
 
+Items of fewer than ``LEAST`` words have too few words for steps 1 to 4.  The second
+pass finds them by the hash of all their words as an exact run of words, with
+cosine 1.
+
 Both passes are narrow; what is shuffled are sums by term, and then the matches.
 Items are taken in blocks of at most ``BLOCK`` by hash, so what the driver
 collects and broadcasts (item words, terms x rank floats) is bounded by
@@ -25,8 +29,8 @@ parameters; more items mean more passes.  Whole texts are read, in chunks of
 bounded size.
 
 Defined results: words are lower-cased (A-Z) and freed of ASCII punctuation at
-both ends; null and empty texts match nothing; items of fewer than ``LEAST``
-words are too short to tell and match nothing; items with equal texts match
+both ends; null and empty texts match nothing; items of one
+or two words (fewer than ``EXACT``) are too short to tell and match nothing; items with equal texts match
 alike; repeated document rows give one row per item; rows without an id are
 never matched; other columns are ignored; empty tables give empty results.
 """
@@ -41,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bytes_of, written
+from strata.llm.common import Spans, bytes_of, window_starts, written
 
 RANK = 64
 PASSAGE = 64
@@ -50,6 +54,7 @@ LCS = 0.6
 ANSWER = 0.6
 ANSWER_WORDS = 5
 LEAST = 8
+EXACT = 3
 BLOCK = 4096
 SHRINK = 0.75
 CHUNK_BYTES = 1 << 19
@@ -93,12 +98,21 @@ def _passages(starts: np.ndarray, width: int, stride: int) -> tuple[np.ndarray,
 
 
 class Items:
-    """A block of benchmark items: terms, and each item as a sequence of term numbers."""
+    """A block of benchmark items: terms, and each item as a sequence of term numbers.
+
+    Short items come after the others, by their length and the hash of their words.
+    """
 
     def __init__(self, rows: list[tuple[int, str]]):
         found = [(i, _hashes([t.encode()])[0]) for i, t in rows]
+        short = sorted(((i, h) for i, h in found if EXACT <= len(h) < LEAST), key=lambda x: (len(x[1]), x[0]))
         found = sorted(((i, h) for i, h in found if len(h) >= LEAST), key=lambda x: (len(x[1]), x[0]))
-        self.ids = [i for i, _ in found]
+        self.ids = [i for i, _ in found + short]
+        self.sizes = [len(h) for _, h in found + short]
+        self.runs: dict[int, dict[int, list[int]]] = {}  # length: hash of the words: items
+        for k, (_, h) in enumerate(short, len(found)):
+            whole = int(Spans(h).hash(np.array([0]), np.array([len(h)]))[0])
+            self.runs.setdefault(len(h), {}).setdefault(whole, []).append(k)
         self.terms = np.unique(np.concatenate([h for _, h in found])) if found else np.empty(0, np.uint64)
         self.words = [np.searchsorted(self.terms, h) for _, h in found]
         self.classes = []  # (first item, end, longest)
@@ -109,6 +123,16 @@ class Items:
             self.classes.append((first, at, longest))
             at = first
 
+    def exact(self, hashes: np.ndarray, starts: np.ndarray):
+        """(place, item) of every short item that stands in a text as it is."""
+        spans = Spans(hashes) if self.runs else None
+        for size, wanted in self.runs.items():
+            at = window_starts(starts, size)
+            runs = spans.hash(at, at + size)
+            for k in np.flatnonzero(np.isin(runs, np.array(list(wanted), np.uint64))):
+                for item in wanted[int(runs[k])]:
+                    yield int(at[k]), item
+
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Term number of each word, the number of terms where it is none."""
         at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
@@ -222,6 +246,11 @@ def _search(docs: DataFrame, items: Items, idf: np.ndarray, fold: np.ndarray, co
         hashes, starts = _hashes(texts)
         if not len(hashes):
             return
+        for place, item in items.exact(hashes, starts):
+            owner = int(np.searchsorted(starts, place, "right")) - 1
+            yield owner, item, 1.0, items.sizes[item], int(place - starts[owner])
+        if not items.words:
+            return
         number = items.numbers(hashes)
         for (low, high, longest), (mask, need) in zip(items.classes, asked):
             stride = max(longest // 3, 1)
@@ -262,7 +291,7 @@ def _search(docs: DataFrame, items: Items, idf: np.ndarray, fold: np.ndarray, co
                 for (owner, item), (common, likeness, at) in best.items():
                     if ids[start + owner] is not None:
                         rows.append((ids[start + owner], items.ids[item], -likeness, -common,
-                                     len(items.words[item]), at))
+                                     items.sizes[item], at))
             if rows:
                 columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
@@ -284,10 +313,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE) ->
         items = Items([(r.item_id, r.text) for r in part.collect()])  # about BLOCK / 2 items
         if not items.ids:
             continue
-        total, often, sums, test = _term_sums(docs, items)
-        if not total:
-            continue
-        one = _search(docs, items, *latent_space(total, often, sums, test), cosine)
+        if items.words:
+            total, often, sums, test = _term_sums(docs, items)
+            if not total:
+                continue
+            space = latent_space(total, often, sums, test)
+        else:
+            space = np.empty(0), np.empty((0, 1))
+        one = _search(docs, items, *space, cosine)
         found = one if found is None else found.unionByName(one)
     if found is None:
         return spark.createDataFrame([], MATCH)
