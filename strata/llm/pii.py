@@ -7,7 +7,9 @@ r"""Personal data by candidate gradient boosting, in DataFrame expressions only.
    shape with and without a plus, dotted quads, written-out addresses.
 3. *Boosted trees.*  Each candidate has a few small integer features of its
    format and context.  It is a positive example if it overlaps a base span of
-   its kind, else a negative one.  All candidates of all documents are counted
+   its kind, or if it is a written-out address that reads as a base address once
+   its ``[at]`` and ``[dot]`` are signs again ("look (at) home. Next" does not);
+   else a negative one.  All candidates of all documents are counted
    by feature vector; that table, bounded by the product of the feature ranges,
    is all that the driver sees.  It fits boosted regression trees there, and
    every tree becomes a CASE expression.
@@ -153,12 +155,19 @@ def _side(c: Column) -> Column:
     return (F.when(c == "", 0).when(c.rlike(r"\s"), 1).when(c.rlike(r"\p{L}"), 2).when(c.rlike("[0-9]"), 3).otherwise(4))
 
 
+def spelled(m: Column) -> Column:
+    """Whether a written-out address is one of the base pattern and ends like a host, its words made signs."""
+    plain = F.regexp_replace(m, r"\x20?[\[(]at[\])]\x20?", "@")
+    plain = F.regexp_replace(plain, r"\x20?[\[(]dot[\])]\x20?", ".")
+    return plain.rlike(rf"^{_LOCAL}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}}$")
+
+
 def candidates(text: Column) -> Column:
     """array<struct<s, k, e, features...>> of all generators' proposals."""
     def of(g: int, gen: Generator) -> Column:
         def describe(x: Column) -> Column:
             m, s, e = x["m"], x["s"], x["e"]
-            valid = m.rlike(r"[A-Za-z]{2,}$") if gen.kind == "email" else passes(gen.kind, m)
+            valid = spelled(m) if gen.kind == "email" else passes(gen.kind, m)
             breaks = (F.when(m.rlike(r"[()\[\]]"), 4).when(m.rlike("-") & m.rlike(r"\x20"), 3).when(m.rlike("-"), 2)
                       .when(m.rlike(r"\x20"), 1).otherwise(0))
             before = F.when(s == 0, F.lit("")).otherwise(F.substring(text, s, F.lit(1)))
@@ -256,7 +265,8 @@ def train(docs: DataFrame, text: str = "text", precision: float = 0.95, least: i
         (F.pmod(F.xxhash64(text), F.lit(5)) == 0).alias("held"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     found = found.select("held", base_spans(F.col("t")).alias("base"), candidates(F.col("t")).alias("all"))
     found = found.filter(F.size("all") > 0).select("held", "base", F.explode("all").alias("c"))
-    hit = F.exists(base, lambda b: (b["k"] == c["k"]) & _overlaps(b, c))
+    hit = F.exists(base, lambda b: (b["k"] == c["k"]) & _overlaps(b, c)) | (
+        (c["k"] == KINDS.index("email")) & (c["valid"] == 1))
     names = [f for f, _ in FEATURES]
     counts = (found.select("held", hit.alias("hit"), *[c[f].alias(f) for f in names])
               .groupBy("held", *names)
