@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, decontaminate, license_scan, ngram_join, pii, quality_classifier, quality_rules, sharding, substring_dedup, warc
+from strata.llm import bpe, decontaminate, license_scan, ngram_join, pii, quality_classifier, quality_rules, sharding, substring_dedup, token_file, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"), license_scan.CATALOGUE, license_scan.IDENTIFIERS)
 
 
+def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file.round_trip(_table(spark, sf_dir, "documents"), vocabulary())
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_bpe": op2_bpe,
@@ -71,4 +75,5 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_sharding": op9_sharding,
     "op10_license_scan": op10_license_scan,
+    "op11_token_ids": op11_token_ids,
 }
