@@ -99,9 +99,51 @@ SELECT doc_id, license, max(found) / any_value(wanted) AS containment,
 FROM held WHERE 100 * found >= {license_scan.CONTAINMENT} * wanted GROUP BY doc_id, license"""
 
 
+#: crc32 of the decimal ``conv_id``: over its characters, and over the eight bits of each.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ord(s)::BIGINT),
+    lambda c, b: list_reduce([0::BIGINT, 0, 0, 0, 0, 0, 0, 0],
+                             lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)), 4294967295::BIGINT))"""
+
+TRIE_SQL = f"""
+WITH own AS (
+  SELECT conv_id, md5(strlen(r) || ':' || r || x) AS digest, strlen(x) AS bytes,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, md5(strlen(r) || ':' || r || x)) AS p
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x
+        FROM conversations WHERE conv_id IS NOT NULL)),
+conv AS (SELECT conv_id, {_CRC32} % 9 AS h FROM (SELECT DISTINCT conv_id FROM own)),
+turns AS (
+  SELECT c.conv_id, 0 AS part, p, digest, bytes
+  FROM conv c JOIN own o ON o.conv_id = c.conv_id - c.conv_id % 5 AND p <= h
+  UNION ALL
+  SELECT c.conv_id, 1, p, digest, bytes FROM conv c JOIN own o ON o.conv_id = c.conv_id AND p > h),
+member AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(digest, '') OVER w AS key, bytes
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY part, p)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM conv),
+linked AS (
+  SELECT *, lag(key) OVER w AS up, depth = max(depth) OVER (PARTITION BY conv_id) AS ends
+  FROM member WINDOW w AS (PARTITION BY conv_id ORDER BY depth)),
+node AS (
+  SELECT depth, key, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM linked GROUP BY depth, key),
+child AS (SELECT depth - 1 AS depth, up AS key, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+full_node AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM node n LEFT JOIN child c USING (depth, key)),
+-- A node lies below every prefix of its smallest member's path.
+total AS (
+  SELECT m.depth, m.key, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * n.bytes) AS saved_tokens
+  FROM full_node n JOIN member m ON m.conv_id = n.conv_id AND m.depth <= n.depth GROUP BY ALL)
+SELECT n.conv_id::BIGINT AS conv_id, n.depth::BIGINT AS depth, p.conv_id::BIGINT AS parent_conv_id,
+       n.n_convs::BIGINT AS n_convs, n.n_children::BIGINT AS n_children, t.n_leaves::BIGINT AS n_leaves,
+       t.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM full_node n JOIN total t USING (depth, key) LEFT JOIN node p ON p.depth = n.depth - 1 AND p.key = n.up"""
+
+
 ORACLE = {
     "op3_quality_rules": quality_sql(),
     "op6_warc": WARC_SQL,
     "op7_substring_dedup": SUBSTRING_SQL,
     "op10_license_scan": license_sql(),
+    "op12_conversation_trie": TRIE_SQL,
 }

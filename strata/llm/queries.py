@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, decontaminate, license_scan, ngram_join, pii, quality_classifier, quality_rules, sharding, substring_dedup, token_file, warc
+from strata.llm import bpe, conversation_trie, decontaminate, license_scan, ngram_join, pii, quality_classifier, quality_rules, sharding, substring_dedup, token_file, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.round_trip(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.forked_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_bpe": op2_bpe,
@@ -76,4 +80,5 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_license_scan": op10_license_scan,
     "op11_token_ids": op11_token_ids,
+    "op12_conversation_trie": op12_conversation_trie,
 }
