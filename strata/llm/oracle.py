@@ -140,10 +140,32 @@ SELECT n.conv_id::BIGINT AS conv_id, n.depth::BIGINT AS depth, p.conv_id::BIGINT
 FROM full_node n JOIN total t USING (depth, key) LEFT JOIN node p ON p.depth = n.depth - 1 AND p.key = n.up"""
 
 
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id::BIGINT AS id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+         list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS c
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.id AS anchor_id, a.c AS anchor, b.id, b.label = a.label AS same, list_dot_product(a.c, b.c)::BIGINT AS score
+  FROM v a, v b WHERE a.id % 50 = 0 AND NOT (a.id = b.id AND a.label = b.label AND a.c = b.c)),
+positive AS (
+  SELECT anchor_id, anchor, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id, anchor ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, anchor, positive_id, positive_score ORDER BY score DESC, id))::INT AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id, anchor)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
+
 ORACLE = {
     "op3_quality_rules": quality_sql(),
     "op6_warc": WARC_SQL,
     "op7_substring_dedup": SUBSTRING_SQL,
     "op10_license_scan": license_sql(),
     "op12_conversation_trie": TRIE_SQL,
+    "op13_hard_negatives": NEGATIVES_SQL,
 }

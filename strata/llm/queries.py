@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, conversation_trie, decontaminate, license_scan, ngram_join, pii, quality_classifier, quality_rules, sharding, substring_dedup, token_file, warc
+from strata.llm import bpe, conversation_trie, decontaminate, hard_negatives, license_scan, ngram_join, pii, quality_classifier, quality_rules, sharding, substring_dedup, token_file, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,10 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.forked_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_bpe": op2_bpe,
@@ -81,4 +85,5 @@ QUERIES = {
     "op10_license_scan": op10_license_scan,
     "op11_token_ids": op11_token_ids,
     "op12_conversation_trie": op12_conversation_trie,
+    "op13_hard_negatives": op13_hard_negatives,
 }
