@@ -36,7 +36,9 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -55,10 +57,10 @@ MAGIC = b"PFOR0001"
 BLOCK = 1024
 PERCENTILE = 90
 END_ID = 2
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 #: Text bytes that one file takes, as a mean.
 FILE_BYTES = 48 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 900_000
 _HEAD = struct.Struct("<HHB3xI")
 _TAIL = struct.Struct("<QQQQ8s")
 
@@ -66,7 +68,10 @@ _TAIL = struct.Struct("<QQQQ8s")
 SPACED_NORMALIZER = {"type": "Sequence", "normalizers": [
     {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 SPACED_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-_PIECES = re.compile(LATIN_SPLIT)
+#: Ends a word among joined ones; no word holds it.
+_MARK = "\n"
+_PIECES = re.compile(LATIN_SPLIT + "|\n")
+_BEYOND = re.compile("[^\x00-\xff]")
 
 
 class TextEncoder:
@@ -97,72 +102,98 @@ class TextEncoder:
         self.ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
         if suffix:
             self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.ends_words = bool(suffix)
+        self._forget()
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+    def _forget(self) -> None:
+        """The known pre-split words: their numbers, and their ids one behind the other.
+
+        Number 0 marks the end of a run without white space; words that the plain
+        pattern does not serve are kept whole, behind a mark.
+        """
+        self.known: dict[str, int] = {_MARK: 0}
+        self.store, self.reach = array("I"), array("q", [0, 0])
+
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, names: list[str], found: list[list[int]]) -> None:
+        for name, ids in zip(names, found):
+            self.known[name] = len(self.reach) - 1
+            self.store.extend(ids)
+            self.reach.append(len(self.store))
 
     def _learn_pieces(self, pieces: list[str]) -> None:
         """One call for many pre-split words: each ends at the one token that carries the word's end."""
-        ids = np.array(self.tokenizer.encode(" ".join(pieces), add_special_tokens=False).ids, "<u4")
-        cuts = np.flatnonzero(self.ends[ids]) + 1
+        ids = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False).ids
+        cuts = np.flatnonzero(self.ends[ids]) + 1 if self.ends_words else []
         if len(cuts) != len(pieces) or cuts[-1] != len(ids):
-            self.pieces.update(zip(pieces, self._library(pieces)))
+            self._learn(pieces, self._library(pieces))
             return
-        raw, at = ids.tobytes(), 0
-        for piece, cut in zip(pieces, (cuts * 4).tolist()):
-            self.pieces[piece] = raw[at:cut]
-            at = cut
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.words) + len(words) > CACHE_WORDS:
-            self.words.clear()
-        if len(self.pieces) > CACHE_WORDS:
-            self.pieces.clear()
-        plain, odd = {}, []
-        for w in words:
-            # Below U+0300 nothing composes, so lower case may come first.
-            if (w.isascii() or max(w) < "Ā") and not any(s in w for s in self.special):
-                plain[w] = _PIECES.findall(w.lower())
-            else:
-                odd.append(w)
-        new = list({p for found in plain.values() for p in found if p not in self.pieces})
-        for i in range(0, len(new), 2000):
-            self._learn_pieces(new[i:i + 2000])
-        known = self.pieces
-        for w, found in plain.items():
-            self.words[w] = known[found[0]] if len(found) == 1 else b"".join([known[p] for p in found])
-        if odd:
-            self.words.update(zip(odd, self._library(odd)))
+        first = len(self.reach) - 1
+        self.known.update(zip(pieces, range(first, first + len(pieces))))
+        self.reach.extend((cuts + len(self.store)).tolist())
+        self.store.extend(ids)
+
+    def _numbers(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray | None]:
+        """Numbers of the pieces of all words, 0 behind each word, and the order that the words were taken in."""
+        if not len(distinct):
+            return np.empty(0, np.int64), None
+        words, odd = [], []
+        raw = pc.binary_join(pa.ListArray.from_arrays([0, len(distinct)], distinct), _MARK)[0].as_py()
+        # In the first 256 code points nothing composes, so lower case may come first.
+        if _BEYOND.search(raw) or any(t in raw for t in self.special):
+            words = raw.split(_MARK)
+            odd = [i for i, w in enumerate(words) if _BEYOND.search(w) or any(t in w for t in self.special)]
+            out = set(odd)
+            plain = [i for i in range(len(words)) if i not in out]
+            raw = _MARK.join([words[i] for i in plain])
+        flat = _PIECES.findall(raw.lower() + _MARK) if len(odd) < len(distinct) else []
+        numbers = np.fromiter(map(self.known.get, flat, repeat(-1)), np.int64, len(flat))
+        unknown = np.flatnonzero(numbers < 0).tolist()
+        missing = list({flat[i] for i in unknown})
+        for i in range(0, len(missing), 2000):
+            self._learn_pieces(missing[i:i + 2000])
+        numbers[unknown] = [self.known[flat[i]] for i in unknown]
+        if not odd:
+            return numbers, None
+        names = [_MARK + words[i] for i in odd]
+        new = [x for x in names if x not in self.known]
+        self._learn(new, self._library([x[1:] for x in new]))
+        whole = np.zeros(2 * len(odd), np.int64)
+        whole[::2] = [self.known[x] for x in names]
+        return np.concatenate([numbers, whole]), np.argsort(np.array(plain + odd))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and the number of each text's ids."""
         if not self.by_word:
             found = self._library(texts.to_pylist())
-            return np.frombuffer(b"".join(found), "<u4"), np.array([len(x) // 4 for x in found], np.int64)
+            return (np.fromiter((i for x in found for i in x), np.uint32),
+                    np.array([len(x) for x in found], np.int64))
+        if len(self.known) > CACHE_WORDS:
+            self._forget()
         runs = pc.ascii_split_whitespace(texts)
         coded = runs.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        missing = [w for w in distinct if w not in self.words]
-        if missing:
-            if len(self.words) + len(missing) > CACHE_WORDS:
-                missing = distinct
-            self._learn(missing)
-        known = self.words
-        held = [known[w] for w in distinct]
-        size = np.fromiter(map(len, held), np.int64, len(held)) >> 2
-        start = np.cumsum(size) - size
-        store = np.frombuffer(b"".join(held), "<u4")
+        numbers, order = self._numbers(coded.dictionary)
+        store, reach = np.frombuffer(self.store, np.uint32), np.frombuffer(self.reach, np.int64)
+        # The ids of every distinct run, then those of every run of the texts.
+        sizes = np.diff(reach)[numbers]
+        held = _gather(store, reach[numbers], sizes)
+        ends = np.cumsum(sizes)[numbers == 0]
+        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         at = coded.indices.to_numpy(zero_copy_only=False)
-        counts = size[at]
-        ends = np.cumsum(counts)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = store[np.repeat(start[at] - ends + counts, counts) + np.arange(total)]
+        at = at if order is None else order[at]
+        counts = (ends - starts)[at]
+        ids = _gather(held, starts[at], counts)
         words = pc.list_value_length(runs).to_numpy(zero_copy_only=False).astype(np.int64)
-        reach = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(words)])]
-        return ids, np.diff(reach)
+        total = np.concatenate([[0], np.cumsum(counts)])
+        return ids, np.diff(total[np.concatenate([[0], np.cumsum(words)])])
+
+
+def _gather(store: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``store`` that begin at ``starts``, one behind the other."""
+    ends = np.cumsum(sizes)
+    return store[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 def pack(values: np.ndarray, percentile: int = PERCENTILE) -> list[bytes]:
