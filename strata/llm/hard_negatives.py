@@ -47,7 +47,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import new_folder, written
 from strata.llm.warc import _filesystem
 
-LEAF = 64
+#: Small leaves skip more rows of clustered vectors, large ones cost fewer steps where little can be skipped.
+LEAF = 512
 BLOCK = 8192
 #: Blocks of one index file: what one task searches a batch of anchors against.
 BLOCKS = 16
@@ -242,7 +243,7 @@ def _anchor_batches(rows: DataFrame, shape: Shape, folder: str, every: int) -> D
     anchors = rows.filter(F.col("vec_id") % every == 0)
     # The order makes a task that runs twice write the same file.
     files = max(1, -(-shape.n // (every * ANCHORS * 32)))
-    anchors = anchors.repartition(files, "vec_id").sortWithinPartitions("vec_id", "label", "v")
+    anchors = anchors.coalesce(files).sortWithinPartitions("vec_id", "label", "v")
     return written(anchors.mapInArrow(run, "batch long, path string, offset long, length long"), "hard-anchors")
 
 

@@ -91,7 +91,8 @@ def block_tree(vectors, ids, labels, slabs, q):
     return tree, tuple(e[0] for e in tree.intervals(q[None, :]))
 
 
-def test_boxes_hold_their_scores():
+def test_boxes_hold_their_scores(monkeypatch):
+    monkeypatch.setattr(hn, "LEAF", 32)
     r = np.random.default_rng(3)
     vectors, ids = np.floor(r.normal(0, 40, (300, 8))), np.arange(300)
     order, slabs = hn.str_pack(vectors, ids, [2, 5])
