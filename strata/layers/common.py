@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import control
-from strata.sources.store import BUCKET_COLUMN, PartitionedTable, TableStore, bucketed
+from strata.sources.store import BUCKET_COLUMN, WHOLE, PartitionedTable, TableStore, bucketed
 
 AUDIT_SCHEMA = ("process_id string, batch_run_id long, data_source string, db_code string, "
                 "source_table_name string, destination_table_name string, operation string, "
@@ -47,6 +47,29 @@ class TableResult:
     time_to: str | None = None
 
 
+class CountedBy:
+    """Row counts for each value of a column, taken while one write runs: one observed map of conditional counts."""
+
+    def __init__(self, column: str, values: list):
+        self.column, self.values = column, values
+        self.obs_in, self.obs_out = Observation(), Observation()
+
+    def _observe(self, df: DataFrame, obs: Observation) -> DataFrame:
+        counts = [F.count(F.when(F.col(self.column) == F.lit(v), 1)).alias(f"n{i}") for i, v in enumerate(self.values)]
+        return df.observe(obs, *counts)
+
+    def source(self, df: DataFrame) -> DataFrame:
+        return self._observe(df, self.obs_in)
+
+    def sink(self, df: DataFrame) -> DataFrame:
+        return self._observe(df, self.obs_out)
+
+    def result(self) -> dict:
+        """value -> (fetched, written)."""
+        read, wrote = self.obs_in.get, self.obs_out.get
+        return {v: (int(read.get(f"n{i}", 0)), int(wrote.get(f"n{i}", 0))) for i, v in enumerate(self.values)}
+
+
 class Counted:
     """Row counts taken while the write runs (AG-12): no second action.
 
@@ -89,17 +112,21 @@ def status_of(fetched: int, processed: int) -> str:
     return control.FAILED
 
 
-def audit_event(spark: SparkSession, ctx: RunContext, *, source: str, db_code: str | None,
-                source_table: str, target_table: str, operation: str, result: TableResult | None,
-                started: _dt.datetime, ended: _dt.datetime | None) -> DataFrame:
-    """One table-level audit event (PJ-07): in-progress when ``result`` is None."""
+def audit_row(ctx: RunContext, *, source: str, db_code: str | None, source_table: str, target_table: str,
+              operation: str, result: TableResult | None, started: _dt.datetime,
+              ended: _dt.datetime | None) -> tuple:
+    """One table-level audit event (PJ-07) of ``AUDIT_SCHEMA``: in-progress when ``result`` is None."""
     def ts(x):
         return None if x is None else (_dt.datetime.fromisoformat(str(x)) if not isinstance(x, _dt.datetime) else x)
-    row = (ctx.process_id, ctx.batch_run_id, source, db_code, source_table, target_table, operation,
-           ts(result.time_from) if result else None, ts(result.time_to) if result else None,
-           started, ended, result.fetched if result else None, result.processed if result else None,
-           result.status if result else IN_PROGRESS, (result.error or None) if result else None, now())
-    return spark.createDataFrame([row], AUDIT_SCHEMA)
+    return (ctx.process_id, ctx.batch_run_id, source, db_code, source_table, target_table, operation,
+            ts(result.time_from) if result else None, ts(result.time_to) if result else None,
+            started, ended, result.fetched if result else None, result.processed if result else None,
+            result.status if result else IN_PROGRESS, (result.error or None) if result else None, now())
+
+
+def audit_event(spark: SparkSession, ctx: RunContext, **what) -> DataFrame:
+    """``audit_row`` as a frame of one row."""
+    return spark.createDataFrame([audit_row(ctx, **what)], AUDIT_SCHEMA)
 
 
 PARTITION_COLUMN = "load_day"
@@ -124,14 +151,24 @@ def write_target(store: TableStore, name: str, state_fn, *, date_of: str | None,
 
     Without a layout the next state (``state_fn()``) becomes a new version.  By
     day or bucket, a window load replaces only the partitions that the window
-    touches, and by bucket an upsert only the buckets of the delivered keys.
+    touches, and by bucket an upsert only the buckets of the delivered keys.  A
+    table that was committed in another layout (none, days, another number of
+    buckets) is rewritten once, whole, by the load that changes it.
     """
     column = PARTITION_COLUMN if date_of else BUCKET_COLUMN if buckets and keys else None
+    state = store.snapshot(name)
     if column is None:
-        return store.write(name, state_fn())
-    table = PartitionedTable(store.spark, f"{store.root}/{name}", column)
+        next_state = state_fn()
+        return store.write(name, next_state if state is None or state.layout == WHOLE else without_layout(next_state))
+    table = PartitionedTable(store.spark, f"{store.root}/{name}", column, None if date_of else buckets)
+    if state is not None and state.layout != table.layout:
+        return table.replace_all(with_layout(without_layout(state_fn()), date_of, buckets, keys))
     if mode == "window":
         return table.replace_window(incoming, window, scope)
     if mode == "upsert" and not date_of:
         return table.upsert(incoming, keys, order_by)
     return table.replace_all(state_fn())
+
+
+def without_layout(df: DataFrame) -> DataFrame:
+    return df.drop(PARTITION_COLUMN, BUCKET_COLUMN)

@@ -38,8 +38,10 @@ def load_gold_table(store: TableStore, cfg: GoldTable, ctx: RunContext, views: d
                                               ctx.upper_bound, views))
     existing = store.read(cfg.target_table_name)
     shaped = codes.nan_to_null_all(df)
-    # The target's types decide; only the load that makes the target looks at the data for them.
-    shaped = codes.cast_integral_floats(shaped) if existing is None else schema.cast_like(shaped, existing.schema)
+    # The target's types decide; only the load that makes the target looks at the data for them,
+    # at the rows of its template as staged, so that the sources are scanned once.
+    shaped = (codes.cast_integral_floats(store.stage(cfg.target_table_name, shaped)) if existing is None
+              else schema.cast_like(shaped, existing.schema))
     load_key = windows.split_keys(cfg.load_key)
     incoming = counts.sink(with_layout(shaped, cfg.partition_date_of, cfg.load_buckets, load_key))
     strategy = cfg.ingestion_strategy.upper()

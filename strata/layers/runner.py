@@ -17,7 +17,7 @@ from itertools import groupby
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.layers.common import RunContext, TableResult, audit_event, now
+from strata.layers.common import AUDIT_SCHEMA, RunContext, TableResult, audit_row, now
 from strata.operators import control
 from strata.sources.store import TableStore
 
@@ -52,13 +52,18 @@ def watermarks(store: TableStore, audit_name: str, batch_name: str) -> dict:
 
 @dataclass
 class Job:
-    """One table load: ``loader(last_processed) -> TableResult``."""
+    """One table load: ``loader(last_processed) -> TableResult``.
+
+    A job over several databases names them in ``db_codes``; its loader takes and
+    returns a value for each: ``loader({code: last}) -> {code: TableResult}``.
+    """
     source_table: str
     target_table: str
     load_type: str
     loader: Callable
     level: int = 0            # hierarchy level: levels run in order
     db_code: str | None = None
+    db_codes: tuple = ()
 
 
 def run_tables(store: TableStore, ctx: RunContext, jobs: list, *, audit_name: str, batch_name: str,
@@ -77,24 +82,25 @@ def run_tables(store: TableStore, ctx: RunContext, jobs: list, *, audit_name: st
     marks = watermarks(store, audit_name, batch_name) if ctx.run_type.upper() == "DELTA" else {}
     audit_lock = threading.Lock()
 
-    def append_audit(job: Job, result, started, ended):
-        event = audit_event(spark, ctx, source=source, db_code=job.db_code or db_code,
-                            source_table=job.source_table, target_table=job.target_table,
-                            operation=operation or job.load_type, result=result, started=started, ended=ended)
+    def append_audit(job: Job, results: dict, started, ended):
+        rows = [audit_row(ctx, source=source, db_code=code, source_table=job.source_table,
+                          target_table=job.target_table, operation=operation or job.load_type, result=result,
+                          started=started, ended=ended) for code, result in results.items()]
         with audit_lock:   # appends to one dataset must not overlap
-            store.append_rows(audit_name, event)
+            store.append_rows(audit_name, spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1))
 
     def run_one(job: Job) -> None:
         started = now()
-        append_audit(job, None, started, None)
-        key = (job.target_table, job.db_code or db_code)
-        last = marks.get(key) if job.load_type.lower() in ("incremental", "append") else None
+        codes = job.db_codes or (job.db_code or db_code,)
+        append_audit(job, dict.fromkeys(codes), started, None)
+        bounded = job.load_type.lower() in ("incremental", "append")
+        last = {code: marks.get((job.target_table, code)) if bounded else None for code in codes}
         try:
-            result = job.loader(last)
+            results = job.loader(last) if job.db_codes else {codes[0]: job.loader(last[codes[0]])}
         except Exception as e:  # noqa: BLE001 -- one table's failure must not stop the run
-            result = TableResult(job.target_table, status=control.FAILED, error=str(e),
-                                 time_to=ctx.upper_bound)
-        append_audit(job, result, started, now())
+            results = {code: TableResult(job.target_table, status=control.FAILED, error=str(e),
+                                         time_to=ctx.upper_bound) for code in codes}
+        append_audit(job, results, started, now())
 
     def run_target(target_jobs: list) -> None:
         for job in target_jobs:     # loads of one target (e.g. its databases) run in order
@@ -137,31 +143,83 @@ def summary(store: TableStore, audit_name: str, batch_run_id: int) -> DataFrame:
     return control.run_summary(state)
 
 
+def _layout(r: dict) -> dict:
+    """The target layout that a config row names: the day of a timestamp column, or buckets of the load key."""
+    buckets = r.get("load_buckets")
+    return {"partition_date_of": r.get("partition_date_of") or None, "load_buckets": int(buckets) if buckets else None}
+
+
 def bronze_jobs(store: TableStore, ctx: RunContext, config_rows: list, read_source: Callable) -> list:
-    """Jobs for the collected bronze config (PJ-06): one per table and database.
+    """Jobs for the collected bronze config (PJ-06): one for each target table.
 
     ``config_rows`` come from ``control.select_config`` / ``expand_config``,
     ordered by ``control.processing_order`` and collected (tens to hundreds of
     rows).  ``read_source(row)`` returns the source table as a DataFrame (a
-    JDBC or Parquet scan); its rows never pass through the driver.
+    JDBC or Parquet scan); its rows never pass through the driver.  All databases
+    of a multi-database table load as one write.
     """
     from strata.layers.bronze import BronzeTable, load_bronze_table
 
-    jobs = []
+    jobs, several = [], {}
     for row in config_rows:
         r = row.asDict() if hasattr(row, "asDict") else dict(row)
         cfg = BronzeTable(r["source_table_name"], r["target_table_name"], r.get("extract_key"),
                           r.get("load_key"), r.get("load_type", "full"), r.get("load_sequence", 0),
-                          r.get("hierarchy_number", 0), r.get("run_frequency"))
-        multi = bool(r.get("is_multi_db"))
-        source_db = (r["source_db_id"], r.get("market_profile_id")) if multi else None
+                          r.get("hierarchy_number", 0), r.get("run_frequency"), **_layout(r))
+        level = cfg.hierarchy_number or 0
+        if _flag(r.get("is_multi_db")):
+            key = (cfg.source_table_name, cfg.target_table_name)
+            if key not in several:
+                several[key] = (cfg, [])
+                jobs.append(Job(*key, cfg.load_type, None, level=level))
+                several[key] += (jobs[-1],)
+            several[key][1].append(r)
+            continue
+
+        def loader(last, r=r, cfg=cfg):
+            return load_bronze_table(store, read_source(r), cfg, ctx, last)
+
+        jobs.append(Job(cfg.source_table_name, cfg.target_table_name, cfg.load_type, loader, level=level))
+    for cfg, rows, job in several.values():
+        job.db_codes = tuple(r.get("source_db_code") or str(r["source_db_id"]) for r in rows)
+        job.loader = _databases_loader(store, ctx, cfg, dict(zip(job.db_codes, rows)), read_source)
+    return jobs
 
-        def loader(last, r=r, cfg=cfg, source_db=source_db):
-            return load_bronze_table(store, read_source(r), cfg, ctx, last, source_db)
 
-        jobs.append(Job(cfg.source_table_name, cfg.target_table_name, cfg.load_type, loader,
-                        level=cfg.hierarchy_number or 0, db_code=r.get("source_db_code") if multi else None))
-    return jobs
+def _databases_loader(store: TableStore, ctx: RunContext, cfg, rows: dict, read_source: Callable) -> Callable:
+    """Loader of all databases of one table; a database whose source cannot be opened fails alone.
+
+    Where the joint write fails, the databases are loaded one at a time, so that
+    one that breaks while it is read does not hold up the others.
+    """
+    from strata.layers.bronze import SourceDatabase, load_bronze_databases
+
+    def failed(e: Exception) -> TableResult:
+        return TableResult(cfg.target_table_name, status=control.FAILED, error=str(e), time_to=ctx.upper_bound)
+
+    def load(found: dict) -> dict:
+        results = load_bronze_databases(store, list(found.values()), cfg, ctx)
+        return {code: results[db.source_db_id] for code, db in found.items()}
+
+    def loader(last: dict) -> dict:
+        out, found = {}, {}
+        for code, r in rows.items():
+            try:
+                found[code] = SourceDatabase(read_source(r), r["source_db_id"], r.get("market_profile_id"), last[code])
+            except Exception as e:  # noqa: BLE001 -- this database's failure
+                out[code] = failed(e)
+        try:
+            if found:
+                out.update(load(found))
+        except Exception:  # noqa: BLE001 -- find the databases that break
+            for code, db in found.items():
+                try:
+                    out.update(load({code: db}))
+                except Exception as e:  # noqa: BLE001
+                    out[code] = failed(e)
+        return out
+
+    return loader
 
 
 def _flag(value) -> bool:
@@ -200,7 +258,7 @@ def silver_jobs(store: TableStore, ctx: RunContext, config_rows: list) -> list:
         )
         cfg = SilverTable(r["raw_table_name"], r["clean_table_name"], r["column_name"], r.get("extract_key"),
                           r.get("load_key"), r.get("load_type", "full"), r.get("hierarchy_number", 0),
-                          r.get("load_sequence", 0), steps)
+                          r.get("load_sequence", 0), steps, **_layout(r))
 
         def loader(last, cfg=cfg):
             return load_silver_table(store, cfg, ctx, last)
@@ -220,7 +278,7 @@ def gold_jobs(store: TableStore, ctx: RunContext, config_rows: list, views: Call
         r = row.asDict() if hasattr(row, "asDict") else dict(row)
         cfg = GoldTable(r["target_table_name"], r["data_load_sql_template"],
                         r.get("ingestion_strategy", "TRUNCATE_INSERT"), r.get("load_key"),
-                        r.get("incremental_extract_key"), r.get("execution_order", 0))
+                        r.get("incremental_extract_key"), r.get("execution_order", 0), **_layout(r))
         load_type = {"APPEND": "append", "MERGE": "incremental"}.get(cfg.ingestion_strategy.upper(), "full")
 
         def loader(last, cfg=cfg):

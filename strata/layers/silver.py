@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import functions as F
 
 from strata.functions import codes
-from strata.layers.common import Counted, RunContext, TableResult, status_of, with_layout, write_target
+from strata.layers.common import Counted, RunContext, TableResult, status_of, with_layout, without_layout, write_target
 from strata.operators import clean, loads, schema, windows
 from strata.sources.store import TableStore
 
@@ -57,7 +57,11 @@ def load_silver_table(store: TableStore, cfg: SilverTable, ctx: RunContext, last
     shaped = schema.serialise_for_target(shaped, js, arr, cfg.xml_columns)
     existing = store.read(cfg.clean_table_name)
     stamped = codes.nan_to_null_all(loads.stamp(shaped, ctx.run_ts))
-    if existing is not None:
+    if ctx.run_type.upper() == "FULL":
+        # the target is made, or brought into line with the configured columns
+        held = None if existing is None else without_layout(existing).schema
+        stamped = schema.conform(stamped, schema.synchronised(held, shaped.schema, targets))
+    elif existing is not None:
         stamped = schema.cast_like(stamped, existing.schema)
     keys = windows.split_keys(cfg.load_key)
     incoming = counts.sink(with_layout(stamped, cfg.partition_date_of, cfg.load_buckets, keys))

@@ -9,13 +9,13 @@ the running total of the per-partition counts (one number per partition).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.session import ensure_checkpoint_dir
 
 
-def row_index(df: DataFrame, order_cols: list[str], column: str = "partition_index",
+def row_index(df: DataFrame, order_cols: list[str | Column], column: str = "partition_index",
               num_partitions: int | None = None) -> DataFrame:
     """Add ``column`` = 1..n following ``order_cols``.
 

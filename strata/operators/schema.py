@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import (ArrayType, MapType, NullType, StringType, StructField, StructType, TimestampNTZType,
+                               TimestampType)
 
 from strata.functions import semistructured
 
@@ -40,6 +41,35 @@ def target_schema(source: StructType, wanted: list[str]) -> StructType:
     return StructType([by_name[c] if c in by_name else StructField(c, StringType(), True) for c in wanted])
 
 
+def synchronised(existing: StructType | None, batch: StructType, wanted: list[str],
+                 stamp: str = "insertion_date") -> StructType:
+    """Schema of a target made or synchronised for the wanted columns (IO-15, IO-16, full load).
+
+    A new target takes the batch's types; nested columns are stored as text, and
+    so is a column without a type.  In an existing target a kept column keeps its
+    type, a column gained is text, columns no longer wanted go, and the load stamp
+    is kept, or made again where it is no timestamp.
+    """
+    known = {f.name: f.dataType for f in (batch if existing is None else existing).fields}
+    fields = []
+    for c in wanted:
+        kind = known.get(c, StringType())
+        nested = isinstance(kind, (StructType, MapType, ArrayType, NullType))
+        fields.append(StructField(c, StringType() if nested else kind, True))
+    held = None if existing is None else known.get(stamp)
+    if stamp not in wanted:
+        kept = isinstance(held, (TimestampNTZType, TimestampType))
+        fields.append(StructField(stamp, held if kept else TimestampNTZType(), True))
+    return StructType(fields)
+
+
+def conform(df: DataFrame, target: StructType) -> DataFrame:
+    """The target's columns in its order and types; a missing one is NULL."""
+    have = set(df.columns)
+    return df.select([(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                      for f in target.fields])
+
+
 def serialise_for_target(df: DataFrame, json_cols=(), array_cols=(), xml_cols=()) -> DataFrame:
     """Cell serialisation on write: JSON text, ``{a,b}`` arrays, repaired XML (IO-12, IO-13, IO-17)."""
     types = {f.name: f.dataType for f in df.schema.fields}

@@ -106,15 +106,21 @@ def unified(m) -> DataFrame:
     return b.unionByName(service_source(m))
 
 
-def emission_mart(m, digits: int | None = 6) -> DataFrame:
-    """Final projection, ``ORDER BY RemitDate DESC, OrganizationId`` with
-    PostgreSQL null placement (SL-01).  ``digits`` rounds km and kg."""
+def emitted(m) -> DataFrame:
+    """All service rows with their emission, ``ORDER BY RemitDate DESC, OrganizationId`` with
+    PostgreSQL null placement (SL-01)."""
     u = unified(m)
     e = u.withColumn("TotalEmission", geo.emission_kg(F.col("KM"), F.col("Cabin_Class")))
-    rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
     # the ids after the report's order split equal keys over the ranges of the sort
-    return (e.orderBy(F.col("RemitDate").desc_nulls_first(), F.col("OrganizationId").asc_nulls_last(),
-                      "BookingID", "booking_service_type", "TravelerId")
+    return e.orderBy(F.col("RemitDate").desc_nulls_first(), F.col("OrganizationId").asc_nulls_last(),
+                     "BookingID", "booking_service_type", "TravelerId")
+
+
+def emission_mart(m, digits: int | None = 6) -> DataFrame:
+    """Final projection of the ordered rows.  ``digits`` rounds km and kg."""
+    e = emitted(m)
+    rnd = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+    return (e
             .select(F.col("Trip").alias("trip_id"), F.col("BookingID").alias("booking_service_id"),
                     "booking_service_type", F.col("OrganizationId").alias("organization_id"),
                     F.col("TravelerId").alias("traveler_id"), F.col("TripType").alias("trip_type"),

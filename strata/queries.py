@@ -168,14 +168,13 @@ def load_upsert(spark, sf_dir):
 
 @register("load_multi_db")
 def load_multi_db(spark, sf_dir):
-    o = Tables.for_session(spark, sf_dir).orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    o = Tables.for_session(spark, sf_dir).orders
     # three source databases, one per order status, each tagged and unioned
     dbs = [("F", 1, 1), ("O", 2, 2), ("P", 3, 1)]
     upper = windows.upper_bound_window("o_orderdate", "2000-01-01")
     frames = [loads.tag_source(o.filter((F.col("o_orderstatus") == s) & upper), db, mp)
               for s, db, mp in dbs]
-    return loads.union_sources(frames).select("o_orderkey", "source_db_id", "market_profile_id",
-                                              "o_totalprice")
+    return loads.union_sources(frames)
 
 
 @register("sentinel_clamp")
@@ -183,9 +182,8 @@ def sentinel_clamp(spark, sf_dir):
     o = Tables.for_session(spark, sf_dir).orders
     end = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(loads.SENTINEL_END).cast("timestamp_ntz"))
            .otherwise(F.col("o_orderdate")))
-    df = loads.clamp_sentinel(o.select("o_orderkey", end.alias("EndDate"), "o_orderstatus"), "EndDate")
-    return df.select("o_orderkey", "o_orderstatus",
-                     F.date_format("EndDate", "yyyy-MM-dd HH:mm:ss").alias("end_date"))
+    df = loads.clamp_sentinel(o.withColumn("EndDate", end), "EndDate")
+    return df.withColumn("EndDate", F.date_format("EndDate", "yyyy-MM-dd HH:mm:ss"))
 
 
 # --- control: config, batch, audit (FP-05, JN-10/11, SL-02..04, AG-09/11..13)
@@ -516,10 +514,164 @@ def first_silver_delta(spark, sf_dir):
 def ordered_plan(spark, sf_dir):
     """SL-04: the place of each table in the run order, as a column."""
     m = fx.config_model(Tables.for_session(spark, sf_dir))
-    return row_index(m.tables, ["load_sequence", "hierarchy_number"], column="place").select(
+    return row_index(m.tables, control.processing_order(m.tables, "bronze"), column="place").select(
         "source_table_name", "load_sequence", "hierarchy_number", "place")
 
 
+@register("processing_orders")
+def processing_orders(spark, sf_dir):
+    """SL-04: the place of each table in the run order of every layer."""
+    t = fx.config_model(Tables.for_session(spark, sf_dir)).tables.withColumn("execution_order", -F.col("hierarchy_number"))
+    placed = [row_index(t, control.processing_order(t, layer), column="place").select(
+        F.lit(layer).alias("layer"), "source_table_name", "place") for layer in ("bronze", "silver", "gold")]
+    return loads.union_sources(placed)
+
+
+@register("emission_order")
+def emission_order(spark, sf_dir):
+    """SL-01, SL-05: places of each report key in the emission mart, read back from the files of its sink."""
+    from strata.sources.store import TableStore
+    store = TableStore(spark, _sink(spark, "emission"))
+    store.write("dm_emission", emission.emitted(_bookings(spark, sf_dir)))
+    placed = store.read_placed("dm_emission")
+    return placed.groupBy(F.date_format("RemitDate", "yyyy-MM-dd HH:mm:ss").alias("RemitDate"), "OrganizationId").agg(
+        F.min("place").alias("first_place"), F.max("place").alias("last_place"), F.count("*").alias("n_rows"))
+
+
+# --- the layer jobs: layouts that change, several databases, configuration, target synchronisation
+
+def _context(batch, run, upper):
+    from strata.layers.common import RunContext
+    return RunContext(batch_run_id=batch, run_type=run, upper_bound=upper, run_ts=upper)
+
+
+def _loaded(spark, sf_dir, label, loads_of):
+    """Bronze ``events`` after the given (config options, run type, upper bound, watermark) loads."""
+    from strata.layers.bronze import BronzeTable, load_bronze_table
+    from strata.sources.store import TableStore
+    store = TableStore(spark, _sink(spark, label))
+    ev = Tables.for_session(spark, sf_dir).events
+    for batch, (options, run, upper, last) in enumerate(loads_of):
+        cfg = BronzeTable("events", "raw_events", extract_key="ts", load_key="event_id", **options)
+        load_bronze_table(store, ev, cfg, _context(batch, run, upper), last)
+    return store.read("raw_events").drop("load_day", "load_bucket")
+
+
+@register("layout_whole_to_days")
+def layout_whole_to_days(spark, sf_dir):
+    """A table first written whole, then by load day, then a window of it again (IO-08)."""
+    days = {"load_type": "append", "partition_date_of": "ts"}
+    return _loaded(spark, sf_dir, "to-days", [
+        ({"load_type": "append"}, "FULL", "2024-01-15 00:00:00", None),
+        (days, "DELTA", RUN1_TS, "2024-01-14 00:00:00"), (days, "DELTA", RUN2_TS, "2024-01-19 00:00:00")])
+
+
+@register("layout_whole_to_buckets")
+def layout_whole_to_buckets(spark, sf_dir):
+    """A table first written whole, then in 4 buckets, then in 7, each with a delivery (IO-10)."""
+    return _loaded(spark, sf_dir, "to-buckets", [
+        ({"load_type": "incremental"}, "FULL", "2024-01-15 00:00:00", None),
+        ({"load_type": "incremental", "load_buckets": 4}, "DELTA", RUN1_TS, "2024-01-14 00:00:00"),
+        ({"load_type": "incremental", "load_buckets": 7}, "DELTA", RUN2_TS, "2024-01-18 00:00:00"),
+        ({"load_type": "incremental", "load_buckets": 7}, "DELTA", RUN2_TS, "2024-01-22 00:00:00")])
+
+
+@register("first_delta_append")
+def first_delta_append(spark, sf_dir):
+    """IO-09: the first DELTA append, without a watermark, replaces what a FULL run left."""
+    return _loaded(spark, sf_dir, "first-delta", [
+        ({"load_type": "append"}, "FULL", RUN2_TS, None), ({"load_type": "append"}, "DELTA", RUN1_TS, None)])
+
+
+def _databases_config():
+    return [{"source_table_name": "orders", "target_table_name": "raw_orders", "extract_key": "o_orderdate",
+             "load_key": "o_orderkey", "load_type": "incremental", "is_multi_db": 1, "source_db_id": db,
+             "source_db_code": f"DB{db}", "market_profile_id": profile, "status": status, "load_buckets": "8"}
+            for db, profile, status in ((1, 1, "F"), (2, 2, "O"), (3, 1, "P"))]
+
+
+def _config_run(spark, sf_dir, label):
+    """A FULL and a DELTA batch from config rows: three databases of ``orders`` in one write, and ``events`` by day."""
+    from strata.layers.runner import bronze_jobs, open_batch, run_tables
+    from strata.sources.store import TableStore
+    t = Tables.for_session(spark, sf_dir)
+    store = TableStore(spark, _sink(spark, label))
+    config = _databases_config() + [{
+        "source_table_name": "events", "target_table_name": "raw_events", "extract_key": "ts", "load_key": "event_id",
+        "load_type": "append", "hierarchy_number": 1, "partition_date_of": "ts"}]
+
+    def read_source(row):
+        return t.events if row["source_table_name"] == "events" else t.orders.filter(F.col("o_orderstatus") == row["status"])
+
+    for batch, (run, upper) in enumerate((("FULL", "1996-01-01 00:00:00"), ("DELTA", "2024-01-20 00:00:00"))):
+        ctx = _context(batch, run, upper)
+        open_batch(store, "batches", ctx)
+        run_tables(store, ctx, bronze_jobs(store, ctx, config, read_source), audit_name="audit", batch_name="batches",
+                   source="fixture")
+    return store
+
+
+@register("load_databases_one_write")
+def load_databases_one_write(spark, sf_dir):
+    """IO-04, SO-03, PJ-06: the target of three databases after two batches, one version each."""
+    store = _config_run(spark, sf_dir, "databases")
+    return store.read("raw_orders").drop("load_bucket", "insertion_date").withColumn(
+        "versions", F.lit(store.version("raw_orders") + 1))
+
+
+@register("config_audit")
+def config_audit(spark, sf_dir):
+    """PJ-06, PJ-07: one final audit row for each batch, table and database, with the rows fetched and written."""
+    from strata.layers.runner import audit_state
+    return audit_state(_config_run(spark, sf_dir, "audit"), "audit").select(
+        "batch_run_id", "destination_table_name", "db_code", "operation", "input_row", "output_row", "operation_result")
+
+
+@register("silver_target_sync")
+def silver_target_sync(spark, sf_dir):
+    """PJ-03, IO-15, IO-16: a FULL silver load whose config loses two columns and gains two, which are text."""
+    from strata.layers.silver import SilverTable, load_silver_table
+    from strata.sources.store import TableStore
+    store = TableStore(spark, _sink(spark, "sync"))
+    store.write("raw_events", Tables.for_session(spark, sf_dir).events)
+    for batch, columns in enumerate(("event_id, ts, event_type, value", "event_id, event_type, user_id, props")):
+        cfg = SilverTable("raw_events", "clean_events", columns, extract_key="ts", load_key="event_id")
+        load_silver_table(store, cfg, _context(batch, "FULL", RUN2_TS))
+    out = store.read("clean_events")
+    kinds = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in out.schema.fields)
+    return out.withColumns({"kinds": F.lit(kinds), "insertion_date": F.col("insertion_date").cast("string")})
+
+
+@register("join_enrichment")
+def join_enrichment(spark, sf_dir):
+    """JN-12: the columns of an enrichment config, filled from two lookups; unknown tables leave placeholders."""
+    t = Tables.for_session(spark, sf_dir)
+    config = {"joins": [
+        {"table": "nation", "on": [["c_nationkey", "n_nationkey"]],
+         "selected_columns": [{"column": "n_name", "alias": "nation_name"}, {"column": "n_regionkey"}]},
+        {"table": "region", "on": [["n_regionkey", "r_regionkey"]],
+         "selected_columns": [{"column": "r_name", "alias": "region_name"}]},
+        {"table": "missing", "on": [["c_custkey", "id"]], "selected_columns": [{"column": "x", "alias": "unknown"}]}]}
+    placed = clean.add_placeholders(t.customer, config)
+    return clean.join_enrichment(placed, config, {"nation": t.nation.filter("n_nationkey <> 7"), "region": t.region})
+
+
+@register("window_bounds")
+def window_bounds(spark, sf_dir):
+    """FP-16: windows of many bounds; a lower bound after the upper one is refused and loads nothing."""
+    ev = Tables.for_session(spark, sf_dir).events
+    frames = []
+    for low, high in (("2024-01-05 00:00:00", "2024-01-10 00:00:00"), ("2024-01-10 00:00:00", "2024-01-05 00:00:00"),
+                      ("2024-01-12 00:00:00", "2024-01-12 00:00:00"), (None, "2024-01-03 00:00:00")):
+        try:
+            windows.check_bounds(low, high)
+        except ValueError:
+            continue
+        frames.append(ev.filter(windows.incremental_window("ts", low, high) if low else windows.upper_bound_window("ts", high))
+                      .withColumn("upper_bound", F.lit(high)))
+    return loads.union_sources(frames)
+
+
 # --- loads and rules that had no query: IO-02, IO-07, FP-03, F-03, JN-12, PJ-01..PJ-05
 
 @register("silver_full_scan")

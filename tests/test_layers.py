@@ -230,3 +230,45 @@ def test_partitioned_silver_and_gold_windows(spark, scratch):
     clean = store.read("clean_ev")
     assert clean.count() == ev.count() == clean.select("event_id").distinct().count()
     assert store.read("dm_ev").count() == ev.count()
+
+
+def test_a_broken_database_fails_alone(spark, scratch):
+    from strata.layers.runner import audit_state, bronze_jobs
+
+    store = TableStore(spark, scratch)
+    orders = Tables(spark, SF_SMALL).orders.select("o_orderkey", "o_orderstatus", "o_orderdate")
+    config = [{"source_table_name": "orders", "target_table_name": "raw_orders", "extract_key": "o_orderdate",
+               "load_key": "o_orderkey", "load_type": "append", "is_multi_db": 1, "source_db_id": db,
+               "source_db_code": f"DB{db}", "status": status} for db, status in [(1, "F"), (2, "O"), (3, "P")]]
+
+    def read_source(row):
+        if row["status"] == "O":
+            raise RuntimeError("cannot connect")
+        bad = F.when(F.lit(row["status"] == "P"), F.raise_error(F.lit("broken while read"))).otherwise(F.col("o_orderkey"))
+        return orders.filter(F.col("o_orderstatus") == row["status"]).withColumn("o_orderkey", bad)
+
+    ctx = RunContext(batch_run_id=1, run_type="FULL", upper_bound="2030-01-01 00:00:00")
+    s = run_tables(store, ctx, bronze_jobs(store, ctx, config, read_source), audit_name="audit", batch_name="b").first()
+    assert (s["tables_successful"], s["tables_failed"]) == (1, 2)
+    state = {r["db_code"]: (r["operation_result"], r["output_row"]) for r in audit_state(store, "audit").collect()}
+    n = orders.filter("o_orderstatus = 'F'").count()
+    assert state["DB1"] == ("Success", n) and {state["DB2"][0], state["DB3"][0]} == {"Failed"}
+    assert store.read("raw_orders").count() == n
+
+
+def test_config_rows_name_a_layout(spark, scratch):
+    from strata.layers.runner import bronze_jobs, gold_jobs, silver_jobs
+
+    store = TableStore(spark, scratch)
+    ev = Tables(spark, SF_SMALL).events
+    ctx = RunContext(batch_run_id=1, run_type="FULL", upper_bound="2030-01-01 00:00:00")
+    jobs = bronze_jobs(store, ctx, [{"source_table_name": "events", "target_table_name": "raw", "extract_key": "ts",
+                                     "load_key": "event_id", "load_type": "append", "partition_date_of": "ts"}], lambda r: ev)
+    jobs += silver_jobs(store, ctx, [{"raw_table_name": "raw", "clean_table_name": "clean", "column_name": "event_id, ts",
+                                      "load_key": "event_id", "load_type": "incremental", "load_buckets": 4}])
+    jobs += gold_jobs(store, ctx, [{"target_table_name": "dm", "ingestion_strategy": "MERGE", "load_key": "event_id",
+                                    "data_load_sql_template": "SELECT event_id FROM clean", "load_buckets": "2"}],
+                      lambda: {"clean": store.read("clean")})
+    for job in jobs:
+        job.loader(None)
+    assert [store.snapshot(t).layout for t in ("raw", "clean", "dm")] == ["load_day", "load_bucket/4", "load_bucket/2"]

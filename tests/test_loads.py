@@ -254,3 +254,56 @@ def test_composite_fare_service_join(spark):
                                     "cus_base_fare_id long, service_type_id int, record_type int")
     out = join_fare_service(fare, service).select("fare_id", "service_type_id", "record_type")
     assert rows(out) == [(1, 13, 1), (2, 13, 2)]       # both key parts must match
+
+
+def test_an_update_in_another_layout_is_refused(spark, scratch):
+    import os
+
+    import pytest
+
+    from strata.sources.store import BUCKET_COLUMN, PartitionedTable, TableStore, bucketed
+    df = spark.range(20).withColumnRenamed("id", "k")
+    TableStore(spark, scratch).write("t", df)
+    four, seven = (PartitionedTable(spark, os.path.join(scratch, "t"), BUCKET_COLUMN, n) for n in (4, 7))
+    with pytest.raises(ValueError, match="laid out by whole"):
+        four.upsert(bucketed(df, ["k"], 4), ["k"])
+    four.replace_all(bucketed(df, ["k"], 4))
+    with pytest.raises(ValueError, match="load_bucket/4"):
+        seven.upsert(bucketed(df, ["k"], 7), ["k"])
+    four.upsert(bucketed(df.filter("k < 3"), ["k"], 4), ["k"])
+    assert sorted(r["k"] for r in four.read().collect()) == list(range(20))
+
+
+def test_a_read_opens_the_folders_in_force_only(spark, scratch):
+    import os
+
+    from strata.sources.store import BUCKET_COLUMN, PartitionedTable, bucketed
+    table = PartitionedTable(spark, os.path.join(scratch, "t"), BUCKET_COLUMN, 4)
+    df = spark.range(40).withColumnRenamed("id", "k")
+    for i in range(6):
+        table.upsert(bucketed(df.withColumn("v", F.lit(i)), ["k"], 4), ["k"])
+    files = table.read().inputFiles()
+    assert {f.split("/v=")[1][:6] for f in files} == {"000005"} and table.read().count() == 40
+    # a column that only later rows have, and one that they lack
+    table.upsert(bucketed(df.filter("k = 1").withColumn("w", F.lit("new")), ["k"], 4), ["k"])
+    got = {r["k"]: (r["v"], r["w"]) for r in table.read().collect()}
+    assert got[1] == (None, "new") and got[2] == (5, None) and len(got) == 40
+
+
+def test_rows_appended_while_compacting_stay(spark, scratch):
+    from strata.sources.store import TableStore
+    store = TableStore(spark, scratch)
+    store.append_rows("audit", spark.range(0, 10).coalesce(1))
+    late = f"{scratch}/audit/g=000000"
+    store.compact_rows("audit", files=1)
+    spark.range(10, 15).write.mode("append").parquet(late)   # a writer that had looked up the old generation
+    store.append_rows("audit", spark.range(15, 20))
+    assert sorted(r[0] for r in store.read_rows("audit").collect()) == list(range(20))
+
+
+def test_place_of_rows_survives_the_sink(spark, scratch):
+    from strata.sources.store import TableStore
+    store = TableStore(spark, scratch)
+    store.write("t", spark.range(1000).select((F.col("id") * 37 % 1000).alias("k")).repartition(6).orderBy(F.desc("k")))
+    placed = store.read_placed("t").collect()
+    assert sorted((r["place"], r["k"]) for r in placed) == [(i + 1, 999 - i) for i in range(1000)]

@@ -35,7 +35,7 @@ def test_window_filter_reaches_the_scan(spark):
 
 
 def test_projection_pruned(spark):
-    p = plan(QUERIES["load_multi_db"](spark, SF_SMALL))
+    p = plan(QUERIES["load_multi_db"](spark, SF_SMALL).select("o_orderkey", "source_db_id", "o_totalprice"))
     schema = p.split("ReadSchema: ")[1].split("\n")[0]
     assert "o_custkey" not in schema and "o_orderpriority" not in schema
 
