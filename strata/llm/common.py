@@ -6,9 +6,11 @@ import gc
 import tempfile
 import time
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +79,19 @@ def is_word_line(line: Column) -> Column:
     return line.rlike(WORD_RULE)
 
 
+def slices(batch: pa.RecordBatch, columns: list[int], limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``limit`` bytes of these text columns each, one row at least."""
+    sizes = np.zeros(batch.num_rows, np.int64)
+    for c in columns:
+        sizes += pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False)
+    reach, start = np.cumsum(sizes), 0
+    while start < batch.num_rows:
+        base = reach[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(reach, base + limit, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def bytes_of(column: pa.Array) -> list[bytes]:
     """The texts of an Arrow string column as UTF-8 bytes, null as empty."""
     return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]

@@ -19,7 +19,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         both = both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v")))
     # In a small step the larger end of each edge is its centre.
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    # Written first: a join of two plain shuffles is one whose hot centres Spark can split.
+    least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "component-least")
     tied = both.join(least, "u")
     if large:
         out = tied.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))

@@ -104,3 +104,60 @@ def test_components_of_long_chains(spark):
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {**{i: 0 for i in range(301)}, **{i: 1000 for i in range(1000, 1200)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_group_around_a_missing_centre(spark):
+    """Copies of a text that is not there itself: many pivots, few of which link with each other's followers."""
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(220):
+        words = list(base)
+        for _ in range(rng.randrange(1, 9)):
+            words[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words[:rng.choice([120, 120, 120, 100, 90])])))
+    assert run(spark, rows) == brute(rows)
+
+
+def test_repeated_rows_are_compared_once(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(100)]
+    near = []
+    for i in range(6):
+        words = list(base)
+        for _ in range(i):
+            words[rng.randrange(100)] = f"x{rng.randrange(10**6)}"
+        near.append((i, " ".join(words)))
+    seen = {}
+
+    def counted(df, label, keep=nj.written):
+        out = keep(df, label)
+        seen[label] = max(seen.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(nj, "written", counted)
+    sizes = []
+    for times in (1, 40):
+        seen.clear()
+        assert run(spark, near * times) == sorted(brute(near) * times)
+        sizes.append({k: v for k, v in seen.items() if k != "join-sets"})
+    assert sizes[0] == sizes[1]
+
+
+def test_one_row_of_repeats_stays(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, "a")] * 5 + [(2, text, "b")] * 3 + [(None, text, "c")] * 4 + [(None, None, "d"), (3, "", "e"), (3, "", "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row string")
+    got = sorted(map(tuple, nj.keep_one(df).collect()), key=str)
+    assert got == sorted([(1, text, "a"), (None, text, "c"), (None, None, "d"), (3, "", "e")], key=str)
+
+
+def test_two_texts_under_one_id_link_by_either(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(200)]
+    other = list(words)
+    other[5] = "x"
+    rows = [(1, " ".join(words)), (1, "a b c d e"), (2, " ".join(other)), (3, "a b c d e"), (4, "z " * 9)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in nj.join(df).collect()} == {1: 1, 2: 1, 3: 1, 4: 4}
