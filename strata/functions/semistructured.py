@@ -19,6 +19,7 @@ XML_ENTITY_FIXES = (("&Lt;", "&lt;"), ("&Gt;", "&gt;"))
 XML_BARE_AMPERSAND = r"&(?!amp;|lt;|gt;|apos;|quot;)"
 
 
+_SPACES = " \t\r\n"
 _PROLOG = r"^\s*(?:<\?xml[^>]*\?>\s*)?(?:<!--(?:(?!-->).)*-->\s*)*"
 
 
@@ -27,7 +28,7 @@ def _single_root(c: Column) -> Column:
     closing the element it opened, or is that element self-closed.
     (``from_xml`` reads the first element and ignores what follows.)"""
     root = F.regexp_extract(c, _PROLOG + r"<([A-Za-z_][\w.:-]*)", 1)
-    closes = F.endswith(F.rtrim(c), F.concat(F.lit("</"), root, F.lit(">")))
+    closes = F.endswith(F.rtrim(c, F.lit(_SPACES)), F.concat(F.lit("</"), root, F.lit(">")))
     self_closed = c.rlike(_PROLOG + r"<[A-Za-z_][\w.:-]*(?:\s[^<>]*)?/>\s*$")
     return (root != "") & (closes | self_closed)
 
@@ -37,7 +38,7 @@ def is_wellformed_xml(c: Column) -> Column:
     parsed = F.from_xml(c, f"{_CORRUPT} string",
                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     return F.when(c.isNull(), F.lit(None)).otherwise(
-        F.trim(c).startswith("<") & parsed.getField(_CORRUPT).isNull() & _single_root(c))
+        F.ltrim(c, F.lit(_SPACES)).startswith("<") & parsed.getField(_CORRUPT).isNull() & _single_root(c))
 
 
 def repair_xml(c: Column) -> Column:
@@ -98,17 +99,18 @@ def parse_keys(column: str, keys) -> list[tuple[str, str]]:
     return out
 
 
-def flatten_cell(c: Column, path: str, wellformed: Column | None = None) -> Column:
+def flatten_cell(c: Column, path: str, wellformed: Column | None = None, tree: Column | None = None) -> Column:
     """One key of a JSON or XML cell, chosen per row by the first character.
 
     XML keys are evaluated anywhere below the root (``//key``) as in the
-    reference: one ``xpath`` per key, after one shared well-formedness parse.
+    reference.  With ``tree`` (see ``xml_tree``) they are read from it; only
+    cells that have no tree are parsed again, by ``xpath``.
     """
-    head = F.ltrim(c)
-    is_json = head.startswith("{") | head.startswith("[")
     ok = is_wellformed_xml(c) if wellformed is None else wellformed
-    return (F.when(is_json, F.get_json_object(c, json_path(path)))
-            .when(ok, F.get(F.xpath(c, F.lit(xml_key_path(path))), 0)))
+    value = F.get(F.xpath(c, F.lit(xml_key_path(path))), 0)
+    if tree is not None:
+        value = F.when(tree.isNull(), value).otherwise(tree_value(tree, path))
+    return F.when(looks_like_json(c), F.get_json_object(c, json_path(path))).when(ok, value)
 
 
 def flatten(df: DataFrame, config: dict) -> DataFrame:
@@ -119,15 +121,17 @@ def flatten(df: DataFrame, config: dict) -> DataFrame:
             continue
         if cfg.get("extract_all"):
             kind = cfg.get("format", "").lower()
-            df = extract_all(df, column, json=kind != "xml", xml=kind != "json")
+            df = extract_all(df, column, json=kind != "xml", xml=kind != "json",
+                             limit=int(cfg.get("max_columns", MAX_NAMES)))
             continue
         keys = parse_keys(column, cfg.get("keys_to_extract"))
         if not keys:
             continue
-        ok_col = f"__{column}_xml_ok"
+        ok_col, tree_col = f"__{column}_xml_ok", f"__{column}_xml_tree"
         df = df.withColumn(ok_col, is_wellformed_xml(F.col(column)))
-        df = df.withColumns({alias: flatten_cell(F.col(column), path, F.col(ok_col))
-                             for path, alias in keys}).drop(ok_col)
+        df = df.withColumn(tree_col, F.when(F.col(ok_col), xml_tree(F.col(column))))
+        df = df.withColumns({alias: flatten_cell(F.col(column), path, F.col(ok_col), F.col(tree_col))
+                             for path, alias in keys}).drop(ok_col, tree_col)
     return df
 
 
@@ -137,43 +141,51 @@ def looks_like_json(c: Column) -> Column:
     return head.startswith("{") | head.startswith("[")
 
 
-def extract_all(df: DataFrame, column: str, json: bool = True, xml: bool = True) -> DataFrame:
+#: Columns that ``extract_all`` makes of one column at most.
+MAX_NAMES = 2000
+
+
+def extract_all(df: DataFrame, column: str, json: bool = True, xml: bool = True, limit: int = MAX_NAMES) -> DataFrame:
     """One column per name found in a column (F-15b), chosen cell by cell: the
     top-level keys of JSON cells, elements and attributes of XML cells.
 
-    JSON cells are parsed once, into a map, so a key may hold any character.
-    ``json`` or ``xml`` may be switched off where a column's kind is known: that
-    saves its pass over the names.
+    Every cell is parsed once, JSON into a map, so a key may hold any character,
+    and XML into a tree.  The names are one aggregate over the parsed cells.
+    More than ``limit`` of them raise an error: ids used as keys are no columns.
+    A name that the frame already has raises one too.  ``json`` or ``xml`` may be
+    switched off where a column's kind is known.
     """
-    c, parsed = F.col(column), f"__{column}_json"
-    found: dict[str, Column] = {}
+    c, have = F.col(column), set(df.columns)
+    parsed, ok, tree = f"__{column}_json", f"__{column}_xml_ok", f"__{column}_xml_tree"
+    names = []
     if json:
-        cell = F.when(looks_like_json(c), c)
-        keys = json_top_level_keys(df.select(cell.alias(column)), column)
-        if keys:
-            df = df.withColumn(parsed, F.from_json(cell, "map<string,string>"))
-            found = {k: F.try_element_at(F.col(parsed), F.lit(k)) for k in keys}
+        df = df.withColumn(parsed, F.from_json(F.when(looks_like_json(c), c), "map<string,string>"))
+        names.append(F.transform(F.map_keys(F.col(parsed)), lambda k: F.concat(F.lit("j"), k)))
     if xml:
         cell = F.when(~looks_like_json(c), c)
-        names, pairs = xml_vocabulary(df.select(cell.alias(column)), column)
-        if names or pairs:
-            ok = f"__{column}_xml_ok"
-            df = df.withColumn(ok, is_wellformed_xml(cell))
-            for name, value in xml_values(c, F.col(ok), names, pairs).items():
-                found[name] = F.coalesce(found[name], value) if name in found else value
-    return df.withColumns(found).drop(parsed, f"__{column}_xml_ok") if found else df
-
-
-def json_top_level_keys(df: DataFrame, column: str) -> list[str]:
-    """Distinct top-level keys of a JSON column (the schema pass of F-15b).
-
-    The distinct runs on the executors; the key names, which become the columns
-    of the result, reach the driver.
-    """
-    c = F.col(column)
-    keys = (df.select(F.explode(F.json_object_keys(c)).alias("k"))
-            .filter(F.col("k").isNotNull()).distinct().orderBy("k"))
-    return [r["k"] for r in keys.collect()]
+        df = df.withColumn(ok, is_wellformed_xml(cell))
+        df = df.withColumn(tree, F.when(F.col(ok), xml_tree(cell)))
+        names.append(F.when(F.col(ok), F.coalesce(tree_names(F.col(tree)), xpath_names(c))))
+    empty = F.array().cast("array<string>")
+    each = F.concat(*[F.coalesce(n, empty) for n in names]) if names else empty
+    # Distinct names, partial on every task; one more than the limit is enough to know.
+    rows = df.select(F.explode(F.array_distinct(each)).alias("n")).distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"column {column} holds more than {limit} names; ids used as keys are no columns")
+    found: dict[str, Column] = {}
+    for name in sorted(r["n"] for r in rows):
+        kind, key = name[0], name[1:]
+        if kind == "j":
+            value = F.try_element_at(F.col(parsed), F.lit(key))
+        else:
+            value = F.when(F.col(ok), F.when(F.col(tree).isNull(), xpath_last(c, kind, key))
+                           .otherwise(tree_last(F.col(tree), kind, key)))
+        out = key if kind != "a" else key.replace("/", "_attr_")
+        found[out] = F.coalesce(found[out], value) if out in found else value
+    taken = sorted(set(found) & have)
+    if taken:
+        raise ValueError(f"column {column} holds names that the table already has: {taken}")
+    return df.withColumns(found).drop(parsed, ok, tree) if found else df.drop(parsed, ok, tree)
 
 
 def json_cell(c: Column, dtype) -> Column:
@@ -281,40 +293,120 @@ class XmlDoc:
         return F.coalesce(self.value(path).isNotNull(), F.lit(False))
 
 
+# --- the tree of an XML cell: its tags and texts, read once, in document order
+
+#: A tag, whose attribute values may hold any character, or a run of text.
+_TOKEN = r"""<[^<>"']*+(?:(?:"[^"]*"|'[^']*')[^<>"']*+)*+>|[^<]+"""
+_ATTRIBUTE = r"""\s[^\s=<>"']+\s*=\s*(?:"[^"]*"|'[^']*')"""
+#: Comments, CDATA, instructions, numbered characters, qualified names: cells that XPath reads instead.
+_UNUSUAL = r"""<[!?]|&#|</?[^\s<>/="']*:|\s[^\s<>/="']*:[^\s<>/="']*\s*="""
+_ENTRY = "struct<path:string,text:string,lead:boolean,attrs:array<struct<name:string,value:string>>>"
+
+
+def _decoded(t: Column) -> Column:
+    """Text with its five entities put back."""
+    out = t
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        out = F.replace(out, F.lit(entity), F.lit(char))
+    return F.when(t.contains("&"), out).otherwise(t)
+
+
+def xml_tree(c: Column) -> Column:
+    """Elements and texts of a well-formed cell in document order (``_ENTRY``).
+
+    An element is its path and attributes; a text its element's path, the text,
+    and whether it leads: nothing but the start tag stands before it.  NULL for
+    cells of unusual markup.
+    """
+    body = F.regexp_replace(F.regexp_replace(c, r"^\s*<\?xml[^>]*\?>", ""), "\r\n?", "\n")
+
+    def attribute(a: Column) -> Column:
+        quoted = F.trim(F.regexp_extract(a, "(?s)=(.*)$", 1))
+        value = F.translate(F.substring(quoted, F.lit(2), F.length(quoted) - 2), "\n\t", "  ")
+        return F.struct(F.regexp_extract(a, r"^\s([^\s=]+)", 1).alias("name"), _decoded(value).alias("value"))
+
+    def step(state: Column, t: Column) -> Column:
+        start, end = t.startswith("<"), t.startswith("</")
+        closed = t.endswith("/>")
+        child = F.concat(state["path"], F.lit("/"), F.regexp_extract(t, r"^<([^\s/>]+)", 1))
+        attrs = F.transform(F.regexp_extract_all(t, F.lit(_ATTRIBUTE), F.lit(0)), attribute)
+        none = F.lit(None).cast("string")
+        element = F.struct(child.alias("path"), none.alias("text"), F.lit(False).alias("lead"), attrs.alias("attrs"))
+        text = F.struct(state["path"].alias("path"), _decoded(t).alias("text"), state["lead"].alias("lead"),
+                        F.lit(None).cast("array<struct<name:string,value:string>>").alias("attrs"))
+        path = (F.when(end, F.regexp_replace(state["path"], "/[^/]*$", ""))
+                .when(start & ~closed, child).otherwise(state["path"]))
+        out = F.when(end, state["out"]).otherwise(
+            F.concat(state["out"], F.array(F.when(start, element).otherwise(text))))
+        return F.struct(path.alias("path"), (start & ~end & ~closed).alias("lead"),
+                        out.cast(f"array<{_ENTRY}>").alias("out"))
+
+    tokens = F.regexp_extract_all(body, F.lit(_TOKEN), F.lit(0))
+    zero = F.struct(F.lit("").alias("path"), F.lit(False).alias("lead"),
+                    F.array().cast(f"array<{_ENTRY}>").alias("out"))
+    # Text outside the root is white space, and no text of any element.
+    entries = F.filter(F.aggregate(tokens, zero, step)["out"], lambda e: e["path"] != "")
+    return F.when(~body.rlike(_UNUSUAL), entries)
+
+
+def _ends(path: Column, key: str) -> Column:
+    return path.endswith("/" + key)
+
+
+def tree_value(tree: Column, key: str) -> Column:
+    """``//key/text()``, or for ``p/@a`` attribute a of the first ``//p``: the first in document order."""
+    if "/@" in key:
+        node, attr = key.rsplit("/@", 1)
+        first = F.get(F.filter(tree, lambda e: e["text"].isNull() & _ends(e["path"], node)), 0)
+        return F.get(F.filter(first["attrs"], lambda a: a["name"] == attr), 0)["value"]
+    return F.get(F.filter(tree, lambda e: e["text"].isNotNull() & _ends(e["path"], key)), 0)["text"]
+
+
+def _local(path: Column) -> Column:
+    return F.substring_index(path, "/", -1)
+
+
+def tree_names(tree: Column) -> Column:
+    """``e`` + name of elements with a leading text that is not blank, ``a`` + element/attribute of attributes."""
+    texts = F.filter(tree, lambda e: e["lead"] & (F.trim(e["text"]) != ""))
+    pairs = F.flatten(F.transform(F.filter(tree, lambda e: e["attrs"].isNotNull()), lambda e: F.transform(
+        e["attrs"], lambda a: F.concat(F.lit("a"), _local(e["path"]), F.lit("/"), a["name"]))))
+    return F.concat(F.transform(texts, lambda e: F.concat(F.lit("e"), _local(e["path"]))), pairs)
+
+
+def tree_last(tree: Column, kind: str, key: str) -> Column:
+    """The last leading text of an element name, stripped; or the last value of ``element/attribute``."""
+    if kind == "e":
+        held = F.filter(tree, lambda e: e["lead"] & _ends(e["path"], key) & (F.trim(e["text"]) != ""))
+        return F.trim(F.try_element_at(held, F.lit(-1))["text"])
+    node, attr = key.rsplit("/", 1)
+    held = F.filter(tree, lambda e: _ends(e["path"], node) & F.exists(e["attrs"], lambda a: a["name"] == attr))
+    last = F.try_element_at(held, F.lit(-1))
+    return F.get(F.filter(last["attrs"], lambda a: a["name"] == attr), 0)["value"]
+
+
 _NAME = r"[A-Za-z_][\w.\-]*"
 
 
-def xml_vocabulary(df: DataFrame, column: str) -> tuple[list[str], list[tuple[str, str]]]:
-    """Local names of elements with non-blank text, and (element, attribute)
-    pairs, present in a column
-    (the schema pass of F-15b for XML).  The distinct runs on the executors;
-    only the vocabulary reaches the driver."""
-    c = F.col(column)
-    # elements whose own text (before the next tag) is non-blank somewhere
-    tags = F.regexp_extract_all(c, F.lit(rf"<(?:{_NAME}:)?({_NAME})(?:\s[^>]*)?(?<!/)>[^<]*[^<\s]"), 1)
-    names = (df.select(F.explode(tags).alias("t")).distinct().orderBy("t"))
-    tag_attr = F.regexp_extract_all(
-        c, F.lit(rf"<(?:{_NAME}:)?({_NAME}(?:\s+{_NAME}\s*=\s*(?:\"[^\"]*\"|'[^']*'))+)"), 1)
-    pairs = (df.select(F.explode(tag_attr).alias("s"))
-             .select(F.regexp_extract("s", rf"^({_NAME})", 1).alias("t"),
-                     F.explode(F.regexp_extract_all("s", F.lit(rf"\s({_NAME})\s*="), 1)).alias("a"))
-             .distinct().orderBy("t", "a"))
-    return [r["t"] for r in names.collect()], [(r["t"], r["a"]) for r in pairs.collect()]
-
-
-def xml_values(c: Column, ok: Column, names: list[str], pairs: list[tuple[str, str]]) -> dict[str, Column]:
-    """One value per element local name, its last non-blank text (stripped), and
-    ``<tag>_attr_<name>`` per attribute (last occurrence wins)."""
-    exprs = {}
-    for t in names:
+def xpath_names(c: Column) -> Column:
+    """Names as ``tree_names`` gives them, for cells without a tree: by pattern, with local names."""
+    tags = F.regexp_extract_all(c, F.lit(rf"<(?:{_NAME}:)?({_NAME})(?:\s[^>]*)?(?<!/)>[^<]*[^<\s]"), F.lit(1))
+    with_attrs = F.regexp_extract_all(
+        c, F.lit(rf"<(?:{_NAME}:)?({_NAME}(?:\s+{_NAME}\s*=\s*(?:\"[^\"]*\"|'[^']*'))+)"), F.lit(1))
+    pairs = F.flatten(F.transform(with_attrs, lambda s: F.transform(
+        F.regexp_extract_all(s, F.lit(rf"\s({_NAME})\s*="), F.lit(1)),
+        lambda a: F.concat(F.lit("a"), F.regexp_extract(s, rf"^({_NAME})", 1), F.lit("/"), a))))
+    return F.concat(F.transform(tags, lambda t: F.concat(F.lit("e"), t)), pairs)
+
+
+def xpath_last(c: Column, kind: str, key: str) -> Column:
+    """``tree_last`` for cells without a tree."""
+    if kind == "e":
         # the element's leading text (before its first child), lxml's ``.text``
-        texts = F.xpath(c, F.lit(f"//*[local-name()='{t}']/text()[not(preceding-sibling::*)]"))
-        last = F.try_element_at(F.filter(texts, lambda x: F.trim(x) != ""), F.lit(-1))
-        exprs[t] = F.when(ok, F.trim(last))
-    for t, a in pairs:
-        vals = F.xpath(c, F.lit(f"//*[local-name()='{t}']/@{a}"))
-        exprs[f"{t}_attr_{a}"] = F.when(ok, F.try_element_at(vals, F.lit(-1)))
-    return exprs
+        texts = F.xpath(c, F.lit(f"//*[local-name()='{key}']/text()[not(preceding-sibling::*)]"))
+        return F.trim(F.try_element_at(F.filter(texts, lambda x: F.trim(x) != ""), F.lit(-1)))
+    node, attr = key.rsplit("/", 1)
+    return F.try_element_at(F.xpath(c, F.lit(f"//*[local-name()='{node}']/@{attr}")), F.lit(-1))
 
 
 def xml_extract_all(df: DataFrame, column: str) -> DataFrame:

@@ -210,3 +210,43 @@ def test_extract_all_by_cell_with_any_key(spark):
     assert got[1]["a.b"] == "1" and got[1]["c/d"] == '{"x":[1]}' and got[1]["it's"] is None and got[1]["n"] == "t"
     assert got[2]["n"] == "v" and got[2]["n_attr_at"] == "q" and got[2]["a.b"] is None
     assert all(got[i]["n"] is None for i in (3, 4, 5))
+
+
+CELLS = [
+    '<r a="1" b=\'x>"y\'><s>one &amp; two</s><s> </s><t z=""/>tail<u><s c="&lt;">three</s>more</u></r>',
+    "<?xml version='1.0'?>\n<r>lead<s/>after\r\n<v>x</v></r>\n", "<r><u><s>deep</s></u><s q='2'>flat</s></r>",
+    "<r><!-- c --><s>comment</s></r>", "<r><s><![CDATA[<raw>]]></s></r>", "<r><s>&#65;</s></r>",
+    "<n:r xmlns:n='u'><n:s n:q='1'>ns</n:s></n:r>", "<r><s>broken</r>", "plain", "", None, "<r/>",
+    "<r><s\ta = '1'\n b=\"a\nb\">  padded  </s></r>"]
+
+
+@pytest.mark.parametrize("key", ["s", "u/s", "r/s", "s/@c", "s/@q", "r/@b", "t/@z", "v", "r", "s/@b", "none"])
+def test_tree_reads_what_xpath_reads(spark, key):
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(CELLS)], "i int, x string")
+    ok = semistructured.is_wellformed_xml(F.col("x"))
+    tree = F.when(ok, semistructured.xml_tree(F.col("x")))
+    rows = df.select("i", semistructured.flatten_cell(F.col("x"), key).alias("by_xpath"),
+                     semistructured.flatten_cell(F.col("x"), key, ok, tree).alias("by_tree")).collect()
+    assert [r["by_tree"] for r in rows] == [r["by_xpath"] for r in rows]
+
+
+def test_unusual_cells_have_no_tree(spark):
+    df = spark.createDataFrame([(x,) for x in CELLS[:7]], "x string")
+    got = [r[0] for r in df.select(semistructured.xml_tree(F.col("x")).isNull()).collect()]
+    assert got == [False, False, False, True, True, True, True]
+
+
+def test_extract_all_over_mixed_cells(spark):
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(CELLS)], "i int, x string")
+    got = {r["i"]: r.asDict() for r in semistructured.extract_all(df, "x").collect()}
+    assert got[0]["s"] == "three" and got[0]["s_attr_c"] == "<" and got[0]["r_attr_b"] == 'x>"y' and got[0]["t_attr_z"] == ""
+    assert got[1]["r"] == "lead" and got[2]["s"] == "flat" and got[5]["s"] == "A" and got[6]["s"] == "ns"
+    assert got[12]["s"] == "padded" and got[12]["s_attr_b"] == "a b" and got[7]["s"] is None
+
+
+def test_extract_all_refuses_ids_as_keys_and_taken_names(spark):
+    ids = spark.createDataFrame([(f'{{"id{i}": 1}}',) for i in range(30)], "x string")
+    with pytest.raises(ValueError, match="more than 20 names"):
+        semistructured.flatten(ids, {"x": {"extract_all": True, "max_columns": 20}})
+    with pytest.raises(ValueError, match="already has"):
+        semistructured.extract_all(spark.createDataFrame([('{"a": 1}', 2)], "x string, a int"), "x")
