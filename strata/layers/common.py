@@ -73,32 +73,20 @@ class CountedBy:
 class Counted:
     """Row counts taken while the write runs (AG-12): no second action.
 
-    When adaptive execution replaces an observed branch that turned out empty,
-    its metrics never arrive; only then the count is taken by a separate job.
+    A branch that adaptive execution found empty and left out reports nothing: no rows.
     """
 
     def __init__(self):
         self.obs_in, self.obs_out = Observation(), Observation()
-        self._in: DataFrame | None = None
-        self._out: DataFrame | None = None
 
     def source(self, df: DataFrame) -> DataFrame:
-        self._in = df
         return df.observe(self.obs_in, F.count(F.lit(1)).alias("n"))
 
     def sink(self, df: DataFrame) -> DataFrame:
-        self._out = df
         return df.observe(self.obs_out, F.count(F.lit(1)).alias("n"))
 
-    @staticmethod
-    def _get(obs: Observation, df: DataFrame | None) -> int:
-        try:
-            return int(obs.get.get("n", 0))
-        except Exception:  # noqa: BLE001 -- metrics dropped with a pruned empty branch
-            return 0 if df is None else df.count()
-
     def result(self) -> tuple[int, int]:
-        return self._get(self.obs_in, self._in), self._get(self.obs_out, self._out)
+        return int(self.obs_in.get.get("n", 0)), int(self.obs_out.get.get("n", 0))
 
 
 def status_of(fetched: int, processed: int) -> str:

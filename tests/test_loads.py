@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strata.operators import loads, windows
+from strata.operators import clean, loads, windows
 from strata.operators.joins import left_join_any_key
 from strata.operators.rowindex import row_index
 from strata.sources.tables import Tables
@@ -307,3 +307,16 @@ def test_place_of_rows_survives_the_sink(spark, scratch):
     store.write("t", spark.range(1000).select((F.col("id") * 37 % 1000).alias("k")).repartition(6).orderBy(F.desc("k")))
     placed = store.read_placed("t").collect()
     assert sorted((r["place"], r["k"]) for r in placed) == [(i + 1, 999 - i) for i in range(1000)]
+
+
+def test_only_repeated_rows_are_compared(spark):
+    data = [(i, None if i % 3 else "a", float(i % 5)) for i in range(50)]
+    df = spark.createDataFrame(data, "k int, s string, v double")
+    out = clean.remove_duplicates(df)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString() and rows(out) == rows(df)
+    # a hot row, rows that differ in which column is NULL, signed zeros and NaN
+    odd = [(None, "x", 0.0), (None, "x", -0.0), (1, None, float("nan")), (1, None, float("nan")), (None, None, None)]
+    twice = spark.createDataFrame(data + data[:7] * 30 + odd + [(1, "x", None), (None, "x", 1.0)], df.schema)
+    got, expected = (sorted(f"{r['k']} {r['s']} {None if r['v'] is None else r['v'] + 0.0}" for r in d.collect())
+                     for d in (clean.remove_duplicates(twice), twice.dropDuplicates()))
+    assert got == expected
