@@ -28,9 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import bytes_of, mixed, word_hashes
+from strata.llm.common import bytes_of, mixed, word_hashes, written
 
 SAMPLE = 2000
+#: Text bytes that training reads at most; both bounds are parameters of the sample.
+SAMPLE_BYTES = 64 << 20
 BUCKETS = 1 << 18
 DIMENSIONS = 16
 EPOCHS = 6
@@ -145,14 +147,34 @@ def train(texts: list[bytes], labels: list[int], buckets: int = BUCKETS, dimensi
     return Model(table, output, bias)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[list[bytes], list[int]]:
-    """At most ``size`` labelled documents to learn from, in hash order of their ids."""
-    ids = (labels.filter(F.col("quality").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
+def constant(labels: list[int]) -> Model:
+    """What labels of one class, or none, tell: their share, drawn towards a half, for every document."""
+    share = (sum(labels) + 1) / (len(labels) + 2)
+    return Model(np.zeros((1, 1), np.float32), np.zeros((1, 2), np.float32),
+                 np.array([0, np.log(share / (1 - share))], np.float32))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE,
+                    size_bytes: int = SAMPLE_BYTES) -> tuple[list[bytes], list[int]]:
+    """Labelled documents to learn from, in hash order of their ids: at most ``size``, and ``size_bytes`` of text.
+
+    One text for each id, the smallest, however often its rows repeat; labels
+    other than 0 and 1 teach nothing.
+    """
+    ids = (labels.filter(F.col("quality").isin(0, 1) & (F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
            .groupBy("doc_id").agg(F.min("quality").alias("quality"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(size))
-    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most `size` ids
-    found = found.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(size).collect()
-    return [(r.text or "").encode() for r in found], [int(r.quality) for r in found]
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
+    order = [F.xxhash64("doc_id"), "doc_id"]  # at most `size` ids
+    found = written(found.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("quality").alias("quality")), "labelled")
+    taken, held = [], 0
+    for r in found.select("doc_id", F.octet_length("text").alias("n")).orderBy(*order).collect():
+        held += r["n"]
+        if held > size_bytes and taken:
+            break
+        taken.append(r["doc_id"])
+    rows = found.filter(F.col("doc_id").isin(taken)).orderBy(*order).collect() if taken else []
+    return [r["text"].encode() for r in rows], [int(r["quality"]) for r in rows]
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -177,7 +199,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
-    model = train(*labelled_sample(docs, labels, sample))
+    texts, marks = labelled_sample(docs, labels, sample)
+    model = train(texts, marks) if len(set(marks)) == 2 else constant(marks)
     return score(docs, model).select(
         "doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"), "score",
         F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).cast("int").alias("predicted"))

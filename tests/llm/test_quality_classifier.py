@@ -42,3 +42,21 @@ def test_edges(spark):
     assert q.score(spark.createDataFrame([], "doc_id long, text string"), model).count() == 0
     with pytest.raises(ValueError):
         q.train([b"a"], [1])
+
+
+def test_repeated_rows_take_one_place_in_the_sample(spark):
+    docs = spark.range(60).selectExpr("id AS doc_id", "concat('text number ', id) AS text")
+    hot = spark.range(2500).selectExpr("CAST(0 AS LONG) AS doc_id", "'text number 0' AS text")
+    labels = spark.range(60).selectExpr("id AS doc_id", "CAST(id % 3 AS INT) AS quality")  # 2 is no label
+    texts, marks = q.labelled_sample(docs.unionByName(hot), labels, 2000)
+    assert len(texts) == len(set(texts)) and set(marks) == {0, 1}
+    assert q.classify(docs.unionByName(hot), labels).count() == 2560
+    few, _ = q.labelled_sample(docs, labels, 2000, size_bytes=60)
+    assert 1 <= len(few) <= 5
+
+
+@pytest.mark.parametrize("quality, low, high", [("NULL", 0.5, 0.5), ("1", 0.9, 1.0), ("0", 0.0, 0.1)])
+def test_labels_of_one_class_or_none(spark, quality, low, high):
+    docs = spark.range(40).selectExpr("id AS doc_id", "CAST(NULL AS STRING) AS text")
+    rows = q.classify(docs, spark.range(40).selectExpr("id AS doc_id", f"CAST({quality} AS INT) AS quality")).collect()
+    assert len(rows) == 40 and all(low <= r.score <= high for r in rows)
