@@ -1,15 +1,16 @@
 """Uniform shuffle into shards of exact size, by a hypergeometric communication matrix.
 
-Rows fall into a fixed number of blocks by hash.  How many rows block b sends to
+Rows fall into blocks by hash, rows that repeat whole by a counter of their own.  How many rows block b sends to
 shard s is drawn exactly (each block's row of the matrix is a multivariate
 hypergeometric draw from the shards' remaining places), so that every shard gets
 exactly its size.  Each block is permuted locally and cut by its row of the
 matrix; after the exchange each shard is permuted again, in buckets whose
 offsets make the slots gapless.
 
-At scale: only ids, sizes and checksums move, never texts.  The driver holds
-``blocks x shards`` counts, a fixed parameter.  No window sees more than one
-block, or one bucket of one shard: raise both parameters with the row count.
+At scale: only ids, sizes and checksums move, never texts.  There is a block, and a
+bucket of each shard, for every ``ROWS`` rows at least, so no window sees many more;
+the driver holds ``blocks x shards`` counts.  Draws take masses from differences of
+``lgamma``: at 1e11 rows a mass is off by about 5e-4 of itself, sizes stay exact.
 Copies of a text spread like any other rows, as the document id is part of the key.
 
 Defined results: a null text has size 8 and checksum 0; rows with a null or
@@ -27,8 +28,10 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import written
 
+#: Least numbers of blocks, and of buckets in a shard; rows that one of either takes as a mean at most.
 BLOCKS = 512
 BUCKETS = 64
+ROWS = 1 << 20
 SEED = 20240229
 
 
@@ -83,7 +86,14 @@ def shard(docs: DataFrame, shards: int = 24, blocks: int = BLOCKS, buckets: int
     rows = docs.select(
         "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     rows = rows.withColumn("key", F.xxhash64("doc_id", "size", "text_crc32", F.lit(seed)))
-    rows = written(rows.withColumn("block", F.pmod("key", F.lit(blocks)).cast("int")), "shard-rows")
+    # Rows that repeat one key spread over the blocks by their place in the table; the table is written once.
+    several = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key", F.lit(True).alias("several"))
+    rows = rows.withColumn("row", F.monotonically_increasing_id()).join(written(several, "shard-several"), "key", "left")
+    rows = rows.withColumn("key", F.when(F.col("several"), F.xxhash64("key", "row")).otherwise(F.col("key")))
+    rows = written(rows.drop("several", "row"), "shard-keys")
+    n = rows.count()
+    blocks, buckets = max(blocks, -(-n // ROWS)), max(buckets, -(-n // (ROWS * shards)))
+    rows = rows.withColumn("block", F.pmod("key", F.lit(blocks)).cast("int"))
 
     sizes = [0] * blocks  # one count for each block: bounded by the parameter
     for r in rows.groupBy("block").count().collect():

@@ -59,3 +59,24 @@ def test_every_shard_gets_a_fair_mix(spark):
     halves = Counter(r.shard for r in rows if r.doc_id < 12000)
     assert all(400 < halves[s] < 600 for s in range(24))
     assert abs(np.corrcoef([r.doc_id for r in rows], [r.slot for r in rows])[0, 1]) < 0.05
+
+
+def test_equal_rows_spread_over_blocks(spark, monkeypatch, scratch):
+    seen = {}
+
+    def kept(df, label, keep=sharding.written):
+        out = keep(df, label)
+        seen[label] = out
+        return out
+
+    monkeypatch.setattr(sharding, "written", kept)
+    df = spark.range(3000).selectExpr("CAST(IF(id < 2000, 7, id) AS LONG) AS doc_id", "'same' AS text")
+    check(sharding.shard(df).collect(), 3000)
+    hot = seen["shard-keys"].filter("doc_id = 7")
+    assert hot.select("key").distinct().count() == 2000
+
+
+def test_blocks_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS", 2)
+    df = spark.range(3000).selectExpr("id AS doc_id", "'x' AS text")
+    check(sharding.shard(df, blocks=4, buckets=2).collect(), 3000)
