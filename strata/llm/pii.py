@@ -196,6 +196,7 @@ class Model:
     bias: float = 0.0
     trees: list = field(default_factory=list)
     thresholds: dict[str, float] = field(default_factory=dict)
+    by_format: tuple[str, ...] = ()  # kinds without enough evidence for a threshold
 
     def score(self, x: np.ndarray) -> np.ndarray:
         def walk(tree, rows: np.ndarray) -> np.ndarray:
@@ -222,6 +223,8 @@ class Model:
         verdict = F.lit(False)
         for kind, threshold in self.thresholds.items():
             verdict = verdict | ((c["k"] == KINDS.index(kind)) & (self.column(c) >= threshold))
+        for kind in self.by_format:
+            verdict = verdict | ((c["k"] == KINDS.index(kind)) & (c["valid"] == 1))
         return verdict
 
 
@@ -259,7 +262,12 @@ def boost(x: np.ndarray, pos: np.ndarray, neg: np.ndarray, rounds: int = 12, dep
 
 
 def train(docs: DataFrame, text: str = "text", precision: float = 0.95, least: int = 20) -> Model:
-    """Fit trees and thresholds on the candidates of all documents."""
+    """Fit trees and thresholds on the candidates of all documents.
+
+    A kind with fewer than ``least`` positive held-out candidates has too little
+    evidence for a threshold of its own: its candidates are accepted by their
+    format check, so that a short table loses no spelt-out address.
+    """
     base, c = F.col("base"), F.col("c")
     found = docs.select(
         (F.pmod(F.xxhash64(text), F.lit(5)) == 0).alias("held"), F.coalesce(F.col(text), F.lit("")).alias("t"))
@@ -278,9 +286,7 @@ def train(docs: DataFrame, text: str = "text", precision: float = 0.95, least: i
         parts[held] = (np.array([[r[f] for f in names] for r in rows], np.int64).reshape(-1, len(names)),
                        np.array([r["pos"] for r in rows], float), np.array([r["neg"] for r in rows], float))
     x, pos, neg = parts[False]
-    if not len(x) or not pos.sum():
-        return Model()
-    model = boost(x, pos, neg)
+    model = boost(x, pos, neg) if len(x) and pos.sum() else Model()
     x, pos, neg = parts[True]
     scores = model.score(x)
     for kind in KINDS:
@@ -289,6 +295,8 @@ def train(docs: DataFrame, text: str = "text", precision: float = 0.95, least: i
                 pos[own & (scores >= t)].sum() >= precision * (pos + neg)[own & (scores >= t)].sum()]
         if good:
             model.thresholds[kind] = float(min(good)) - 1e-9
+        elif pos[own].sum() < least:
+            model.by_format += (kind,)
     return model
 
 
@@ -311,7 +319,7 @@ def find(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``pii_base`` and ``pii_spans``: arrays of struct<s, k, e>, k the place in ``KINDS``."""
     t = F.coalesce(F.col(text), F.lit(""))
     both = let(base_spans(t), lambda base: F.struct(base.alias("base"), F.when(
-        F.lit(bool(model.thresholds)), F.sort_array(F.concat(base, added_spans(base, candidates(t), model))))
+        F.lit(bool(model.thresholds or model.by_format)), F.sort_array(F.concat(base, added_spans(base, candidates(t), model))))
         .otherwise(base).alias("spans")))
     return (docs.withColumn("_pii", both)
             .withColumns({"pii_base": F.col("_pii")["base"], "pii_spans": F.col("_pii")["spans"]}).drop("_pii"))
