@@ -23,9 +23,9 @@ pass finds them by the hash of all their words as an exact run of words, with
 cosine 1.
 
 Both passes are narrow; what is shuffled are sums by term, and then the matches.
-Items are taken in blocks of at most ``BLOCK`` by hash, so what the driver
-collects and broadcasts (item words, terms x rank floats) is bounded by
-parameters; more items mean more passes.  Whole texts are read, in chunks of
+Distinct items are taken by hash in blocks of about ``BLOCK_WORDS`` words, so what
+the driver collects and broadcasts (item words, terms x rank floats) is bounded by
+a parameter; more words mean more passes.  Whole texts are read, in chunks of
 bounded size.
 
 Defined results: words are lower-cased (A-Z) and freed of ASCII punctuation at
@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import Spans, bytes_of, window_starts, written
+from strata.llm.common import WORD_RULE, Spans, bytes_of, window_starts, written
 
 RANK = 64
 PASSAGE = 64
@@ -55,7 +55,7 @@ ANSWER = 0.6
 ANSWER_WORDS = 5
 LEAST = 8
 EXACT = 3
-BLOCK = 4096
+BLOCK_WORDS = 200_000
 SHRINK = 0.75
 CHUNK_BYTES = 1 << 19
 SEED = 11
@@ -144,7 +144,7 @@ def _term_sums(docs: DataFrame, items: Items) -> tuple[float, np.ndarray, np.nda
     count = len(items.terms)
     test = np.random.default_rng(SEED).standard_normal((count + 1, RANK)).astype(np.float32)
     test[count] = 0
-    shared = docs.sparkSession.sparkContext.broadcast((items, test))  # at most BLOCK items
+    shared = docs.sparkSession.sparkContext.broadcast((items, test))  # at most about BLOCK_WORDS words of items
     names = [f"z{k}" for k in range(RANK)]
 
     def run(batches):
@@ -239,7 +239,7 @@ def _search(docs: DataFrame, items: Items, idf: np.ndarray, fold: np.ndarray, co
         mask = np.zeros(count + 1, bool)
         mask[sorted(set().union(*answers[low:high]))] = True
         asked.append((mask, min(-(-int(100 * ANSWER) * len(x) // 100) for x in answers[low:high])))
-    shared = docs.sparkSession.sparkContext.broadcast((items, table, query, answers, asked))  # at most BLOCK items
+    shared = docs.sparkSession.sparkContext.broadcast((items, table, query, answers, asked))  # at most about BLOCK_WORDS words of items
 
     def chunk_matches(texts: list[bytes]):
         items, table, query, answers, asked = shared.value
@@ -305,12 +305,13 @@ def _search(docs: DataFrame, items: Items, idf: np.ndarray, fold: np.ndarray, co
 def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE) -> DataFrame:
     """One row for each document and benchmark item that it holds."""
     spark = docs.sparkSession
-    named = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
-    blocks = max(1, -(-named.count() * 2 // BLOCK)) if not named.limit(BLOCK + 1).count() <= BLOCK else 1
+    named = written(benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").distinct(), "items")
+    words = F.size(F.regexp_extract_all(F.col("text"), F.lit(WORD_RULE), F.lit(0))).cast("long")
+    blocks = max(1, -(-(named.agg(F.sum(words)).first()[0] or 0) // BLOCK_WORDS))
     found = None
     for block in range(blocks):
         part = named.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text")
-        items = Items([(r.item_id, r.text) for r in part.collect()])  # about BLOCK / 2 items
+        items = Items([(r.item_id, r.text) for r in part.collect()])  # about BLOCK_WORDS words
         if not items.ids:
             continue
         if items.words:

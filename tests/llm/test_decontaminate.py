@@ -68,9 +68,23 @@ def test_planted_items_and_paraphrases(spark):
 
 def test_blocks_of_items(spark, monkeypatch):
     rows, items, truth = fixture()
-    monkeypatch.setattr(dc, "BLOCK", 16)
+    monkeypatch.setattr(dc, "BLOCK_WORDS", 200)
     got = {(r.doc_id, r.item_id) for r in run(spark, rows, items).collect()}
-    assert len(got & truth) >= 0.85 * len(truth) and not got - truth
+    assert len(got & truth) >= 0.9 * len(truth) and not got - truth
+
+
+def test_repeated_items_are_taken_once(spark, monkeypatch):
+    rows, items, _ = fixture()
+    seen, keep = [], dc.Items.__init__
+
+    def counted(self, found):
+        seen.append(len(found))
+        keep(self, found)
+
+    monkeypatch.setattr(dc.Items, "__init__", counted)
+    one = sorted(map(tuple, run(spark, rows, items).collect()))
+    many = sorted(map(tuple, run(spark, rows, items[:3] * 200 + items).collect()))
+    assert one == many and seen == [len(items), len(items)]
 
 
 def test_edges(spark):
