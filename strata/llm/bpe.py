@@ -40,6 +40,11 @@ MARK = "\uffff"
 # code points (letters, single digits, runs of anything else that is no white space).
 LATIN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zA-Zªµºß-öø-ÿÀ-ÖØ-Þ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa00-9²³¹¼½¾a-zA-Zªµºß-öø-ÿÀ-ÖØ-Þ]+"
 
+# The normaliser and the splitter that the file names.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
 
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte: itself if printable, else from U+0100 on."""
@@ -56,6 +61,9 @@ class Automaton:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
+        steps = [x.get("pattern", {}).get("Regex") for x in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        if spec["normalizer"] != NORMALIZER or steps != [SPLIT, None] or spec["decoder"] is not None:
+            raise ValueError("the split of words is spelt out for files with this normaliser and splitter and no decoder")
         self.end = model["end_of_word_suffix"] or ""
         vocab = model["vocab"]
         self.labels = {i: t for t, i in vocab.items()}

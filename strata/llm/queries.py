@@ -18,7 +18,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vocabulary() -> str:
-    """Default vocabulary file of the BPE queries; the operator takes any path."""
+    """Default vocabulary file of the BPE queries; the operators take a path; op2's refuses files of other rules."""
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
 

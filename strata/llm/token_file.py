@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from strata.llm.bpe import LATIN_SPLIT
+from strata.llm.bpe import LATIN_SPLIT, NORMALIZER, SPLIT
 from strata.llm.common import new_folder
 from strata.llm.warc import _filesystem
 
@@ -64,10 +64,6 @@ CACHE_WORDS = 900_000
 _HEAD = struct.Struct("<HHB3xI")
 _TAIL = struct.Struct("<QQQQ8s")
 
-# The normaliser and splitter of a file whose words never cross white space.
-SPACED_NORMALIZER = {"type": "Sequence", "normalizers": [
-    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
-SPACED_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: Ends a word among joined ones; no word holds it.
 _MARK = "\n"
 _PIECES = re.compile(LATIN_SPLIT + "|\n")
@@ -91,8 +87,8 @@ class TextEncoder:
             spec = json.load(f)
         steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
         self.by_word = (
-            spec["normalizer"] == SPACED_NORMALIZER and len(steps) == 2
-            and steps[0].get("pattern") == {"Regex": SPACED_SPLIT} and steps[0].get("invert") is True
+            spec["normalizer"] == NORMALIZER and len(steps) == 2
+            and steps[0].get("pattern") == {"Regex": SPLIT} and steps[0].get("invert") is True
             and steps[0].get("behavior") == "Removed" and steps[1].get("add_prefix_space") is False
             and not steps[1].get("use_regex", True)
             and not any(re.search(r"\s", t["content"]) or t["normalized"] for t in spec["added_tokens"]))

@@ -65,3 +65,11 @@ def test_query(spark, library):
         assert r.n_tokens == len(ids.split())
         assert r.ids_sha256 == hashlib.sha256(ids.encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def test_a_vocabulary_of_other_rules_is_refused():
+    import public_tokenizers
+    import pytest
+
+    with pytest.raises(ValueError, match="normaliser and splitter"):
+        bpe.Automaton(public_tokenizers.path("byte_bpe_50k.json"))
