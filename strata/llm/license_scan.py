@@ -1,21 +1,25 @@
 """License scans: MinHash bands over overlapping windows, then exact containment.
 
-A template is the set of its 5-word shingles.  For each template length of n
-words the text is cut into windows of ``n + stride - 1`` words, a stride of half
-the length apart, so that any n consecutive words lie whole in one window.  Each
-window has ``BANDS`` MinHash values, one to a band; a template is retrieved for
-a window if they agree in any band, and counts if at least ``CONTAINMENT`` of its
-shingles are in the window, checked exactly.
-
-Band settings: a window that holds 80 % of a template's shingles has a Jaccard
-similarity of at least 1/3 to it (at five words: one of three shingles; longer
-templates reach 0.4 and more), so 32 bands of one value miss it with probability
-(2/3)**32 < 3e-6.
+A template is the set of its 5-word shingles.  A text's shingles that any
+template has are its hits, found by a hashed table.  The hits are cut into windows
+of two neighbouring blocks of shingles, each block so long that a template of the
+window's length class lies whole in one window.  Each window has ``BANDS``
+MinHash values, one to a band, and a literal table from band value to templates
+gives the templates that agree with it in any band: what is retrieved depends on
+the window, not on the number of templates.  A retrieved template is then checked
+exactly: its own hits are laid into windows of ``n + stride - 1`` of its n words, a
+stride of half its length apart, and a window counts if it holds at least
+``CONTAINMENT`` of the template's shingles.
+
+Band settings: only hits enter a window's MinHash, so ordinary words do not dilute
+it.  A template of which 80 % is there, alone in its window, agrees in a band with
+probability 0.8, and is missed by all 32 with 0.2**32; with hits of other notices
+five times as many as its own, which takes a page of licence text, with 1e-2 or
+less for that window, and its neighbour is another chance.
 
 A text goes to the windows only if it holds one of the anchor words.  They are
 chosen from the templates such that fewer than 80 % of any template's shingles
-are free of them: a text without any of them cannot match.  Nor can a template
-of which the whole text holds less than 80 %: only the others meet its windows.
+are free of them: a text without any of them cannot match.
 
 *Versions.*  Notices of two versions differ in one word and so share most
 shingles.  A window settles a template if, for each of the template's words with
@@ -28,9 +32,9 @@ gives the row.  It also reads the identifiers of ``SPDX-License-Identifier:``
 lines, whole expressions, in the spelling of the SPDX list; an unknown one is
 reported in lower case.
 
-One narrow stage of built-in expressions, no shuffle; templates are literals, a
-fixed parameter.  Each MinHash value of a shingle is computed once per text and
-reused by all windows.
+One narrow stage of built-in expressions, no shuffle; templates and their tables
+are literals, a fixed parameter.  Each MinHash value of a hit is computed once per
+text and reused by all windows.
 
 Defined results: words are lower-cased and freed of punctuation at both ends;
 null, empty and unlicensed texts have no row; one row for each document row and
@@ -42,7 +46,9 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,6 +74,8 @@ IDENTIFIERS = (*dict.fromkeys(name for name, _ in CATALOGUE), *licenses.SPDX)
 TAG = "spdx-license-identifier"
 WIDTH = 5
 BANDS = 32
+#: Slots of the literal hash tables.
+SLOTS = 1 << 13
 CONTAINMENT = 80  # per cent of the template's shingles
 
 
@@ -120,17 +128,65 @@ def _constant(value, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value)), kind)
 
 
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def shingle_hash(shingle: str) -> int:
+    """``xxhash64`` of the shingle, as Spark has it."""
+    return _signed(xxhash.xxh64_intdigest(shingle.encode(), 42))
+
+
+def min_hash(shingles: list[str], band: int) -> int:
+    """Least ``xxhash64(shingle, band)``, as Spark has it."""
+    return min(_signed(xxhash.xxh64_intdigest(struct.pack("<i", band), xxhash.xxh64_intdigest(s.encode(), 42)))
+               for s in shingles)
+
+
+def _shape(text: str) -> tuple[int, int]:
+    """Stride and length, in shingles, of a template's windows."""
+    n = len(template_words(text))
+    stride = -(-n // 2)
+    return stride, max(n + stride - 1 - WIDTH, 0) + 1
+
+
 def entries(templates=TEMPLATES) -> Column:
     """The templates as a constant array: shingles, marks and windows of each."""
     out = []
     for place, (name, text) in enumerate(templates):
-        n = len(template_words(text))
-        stride = -(-n // 2)
+        stride, held = _shape(text)
         out.append({"license": name, "place": place, "shingles": template_shingles(text), "marks": marks_of(text),
-                    "stride": stride, "held": max(n + stride - 1 - WIDTH, 0) + 1})
+                    "stride": stride, "held": held})
     return _constant(out, f"array<{ENTRY}>")
 
 
+def known_shingles(templates) -> Column:
+    """All shingles of the templates, by slot of their hash."""
+    slots: list[list[str]] = [[] for _ in range(SLOTS)]
+    for s in sorted({s for _, t in templates for s in template_shingles(t)}):
+        slots[shingle_hash(s) % SLOTS].append(s)
+    return _constant(slots, "array<array<string>>")
+
+
+def band_tables(templates) -> list[tuple[int, Column]]:
+    """(block length, band value -> places of templates by slot) of each length class."""
+    classes: dict[int, dict[int, list[int]]] = {}
+    for place, (_, text) in enumerate(templates):
+        block = 8
+        while block < _shape(text)[1]:
+            block *= 2
+        shingles = template_shingles(text)
+        for band in range(BANDS):
+            classes.setdefault(block, {}).setdefault(min_hash(shingles, band), []).append(place)
+    out = []
+    for block, values in sorted(classes.items()):
+        slots: list[list[dict]] = [[] for _ in range(SLOTS)]
+        for value, places in sorted(values.items()):
+            slots[value % SLOTS].append({"value": value, "places": places})
+        out.append((block, _constant(slots, "array<array<struct<value:bigint,places:array<int>>>>")))
+    return out
+
+
 def _tagged(words: Column, identifiers: tuple[str, ...]) -> Column:
     """The identifiers that follow SPDX tags: the first, and known ones joined to it by and, or, with."""
     names = {x.lower(): x for x in identifiers}
@@ -161,49 +217,82 @@ def matches(text: Column, catalogue: Column, templates=TEMPLATES, identifiers: t
     """array<struct<license, place, found, wanted, start, settled>> of the windows that hold a template, and of SPDX tags."""
     kind = "array<struct<license:string,place:int,found:int,wanted:int,start:int,settled:boolean>>"
     none = F.array().cast(kind)
-    bands = F.sequence(F.lit(0), F.lit(BANDS - 1))
-    known = _constant(sorted({s for _, t in templates for s in template_shingles(t)}), "array<string>")
-
-    def enough(found: Column, wanted: Column) -> Column:
-        return F.lit(100) * F.size(found) >= F.lit(CONTAINMENT) * F.size(wanted)
-
-    def in_windows(shingled: Column, likely: Column) -> Column:
-        def of(e: Column, hashes: Column, target: Column) -> Column:
-            def window(i: Column) -> Column:
-                signature = F.transform(hashes, lambda h: F.array_min(F.slice(h, i, e["held"])))
-                agree = F.exists(F.zip_with(signature, target, lambda a, b: a == b), lambda x: x)
-                own = F.slice(shingled, i, e["held"])
-                found = F.array_intersect(e["shingles"], own)
-                settled = F.forall(e["marks"], lambda m: F.arrays_overlap(m, own))
-                verdict = F.struct(e["license"].alias("license"), e["place"].alias("place"),
-                                   F.size(found).alias("found"), F.size(e["shingles"]).alias("wanted"),
-                                   (i - 1).cast("int").alias("start"), settled.alias("settled"))
-                return F.when(agree & enough(found, e["shingles"]), verdict)
-
-            every = F.array_compact(F.transform(F.sequence(F.lit(1), F.size(shingled), e["stride"]), window))
-            return let(every, lambda x: F.filter(x, lambda _: F.exists(x, lambda y: y["settled"])))
-
-        def target(e: Column) -> Column:
-            return F.transform(bands, lambda b: F.array_min(F.transform(e["shingles"], lambda s: _min_hash(s, b))))
-
-        hashes = F.transform(bands, lambda b: F.transform(shingled, lambda s: _min_hash(s, b)))
-        return let(hashes, lambda h: F.flatten(F.transform(
-            likely, lambda e: let(target(e), lambda t: of(e, h, t)))).cast(kind))
+    known, tables = known_shingles(templates), band_tables(templates)
 
-    def search(words: Column) -> Column:
+    def slot(value: Column) -> Column:
+        return F.pmod(value, F.lit(SLOTS)).cast("int")
+
+    def hits_of(words: Column) -> Column:
+        """at, s: place and text of every shingle that a template has."""
         count = F.greatest(F.size(words) - WIDTH, F.lit(0)) + 1
-        shingles = F.transform(F.sequence(F.lit(1), count),
-                               lambda i: F.array_join(F.slice(words, i, F.lit(WIDTH)), " "))
 
-        def retrieve(shingled: Column) -> Column:
-            def meet(seen: Column) -> Column:
-                likely = F.filter(catalogue, lambda e: enough(F.array_intersect(e["shingles"], seen), e["shingles"]))
-                found = let(likely, lambda l: F.when(F.size(l) > 0, in_windows(shingled, l)).otherwise(none))
-                return F.when(F.size(seen) > 0, found).otherwise(none)
+        def hit(i: Column) -> Column:
+            return let(F.array_join(F.slice(words, i, F.lit(WIDTH)), " "), lambda s: F.when(
+                F.array_contains(F.get(known, slot(F.xxhash64(s))), s), F.struct((i - 1).cast("int").alias("at"), s.alias("s"))))
 
-            return let(F.array_intersect(shingled, known), meet)
+        return F.array_compact(F.transform(F.sequence(F.lit(1), count), hit))
 
-        found = let(shingles, retrieve)
+    def retrieved(hits: Column) -> Column:
+        """Places of the templates that agree with a window of hits in any band."""
+        def hashed(band: int) -> Column:
+            return F.transform(hits, lambda x: _min_hash(x["s"], F.lit(band)))
+
+        hashes = F.array(*map(hashed, range(BANDS)))
+
+        def by_class(h: Column, block: int, table: Column) -> Column:
+            def windows(q: Column) -> Column:
+                back = F.reverse(q)
+
+                def window(v: Column) -> Column:
+                    first = F.array_position(q, v).cast("int")
+                    after = F.array_position(back, v + 1).cast("int")
+                    last = F.size(q) + 1 - F.when(after > 0, after).otherwise(F.array_position(back, v).cast("int"))
+
+                    def agreeing(one: Column) -> Column:
+                        value = F.array_min(F.slice(one, first, last - first + 1))
+                        return let(value, lambda m: F.flatten(F.transform(
+                            F.filter(F.get(table, slot(m)), lambda e: e["value"] == m), lambda e: e["places"])))
+
+                    return F.array_distinct(F.flatten(F.transform(h, agreeing)))
+
+                return F.array_distinct(F.flatten(F.transform(F.array_distinct(q), window)))
+
+            return let(F.transform(hits, lambda x: F.floor(x["at"] / block).cast("int")), windows)
+
+        return let(hashes, lambda h: F.array_distinct(F.concat(*[by_class(h, block, t) for block, t in tables])))
+
+    def checked(hits: Column, place: Column) -> Column:
+        """The windows of one template that hold enough of it."""
+        def of(e: Column) -> Column:
+            def windows(own: Column) -> Column:
+                def window(start: Column) -> Column:
+                    inside = F.filter(own, lambda x: (x["at"] >= start) & (x["at"] < start + e["held"]))
+
+                    def verdict(found: Column) -> Column:
+                        settled = F.forall(e["marks"], lambda m: F.arrays_overlap(m, found))
+                        return F.when(F.lit(100) * F.size(found) >= F.lit(CONTAINMENT) * F.size(e["shingles"]), F.struct(
+                            e["license"].alias("license"), e["place"].alias("place"), F.size(found).alias("found"),
+                            F.size(e["shingles"]).alias("wanted"), start.cast("int").alias("start"),
+                            settled.alias("settled")))
+
+                    return let(F.array_distinct(F.transform(inside, lambda x: x["s"])), verdict)
+
+                # The windows that reach one of the template's hits.
+                starts = F.array_sort(F.array_distinct(F.flatten(F.transform(own, lambda x: F.transform(F.sequence(
+                    F.greatest(F.floor((x["at"] - e["held"]) / e["stride"]) + 1, F.lit(0)).cast("int"),
+                    F.floor(x["at"] / e["stride"]).cast("int")), lambda k: k * e["stride"])))))
+                every = F.array_compact(F.transform(starts, window))
+                return let(every, lambda x: F.filter(x, lambda _: F.exists(x, lambda y: y["settled"])))
+
+            mine = F.filter(hits, lambda x: F.array_contains(e["shingles"], x["s"]))
+            return F.when(F.lit(100) * F.size(mine) >= F.lit(CONTAINMENT) * F.size(e["shingles"]),
+                          let(mine, windows)).otherwise(none)
+
+        return let(F.get(catalogue, place), of)
+
+    def search(words: Column) -> Column:
+        found = let(hits_of(words), lambda hits: F.when(F.size(hits) > 0, F.flatten(F.transform(
+            F.array_sort(retrieved(hits)), lambda p: checked(hits, p))).cast(kind)).otherwise(none))
         return F.concat(found, _tagged(words, identifiers)) if identifiers else found
 
     anchors = [*anchor_words(templates), *([TAG] if identifiers else [])]

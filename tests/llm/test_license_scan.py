@@ -65,3 +65,22 @@ def test_anchor_words_lose_nothing():
 def test_native_plan(spark):
     plan = ls.scan(spark.createDataFrame([(1, "a")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_hashes_are_those_of_spark(spark):
+    shingles = ["a b c d e", "é ü the mit license", ""]
+    df = spark.createDataFrame([(x,) for x in shingles], "s string")
+    got = [tuple(r) for r in df.selectExpr("xxhash64(s)", "xxhash64(s, 0)", "xxhash64(s, 31)").collect()]
+    assert got == [(ls.shingle_hash(x), ls.min_hash([x], 0), ls.min_hash([x], 31)) for x in shingles]
+    assert ls.min_hash(shingles, 7) == min(ls.min_hash([x], 7) for x in shingles)
+
+
+def test_bands_retrieve_among_many_notices(spark):
+    """Whole pages of notices one behind the other: every one that is contained is retrieved."""
+    rng = random.Random(4)
+    pages = []
+    for i in range(40):
+        notices = rng.sample([t for _, t in ls.TEMPLATES], rng.randrange(2, 8))
+        pages.append((i, " ".join(n + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(0, 6)))
+                                  for n in notices * rng.randrange(1, 4))))
+    assert run(spark, pages) == brute(pages)
