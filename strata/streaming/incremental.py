@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from strata.operators import loads
-from strata.sources.store import TableStore
+from strata.sources.store import BUCKET_COLUMN, PartitionedTable, TableStore, bucketed
 
 OVERLAP = "5 minutes"
 
@@ -53,11 +53,20 @@ def drop_overlap_duplicates(stream: DataFrame, event_time: str, keys: list[str],
 
 
 def apply_batch(store: TableStore, table: str, batch: DataFrame, *, keys: list[str],
-                order_by: list[str] | None, run_tag: str, stamp_column: str = "insertion_date") -> None:
-    """Upsert one micro-batch into ``table`` unless this epoch is committed."""
+                order_by: list[str] | None, run_tag: str, stamp_column: str = "insertion_date",
+                buckets: int | None = None) -> None:
+    """Upsert one micro-batch into ``table`` unless this epoch is committed.
+
+    With ``buckets`` the target is kept by bucket of its key, and a micro-batch
+    rewrites the buckets of its own keys only.
+    """
     if store.has_tag(table, run_tag):
         return
     incoming = batch.withColumn(stamp_column, F.current_timestamp().cast("timestamp_ntz"))
+    if buckets:
+        target = PartitionedTable(store.spark, f"{store.root}/{table}", BUCKET_COLUMN, buckets)
+        target.upsert(bucketed(incoming, keys, buckets), keys, order_by, tag=run_tag)
+        return
     existing = store.read(table)
     store.write(table, loads.upsert(existing, incoming, keys, order_by=order_by), tag=run_tag)
 
@@ -65,7 +74,7 @@ def apply_batch(store: TableStore, table: str, batch: DataFrame, *, keys: list[s
 def stream_upsert(store: TableStore, stream: DataFrame, table: str, *, keys: list[str],
                   order_by: list[str] | None, checkpoint: str, query_name: str,
                   event_time: str | None = None, row_keys: list[str] | None = None,
-                  available_now: bool = True) -> StreamingQuery:
+                  available_now: bool = True, buckets: int | None = None) -> StreamingQuery:
     """Start the incremental load of ``table`` from ``stream``.
 
     ``keys`` is the target's upsert key; ``row_keys`` identifies a source row,
@@ -75,7 +84,8 @@ def stream_upsert(store: TableStore, stream: DataFrame, table: str, *, keys: lis
         stream = drop_overlap_duplicates(stream, event_time, row_keys)
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        apply_batch(store, table, batch, keys=keys, order_by=order_by, run_tag=f"{query_name}:{epoch_id}")
+        apply_batch(store, table, batch, keys=keys, order_by=order_by, run_tag=f"{query_name}:{epoch_id}",
+                    buckets=buckets)
 
     writer = (stream.writeStream.queryName(query_name).option("checkpointLocation", checkpoint)
               .foreachBatch(each))

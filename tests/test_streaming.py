@@ -3,6 +3,7 @@ rerunning with the same checkpoint changes nothing."""
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.sources.store import TableStore
@@ -12,7 +13,8 @@ from strata.streaming.incremental import read_source_stream, stream_upsert
 from .conftest import SF_SMALL
 
 
-def test_stream_upsert_slices(spark, scratch):
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_stream_upsert_slices(spark, scratch, buckets):
     ev = Tables(spark, SF_SMALL).events.select("event_id", "ts", "user_id", "value")
     src = os.path.join(scratch, "incoming")
     ckpt = os.path.join(scratch, "ckpt")
@@ -23,7 +25,7 @@ def test_stream_upsert_slices(spark, scratch):
         stream = read_source_stream(spark, src, ev.schema)
         q = stream_upsert(store, stream, "latest_by_user", keys=["user_id"], order_by=["ts", "event_id"],
                           checkpoint=ckpt, query_name="users", event_time="ts",
-                          row_keys=["event_id"])
+                          row_keys=["event_id"], buckets=buckets)
         q.awaitTermination(120)
 
     run()
