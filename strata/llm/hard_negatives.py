@@ -357,14 +357,19 @@ _FOUND = pa.schema([("batch", pa.int64()), ("row", pa.int32()), ("anchor_id", pa
 def _search(pairs: DataFrame, shape: Shape, folder: str, index: dict[int, list[tuple[int, int]]]) -> DataFrame:
     """The first rows of each batch of anchors in each index file.
 
-    ``pairs`` has batch, path, offset, length, part, aims; ``aims`` null asks for
+    ``pairs`` has batch, path, offset, length, parts, aims; ``aims`` null asks for
     positives, else it lists (row, score of a positive) and asks for negatives.
+    What one file gives prunes the boxes of the next.
     """
     exact = shape.exact
 
+    def blocks(parts: list[int]) -> Iterator[dict[str, np.ndarray]]:
+        for part in parts:
+            yield from _load(f"{folder}/index-{part:05d}", index[part])
+
     def run(batches):
         for batch in batches:
-            for number, path, offset, length, part, aims in zip(*(c.to_pylist() for c in batch.columns)):
+            for number, path, offset, length, parts, aims in zip(*(c.to_pylist() for c in batch.columns)):
                 anchors = next(_load(path, [(offset, length)]))
                 q, labels = numbers(anchors["vectors"], exact), anchors["labels"].tolist()
                 if aims is None:
@@ -375,7 +380,7 @@ def _search(pairs: DataFrame, shape: Shape, folder: str, index: dict[int, list[t
                         low, high = window_of(aim["score"])
                         if low <= high:
                             bests.setdefault(aim["row"], {})[aim["score"]] = Best(NEGATIVES, low, high)
-                for block in _load(f"{folder}/index-{part:05d}", index[part]):
+                for block in blocks(parts):
                     tree = Tree(block, exact)
                     ends = tree.intervals(q)
                     for row, wanted in bests.items():
@@ -386,7 +391,20 @@ def _search(pairs: DataFrame, shape: Shape, folder: str, index: dict[int, list[t
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, _FOUND.types)], schema=_FOUND)
 
-    return pairs.select("batch", "path", "offset", "length", "part", "aims").mapInArrow(run, FOUND)
+    return pairs.select("batch", "path", "offset", "length", "parts", "aims").mapInArrow(run, FOUND)
+
+
+def _groups(index: dict[int, list], limit: int) -> list[list[int]]:
+    """Index files that one task searches, one behind the other: of at most ``limit`` blocks, one file at least."""
+    out: list[list[int]] = []
+    size = 0
+    for part in sorted(index):
+        if not out or size + len(index[part]) > limit:
+            out.append([])
+            size = 0
+        out[-1].append(part)
+        size += len(index[part])
+    return out
 
 
 def _rule(tree: Tree, same: bool, label: int, anchor_id: int, q: np.ndarray):
@@ -419,11 +437,14 @@ def mine(embeddings: DataFrame, every: int = 50) -> DataFrame:
     files.create_dir(place, recursive=True)
     index = build_index(rows, shape, folder)
     batches = _anchor_batches(rows, shape, folder, every)
-    parts = F.array(*[F.lit(p) for p in sorted(index)]).cast("array<int>")
-    tasks = max(1, min(4096, batches.count() * len(index)))
+    # Enough tasks for the cluster, and no more partial results than that takes.
+    searches = batches.count() * sum(map(len, index.values()))
+    groups = _groups(index, min(BLOCKS, -(-searches // (4 * spark.sparkContext.defaultParallelism))))
+    parts = F.array(*[F.array(*map(F.lit, g)) for g in groups]).cast("array<array<int>>")
+    tasks = max(1, min(4096, batches.count() * len(groups)))
 
     def pairs(asked: DataFrame) -> DataFrame:
-        return asked.withColumn("part", F.explode(parts)).repartition(tasks)
+        return asked.withColumn("parts", F.explode(parts)).repartition(tasks)
 
     aims = "array<struct<row:int,score:bigint>>"
     found = _search(pairs(batches.withColumn("aims", F.lit(None).cast(aims))), shape, folder, index)

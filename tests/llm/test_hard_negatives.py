@@ -137,3 +137,9 @@ def test_window_ends():
     for score in (-101, -100, -1, 0, 1, 3, 100, 101, 10**18):
         low, high = hn.window_of(score)
         assert 100 * low >= 50 * score > 100 * (low - 1) and 100 * high <= 95 * score < 100 * (high + 1)
+
+
+def test_groups_of_index_files():
+    index = {0: [1, 2], 1: [1], 3: [1] * 5, 4: [1], 7: [1]}
+    assert hn._groups(index, 4) == [[0, 1], [3], [4, 7]]
+    assert hn._groups(index, 1) == [[0], [1], [3], [4], [7]] and hn._groups({}, 3) == []
