@@ -13,7 +13,8 @@ word's BPE.  Encoding a word steps over its symbols and follows that table;
 decoding emits the labels of the arcs.
 
 One narrow Spark stage: whole texts in Arrow batches, no shuffle; a word's ids
-are kept in a bounded cache of each Python worker.
+are kept in a bounded cache of each Python worker.  A batch goes in slices of
+about 1 MB of text, one text at least: ids and labels take six times the text.
 
 Defined results: a null or empty text has no tokens; repeated rows give equal
 rows; other columns are ignored by ``encode_documents``.
@@ -30,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
+from strata.llm.common import slices
+
 CACHE_WORDS = 500_000
 CACHE_ARCS = 2_000_000
 NEVER = 1 << 62
@@ -241,7 +244,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text") -> Da
     """doc_id, ids (space-joined decimals) and decoded text of every row."""
     def run(batches):
         automaton = load(vocabulary)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, [1])):
             both = [automaton.encode_both(t or "") for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x[0] for x in both], pa.string()),
@@ -254,7 +257,7 @@ def digest_documents(docs: DataFrame, vocabulary: str, text: str = "text") -> Da
     """Like ``encode_documents`` with counts and SHA-256 digests in place of ids and text."""
     def run(batches):
         automaton = load(vocabulary)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, [1])):
             rows = ([], [], [])
             for t in batch.column(1).to_pylist():
                 ids, decoded = automaton.encode_both(t or "")

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -56,6 +57,22 @@ def test_documents(spark, library):
     assert bpe.encode_documents(spark.createDataFrame([], SCHEMA), vocabulary()).count() == 0
 
 
+@pytest.mark.parametrize("operator", [bpe.encode_documents, bpe.digest_documents])
+def test_a_batch_goes_in_slices(operator):
+    class Frame:  # hands back the function that Spark would call with its batches
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    texts = [None, "", *["the quick brown fox 123 " * 100] * 2000, "jumps " * 400_000]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    out = list(operator(Frame(), vocabulary())(iter([whole, whole.slice(0, 0)])))
+    assert [i for b in out for i in b.column(0).to_pylist()] == list(range(len(texts)))
+    assert len(out) >= 6 and all(b.nbytes < 12 << 20 for b in out[:-1]) and out[-1].num_rows == 1
+
+
 def test_query(spark, library):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     rows = op2_bpe(spark, SF_SMALL).collect()
