@@ -154,8 +154,12 @@ def extract_all(df: DataFrame, column: str, json: bool = True, xml: bool = True,
     More than ``limit`` of them raise an error: ids used as keys are no columns.
     A name that the frame already has raises one too.  ``json`` or ``xml`` may be
     switched off where a column's kind is known.
+
+    Parsing takes far longer than reading, and a small file of many cells is one
+    or a few splits, so the rows are first spread over all tasks.
     """
     c, have = F.col(column), set(df.columns)
+    df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     parsed, ok, tree = f"__{column}_json", f"__{column}_xml_ok", f"__{column}_xml_tree"
     names = []
     if json:

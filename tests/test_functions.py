@@ -244,6 +244,14 @@ def test_extract_all_over_mixed_cells(spark):
     assert got[12]["s"] == "padded" and got[12]["s_attr_b"] == "a b" and got[7]["s"] is None
 
 
+def test_extract_all_spreads_the_rows_of_one_split(spark):
+    cells = spark.range(0, 400, 1, 1).selectExpr("id", "concat('<r><s>', id, '</s></r>') AS x")
+    rows = semistructured.extract_all(cells, "x").withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((r["id"], r["s"]) for r in rows) == [(i, str(i)) for i in range(400)]
+    counts = [sum(r["task"] == t for r in rows) for t in {r["task"] for r in rows}]
+    assert len(counts) > 1 and max(counts) <= 100
+
+
 def test_extract_all_refuses_ids_as_keys_and_taken_names(spark):
     ids = spark.createDataFrame([(f'{{"id{i}": 1}}',) for i in range(30)], "x string")
     with pytest.raises(ValueError, match="more than 20 names"):
