@@ -6,6 +6,7 @@ import datetime as _dt
 import uuid
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,7 +67,7 @@ class CountedBy:
 
     def result(self) -> dict:
         """value -> (fetched, written)."""
-        read, wrote = self.obs_in.get, self.obs_out.get
+        read, wrote = observed(self.obs_in), observed(self.obs_out)
         return {v: (int(read.get(f"n{i}", 0)), int(wrote.get(f"n{i}", 0))) for i, v in enumerate(self.values)}
 
 
@@ -86,7 +87,20 @@ class Counted:
         return df.observe(self.obs_out, F.count(F.lit(1)).alias("n"))
 
     def result(self) -> tuple[int, int]:
-        return int(self.obs_in.get.get("n", 0)), int(self.obs_out.get.get("n", 0))
+        return int(observed(self.obs_in).get("n", 0)), int(observed(self.obs_out).get("n", 0))
+
+
+def observed(obs: Observation) -> dict:
+    """The metrics of an observation; none where adaptive execution left its branch out.
+
+    PySpark cannot turn the JVM's empty row, which has no schema, into a dict.
+    """
+    try:
+        return obs.get
+    except Py4JJavaError as e:
+        if "AssertionError" in str(e) and "PythonSQLUtils.toPyRow" in str(e):
+            return {}
+        raise
 
 
 def status_of(fetched: int, processed: int) -> str:
